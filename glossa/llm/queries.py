@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.llm import decontaminate as dc
+from glossa.llm import quality as ql
+from glossa.llm import secrets as sc
 from glossa.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,8 +30,33 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ql.judge(docs, ql.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def _spelt(spans: str) -> Column:
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def _base_digest(df: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """Counts of the base kinds, the digest of their spans, and all spans."""
+    base = df.withColumn("base", F.filter("spans", lambda s: s["kind"].isin(*kinds)))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    return base.select("doc_id", *counts, F.sha2(_spelt("base"), 256).alias("base_sha256"), _spelt("spans").alias("spans"))
+
+
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _base_digest(sc.find_secrets(table(spark, sf_dir, "documents")), sc.KINDS[:3])
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_decontamination": op1_decontamination}
+    return {
+        "op1_decontamination": op1_decontamination,
+        "op3_quality_rules": op3_quality_rules,
+        "op9_secret_scan": op9_secret_scan,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
