@@ -43,8 +43,11 @@ def _spelt(spans: str) -> Column:
 def _base_digest(df: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     """Counts of the base kinds, the digest of their spans, and all spans."""
     base = df.withColumn("base", F.filter("spans", lambda s: s["kind"].isin(*kinds)))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
-    return base.select("doc_id", *counts, F.sha2(_spelt("base"), 256).alias("base_sha256"), _spelt("spans").alias("spans"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return base.select("doc_id", *map(count, kinds), F.sha2(_spelt("base"), 256).alias("base_sha256"), _spelt("spans").alias("spans"))
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
