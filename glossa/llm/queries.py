@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.llm import decontaminate as dc
+from glossa.llm import licenses as li
+from glossa.llm import pii
 from glossa.llm import quality as ql
 from glossa.llm import secrets as sc
 from glossa.llm.common import table
@@ -50,6 +52,31 @@ def _base_digest(df: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     return base.select("doc_id", *map(count, kinds), F.sha2(_spelt("base"), 256).alias("base_sha256"), _spelt("spans").alias("spans"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = li.scan_licenses(table(spark, sf_dir, "documents"))
+    base = F.transform("places", lambda p: p["label"])
+    both = F.concat(base, F.transform("finds", lambda f: f["label"]))
+    best = F.aggregate("finds", F.lit(0.0), lambda m, f: F.greatest(m, f["containment"]))
+
+    def spelt(labels: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(labels)), ",")
+
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("long").alias("n_base"),
+        F.array_min(F.transform("places", lambda p: p["word"])).alias("first_word"),
+        F.array_max(F.transform("places", lambda p: p["word"])).alias("last_word"),
+        spelt(base).alias("base_labels"),
+        spelt(both).alias("labels"),
+        F.when(F.size("places") > 0, 1.0).otherwise(best).alias("score"),
+    )
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _base_digest(pii.find_personal_data(table(spark, sf_dir, "documents")), pii.KINDS[:4])
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _base_digest(sc.find_secrets(table(spark, sf_dir, "documents")), sc.KINDS[:3])
 
@@ -58,6 +85,8 @@ def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
         "op3_quality_rules": op3_quality_rules,
+        "op6_license_scan": op6_license_scan,
+        "op8_personal_data": op8_personal_data,
         "op9_secret_scan": op9_secret_scan,
     }
 
