@@ -12,6 +12,7 @@ from glossa.llm import licenses as li
 from glossa.llm import pii
 from glossa.llm import quality as ql
 from glossa.llm import secrets as sc
+from glossa.llm import warc
 from glossa.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +74,11 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _base_digest(pii.find_personal_data(table(spark, sf_dir, "documents")), pii.KINDS[:4])
 
@@ -86,6 +92,7 @@ def queries() -> dict[str, Query]:
         "op1_decontamination": op1_decontamination,
         "op3_quality_rules": op3_quality_rules,
         "op6_license_scan": op6_license_scan,
+        "op7_warc_revisits": op7_warc_revisits,
         "op8_personal_data": op8_personal_data,
         "op9_secret_scan": op9_secret_scan,
     }
