@@ -12,6 +12,7 @@ from glossa.llm import licenses as li
 from glossa.llm import pii
 from glossa.llm import quality as ql
 from glossa.llm import secrets as sc
+from glossa.llm import simhash as sh
 from glossa.llm import warc
 from glossa.llm.common import table
 
@@ -53,6 +54,11 @@ def _base_digest(df: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     return base.select("doc_id", *map(count, kinds), F.sha2(_spelt("base"), 256).alias("base_sha256"), _spelt("spans").alias("spans"))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sh.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = li.scan_licenses(table(spark, sf_dir, "documents"))
     base = F.transform("places", lambda p: p["label"])
@@ -91,6 +97,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
         "op3_quality_rules": op3_quality_rules,
+        "op5_simhash": op5_simhash,
         "op6_license_scan": op6_license_scan,
         "op7_warc_revisits": op7_warc_revisits,
         "op8_personal_data": op8_personal_data,
