@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from glossa.llm import decontaminate as dc
 from glossa.llm import licenses as li
+from glossa.llm import maintext as mt
 from glossa.llm import pii
 from glossa.llm import quality as ql
 from glossa.llm import secrets as sc
@@ -34,6 +35,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = mt.extract(pages, mt.fit(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return ql.judge(docs, ql.fit(docs, table(spark, sf_dir, "labels")))
@@ -96,6 +103,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
+        "op2_main_text": op2_main_text,
         "op3_quality_rules": op3_quality_rules,
         "op5_simhash": op5_simhash,
         "op6_license_scan": op6_license_scan,
