@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from glossa.llm import decontaminate as dc
 from glossa.llm import licenses as li
+from glossa.llm import linededup as ld
 from glossa.llm import maintext as mt
 from glossa.llm import pii
 from glossa.llm import quality as ql
@@ -100,6 +101,11 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _base_digest(sc.find_secrets(table(spark, sf_dir, "documents")), sc.KINDS[:3])
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ld.dedup_lines(docs, counts=("n_lines", "n_removed"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
@@ -110,6 +116,7 @@ def queries() -> dict[str, Query]:
         "op7_warc_revisits": op7_warc_revisits,
         "op8_personal_data": op8_personal_data,
         "op9_secret_scan": op9_secret_scan,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 
