@@ -11,6 +11,7 @@ from glossa.llm import decontaminate as dc
 from glossa.llm import licenses as li
 from glossa.llm import linededup as ld
 from glossa.llm import maintext as mt
+from glossa.llm import pieces as pc
 from glossa.llm import pii
 from glossa.llm import quality as ql
 from glossa.llm import secrets as sc
@@ -62,6 +63,11 @@ def _base_digest(df: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     return base.select("doc_id", *map(count, kinds), F.sha2(_spelt("base"), 256).alias("base_sha256"), _spelt("spans").alias("spans"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pc.encode(table(spark, sf_dir, "documents"), pc.Pieces.load(), with_ids=False)
+    return found.select("doc_id", "n_pieces", "n_unknown", F.round(F.get("scores", F.lit(0)), 6).alias("score"), F.round(F.get("scores", F.lit(0)) - F.get("scores", F.lit(1)), 6).alias("margin"), "ids_sha256", "round_trip")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = sh.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id")
@@ -106,17 +112,25 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ld.dedup_lines(docs, counts=("n_lines", "n_removed"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_decontamination": op1_decontamination,
         "op2_main_text": op2_main_text,
         "op3_quality_rules": op3_quality_rules,
+        "op4_sentencepiece": op4_sentencepiece,
         "op5_simhash": op5_simhash,
         "op6_license_scan": op6_license_scan,
         "op7_warc_revisits": op7_warc_revisits,
         "op8_personal_data": op8_personal_data,
         "op9_secret_scan": op9_secret_scan,
         "op10_line_dedup": op10_line_dedup,
+        "pipeline": pipeline,
     }
 
 
