@@ -1,4 +1,9 @@
-"""Named queries over the driver's tables, each with its SQL where SQL can express it."""
+"""Named queries over the driver's tables, each with its SQL where SQL can express it.
+
+The tables stand in for a news corpus: ``documents`` for release documents (site language from
+``lang``, paragraphs from the text's lines, content type from the id), ``pages`` for scraped pages,
+``orders`` and ``events`` for dates and listings.
+"""
 
 from __future__ import annotations
 
@@ -7,17 +12,504 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from glossa.functions import dates, html, lid, segment, text
+from glossa.operators import filters, mutations, ordered, stats, versions
+
 Query = Callable[[SparkSession, str], DataFrame]
 
+QUERIES: dict[str, Query] = {}
+SQL: dict[str, str] = {}
+
+#: What the SQL sides share.
+DOCS_SQL = """WITH docs AS (SELECT doc_id, text, source, n_chars, CASE lang WHEN 'en' THEN 'eng' WHEN 'fr' THEN 'fra' WHEN 'de' THEN 'deu' WHEN 'es' THEN 'spa' ELSE lang END AS site_language,
+ list_filter(string_split(text, chr(10)), lambda p: trim(p) <> '') AS paragraphs,
+ CASE doc_id % 4 WHEN 0 THEN 'article' WHEN 1 THEN 'audio' WHEN 2 THEN 'photo' ELSE 'video' END AS content_type, md5(text) AS canonical_link FROM documents)
+"""
+PARAGRAPHS_SQL = DOCS_SQL + ", pars AS (SELECT doc_id, site_language, unnest(paragraphs) AS paragraph FROM docs)\n"
+SENTENCES_SQL = PARAGRAPHS_SQL + r", sents AS (SELECT doc_id, site_language, s FROM (SELECT doc_id, site_language, unnest(regexp_split_to_array(paragraph, '[.!?]+\s+')) AS s FROM pars) WHERE s <> '')" + "\n"
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def docs_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` as release documents."""
+    iso = F.when(F.col("lang") == "en", "eng").when(F.col("lang") == "fr", "fra").when(F.col("lang") == "de", "deu").when(F.col("lang") == "es", "spa").otherwise(F.col("lang"))
+    kinds = F.array(*map(F.lit, filters.CONTENT_TYPES))
+    return table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "text",
+        "source",
+        "n_chars",
+        iso.alias("site_language"),
+        F.filter(F.split("text", "\n"), lambda p: F.trim(p) != "").alias("paragraphs"),
+        F.get(kinds, (F.col("doc_id") % 4).cast("int")).alias("content_type"),
+        F.md5("text").alias("canonical_link"),
+    )
+
+
+def paragraphs_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return docs_view(spark, sf_dir).select("doc_id", "site_language", F.explode("paragraphs").alias("paragraph"))
+
+
+def sentences_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs_view(spark, sf_dir).select("doc_id", "site_language", F.explode(segment.plain_sentences(F.col("paragraph"))).alias("s"))
+
+
+def pages_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "pages").withColumn("iso", F.regexp_extract("url", r"https?://[^/]+/([a-z]+)/", 1))
+
+
+PAGES_SQL = "WITH p AS (SELECT *, regexp_extract(url, 'https?://[^/]+/([a-z]+)/', 1) AS iso FROM pages)\n"
+
+
+# --- counts and means -------------------------------------------------------------------------
+
+
+@query("SELECT lang, count(*) AS n_docs FROM documents GROUP BY lang")
+def docs_by_language(spark, sf_dir):
+    return stats.counted(table(spark, sf_dir, "documents"), "lang")
+
+
+@query(DOCS_SQL + "SELECT site_language AS language, count(*) AS n_docs, round(log10(count(*)), 6) AS log_n_docs FROM docs WHERE site_language <> 'bam' GROUP BY 1 HAVING count(*) >= 10")
+def docs_reported(spark, sf_dir):
+    docs = docs_view(spark, sf_dir).withColumnRenamed("site_language", "language")
+    return stats.reported(stats.counted(docs, "language"), "n_docs")
+
+
+@query(
+    DOCS_SQL
+    + """, t AS (SELECT site_language, count(*) FILTER (content_type = 'article') AS article, count(*) FILTER (content_type = 'audio') AS audio,
+ count(*) FILTER (content_type = 'photo') AS photo, count(*) FILTER (content_type = 'video') AS video FROM docs GROUP BY 1)
+SELECT * FROM t UNION ALL SELECT 'Total', sum(article)::BIGINT, sum(audio)::BIGINT, sum(photo)::BIGINT, sum(video)::BIGINT FROM t"""
+)
+def content_type_pivot(spark, sf_dir):
+    return stats.pivoted(docs_view(spark, sf_dir), "site_language", "content_type", list(filters.CONTENT_TYPES))
+
+
+@query(DOCS_SQL + "SELECT site_language, upper(content_type[1]) || lower(content_type[2:]) AS content_type, count(*) AS n, round(log10(count(*)), 6) AS log_n FROM docs GROUP BY 1, 2")
+def content_type_long(spark, sf_dir):
+    docs = docs_view(spark, sf_dir).withColumn("content_type", text.capitalize(F.col("content_type")))
+    wide = docs.groupBy("site_language").pivot("content_type", ["Article", "Audio", "Photo", "Video"]).count().fillna(0)
+    return stats.unpivoted(wide, "site_language", "content_type", "n").filter("n > 0")
+
+
+@query(PARAGRAPHS_SQL + "SELECT site_language, count(DISTINCT doc_id) AS n_docs, sum(length(paragraph))::BIGINT AS total_chars, round(sum(length(paragraph)) / count(DISTINCT doc_id), 6) AS mean_chars FROM pars GROUP BY 1")
+def char_counts(spark, sf_dir):
+    n = F.aggregate("paragraphs", F.lit(0).cast("long"), lambda a, p: a + F.length(p))
+    return stats.measured(docs_view(spark, sf_dir), "site_language", chars=n)
+
+
+@query(DOCS_SQL + "SELECT site_language, count(*) AS n_docs, sum(len(paragraphs))::BIGINT AS total_sentences, round(avg(len(paragraphs)), 6) AS mean_sentences FROM docs GROUP BY 1")
+def sentence_counts_by_list(spark, sf_dir):
+    """Counts that take each paragraph's list for a sentence, as the reports always have."""
+    return stats.measured(docs_view(spark, sf_dir), "site_language", sentences=F.size("paragraphs").cast("long"))
+
+
+@query(SENTENCES_SQL + "SELECT site_language, count(*) AS n_sentences FROM sents GROUP BY 1")
+def sentence_total(spark, sf_dir):
+    return stats.counted(sentences_view(spark, sf_dir), "site_language", name="n_sentences")
+
+
+@query(DOCS_SQL + r"SELECT site_language, count(*) AS n_docs, sum(len(list_filter(regexp_split_to_array(text, '\s+'), lambda t: t <> '')))::BIGINT AS total_tokens, round(avg(len(list_filter(regexp_split_to_array(text, '\s+'), lambda t: t <> ''))), 6) AS mean_tokens FROM docs GROUP BY 1")
+def token_counts(spark, sf_dir):
+    return stats.measured(docs_view(spark, sf_dir), "site_language", tokens=F.size(segment.plain_tokens(F.col("text"))).cast("long"))
+
+
+@query("SELECT year(o_orderdate)::INTEGER AS year, count(*) AS n_docs FROM orders WHERE o_orderstatus IN (SELECT o_orderstatus FROM orders GROUP BY 1 HAVING count(*) >= 10) GROUP BY 1")
+def articles_per_year(spark, sf_dir):
+    return stats.per_year(table(spark, sf_dir, "orders"), key="o_orderstatus", year=dates.year_of(F.col("o_orderdate")))
+
+
+@query(DOCS_SQL + r", r AS (SELECT site_language, CASE WHEN n > 0 THEN len(paragraphs) / n END AS rate FROM (SELECT *, len(list_filter(regexp_split_to_array(text, '[.!?]+\s+'), lambda s: s <> '')) AS n FROM docs) WHERE content_type = 'article')" + " SELECT site_language, round(sum(coalesce(rate, 0)) / count(*), 6) AS mean_rate, count(*) FILTER (rate < 1) AS n_segmented, count(*) FILTER (rate >= 1) AS n_unsegmented FROM r GROUP BY 1")
+def segmentation_rate(spark, sf_dir):
+    docs = docs_view(spark, sf_dir).filter("content_type = 'article'")
+    counted = docs.select("site_language", F.size("paragraphs").alias("n_paragraphs"), F.size(segment.plain_sentences(F.col("text"))).alias("n_sentences"))
+    return stats.segmentation(counted, "site_language", "n_paragraphs", "n_sentences")
+
+
+@query(SENTENCES_SQL + r", e AS (SELECT regexp_split_to_array(right(s, 5), '\s+')[-1] AS ending FROM sents) SELECT ending, count(*) AS n FROM e GROUP BY 1 ORDER BY n DESC, ending LIMIT 20")
+def sentence_endings_top(spark, sf_dir):
+    return stats.frequency(sentences_view(spark, sf_dir), stats.sentence_end(F.col("s")), "ending", 20)
+
+
+@query(SENTENCES_SQL + ", r AS (SELECT DISTINCT site_language, s, length(s) AS n FROM sents) SELECT site_language, s, n::INTEGER AS n, rank FROM (SELECT *, row_number() OVER (PARTITION BY site_language ORDER BY n DESC, s DESC)::INTEGER AS rank FROM r) WHERE rank <= 15")
+def longest_sentences(spark, sf_dir):
+    rows = sentences_view(spark, sf_dir).select("site_language", "s", F.length("s").alias("n")).distinct()
+    return stats.top(rows, [F.desc("n"), F.desc("s")], 15, ["site_language"])
+
+
+@query(SENTENCES_SQL + "SELECT n::INTEGER AS n_chars, count(*) AS n FROM (SELECT DISTINCT doc_id, length(s) AS n FROM sents) GROUP BY 1")
+def sentence_length_histogram(spark, sf_dir):
+    lengths = sentences_view(spark, sf_dir).select("doc_id", F.length("s").alias("n_chars")).distinct()
+    return stats.counted(lengths, "n_chars", name="n")
+
+
+@query(DOCS_SQL + r"SELECT site_language, count(DISTINCT t) AS n_types FROM (SELECT site_language, unnest(list_filter(regexp_split_to_array(text, '\s+'), lambda t: t <> '')) AS t FROM docs) GROUP BY 1")
+def vocabulary_size(spark, sf_dir):
+    tokens = docs_view(spark, sf_dir).select("site_language", F.explode(segment.plain_tokens(F.col("text"))).alias("t"))
+    return tokens.groupBy("site_language").agg(F.countDistinct("t").alias("n_types"))
+
+
+@query(SENTENCES_SQL + r"SELECT site_language, len(list_filter(regexp_split_to_array(s, '\s+'), lambda t: t <> ''))::INTEGER AS n_tokens, count(*) AS n FROM sents GROUP BY 1, 2")
+def sentence_tokens_histogram(spark, sf_dir):
+    rows = sentences_view(spark, sf_dir).select("site_language", F.size(segment.plain_tokens(F.col("s"))).alias("n_tokens"))
+    return stats.counted(rows, "site_language", "n_tokens", name="n")
+
+
+@query(PARAGRAPHS_SQL + "SELECT right(rtrim(paragraph), 1) AS last_char, count(*) AS n FROM pars WHERE rtrim(paragraph) <> '' GROUP BY 1")
+def paragraph_final_chars(spark, sf_dir):
+    rows = paragraphs_view(spark, sf_dir).select(stats.last_char(F.col("paragraph")).alias("last_char")).dropna()
+    return stats.counted(rows, "last_char", name="n")
+
+
+@query("SELECT coalesce(CASE WHEN value > 10 THEN event_type END, '') AS byline, count(*) AS n FROM events GROUP BY 1")
+def byline_counts(spark, sf_dir):
+    byline = F.coalesce(F.when(F.col("value") > 10, F.col("event_type")), F.lit(""))
+    return stats.frequency(table(spark, sf_dir, "events"), byline, "byline")
+
+
+@query("SELECT event_type, count(*) FILTER (value > 10 AND user_id % 2 = 0) AS latest_articles, count(*) FILTER (user_id % 2 = 0) AS latest, count(*) FILTER (value > 50) AS archived, count(*) AS raw FROM events GROUP BY 1")
+def status_counts(spark, sf_dir):
+    even = F.col("user_id") % 2 == 0
+    return stats.conditional_counts(table(spark, sf_dir, "events"), "event_type", latest_articles=even & (F.col("value") > 10), latest=even, archived=F.col("value") > 50, raw=F.lit(True))
+
+
+@query(DOCS_SQL + "SELECT site_language, count(*) AS n FROM (SELECT canonical_link, max(site_language) AS site_language, count(*) AS k, bool_or(source LIKE '%1') AS met FROM docs GROUP BY 1) WHERE k = 1 AND met GROUP BY 1")
+def lonely_canonicals(spark, sf_dir):
+    return stats.lonely(docs_view(spark, sf_dir), "canonical_link", F.col("source").endswith("1"), "site_language")
+
+
+@query("SELECT count(DISTINCT k) + max((k IS NULL)::INTEGER)::BIGINT AS n_links FROM (SELECT CASE WHEN doc_id % 10 <> 0 THEN md5(text) END AS k FROM documents)")
+def distinct_canonicals(spark, sf_dir):
+    rows = docs_view(spark, sf_dir).select(F.when(F.col("doc_id") % 10 != 0, F.col("canonical_link")).alias("k"))
+    return versions.distinct_with_null(rows, "k", "n_links")
+
+
+@query("SELECT min(o_orderdate) AS first_date, max(o_orderdate) AS last_date FROM orders")
+def date_range(spark, sf_dir):
+    return table(spark, sf_dir, "orders").agg(F.min("o_orderdate").alias("first_date"), F.max("o_orderdate").alias("last_date"))
+
+
+@query("SELECT CAST(ts AS DATE) AS date, string_agg(CAST(event_id AS VARCHAR), chr(9) ORDER BY CAST(event_id AS VARCHAR)) AS listed FROM events WHERE event_type = 'purchase' GROUP BY 1")
+def ids_by_date(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").filter("event_type = 'purchase'")
+    return stats.listed_by_date(rows, F.to_date("ts"), "event_id")
+
+
+@query("SELECT split_part(source || '_' || lang, '_', 1) AS iso, count(*) AS n_docs FROM documents GROUP BY 1")
+def files_per_section(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select(text.iso_of_section(F.concat_ws("_", "source", "lang")).alias("iso"))
+    return stats.counted(rows, "iso")
+
+
+@query("SELECT lang, token AS keyword, count(*) AS n FROM (SELECT lang, unnest(string_split(text, ' ')[1:3]) AS token FROM documents) GROUP BY 1, 2")
+def keyword_frequency(spark, sf_dir):
+    rows = table(spark, sf_dir, "documents").select("lang", F.explode(F.slice(F.split("text", " "), 1, 3)).alias("keyword"))
+    return stats.counted(rows, "lang", "keyword", name="n")
+
+
+@query("SELECT lang, sum(length(text) + 1)::BIGINT AS total_chars, round(avg(length(text) + 1), 6) AS mean_chars, count(*) AS n_docs FROM documents GROUP BY 1")
+def line_article_chars(spark, sf_dir):
+    """Articles one a line: the line's end counts."""
+    rows = table(spark, sf_dir, "documents").select("lang", (F.length("text") + 1).alias("n"))
+    return stats.measured(rows, "lang", chars=F.col("n")).select("lang", "total_chars", "mean_chars", "n_docs")
+
+
+# --- URLs, versions and inventories -----------------------------------------------------------
+
+
+@query(
+    DOCS_SQL
+    + ", v AS (SELECT doc_id, canonical_link, lead(doc_id) OVER (PARTITION BY site_language, canonical_link ORDER BY doc_id) AS a, lead(doc_id) OVER (PARTITION BY site_language, source ORDER BY doc_id) AS b FROM docs) SELECT doc_id, least(a, b) AS superseded_seq, least(a, b) IS NULL AS latest FROM v"
+)
+def latest_version(spark, sf_dir):
+    """Each document as a page: its source is the URL, so newer pages of a source supersede older ones."""
+    pages = docs_view(spark, sf_dir).withColumn("success", F.lit(True))
+    found = versions.with_superseded(pages, iso="site_language", url="source", canonical="canonical_link", seq="doc_id")
+    return found.select("doc_id", "superseded_seq", "latest")
+
+
+PARALLEL_SQL = (
+    DOCS_SQL
+    + """, i AS (SELECT doc_id, doc_id % 3 AS iso, canonical_link FROM docs),
+ s AS (SELECT *, (SELECT min(k.doc_id) FROM i k WHERE k.iso = i.iso AND k.canonical_link = i.canonical_link AND k.doc_id > i.doc_id) AS until FROM i)
+SELECT a.doc_id, (SELECT max(b.doc_id) FROM s b WHERE b.canonical_link = a.canonical_link AND b.iso <> a.iso AND b.doc_id < a.doc_id AND (b.until IS NULL OR b.until > a.doc_id)) AS parallel_id FROM s a"""
+)
+
+
+@query(PARALLEL_SQL)
+def parallel_link(spark, sf_dir):
+    pages = docs_view(spark, sf_dir).select("doc_id", (F.col("doc_id") % 3).alias("iso"), "canonical_link", F.col("doc_id").cast("string").alias("url"), F.lit(True).alias("success"))
+    found = versions.with_parallel(pages, seq="doc_id")
+    return found.select("doc_id", F.col("parallel_url").cast("bigint").alias("parallel_id"))
+
+
+@query(PAGES_SQL + "SELECT url, iso FROM p WHERE page_id % 5 <> 0 AND url NOT IN (SELECT url FROM p WHERE page_id % 3 <> 0) AND iso IN (SELECT iso FROM p WHERE page_id % 3 <> 0)")
+def url_added(spark, sf_dir):
+    p = pages_view(spark, sf_dir)
+    return versions.added(p.filter("page_id % 3 <> 0"), p.filter("page_id % 5 <> 0")).select("url", "iso")
+
+
+@query(PAGES_SQL + "SELECT url, iso FROM p WHERE page_id % 3 <> 0 AND url NOT IN (SELECT url FROM p WHERE page_id % 5 <> 0) AND iso IN (SELECT iso FROM p WHERE page_id % 5 <> 0)")
+def url_lost(spark, sf_dir):
+    p = pages_view(spark, sf_dir)
+    return versions.lost(p.filter("page_id % 3 <> 0"), p.filter("page_id % 5 <> 0")).select("url", "iso")
+
+
+@query(PAGES_SQL + "SELECT DISTINCT iso FROM p WHERE iso NOT IN (SELECT iso FROM p WHERE iso < 'es')")
+def new_languages(spark, sf_dir):
+    p = pages_view(spark, sf_dir)
+    return versions.new_languages(p.filter("iso < 'es'"), p)
+
+
+@query("SELECT split_part(url, '/', 3) AS host, count(*) AS n_urls, count(*) - count(DISTINCT regexp_replace(url, '[?#].*$', '')) AS n_duplicates FROM pages GROUP BY 1")
+def url_dup_counts(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select(F.get(F.split("url", "/"), F.lit(2)).alias("host"), F.regexp_replace("url", "[?#].*$", "").alias("u"))
+    return stats.url_counts(p, "host", "u")
+
+
+@query(PAGES_SQL + "SELECT iso, host, page_id FROM (SELECT iso, split_part(url, '/', 3) AS host, page_id, row_number() OVER (PARTITION BY iso, split_part(url, '/', 3) ORDER BY page_id) AS n FROM p) WHERE n = 1")
+def first_url(spark, sf_dir):
+    p = pages_view(spark, sf_dir).select("iso", F.get(F.split("url", "/"), F.lit(2)).alias("host"), "page_id")
+    return versions.first_per_key(p, ["iso", "host"], ["page_id"])
+
+
+@query(r"SELECT page_id, regexp_replace(replace(replace(replace(replace(translate(url, '?,=', '___'), 'https://www.', ''), 'http://www.', ''), 'https://', ''), '/', '_'), '\s+', '_', 'g') AS name FROM pages")
+def sanitize_url(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", text.sanitize_url(F.col("url")).alias("name"))
+
+
+@query(
+    """WITH u AS (SELECT page_id, string_split(replace(replace(replace(url, '.net/', '.com/'), '.gov/', '.com/'), '.org/', '.com/'), '.com/') AS x FROM pages)
+SELECT page_id, CASE WHEN len(x) = 2 THEN replace(replace(replace(replace(x[1], 'www.', ''), 'https://', ''), 'http://', ''), '.', '_') END AS domain, CASE WHEN len(x) = 2 THEN trim(replace(x[2], '/', '_'), '.html') END AS filename FROM u"""
+)
+def domain_filename(spark, sf_dir):
+    parts = table(spark, sf_dir, "pages").select("page_id", text.url_parts(F.col("url")).alias("u"))
+    return parts.select("page_id", "u.domain", "u.filename")
+
+
+@query("SELECT page_id, replace(url, '=', '=+') AS url FROM pages")
+def url_decode(spark, sf_dir):
+    coded = F.replace(F.replace(F.col("url"), F.lit("="), F.lit("%3D+")), F.lit("/"), F.lit("%2F"))
+    return table(spark, sf_dir, "pages").select("page_id", text.unquote(coded).alias("url"))
+
+
+@query("SELECT user_id, max(strftime(ts, '%Y%m%d%H%M%S')::BIGINT) AS snapshot, max(date_trunc('minute', ts)) AS taken FROM events GROUP BY 1")
+def latest_snapshot(spark, sf_dir):
+    listing = table(spark, sf_dir, "events").select("user_id", F.date_format("ts", "yyyyMMddHHmmss").cast("bigint").alias("snapshot"))
+    last = versions.latest_snapshots(listing.select(F.col("user_id").cast("string").alias("original_url"), "snapshot"))
+    return last.select(F.col("original_url").cast("bigint").alias("user_id"), "snapshot", dates.archive_time(F.col("snapshot")).cast("timestamp_ntz").alias("taken"))
+
+
+@query("SELECT e.event_id, coalesce(o.o_orderstatus, e.event_type) AS event_type FROM events e LEFT JOIN orders o ON e.event_id = o.o_orderkey")
+def lookup_refresh(spark, sf_dir):
+    lookup = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("event_id"), F.col("o_orderstatus").alias("event_type"))
+    return versions.refreshed(table(spark, sf_dir, "events").select("event_id", "event_type"), lookup, ["event_id"], "event_type")
+
+
+@query("SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 0)")
+def id_semi_join(spark, sf_dir):
+    ids = table(spark, sf_dir, "labels").filter("quality = 0").select("doc_id")
+    return versions.of_ids(table(spark, sf_dir, "documents").select("doc_id", "lang"), ids, "doc_id")
+
+
+# --- filters and routes -----------------------------------------------------------------------
+
+
+@query("WITH o AS (SELECT o_orderkey, nullif(o_orderdate, TIMESTAMP '1998-01-01 00:00:00') AS d FROM orders) SELECT o_orderkey, d FROM o WHERE d IS NULL OR (d >= TIMESTAMP '1996-03-01' AND d <= TIMESTAMP '1998-06-30')")
+def date_or_null_filter(spark, sf_dir):
+    d = F.nullif(F.col("o_orderdate"), F.lit("1998-01-01 00:00:00").cast("timestamp_ntz"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", d.alias("d"))
+    return rows.filter(dates.in_range_or_null(F.col("d"), "1996-03-01", "1998-06-30"))
+
+
+@query(DOCS_SQL + "SELECT doc_id, site_language FROM docs WHERE list_contains(string_split(text, ' '), 'the')")
+def keyword_search(spark, sf_dir):
+    docs = docs_view(spark, sf_dir).withColumn("keywords", F.split("text", " "))
+    return filters.with_keyword(docs, "the").select("doc_id", "site_language")
+
+
+@query(DOCS_SQL + "SELECT doc_id, content_type FROM docs WHERE content_type IN ('article', 'video') AND site_language NOT IN ('deu') AND source <> 'src3'")
+def section_filter(spark, sf_dir):
+    docs = filters.of_languages(filters.of_types(docs_view(spark, sf_dir), "article,video"), exclude=["deu"], column="site_language")
+    return docs.filter("source <> 'src3'").select("doc_id", "content_type")
+
+
+@query(DOCS_SQL + "SELECT doc_id, array_to_string(list_transform(paragraphs, lambda p: p || chr(10) || chr(10)), '') AS body FROM docs")
+def extract_paragraphs(spark, sf_dir):
+    return docs_view(spark, sf_dir).select("doc_id", text.rendered("paragraphs", F.col("paragraphs")).alias("body"))
+
+
+@query(DOCS_SQL + "SELECT doc_id, source || chr(10) || chr(10) || array_to_string(list_transform(paragraphs[1:2], lambda p: p || chr(10) || chr(10)), '') AS body FROM docs")
+def extract_capped(spark, sf_dir):
+    return docs_view(spark, sf_dir).select("doc_id", text.rendered("paragraphs", F.col("paragraphs"), title=F.col("source"), limit=2).alias("body"))
+
+
+@query(r"SELECT doc_id, len(list_filter(string_split(text, chr(10)), lambda p: trim(p) <> '' AND NOT regexp_matches(trim(p), '^(No media source|Embed|0:|share|Log in|Sign up|Avec AFP)'))) AS n_kept FROM documents")
+def boilerplate_filter(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.size(text.text_paragraphs(F.split("text", "\n"))).cast("long").alias("n_kept"))
+
+
+@query("SELECT doc_id FROM documents WHERE doc_id % 5 = 0 OR NOT (contains(text, 'AP') OR contains(text, 'Associated Press') OR contains(text, 'AFP') OR contains(text, 'Agence France-Presse') OR contains(text, 'Reuters'))")
+def byline_filter(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    size = F.when(F.col("doc_id") % 5 == 0, 0).otherwise(1)
+    return docs.filter(text.author_allowed(F.col("text"), F.array().cast("array<string>"), size)).select("doc_id")
+
+
+STOP_SQL = "len(list_filter(string_split(lower({t}), ' '), lambda w: w IN ({w})))"
+_counts = {iso: STOP_SQL.replace("{w}", ", ".join(f"'{w}'" for w in ws)) for iso, ws in lid.STOP_WORDS.items()}
+
+
+def _detected(column: str, source: str, keep: str) -> str:
+    """Per row the count and share of each language's stop words."""
+    inner = ", ".join(f"{sql.replace('{t}', column)} AS c_{iso}" for iso, sql in _counts.items())
+    total = " + ".join(f"c_{iso}" for iso in _counts)
+    shares = ", ".join(f"CASE WHEN {total} > 0 THEN c_{iso} / ({total}) ELSE 0 END AS p_{iso}" for iso in _counts)
+    return f", c AS (SELECT {keep}, {inner} FROM {source}), d AS (SELECT *, {shares} FROM c)"
+
+
+_many = " + ".join(f"(p_{iso} >= 0.9)::INTEGER" for iso in _counts)
+_found = " + ".join(f"(c_{iso} > 0)::INTEGER" for iso in _counts)
+_predicted = f"CASE WHEN {_found} = 0 THEN site_language WHEN site_language <> 'eng' AND {_found} = 1 AND c_eng > 0 THEN 'eng' WHEN {_found} <> 1 AND {_many} > 1 THEN 'mul' ELSE site_language END"
+
+
+@query(DOCS_SQL + _detected("text", "docs", "doc_id, site_language") + f" SELECT doc_id, {_predicted} AS predicted FROM d")
+def predict_language(spark, sf_dir):
+    docs = docs_view(spark, sf_dir).withColumn("p", lid.detect(F.col("text")))
+    return docs.select("doc_id", lid.predicted_language(F.col("site_language"), F.col("p")).alias("predicted"))
+
+
+_single = "CASE WHEN " + " + ".join(f"(p_{iso} > 0.9)::INTEGER" for iso in _counts) + " = 1 THEN CASE " + " ".join(f"WHEN p_{iso} > 0.9 THEN '{iso}'" for iso in _counts) + " END END"
+
+
+@query(
+    DOCS_SQL
+    + _detected("text", "docs", "doc_id, site_language, content_type, n_chars")
+    + f", r AS (SELECT *, {_predicted} AS predicted, {_single} AS single, 1996 + doc_id % 10 AS y FROM d)"
+    + " SELECT doc_id, CASE WHEN y < 2000 THEN 'publication_date_too_early' WHEN (predicted = 'eng' AND site_language <> 'eng') OR predicted = 'mul' OR (site_language = 'eng' AND coalesce(single, '') <> 'eng') THEN 'lang_id_filtered' WHEN n_chars > 20 THEN content_type ELSE 'empty_output' END AS route FROM r"
+)
+def doc_route(spark, sf_dir):
+    docs = docs_view(spark, sf_dir).withColumn("p", lid.detect(F.col("text")))
+    iso = F.col("site_language")
+    published = F.concat((F.lit(1996) + F.col("doc_id") % 10).cast("string"), F.lit("-05-01"))
+    where = filters.route(published, lid.predicted_language(iso, F.col("p")), iso, lid.confident_single(F.col("p")), filters.long_enough(None, F.col("n_chars")), F.col("content_type"))
+    return docs.select("doc_id", where.alias("route"))
+
+
+@query(PARAGRAPHS_SQL + _detected("paragraph", "pars", "doc_id, site_language") + f" SELECT doc_id, count(*) FILTER (NOT coalesce(site_language <> 'eng' AND c_eng > 0 AND ((p_eng > 0.7 AND p_eng > 0.25) OR {_found} = 1), false)) AS n_kept, count(*) FILTER (site_language <> 'eng' AND c_eng > 0 AND ((p_eng > 0.7 AND p_eng > 0.25) OR {_found} = 1)) AS n_removed FROM d GROUP BY 1")
+def english_paragraph_filter(spark, sf_dir):
+    docs = filters.without_english(docs_view(spark, sf_dir))
+    return docs.filter(F.size("paragraphs") + F.size("removed") > 0).select("doc_id", F.size("paragraphs").cast("long").alias("n_kept"), F.size("removed").cast("long").alias("n_removed"))
+
+
+@query(DOCS_SQL + _detected("text", "docs", "doc_id, site_language") + ", b AS (SELECT site_language, CASE greatest(c_deu, c_eng, c_fra, c_spa) WHEN 0 THEN NULL WHEN c_deu THEN 'deu' WHEN c_eng THEN 'eng' WHEN c_fra THEN 'fra' ELSE 'spa' END AS l FROM d) SELECT site_language, l AS detected, count(*) AS n FROM b WHERE l IS NOT NULL GROUP BY 1, 2")
+def lid_argmax(spark, sf_dir):
+    docs = docs_view(spark, sf_dir).select("site_language", lid.top_language(lid.detect(F.col("text"))).alias("detected")).dropna()
+    return stats.counted(docs, "site_language", "detected", name="n")
+
+
+@query(DOCS_SQL + ", r AS (SELECT count(*) FILTER (len(paragraphs) < 2) AS paragraphs_two, count(*) FILTER (n_chars <= 100) AS chars_hundred, count(*) FILTER (text IS NULL) AS text_present FROM docs) SELECT 'paragraphs_two' AS rule, paragraphs_two AS n_broken FROM r UNION ALL SELECT 'chars_hundred', chars_hundred FROM r UNION ALL SELECT 'text_present', text_present FROM r")
+def schema_violations(spark, sf_dir):
+    rules = {"paragraphs_two": F.size("paragraphs") >= 2, "chars_hundred": F.col("n_chars") > 100, "text_present": F.col("text").isNotNull()}
+    return filters.violations(docs_view(spark, sf_dir), rules)
+
+
+@query("SELECT doc_id, CASE WHEN lang = 'en' THEN 'English' ELSE lang END AS language, source AS site FROM documents WHERE lang <> 'es'")
+def field_updates(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("language", F.col("lang"))
+    docs = mutations.set_where(mutations.without_languages(docs, ["es"], "lang"), F.col("lang") == "en", language="English")
+    return mutations.renamed(docs, "source", "site").select("doc_id", "language", "site")
+
+
+@query("SELECT lang, doc_id FROM (SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY doc_id) AS n FROM documents) WHERE n <= 5")
+def capped_per_language(spark, sf_dir):
+    return versions.capped_per_key(table(spark, sf_dir, "documents").select("lang", "doc_id"), ["lang"], ["doc_id"], 5)
+
+
+@query()
+def stratified_sample(spark, sf_dir):
+    """A sampling operator: its rows depend on Spark's hash."""
+    return versions.sampled_per_key(table(spark, sf_dir, "documents").select("source", "doc_id"), ["source"], "doc_id", 5)
+
+
+# --- ordered rows, JSON, HTML and segmentation ------------------------------------------------
+
+
+@query("SELECT n_nationkey, last_value(CASE WHEN n_nationkey % 4 = 0 THEN n_name END IGNORE NULLS) OVER (ORDER BY n_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS region FROM nation")
+def region_fill_down(spark, sf_dir):
+    rows = table(spark, sf_dir, "nation").select("n_nationkey", F.when(F.col("n_nationkey") % 4 == 0, F.col("n_name")).otherwise("").alias("region"))
+    return ordered.filled_down(rows, "region", "n_nationkey")
+
+
+@query("SELECT conv_id, count(*) AS n_turns, string_agg(role, ' ' ORDER BY turn) AS sentence FROM conversations GROUP BY 1")
+def conversation_sentences(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    found = ordered.grouped_sentences(rows, file="conv_id", order="turn", value="role", boundary=F.lit(False))
+    sizes = stats.counted(rows, "conv_id", name="n_turns")
+    return found.join(sizes, "conv_id").select("conv_id", "n_turns", "sentence")
+
+
+@query("SELECT event_type, sum(CAST(json_extract_string(props, '$.k') AS BIGINT))::BIGINT AS total_k FROM events GROUP BY 1")
+def json_props(spark, sf_dir):
+    k = F.from_json("props", "k BIGINT")["k"]
+    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.sum(k).alias("total_k"))
+
+
+@query("SELECT event_id, '{\"k\":' || json_extract_string(props, '$.k') || '}' AS utag FROM events")
+def utag_lenient(spark, sf_dir):
+    page = F.concat(F.lit("<script>var utag_data = {k: "), F.get_json_object("props", "$.k"), F.lit(",} ;</script>"))
+    return table(spark, sf_dir, "events").select("event_id", F.to_json(text.utag_map(page)).alias("utag_")).select("event_id", F.replace(F.col("utag_"), F.lit('"k":"'), F.lit('"k":')).alias("u")).select("event_id", F.replace(F.col("u"), F.lit('"}'), F.lit("}")).alias("utag"))
+
+
+@query("SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS title FROM pages")
+def html_title(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", text.title_of(F.col("html")).alias("title"))
+
+
+@query()
+def html_paragraphs(spark, sf_dir):
+    """Tested against hand-made pages."""
+    found = html.with_paragraphs(table(spark, sf_dir, "pages"))
+    return found.select("page_id", F.size("paragraphs").cast("long").alias("n_paragraphs"), F.md5(F.array_join("paragraphs", "\n")).alias("paragraphs_md5"))
+
+
+@query()
+def html_metadata(spark, sf_dir):
+    found = html.with_metadata(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "meta.title", "meta.canonical_link", "meta.has_ptags")
+
+
+@query()
+def segment_roman(spark, sf_dir):
+    """Tested against hand-made texts."""
+    docs = docs_view(spark, sf_dir).select("doc_id", F.lit("som").alias("site_language"), "paragraphs")
+    found = segment.with_sentences(docs, tokens=True)
+    return found.select("doc_id", F.size(F.flatten("sentences")).cast("long").alias("n_sentences"), F.size(F.flatten(F.flatten("tokens"))).cast("long").alias("n_tokens"))
+
+
+@query("SELECT time_bucket(INTERVAL '1 hour', ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def windowed_events(spark, sf_dir):
+    from glossa.streaming.ingest import windowed_counts
 
-def docs_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"))
+    return windowed_counts(table(spark, sf_dir, "events"))
 
 
 def queries() -> dict[str, Query]:
-    return {"docs_by_language": docs_by_language}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"docs_by_language": "SELECT lang, count(*) AS n_docs FROM documents GROUP BY lang"}
+    return dict(SQL)
