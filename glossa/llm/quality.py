@@ -176,7 +176,7 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     found = joined.mapInArrow(run, f"features array<double>, quality int, id {docs.schema[doc_id].dataType.simpleString()}")
     rows = [r.row for r in found.groupBy("id").agg(F.min(F.struct("features", "quality")).alias("row")).collect()]
     rows.sort(key=lambda r: (r.features, r.quality))  # the fit doesn't hang on the order of tasks
-    return Judge(np.array([r.features for r in rows], dtype=float).reshape(len(rows), -1), np.array([r.quality == 1 for r in rows], dtype=bool), max_loss)
+    return Judge(np.array([r.features for r in rows], dtype=float), np.array([r.quality == 1 for r in rows], dtype=bool), max_loss)
 
 
 def judge(docs: DataFrame, judged: Judge, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

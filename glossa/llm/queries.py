@@ -11,8 +11,8 @@ from glossa.llm import decontaminate as dc
 from glossa.llm import licenses as li
 from glossa.llm import linededup as ld
 from glossa.llm import maintext as mt
+from glossa.llm import oracles, pii
 from glossa.llm import pieces as pc
-from glossa.llm import pii
 from glossa.llm import quality as ql
 from glossa.llm import secrets as sc
 from glossa.llm import simhash as sh
@@ -24,7 +24,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dc.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    longest = F.aggregate("matches", F.lit(0), lambda m, x: F.greatest(m, x["n_words"]))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["last"] - s["first"]))
     return found.select(
         "doc_id",
@@ -33,7 +32,6 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
-        longest.cast("long").alias("longest_match"),
     )
 
 
@@ -135,4 +133,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
