@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from glossa.functions.text import let
+
 #: Thresholds of the rules.
 MULTIPLE = (0.9, 0.05)
 STORED = (0.05, 0.005)
@@ -30,22 +32,25 @@ DETECTOR_CODES = {
 }
 
 
-def stop_word_counts(text: Column, words: dict[str, tuple[str, ...]] = STOP_WORDS) -> dict[str, Column]:
-    """How many of the text's blank-separated words are stop words of each language."""
-    tokens = F.split(F.lower(text), " ")
-    return {iso: _count(tokens, ws) for iso, ws in words.items()}
+def stop_word_counts(text: Column, words: dict[str, tuple[str, ...]] = STOP_WORDS) -> Column:
+    """struct of how many of the text's blank-separated words are stop words of each language."""
 
+    def count(tokens: Column, of: tuple[str, ...]) -> Column:
+        return F.size(F.filter(tokens, lambda t: t.isin(*of)))
 
-def _count(tokens: Column, words: tuple[str, ...]) -> Column:
-    return F.size(F.filter(tokens, lambda t: t.isin(*words)))
+    return let(F.split(F.lower(text), " "), lambda tokens: F.struct(*[count(tokens, ws).alias(iso) for iso, ws in words.items()]))
 
 
 def detect(text: Column, words: dict[str, tuple[str, ...]] = STOP_WORDS) -> Column:
     """Predictions by shares of stop words; languages without any are left out."""
-    counts = stop_word_counts(text, words)
-    total = sum(counts.values(), F.lit(0))
-    entries = F.array(*[F.struct(F.lit(iso).alias("key"), F.struct(F.try_divide(n, total).alias("probability"), F.try_divide(n, total).alias("proportion")).alias("value")) for iso, n in counts.items()])
-    return F.map_from_entries(F.filter(entries, lambda e: F.coalesce(e["value"]["probability"] > 0, F.lit(False))))
+
+    def shares(c: Column) -> Column:
+        total = sum((c[iso] for iso in words), F.lit(0))
+        entries = [F.struct(F.lit(iso).alias("key"), F.try_divide(c[iso], total).alias("share")) for iso in words]
+        found = F.filter(F.array(*entries), lambda e: F.coalesce(e["share"] > 0, F.lit(False)))
+        return F.map_from_entries(F.transform(found, lambda e: F.struct(e["key"].alias("key"), F.struct(e["share"].alias("probability"), e["share"].alias("proportion")).alias("value"))))
+
+    return let(stop_word_counts(text, words), shares)
 
 
 def confident(predictions: Column, probability: float, proportion: float) -> Column:
@@ -61,10 +66,14 @@ def confident_single(predictions: Column) -> Column:
 
 def predicted_language(iso: Column, predictions: Column) -> Column:
     """The site's language, unless predictions say English alone, or several languages for sure."""
-    n = F.coalesce(F.size(predictions), F.lit(0))
-    only_english = (iso != "eng") & (n == 1) & F.map_contains_key(predictions, "eng")
-    several = (n != 1) & (F.size(confident(predictions, *MULTIPLE)) > 1)
-    return F.when(n <= 0, iso).when(only_english, "eng").when(several, "mul").otherwise(iso)
+
+    def predicted(found: Column) -> Column:
+        n = F.coalesce(F.size(found), F.lit(0))
+        only_english = (iso != "eng") & (n == 1) & F.map_contains_key(found, "eng")
+        several = (n != 1) & (F.size(confident(found, *MULTIPLE)) > 1)
+        return F.when(n <= 0, iso).when(only_english, "eng").when(several, "mul").otherwise(iso)
+
+    return let(predictions, predicted)
 
 
 def stored_predictions(predicted: Column, predictions: Column) -> Column:

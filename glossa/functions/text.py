@@ -7,6 +7,7 @@ Spark's (Unicode white space, character-set strips, percent decoding, capitalisa
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,6 +58,14 @@ def with_field(schema: StructType, ddl: str) -> StructType:
     return StructType([*schema.fields, *StructType.fromDDL(ddl).fields])
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, however often it is used.
+
+    The optimiser copies a column's expression to each of its uses; a lambda's variable it can't.
+    """
+    return F.get(F.transform(F.array(value), lambda v: use(v)), F.lit(0))
+
+
 def literal(text: str) -> str:
     """A pattern that matches the text."""
     return re.sub(r"([\\.^$|?*+()\[\]{}])", r"\\\1", text)

@@ -40,10 +40,13 @@ def without_english(docs: DataFrame, *, paragraphs: str = "paragraphs", iso: str
         eng = F.try_element_at(x["predictions"], F.lit("eng"))
         return F.struct(x["par_num"].alias("par_num"), eng["probability"].alias("probability"), eng["proportion"].alias("proportion"), x["paragraph"].alias("paragraph"))
 
-    marked = docs.withColumn("_judged", judged)
-    removed = F.transform(F.filter("_judged", english), row)
-    kept = F.transform(F.filter("_judged", lambda x: ~english(x)), lambda x: x["paragraph"])
-    return marked.withColumn("removed", removed).withColumn(paragraphs, kept).drop("_judged")
+    def parted(found: Column) -> Column:
+        kept = F.transform(F.filter(found, lambda x: ~english(x)), lambda x: x["paragraph"])
+        return F.struct(kept.alias("kept"), F.transform(F.filter(found, english), row).alias("removed"))
+
+    # a generator of one row: the parts below are taken from it, not computed again
+    both = docs.select("*", F.explode_outer(F.array(text.let(judged, parted))).alias("_parted"))
+    return both.withColumn("removed", F.col("_parted.removed")).withColumn(paragraphs, F.col("_parted.kept")).drop("_parted")
 
 
 def long_enough(tokens: Column | None, n_chars: Column, *, least_tokens: int = 10, least_chars: int = 20) -> Column:
@@ -59,7 +62,8 @@ def long_enough(tokens: Column | None, n_chars: Column, *, least_tokens: int = 1
 
 def route(published: Column, predicted: Column, iso: Column, single: Column, keep: Column, content_type: Column) -> Column:
     """Where a document goes; the first rule that holds counts."""
-    doubtful = ((predicted == "eng") & (iso != "eng")) | (predicted == "mul") | ((iso == "eng") & ~single.eqNullSafe(F.lit("eng")))
+    foreign = text.let(predicted, lambda p: ((p == "eng") & (iso != "eng")) | (p == "mul"))
+    doubtful = foreign | ((iso == "eng") & ~single.eqNullSafe(F.lit("eng")))
     return F.when(dates.year_of(published) < 2000, "publication_date_too_early").when(doubtful, "lang_id_filtered").when(keep, F.coalesce(content_type, F.lit("other"))).otherwise("empty_output")
 
 

@@ -402,7 +402,7 @@ _single = "CASE WHEN " + " + ".join(f"(p_{iso} > 0.9)::INTEGER" for iso in _coun
     + " SELECT doc_id, CASE WHEN y < 2000 THEN 'publication_date_too_early' WHEN (predicted = 'eng' AND site_language <> 'eng') OR predicted = 'mul' OR (site_language = 'eng' AND coalesce(single, '') <> 'eng') THEN 'lang_id_filtered' WHEN n_chars > 20 THEN content_type ELSE 'empty_output' END AS route FROM r"
 )
 def doc_route(spark, sf_dir):
-    docs = docs_view(spark, sf_dir).withColumn("p", lid.detect(F.col("text")))
+    docs = docs_view(spark, sf_dir).select("*", F.explode(F.array(lid.detect(F.col("text")))).alias("p"))
     iso = F.col("site_language")
     published = F.concat((F.lit(1996) + F.col("doc_id") % 10).cast("string"), F.lit("-05-01"))
     where = filters.route(published, lid.predicted_language(iso, F.col("p")), iso, lid.confident_single(F.col("p")), filters.long_enough(None, F.col("n_chars")), F.col("content_type"))
