@@ -1,5 +1,7 @@
 """SQL that gives the same rows as the queries of this subpackage, where SQL can express them."""
 
+from glossa.llm.licenses import BLOCK, PHRASES, TEMPLATES, THRESHOLD
+
 SQL: dict[str, str] = {
     "op1_decontamination": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -18,8 +20,8 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 A
     "op10_line_dedup": r"""
 WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS no FROM documents),
 firsts AS (SELECT line, min(doc_id * 2147483648 + no) AS first FROM l GROUP BY 1),
-s AS (SELECT row_number() OVER () AS id, line, first, list_distinct(string_split(line, ' ')) AS ts FROM firsts),
-big AS (SELECT *, len(ts) AS n FROM s WHERE len(ts) >= 5),
+s AS (SELECT row_number() OVER () AS id, line, first, list_distinct(list_transform(range(1, len(string_split(line, ' ')) - 3), lambda k: array_to_string(string_split(line, ' ')[k:k + 4], ' '))) AS ts FROM firsts),
+big AS (SELECT *, len(ts) AS n FROM s WHERE len(ts) >= 1),
 t AS (SELECT id, n, unnest(ts) AS token FROM big),
 f AS (SELECT token, count(*) AS m FROM t GROUP BY 1),
 o AS (SELECT id, n, token, row_number() OVER (PARTITION BY id ORDER BY m, token) AS pos FROM t JOIN f USING (token)),
@@ -32,3 +34,30 @@ kept AS (SELECT l.doc_id, l.no, l.line, m.line IS NOT NULL AND (m.dup OR m.first
 r AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone) AS text, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed FROM kept GROUP BY 1)
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(r.text, '') END AS text, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed FROM documents d LEFT JOIN r USING (doc_id)""",
 }
+
+
+def _license_sql() -> str:
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = r"regexp_extract_all(" + lower + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    rows = ", ".join(f"('{label}', '{text}')" for label, text in TEMPLATES)
+    hits = " UNION ALL ".join(f"SELECT doc_id, k - 1 AS word, '{label}' AS label FROM p WHERE array_to_string(ws[k:k + {len(phrase.split()) - 1}], ' ') = '{phrase}'" for phrase, label in PHRASES.items())
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+l AS (SELECT doc_id, {words.format("line")} AS ws FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)),
+b AS (SELECT doc_id, list_distinct(ws[k + 1:k + {BLOCK}]) AS block FROM (SELECT doc_id, ws, unnest(range(0, greatest(1, len(ws) - {BLOCK // 2}), {BLOCK // 2})) AS k FROM l WHERE len(ws) > 0)),
+t AS (SELECT label, list_distinct({words.format("body")}) AS ts FROM (VALUES {rows}) v(label, body)),
+f AS (SELECT doc_id, label, max(len(list_intersect(block, ts)) / len(ts)) AS share FROM b JOIN t ON len(list_intersect(block, ts)) >= ceil({THRESHOLD} * len(ts) - 1e-9) GROUP BY 1, 2),
+w AS (SELECT doc_id, {words.format("text")} AS ws FROM d),
+p AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS k FROM w),
+h AS ({hits}),
+base AS (SELECT doc_id, count(*) AS n_base, min(word) AS first_word, max(word) AS last_word FROM h GROUP BY 1),
+both_ AS (SELECT DISTINCT doc_id, label FROM (SELECT doc_id, label FROM h UNION ALL SELECT doc_id, label FROM f)),
+listed AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM both_ GROUP BY 1),
+named AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS base_labels FROM (SELECT DISTINCT doc_id, label FROM h) GROUP BY 1),
+best AS (SELECT doc_id, max(share) AS share FROM f GROUP BY 1)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+ CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0)::DOUBLE END AS score
+FROM w LEFT JOIN base USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN named USING (doc_id) LEFT JOIN best USING (doc_id)"""
+
+
+SQL["op6_license_scan"] = _license_sql()
