@@ -7,15 +7,20 @@ import pytest
 from glossa.llm.linededup import dedup_lines
 
 
-def brute(rows, similarity=0.8, min_tokens=5):
+def tokens_of(line, words=5):
+    w = line.split(" ")
+    return frozenset(zip(*(w[k:] for k in range(words)), strict=False))
+
+
+def brute(rows, similarity=0.8):
     """Texts after dedup: every line is held against every earlier one."""
     kept, seen = {}, []
     order = sorted({(d is not None, d, t) for d, t in rows if t is not None}, key=lambda r: (r[0], r[1] or 0))
     for _, doc, text in order:
         out = []
         for line in text.split("\n"):
-            tokens = frozenset(line.split(" "))
-            if len(tokens) >= min_tokens:
+            tokens = tokens_of(line)
+            if tokens:
                 dup = any(len(tokens & s) >= similarity * len(tokens | s) - 1e-9 for s in seen)
                 seen.append(tokens)
                 if dup:
@@ -28,7 +33,7 @@ def brute(rows, similarity=0.8, min_tokens=5):
 def corpus(seed, n=60):
     rng = random.Random(seed)
     words = [f"w{k}" for k in range(40)] + ["é", "a", ""]
-    base = [[rng.choice(words) for _ in range(rng.randint(0, 14))] for _ in range(25)]
+    base = [[rng.choice(words) for _ in range(rng.randint(0, 40))] for _ in range(25)]
     rows = []
     for doc in range(n):
         lines = []
@@ -50,8 +55,8 @@ def test_equals_brute_force(spark, seed, hot):
 
 
 def test_near_copies_settle_on_representatives(spark):
-    base = [f"t{k}" for k in range(30)]
-    rows = [(d, " ".join([*base[:28], f"x{d}", f"y{d}"])) for d in range(40)]
+    base = [f"t{k}" for k in range(40)]
+    rows = [(d, " ".join([*base, f"x{d}", f"y{d}"])) for d in range(40)]
     got = {r.doc_id: r.text for r in dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), hot=5).collect()}
     assert got == {d: t if d == 0 else "" for d, t in rows}
 
