@@ -66,16 +66,18 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """(id, print) of every row, the print as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, version: bool = False) -> DataFrame:
+    """(id, print) of every row, the print as a signed 64-bit number; with ``version`` also the text's hash."""
     kind = docs.schema[doc_id].dataType.simpleString()
+    body = docs[text].cast("string")
+    more = [F.xxhash64(body).alias("version")] if version else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             prints = [_signed(fingerprint(x, shingle)) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64())], names=["id", "print"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64()), *batch.columns[2:]], names=["id", "print", *["version"] * version])
 
-    return docs.select(docs[doc_id].alias("id"), docs[text].cast("string").alias("text")).mapInArrow(run, f"id {kind}, print bigint")
+    return docs.select(docs[doc_id].alias("id"), body.alias("text"), *more).mapInArrow(run, f"id {kind}, print bigint" + ", version bigint" * version)
 
 
 def _flips(mask: int) -> Column:
@@ -99,26 +101,32 @@ def close_links(prints: DataFrame) -> DataFrame:
     return stars.filter(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= MAX_BITS).distinct()
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """Per document: id, print and component_id, the smallest id that links lead to."""
-    prints = cut(fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle))
+def _labelled(prints: DataFrame) -> DataFrame:
+    """The rows of ``prints`` (id, print and what else they have), with root, the component's print, and component_id."""
     nodes = cut(prints.groupBy("print").agg(F.min("id").alias("least")))
     roots = components(close_links(nodes.select("print")))
     named = cut(nodes.join(roots, F.col("print") == F.col("node")).select("print", "least", "root"))
     whole = cut(named.groupBy(F.col("root").alias("top")).agg(F.min("least").alias("whole")))
-    joined = cut(named.join(whole, F.col("root") == F.col("top")).select(F.col("print").alias("p"), "whole"))
-    labels = cut(nodes.join(joined, F.col("print") == F.col("p"), "left").select(F.col("print").alias("fp"), F.coalesce("whole", "least").alias("component_id")))
-    found = prints.join(labels, F.col("print") == F.col("fp"))
+    joined = cut(named.join(whole, F.col("root") == F.col("top")).select(F.col("print").alias("p"), "whole", "top"))
+    labels = cut(nodes.join(joined, F.col("print") == F.col("p"), "left").select(F.col("print").alias("fp"), F.coalesce("top", "print").alias("root"), F.coalesce("whole", "least").alias("component_id")))
+    return prints.join(labels, F.col("print") == F.col("fp")).drop("fp")
+
+
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
+    """Per document: id, print and component_id, the smallest id that links lead to."""
+    found = _labelled(cut(fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle)))
     return found.select(F.col("id").alias(doc_id), "print", "component_id")
 
 
 def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
-    """The documents, all columns as they are, with one of each component: the one with the smallest id.
+    """The documents, all columns as they are, with one of each component: the one with the smallest id, null last, then the least text hash.
 
-    Where rows repeat that id, one of them stays.  Rows with a null id stay if all their component's ids are null (one of them).
+    Where rows repeat that id and text, one of them stays.
     """
-    found = near_duplicates(docs, doc_id=doc_id, text=text, shingle=shingle)
-    stay = cut(found.filter(F.col(doc_id).eqNullSafe(F.col("component_id"))).select(F.col(doc_id).alias("__stays__")).distinct())
-    kept = docs.join(stay, docs[doc_id].eqNullSafe(stay["__stays__"]), "left_semi")
-    once = W.partitionBy(doc_id).orderBy(doc_id)
+    found = _labelled(cut(fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle, version=True)))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "version")).alias("first")
+    stay = cut(found.groupBy("root").agg(first).select(F.col("first.id").alias("__stays__"), F.col("first.version").alias("__version__")))
+    version = F.xxhash64(docs[text].cast("string"))
+    kept = docs.join(stay, docs[doc_id].eqNullSafe(stay["__stays__"]) & (version == stay["__version__"]), "left_semi")
+    once = W.partitionBy(F.col(doc_id), F.xxhash64(F.col(text).cast("string"))).orderBy(doc_id)
     return kept.withColumn("__row__", F.row_number().over(once)).filter("__row__ = 1").drop("__row__").select(*docs.columns)

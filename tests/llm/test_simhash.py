@@ -77,3 +77,10 @@ def test_weird_rows(spark, weird):
     assert left.columns == weird.columns
     assert sorted(r.doc_id or 0 for r in left.select(F.col("doc_id")).collect()) == [0, 1, 4, 5, 6, 7]
     assert sh.near_duplicates(weird.limit(0)).count() == 0
+
+
+def test_one_of_each_component_stays_whatever_the_ids(spark):
+    say = lambda seed: " ".join(random.Random(seed).choices([f"w{k}" for k in range(500)], k=60))
+    rows = [(None, say(1)), (None, say(2)), (None, say(2)), (7, say(3)), (7, say(4)), (None, say(4)), (8, say(5)), (8, say(5)), (9, say(5))]
+    left = sh.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == sorted([(0, say(1)), (0, say(2)), (7, say(3)), (7, say(4)), (8, say(5))])
