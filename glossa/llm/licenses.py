@@ -1,8 +1,9 @@
 """Licence scans: fixed phrases, and an exact containment join of text blocks with licence templates.
 
 The templates are a stated query set; every block of every text is held against them.  A block is
-a run of at most ``BLOCK`` words of one line, and successive blocks overlap by half, so every
-passage of up to half a block lies whole in one of them.  A template T is found in a block B if
+a run of at most ``BLOCK`` words, over the whole text across line ends and also from the start of
+each line of its own; successive blocks overlap by half, so every passage of up to half a block
+lies whole in one of them, however it is wrapped.  A template T is found in a block B if
 |T and B| >= threshold * |T| over distinct words.
 
 The join is exact and works by filters.  Template words are ordered by their frequency in the
@@ -91,14 +92,17 @@ class Templates:
 
 
 def blocks(text: str, size: int = BLOCK) -> Iterator[tuple[int, list[bytes]]]:
-    """(number of the first word, words) of each block."""
-    at = 0
-    for line in text.split("\n"):
-        words = alnum_words(line)
-        for k in range(0, max(1, len(words) - size // 2), size // 2):
-            if words:
-                yield at + k, words[k : k + size]
+    """(number of the first word, words) of each block: of each line, then of the whole text if it has several lines."""
+    lines = [words for line in text.split("\n") if (words := alnum_words(line))]
+    runs, at = [], 0
+    for words in lines:
+        runs.append((at, words))
         at += len(words)
+    if len(lines) > 1:
+        runs.append((0, alnum_words(text)))
+    for at, words in runs:
+        for k in range(0, max(1, len(words) - size // 2), size // 2):
+            yield at + k, words[k : k + size]
 
 
 def phrase_places(words: list[bytes], phrases: dict[str, str]) -> list[tuple[int, str]]:

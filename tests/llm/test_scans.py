@@ -62,6 +62,15 @@ def test_license_query_and_weird_rows(spark, sf_dir, weird):
     assert li.scan_licenses(weird).count() == 9 and li.scan_licenses(weird.limit(0)).count() == 0
 
 
+def test_wrapped_notices_are_found(spark):
+    texts = []
+    for _, template in li.TEMPLATES:
+        words = template.split()
+        texts.append("some code before\n" + "\n".join(" * " + " ".join(words[k : k + 4]) for k in range(0, len(words), 4)) + "\nand after")
+    got = {r.doc_id: {f.label for f in r.finds} for r in li.scan_licenses(frame(spark, texts)).collect()}
+    assert all(label in got[d] for d, (label, _) in enumerate(li.TEMPLATES))
+
+
 # --- personal data ---
 
 PATTERNS = [r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]"]
