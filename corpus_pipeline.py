@@ -20,8 +20,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that match an earlier one go; n_chars follows the text."""
-    out = linededup.dedup_lines(docs)
+    """Lines that match an earlier one go, short ones if they are equal; n_chars follows the text."""
+    out = linededup.dedup_lines(docs, short=True)
     if "n_chars" not in docs.columns:
         return out
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -3,7 +3,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+import corpus_pipeline
 from glossa.llm.linededup import dedup_lines
 
 
@@ -69,3 +71,11 @@ def test_edge_cases(spark):
     assert got == [("a", "", 7), ("b", "", 8), ("c", line, 9), ("e", "", 2), ("f", "short\nshort", 3)]
     assert dedup_lines(docs).columns == docs.columns
     assert dedup_lines(docs.limit(0)).count() == 0
+
+
+def test_equal_short_lines_go_in_the_pipeline(spark):
+    wide = "a\tb\tc\td\te\tf\tg"
+    rows = [(1, "Read more\n\n日本語の行\none two"), (2, "Read more\n\n日本語の行\nRead more\nother"), (3, wide), (4, wide.replace("\t", " ") + "\nlast")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n_chars", F.length("text"))
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert got == {1: rows[0][1], 2: "\nother", 3: wide, 4: "last"}
