@@ -34,6 +34,9 @@ from glossa.llm.components import components
 
 WIDTHS = (13, 13, 13, 13, 12)
 MAX_BITS = 2
+#: MinHash keys of a text, minima in each, and neighbours that a text is held against under a key.
+BANDS, ROWS, NEAR = 20, 4, 8
+_FACTORS = np.random.default_rng(5).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _blocks() -> list[int]:
@@ -52,32 +55,89 @@ def _signed(x: int) -> int:
 MASKS = tuple(sum(c) for c in combinations(_blocks(), len(WIDTHS) - MAX_BITS))
 
 
-def fingerprint(text: str | None, shingle: int) -> int:
-    """A bit is 1 if it is set in over half of the shingles' XXH64 (seed 42)."""
+def shingle_hashes(text: str | None, shingle: int) -> np.ndarray:
+    """XXH64 (seed 42) of every shingle, repeats included; a text of fewer words is one shingle, a wordless one has none."""
     words = blank_words(text, lower=True)
     if not words:
-        return 0
+        return np.zeros(0, dtype=np.uint64)
     parts = map(b" ".join, zip(*(words[k:] for k in range(shingle)), strict=False)) if len(words) >= shingle else [b" ".join(words)]
-    n = max(1, len(words) - shingle + 1)
-    hashes = np.fromiter((xxhash.xxh64_intdigest(x, 42) for x in parts), dtype=np.uint64, count=n).astype(">u8")
+    return np.fromiter((xxhash.xxh64_intdigest(x, 42) for x in parts), dtype=np.uint64, count=max(1, len(words) - shingle + 1))
+
+
+def _majority(hashes: np.ndarray) -> int:
+    n, big = len(hashes), hashes.astype(">u8")
     counts = np.zeros(64, dtype=np.int64)
     for at in range(0, n, 1 << 14):
-        counts += np.unpackbits(hashes[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
+        counts += np.unpackbits(big[at : at + (1 << 14)].view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
     return int.from_bytes(np.packbits(2 * counts > n).tobytes(), "big")
 
 
+def fingerprint(text: str | None, shingle: int) -> int:
+    """A bit is 1 if it is set in over half of the shingles' XXH64 (seed 42)."""
+    return _majority(shingle_hashes(text, shingle))
+
+
+def minhash_keys(hashes: np.ndarray) -> list[int]:
+    """One key for each band, of the least values of ROWS hash functions over the shingles; none for a wordless text."""
+    if not len(hashes):
+        return []
+    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max)
+    for at in range(0, len(hashes), 1 << 10):
+        np.minimum(least, (_FACTORS[:, None] * hashes[None, at : at + (1 << 10)]).min(1), out=least)
+    return [_signed(xxhash.xxh64_intdigest(band.tobytes(), k)) for k, band in enumerate(least.reshape(BANDS, ROWS))]
+
+
 def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, version: bool = False) -> DataFrame:
-    """(id, print) of every row, the print as a signed 64-bit number; with ``version`` also the text's hash."""
+    """(id, print) of every row, the print as a signed 64-bit number; with ``version`` also the text's hash and its MinHash keys."""
     kind = docs.schema[doc_id].dataType.simpleString()
     body = docs[text].cast("string")
     more = [F.xxhash64(body).alias("version")] if version else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            prints = [_signed(fingerprint(x, shingle)) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.int64()), *batch.columns[2:]], names=["id", "print", *["version"] * version])
+            prints, keys = [], []
+            for x in batch.column(1).to_pylist():
+                hashes = shingle_hashes(x, shingle)
+                prints.append(_signed(_majority(hashes)))
+                if version:
+                    keys.append(minhash_keys(hashes))
+            extra = {"version": batch.column(2), "keys": pa.array(keys, pa.list_(pa.int64()))} if version else {}
+            yield pa.RecordBatch.from_pydict({"id": batch.column(0), "print": pa.array(prints, pa.int64()), **extra})
 
-    return docs.select(docs[doc_id].alias("id"), body.alias("text"), *more).mapInArrow(run, f"id {kind}, print bigint" + ", version bigint" * version)
+    return docs.select(docs[doc_id].alias("id"), body.alias("text"), *more).mapInArrow(run, f"id {kind}, print bigint" + ", version bigint, keys array<bigint>" * version)
+
+
+def similar_links(docs: DataFrame, prints: DataFrame, *, text: str, shingle: int, similarity: float) -> DataFrame:
+    """Links (u, v) between the prints of texts with a Jaccard similarity of ``similarity`` or more over their shingles.
+
+    Texts that share a MinHash key are candidates; under each key every text is held against its
+    next NEAR in an order of the key's own, so a group of any size gives rows in proportion, and of
+    at most NEAR + 1 texts all pairs are made.  Every candidate is verified on whole shingle sets.
+    """
+    texts = prints.groupBy("version").agg(F.first("print").alias("print"), F.first("keys").alias("keys"))
+    rows = cut(texts.select("version", "print", F.explode("keys").alias("key")))
+    shared = cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("key").alias("k")))
+    own = W.partitionBy("key").orderBy(F.xxhash64("key", "version"))
+    near = [F.lead(F.struct("version", "print"), k).over(own) for k in range(1, NEAR + 1)]
+    met = rows.join(shared, F.col("key") == F.col("k"), "left_semi").select("version", "print", F.array(*near).alias("near"))
+    pairs = met.select(F.struct("version", "print").alias("x"), F.explode("near").alias("y")).filter("y IS NOT NULL")
+    # close prints are linked as it is
+    pairs = pairs.filter(F.bit_count(F.col("x.print").bitwiseXOR(F.col("y.print"))) > MAX_BITS)
+    pairs = cut(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct().select(F.col("x.version").alias("a"), F.col("x.print").alias("u"), F.col("y.version").alias("b"), F.col("y.print").alias("v")))
+    wanted = cut(pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [np.unique(shingle_hashes(x, shingle)).view(np.int64) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["version", "ids"])
+
+    body = docs[text].cast("string")
+    found = docs.select(F.xxhash64(body).alias("version"), body.alias("text")).join(wanted, F.col("version") == F.col("w"), "left_semi")
+    sets = cut(found.mapInArrow(run, "version bigint, ids array<bigint>").groupBy("version").agg(F.first("ids").alias("ids")))
+    both = pairs.join(sets.withColumnsRenamed({"version": "a", "ids": "ia"}), "a").join(sets.withColumnsRenamed({"version": "b", "ids": "ib"}), "b")
+    both = both.filter((F.size("ia") >= F.size("ib") * F.lit(similarity) - F.lit(1e-9)) & (F.size("ib") >= F.size("ia") * F.lit(similarity) - F.lit(1e-9)))
+    common = F.size(F.array_intersect("ia", "ib"))
+    return both.filter(common >= (F.size("ia") + F.size("ib") - common) * F.lit(similarity) - F.lit(1e-9)).select("u", "v").distinct()
 
 
 def _flips(mask: int) -> Column:
@@ -101,10 +161,11 @@ def close_links(prints: DataFrame) -> DataFrame:
     return stars.filter(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= MAX_BITS).distinct()
 
 
-def _labelled(prints: DataFrame) -> DataFrame:
-    """The rows of ``prints`` (id, print and what else they have), with root, the component's print, and component_id."""
+def _labelled(prints: DataFrame, more: DataFrame | None = None) -> DataFrame:
+    """The rows of ``prints`` (id, print and what else they have), with root, the component's print, and component_id; ``more`` are links besides the close ones."""
     nodes = cut(prints.groupBy("print").agg(F.min("id").alias("least")))
-    roots = components(close_links(nodes.select("print")))
+    links = close_links(nodes.select("print"))
+    roots = components(links if more is None else links.select("u", "v").union(more))
     named = cut(nodes.join(roots, F.col("print") == F.col("node")).select("print", "least", "root"))
     whole = cut(named.groupBy(F.col("root").alias("top")).agg(F.min("least").alias("whole")))
     joined = cut(named.join(whole, F.col("root") == F.col("top")).select(F.col("print").alias("p"), "whole", "top"))
@@ -118,12 +179,13 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     return found.select(F.col("id").alias(doc_id), "print", "component_id")
 
 
-def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
-    """The documents, all columns as they are, with one of each component: the one with the smallest id, null last, then the least text hash.
+def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """The documents, all columns as they are, with one of each component of close prints and similar texts: the one with the smallest id, null last, then the least text hash.
 
     Where rows repeat that id and text, one of them stays.
     """
-    found = _labelled(cut(fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle, version=True)))
+    prints = cut(fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle, version=True))
+    found = _labelled(prints, similar_links(docs, prints, text=text, shingle=shingle, similarity=similarity))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "version")).alias("first")
     stay = cut(found.groupBy("root").agg(first).select(F.col("first.id").alias("__stays__"), F.col("first.version").alias("__version__")))
     version = F.xxhash64(docs[text].cast("string"))

@@ -84,3 +84,25 @@ def test_one_of_each_component_stays_whatever_the_ids(spark):
     rows = [(None, say(1)), (None, say(2)), (None, say(2)), (7, say(3)), (7, say(4)), (None, say(4)), (8, say(5)), (8, say(5)), (9, say(5))]
     left = sh.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert sorted((r.doc_id or 0, r.text) for r in left) == sorted([(0, say(1)), (0, say(2)), (7, say(3)), (7, say(4)), (8, say(5))])
+
+
+def test_one_of_each_finds_edited_copies(spark):
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(3000)]
+    texts = []
+    for _ in range(25):
+        base = rng.choices(words, k=rng.randint(60, 400))
+        texts.append(" ".join(base))
+        for _ in range(rng.randint(0, 3)):
+            copy = list(base)
+            for at in rng.sample(range(len(copy)), rng.randint(1, max(1, len(copy) // 30))):
+                copy[at] = rng.choice(words)
+            texts.append(" ".join(copy))
+    grams = [frozenset(zip(*(t.split()[k:] for k in range(5)), strict=False)) for t in texts]
+    prints = [naive_print(t, 5) for t in texts]
+    ids = range(len(texts))
+    near = {(a, b) for a in ids for b in ids if a < b and len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b])}
+    close = {(a, b) for a in ids for b in ids if a < b and (prints[a] ^ prints[b]).bit_count() <= 2}
+    assert len(near - close) > 10
+    left = sh.one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
+    assert {r.doc_id for r in left.collect()} == set(roots(near | close, ids).values())
