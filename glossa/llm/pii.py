@@ -6,9 +6,9 @@ Corpus co-occurrence then estimates what other terms reveal.  For a term t near
     disclosure(t, e) = 1 - log p(e|t) / log p(e)
 
 is the share of the entity's information, -log p(e), that knowing t gives away, with p(e|t) the
-entity's distinct contexts that have t over the documents that have t, and p(e) the entity's
-documents over all documents.  Terms at or above ``generalise`` are replaced by a general word,
-those at or above ``remove`` vanish.  A term needs ``support`` distinct contexts, so copies of one
+documents that have t near e over those that have t, and p(e) the entity's documents over all
+documents; copies count in each.  Terms at or above ``generalise`` are replaced by a general word in
+every document that has them, those at or above ``remove`` vanish.  A term needs ``support`` distinct contexts, so copies of one
 text reveal nothing more than the text itself.
 
 All counts cover all documents.  Contexts are counted by grouped aggregation (partial sums before
@@ -98,22 +98,30 @@ def context(text: str, start: int, end: int, reach: int) -> list[str]:
 
 
 def contexts(docs: DataFrame, text: str, reach: int) -> DataFrame:
-    """Distinct (entity, term, context): one row for each term that stands near an entity; the term '' stands for the context itself."""
+    """Distinct (entity, term, context) with n, for each term that stands near an entity; the term '' stands for the context itself.
+
+    n summed over an entity's and term's contexts gives their documents: each counts in one of its contexts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             rows = []
             for value in batch.column(0).to_pylist():
-                spans = base_spans(value) if value else []
+                spans, met = base_spans(value) if value else [], set()
                 covered = [(s, e) for s, _, e in spans]
                 for span in spans:
                     near = context(_masked(value, covered, span, reach), *_moved(covered, span, value, reach), reach)
                     whole = " ".join(near)
-                    rows += [(entity(value, span), t, whole) for t in {*near, ""}]
-            cols = zip(*rows, strict=True) if rows else ([], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()) for c in cols], names=["entity", "term", "context"])
+                    name = entity(value, span)
+                    for t in {*near, ""}:
+                        rows.append((name, t, whole, int((name, t) not in met)))
+                        met.add((name, t))
+            cols = zip(*rows, strict=True) if rows else ([], [], [], [])
+            kinds = [pa.string(), pa.string(), pa.string(), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds, strict=True)], names=["entity", "term", "context", "n"])
 
-    return docs.select(docs[text].cast("string").alias("text")).mapInArrow(run, "entity string, term string, context string").distinct()
+    found = docs.select(docs[text].cast("string").alias("text")).mapInArrow(run, "entity string, term string, context string, n bigint")
+    return found.groupBy("entity", "term", "context").agg(F.sum("n").alias("n"))
 
 
 def _window(span: tuple[int, int, int], value: str, reach: int) -> tuple[int, int]:
@@ -164,7 +172,7 @@ def document_counts(docs: DataFrame, text: str, terms: list[str]) -> DataFrame:
 
 def revealing_terms(docs: DataFrame, *, text: str = "text", reach: int = REACH, support: int = SUPPORT, generalise: float = GENERALISE, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """Pairs (entity, term) with their disclosure, at or above the threshold."""
-    counted = cut(contexts(docs, text, reach).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_contexts")).filter(F.col("n_contexts") >= support))
+    counted = cut(contexts(docs, text, reach).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_contexts"), F.sum("n").alias("n_near")).filter(F.col("n_contexts") >= support))
     pairs = counted.filter("term != ''")
     spark, counts = docs.sparkSession, None
     for block in _blocks(pairs.select("term").distinct(), block_pairs):
@@ -172,24 +180,22 @@ def revealing_terms(docs: DataFrame, *, text: str = "text", reach: int = REACH,
         counts = part if counts is None else counts.union(part)
     if counts is None:
         return spark.createDataFrame([], "entity string, term string, disclosure double")
-    entities = counted.filter("term = ''").select("entity", F.col("n_contexts").alias("n_entity"))
+    entities = counted.filter("term = ''").select("entity", F.col("n_near").alias("n_entity"))
     n = max(docs.count(), 2)
     prior = F.log(F.least(F.col("n_entity") / F.lit(n), F.lit(1 - 1e-9)))
-    given = F.log(F.least(F.col("n_contexts") / F.col("n_docs"), F.lit(1.0)))
+    given = F.log(F.least(F.col("n_near") / F.col("n_docs"), F.lit(1.0)))
     return pairs.join(cut(counts), "term").join(entities, "entity").select("entity", "term", (1 - given / prior).alias("disclosure")).filter(F.col("disclosure") >= generalise)
 
 
 def find_personal_data(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", reach: int = REACH, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
     """Per document: id, spans (kind, start, end, disclosure) by start and kind, and the sanitised text."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    pairs = cut(revealing_terms(docs, text=text, reach=reach, support=support, generalise=generalise, block_pairs=block_pairs))
+    pairs = cut(revealing_terms(docs, text=text, reach=reach, support=support, generalise=generalise, block_pairs=block_pairs).groupBy("term").agg(F.max("disclosure").alias("disclosure")))
     blocks = list(_blocks(pairs, block_pairs)) or [[]]
     span_t = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("disclosure", pa.float64())]))
     frame = docs.select(docs[doc_id].alias("id"), docs[text].cast("string").alias("text"))
     for k, block in enumerate(blocks):
-        reveals: dict[str, dict[str, float]] = {}
-        for e, t, d in block:
-            reveals.setdefault(e, {})[t] = d
+        reveals: dict[str, float] = dict(block)
         last = k == len(blocks) - 1
 
         def run(batches: Iterator[pa.RecordBatch], reveals: dict = reveals, last: bool = last) -> Iterator[pa.RecordBatch]:
@@ -199,14 +205,10 @@ def find_personal_data(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "
                 for value, old in zip(texts, before, strict=True):
                     base = base_spans(value) if value else []
                     found = {(s["start"], KINDS.index(s["kind"]), s["end"]): s["disclosure"] for s in old} if old is not None else {b: 1.0 for b in base}
-                    terms: dict[str, float] = {}
-                    for e in {entity(value, b) for b in base}:
-                        for t, d in reveals.get(e, {}).items():
-                            terms[t] = max(d, terms.get(t, 0.0))
-                    for m in TERM.finditer(value) if terms else ():
-                        if m[0].lower() in terms and not any(s < m.end() and m.start() < e for s, _, e in base):
+                    for m in TERM.finditer(value) if reveals and value else ():
+                        if m[0].lower() in reveals and not any(s < m.end() and m.start() < e for s, _, e in base):
                             at = (m.start(), 4, m.end())
-                            found[at] = max(found.get(at, 0.0), terms[m[0].lower()])
+                            found[at] = max(found.get(at, 0.0), reveals[m[0].lower()])
                     rows.append([{"kind": KINDS[k], "start": s, "end": e, "disclosure": d} for (s, k, e), d in sorted(found.items())])
                 if last:
                     texts = [sanitised(t, r, remove) if r else t for t, r in zip(texts, rows, strict=True)]

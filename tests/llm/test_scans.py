@@ -115,6 +115,16 @@ def test_revealing_terms_are_found_and_common_ones_left(spark):
     assert blocks == {d: r.spans for d, r in found.items()}
 
 
+def test_copies_and_texts_without_the_entity(spark):
+    say = lambda k: " ".join(random.Random(k).choices(["lona", "mapo", "tisi", "rudu", "keva", "loxe", "magi"], k=30))
+    texts = [say(k) for k in range(300)]
+    beside = [f"{say(900 + k)} Quorvex at one@corp.example.com {say(950 + k)}" for k in range(3)]
+    texts += [*beside, *[beside[0]] * 99, f"{say(990)} Quorvex {say(991)}"]
+    found = {r.doc_id: r.sanitised for r in pii.find_personal_data(frame(spark, texts)).collect()}
+    assert not [d for d, t in found.items() if "Quorvex" in t]
+    assert all(found[d] == texts[d] for d in range(300))
+
+
 def test_pii_query_and_weird_rows(spark, sf_dir, weird):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     for r in op8_personal_data(spark, sf_dir).collect():
