@@ -2,7 +2,7 @@
 
 Every text is scanned whole where it is read; nothing is shuffled.  The patterns give base
 spans.  Beyond them, each candidate string that stands in a sensitive context (a credential word
-shortly before it) is compressed with zstandard twice: the surrounding code alone, and the
+shortly before it, or a line directly before it that has one) is compressed with zstandard twice: the surrounding code alone, and the
 surrounding code with the candidate, both primed with a dictionary of common identifiers.  The
 difference is the candidate's marginal size.  Identifiers, paths, repeated names and prose are
 cheap after that priming; keys are not, and are reported.
@@ -28,6 +28,8 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # a run of fewer is dropped anyway
 #: Candidates: unbroken strings of key characters; those found novel are at least this long.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+#: What may stand between the lines of one key.
+BREAK = re.compile(r"""[ \t"',;+\\]*(?:\r?\n|\\n)[ \t"'#*>]*""")
 #: Words that make a context sensitive.
 SENSITIVE = re.compile(r"password|passwd|secret|token|api[ _-]?key|credential|private|bearer|authorization|access[ _-]?key|auth[ _-]?key|signing[ _-]?key")
 SENSITIVE_WORDS = ("password", "passwd", "secret", "token", "api", "credential", "private", "bearer", "authorization", "key")
@@ -78,12 +80,13 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty, t
     low = text.lower()
     if not any(w in low for w in SENSITIVE_WORDS):
         return []
-    found = []
+    found, carried = [], -1
     for m in CANDIDATE.finditer(text):
         s, e = m.span()
-        if not re.search("[0-9]", m[0]) and not re.search("[a-z][A-Z]+[a-z]+[A-Z]", m[0]):
-            continue  # a word or a constant's name
-        if any(a < e and s < b for a, _, b in base) or not SENSITIVE.search(text[max(0, s - REACH) : s].lower()):
+        if not SENSITIVE.search(text[max(0, s - REACH) : s].lower()) and not (carried >= 0 and BREAK.fullmatch(text, carried, s)):
+            continue
+        carried = e  # lines of a key that follow directly are in its context
+        if any(a < e and s < b for a, _, b in base):
             continue
         if novelty.per_char(text[max(0, s - BEFORE) : s], m[0], text[e : e + AFTER]) >= threshold:
             found.append((s, 3, e))

@@ -164,6 +164,18 @@ def test_novel_strings_in_sensitive_contexts(spark):
     assert got == {0: [("novel", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXm9qA")], 1: [], 2: [], 3: []}
 
 
+def test_every_candidate_is_measured_and_key_lines_follow(spark):
+    rng = random.Random(12)
+    some = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    keys = [some(lower, 24), some(upper, 20), some(upper + "234567", 16)]
+    texts = [f"the bearer credential is {k} as agreed" for k in keys]
+    lines = [some(lower + upper + "0123456789+/", 64) for _ in range(6)]
+    texts += ["-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(lines) + "\n-----END RSA PRIVATE KEY-----", "the credential handler is production_database_connection in config"]
+    got = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == "novel"] for r in sc.find_secrets(frame(spark, texts)).collect()}
+    assert got == {0: keys[:1], 1: keys[1:2], 2: keys[2:], 3: lines, 4: []}
+
+
 def test_secret_query_and_weird_rows(spark, sf_dir, weird):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     for r in op9_secret_scan(spark, sf_dir).collect():
