@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -14,6 +15,8 @@ _ALNUM = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 #: Rows of an Arrow batch that are held as Python objects at a time.
 SLICE = 512
+#: Spark's setting by which the shuffle files of a query are removed when it ends.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def alnum_words(text: str | None) -> list[bytes]:
@@ -37,19 +40,73 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE) -> Iterator[pa.
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new path below the folder that driver and executors share; one is set only where the session has none."""
+    """A new path below the folder that driver and executors share.
+
+    Where the session names none, a local master gets a folder of its own; a cluster has to name one.
+    """
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='glossa-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/glossa-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """The rows written to the path and read again.  The write's own shuffle files go when it ends."""
+    spark = df.sparkSession
+    before = spark.conf.get(CLEAN_UP, None)
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEAN_UP)
+        else:
+            spark.conf.set(CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """The rows written to the shared folder and read again: lineage ends there, and lost executors cost nothing."""
-    path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df, shared_dir(df.sparkSession))
+
+
+class Scratch:
+    """Intermediate tables in the shared folder, deleted together when the block ends.
+
+    What a result still reads has to be written with ``cut`` instead.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def cut(self, df: DataFrame) -> DataFrame:
+        self.paths.append(shared_dir(self.spark))
+        return written(df, self.paths[-1])
+
+    def clear(self, keep: int = 0) -> None:
+        """Deletes all tables but the last ``keep``."""
+        conf = self.spark._jsc.hadoopConfiguration()
+        gone, self.paths = self.paths[: len(self.paths) - keep], self.paths[len(self.paths) - keep :]
+        for path in gone:
+            where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
+
+    def __exit__(self, *_: object) -> None:
+        self.clear()
+
+
+def fresh(name: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has, in any case."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

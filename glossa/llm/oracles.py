@@ -18,10 +18,10 @@ WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes,
 g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN payload_bytes >= 1000 AND page_id < top THEN top END AS refers_to FROM g""",
     "op10_line_dedup": r"""
-WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS no FROM documents),
-firsts AS (SELECT line, min(doc_id * 2147483648 + no) AS first FROM l GROUP BY 1),
-s AS (SELECT row_number() OVER () AS id, line, first, list_distinct(list_transform(range(1, len(string_split(line, ' ')) - 3), lambda k: array_to_string(string_split(line, ' ')[k:k + 4], ' '))) AS ts FROM firsts),
-big AS (SELECT *, len(ts) AS n FROM s WHERE len(ts) >= 1),
+WITH r0 AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS no FROM documents),
+l AS (SELECT doc_id, no, raw, list_filter(string_split(translate(raw, chr(9) || chr(11) || chr(12) || chr(13), '    '), ' '), lambda x: x <> '') AS ws FROM r0),
+firsts AS (SELECT ws, min(doc_id * 2147483648 + no) AS first FROM l WHERE len(ws) > 0 GROUP BY 1),
+big AS (SELECT *, len(ts) AS n FROM (SELECT row_number() OVER () AS id, ws, first, CASE WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')] ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda k: array_to_string(ws[k:k + 4], ' '))) END AS ts FROM firsts)),
 t AS (SELECT id, n, unnest(ts) AS token FROM big),
 f AS (SELECT token, count(*) AS m FROM t GROUP BY 1),
 o AS (SELECT id, n, token, row_number() OVER (PARTITION BY id ORDER BY m, token) AS pos FROM t JOIN f USING (token)),
@@ -29,9 +29,9 @@ pre AS (SELECT * FROM o WHERE pos <= n - ceil(0.8 * n - 1e-9) + 1),
 pairs AS (SELECT DISTINCT x.id AS x, y.id AS y FROM pre x JOIN pre y ON x.token = y.token AND x.id < y.id AND x.n >= 0.8 * y.n - 1e-9 AND y.n >= 0.8 * x.n - 1e-9),
 alike AS (SELECT a.id AS x, b.id AS y, a.first AS fx, b.first AS fy, len(list_intersect(a.ts, b.ts)) AS k, a.n + b.n AS n FROM pairs JOIN big a ON a.id = pairs.x JOIN big b ON b.id = pairs.y),
 dup AS (SELECT DISTINCT CASE WHEN fx > fy THEN x ELSE y END AS id FROM alike WHERE k >= 0.8 * (n - k) - 1e-9),
-marks AS (SELECT big.line, big.first, dup.id IS NOT NULL AS dup FROM big LEFT JOIN dup USING (id)),
-kept AS (SELECT l.doc_id, l.no, l.line, m.line IS NOT NULL AND (m.dup OR m.first <> l.doc_id * 2147483648 + l.no) AS gone FROM l LEFT JOIN marks m ON m.line = l.line),
-r AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY no) FILTER (NOT gone) AS text, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed FROM kept GROUP BY 1)
+marks AS (SELECT big.ws, big.first, dup.id IS NOT NULL AS dup FROM big LEFT JOIN dup USING (id)),
+kept AS (SELECT l.doc_id, l.no, l.raw, m.ws IS NOT NULL AND (m.dup OR m.first <> l.doc_id * 2147483648 + l.no) AS gone FROM l LEFT JOIN marks m ON m.ws = l.ws),
+r AS (SELECT doc_id, string_agg(raw, chr(10) ORDER BY no) FILTER (NOT gone) AS text, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed FROM kept GROUP BY 1)
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(r.text, '') END AS text, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed FROM documents d LEFT JOIN r USING (doc_id)""",
 }
 

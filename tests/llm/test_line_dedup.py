@@ -1,6 +1,8 @@
 """Line dedup against a brute-force version."""
 
 import random
+import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,8 +12,8 @@ from glossa.llm.linededup import dedup_lines
 
 
 def tokens_of(line, words=5):
-    w = line.split(" ")
-    return frozenset(zip(*(w[k:] for k in range(words)), strict=False))
+    w = re.findall("[^ \t\x0b\x0c\r]+", line)
+    return frozenset(zip(*(w[k:] for k in range(words)), strict=False)) if len(w) >= words else frozenset([tuple(w)] if w else [])
 
 
 def brute(rows, similarity=0.8):
@@ -34,7 +36,7 @@ def brute(rows, similarity=0.8):
 
 def corpus(seed, n=60):
     rng = random.Random(seed)
-    words = [f"w{k}" for k in range(40)] + ["é", "a", ""]
+    words = [f"w{k}" for k in range(40)] + ["é", "a", "", "\t"]
     base = [[rng.choice(words) for _ in range(rng.randint(0, 40))] for _ in range(25)]
     rows = []
     for doc in range(n):
@@ -65,17 +67,36 @@ def test_near_copies_settle_on_representatives(spark):
 
 def test_edge_cases(spark):
     line = "one two three four five six"
-    rows = [(1, line, "a", 7), (1, line, "b", 8), (None, line, "c", 9), (2, None, "d", 1), (3, "", "e", 2), (4, f"short\n{line}\nshort", "f", 3)]
-    docs = spark.createDataFrame(rows, "doc_id bigint, text string, rid string, `first` int")
-    got = sorted((r.rid, r.text, r["first"]) for r in dedup_lines(docs).collect() if r.text is not None)
-    assert got == [("a", "", 7), ("b", "", 8), ("c", line, 9), ("e", "", 2), ("f", "short\nshort", 3)]
+    rows = [(1, line, "a", 7), (1, line, "b", 8), (None, line, "c", 9), (2, None, "d", 1), (3, "", "e", 2), (4, f"short\n{line}\nshort\n\n \n\n", "f", 3)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, holes string, `Version` int")
+    got = sorted((r.holes, r.text, r["Version"]) for r in dedup_lines(docs).collect() if r.text is not None)
+    assert got == [("a", "", 7), ("b", "", 8), ("c", line, 9), ("e", "", 2), ("f", "short\n\n \n\n", 3)]
     assert dedup_lines(docs).columns == docs.columns
     assert dedup_lines(docs.limit(0)).count() == 0
 
 
-def test_equal_short_lines_go_in_the_pipeline(spark):
+def test_weird_rows_and_other_ids(spark, weird):
+    got = dedup_lines(weird)
+    assert got.columns == weird.columns and got.count() == weird.count()
+    texts = {r.doc_id: r.text for r in got.collect()}
+    assert texts[1] is None and texts[3] == " \n\t " and texts[5] == "a " * 40_000 and texts[7] is not None
+    rows = [("b", "read more\nx"), ("a", "Read more\nread more"), (None, "x"), ("b", "read more\ny")]
+    named = spark.createDataFrame(rows, "doc_id string, text string")
+    assert sorted(r.text for r in dedup_lines(named).collect()) == ["", "Read more\nread more", "x", "y"]
+
+
+def test_short_lines(spark):
+    """Equal lines go whatever their length; words are what any white space separates."""
     wide = "a\tb\tc\td\te\tf\tg"
-    rows = [(1, "Read more\n\n日本語の行\none two"), (2, "Read more\n\n日本語の行\nRead more\nother"), (3, wide), (4, wide.replace("\t", " ") + "\nlast")]
+    rows = [(1, "Read more\n\n日本語の行\none two"), (2, "Read  more\n\n日本語の行\nRead more\nother"), (3, wide), (4, wide.replace("\t", " ") + "\nlast"), (5, "alpha beta gamma delta"), (6, " alpha beta gamma delta\nalpha beta gamma")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n_chars", F.length("text"))
     got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
-    assert got == {1: rows[0][1], 2: "\nother", 3: wide, 4: "last"}
+    assert got == {1: rows[0][1], 2: "\nother", 3: wide, 4: "last", 5: rows[4][1], 6: "alpha beta gamma"} == dict(brute(rows))
+
+
+def test_nothing_is_left_behind(spark):
+    """Of the intermediate tables only those stay that the result reads."""
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    dedup_lines(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id bigint, text string")).collect()
+    assert len(set(folder.iterdir()) - before) == 2
