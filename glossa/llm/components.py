@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.llm.common import cut
+from glossa.llm.common import Scratch
 
 
 def _least(pairs: DataFrame) -> DataFrame:
@@ -19,22 +19,27 @@ def _least(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
 
 
-def _star(pairs: DataFrame, kept: str) -> DataFrame:
+def _star(pairs: DataFrame, kept: str, own: Scratch) -> DataFrame:
     """Neighbours that satisfy ``kept``, linked with the least of the node's neighbourhood."""
-    joined = pairs.join(cut(_least(pairs)), F.col("u") == F.col("w"))
+    joined = pairs.join(own.cut(_least(pairs)), F.col("u") == F.col("w"))
     return joined.filter(kept).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def components(links: DataFrame) -> DataFrame:
-    """``links`` has columns u, v of one ordered type; the result has (node, root) for each node in a link, root the least."""
-    down = cut(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct())
-    before = None
-    while True:
-        both = cut(down.union(down.select(F.col("v").alias("u"), F.col("u").alias("v"))))
-        large = cut(_star(both, "v > u AND v != m").distinct())
-        least = _least(large).select(F.col("w").alias("u"), F.col("m").alias("v"))
-        down = cut(_star(large, "v != m").union(least).filter("u != v").distinct())
-        state = down.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if state == before:
-            return down.select(F.col("u").alias("node"), F.col("v").alias("root")).union(down.select("v", "v").distinct())
-        before = state
+def components(links: DataFrame, own: Scratch) -> DataFrame:
+    """``links`` has columns u, v of one ordered type; the result has (node, root) for each node in a link, root the least.
+
+    It reads tables of ``own``; those of earlier rounds are deleted on the way.
+    """
+    with Scratch(own.spark) as rounds:
+        down = rounds.cut(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct())
+        before = None
+        while True:
+            both = rounds.cut(down.union(down.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+            large = rounds.cut(_star(both, "v > u AND v != m", rounds).distinct())
+            least = _least(large).select(F.col("w").alias("u"), F.col("m").alias("v"))
+            down = rounds.cut(_star(large, "v != m", rounds).union(least).filter("u != v").distinct())
+            rounds.clear(keep=1)
+            state = down.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+            if state == before:
+                return own.cut(down.select(F.col("u").alias("node"), F.col("v").alias("root")).union(down.select("v", "v").distinct()))
+            before = state

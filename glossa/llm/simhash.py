@@ -12,6 +12,9 @@ listed under itself and under each value that one of its free bits, flipped, giv
 under a value (never more than free bits + 1 fingerprints) is linked with the least of them, the
 Hamming distance is verified, and components are found over these links.
 
+For corpora, ``one_of_each`` also links texts whose whole shingle sets have a Jaccard similarity of 0.8
+or more; MinHash keys find the candidates.
+
 Defined cases: a null or wordless text has fingerprint zero and is linked like any other; a text of
 fewer words than a shingle is one shingle; repeated rows are each listed; a null id is never a
 component's id unless all its members' are null; other columns are ignored.
@@ -29,13 +32,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from glossa.llm.common import blank_words, cut, slices
+from glossa.llm.common import Scratch, blank_words, cut, fresh, slices
 from glossa.llm.components import components
 
 WIDTHS = (13, 13, 13, 13, 12)
 MAX_BITS = 2
-#: MinHash keys of a text, minima in each, and neighbours that a text is held against under a key.
-BANDS, ROWS, NEAR = 20, 4, 8
+#: MinHash keys of a text, minima in each, and texts under a key of which all pairs are candidates.
+BANDS, ROWS, SMALL = 20, 4, 9
+#: A table of at most so many hashes is broadcast (some 20 MB in memory); a larger one is shuffled.
+BROADCAST_ROWS = 500_000
 _FACTORS = np.random.default_rng(5).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -107,24 +112,9 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     return docs.select(docs[doc_id].alias("id"), body.alias("text"), *more).mapInArrow(run, f"id {kind}, print bigint" + ", version bigint, keys array<bigint>" * version)
 
 
-def similar_links(docs: DataFrame, prints: DataFrame, *, text: str, shingle: int, similarity: float) -> DataFrame:
-    """Links (u, v) between the prints of texts with a Jaccard similarity of ``similarity`` or more over their shingles.
-
-    Texts that share a MinHash key are candidates; under each key every text is held against its
-    next NEAR in an order of the key's own, so a group of any size gives rows in proportion, and of
-    at most NEAR + 1 texts all pairs are made.  Every candidate is verified on whole shingle sets.
-    """
-    texts = prints.groupBy("version").agg(F.first("print").alias("print"), F.first("keys").alias("keys"))
-    rows = cut(texts.select("version", "print", F.explode("keys").alias("key")))
-    shared = cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("key").alias("k")))
-    own = W.partitionBy("key").orderBy(F.xxhash64("key", "version"))
-    near = [F.lead(F.struct("version", "print"), k).over(own) for k in range(1, NEAR + 1)]
-    met = rows.join(shared, F.col("key") == F.col("k"), "left_semi").select("version", "print", F.array(*near).alias("near"))
-    pairs = met.select(F.struct("version", "print").alias("x"), F.explode("near").alias("y")).filter("y IS NOT NULL")
-    # close prints are linked as it is
-    pairs = pairs.filter(F.bit_count(F.col("x.print").bitwiseXOR(F.col("y.print"))) > MAX_BITS)
-    pairs = cut(pairs.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct().select(F.col("x.version").alias("a"), F.col("x.print").alias("u"), F.col("y.version").alias("b"), F.col("y.print").alias("v")))
-    wanted = cut(pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct())
+def _similar(docs: DataFrame, pairs: DataFrame, *, text: str, shingle: int, similarity: float, own: Scratch) -> DataFrame:
+    """The pairs (a, u, b, v), a and b being texts' hashes and u and v their prints, whose whole shingle sets are similar enough."""
+    wanted = own.cut(pairs.select(F.col("a").alias("w")).union(pairs.select("b")).distinct())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -132,12 +122,57 @@ def similar_links(docs: DataFrame, prints: DataFrame, *, text: str, shingle: int
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["version", "ids"])
 
     body = docs[text].cast("string")
-    found = docs.select(F.xxhash64(body).alias("version"), body.alias("text")).join(wanted, F.col("version") == F.col("w"), "left_semi")
-    sets = cut(found.mapInArrow(run, "version bigint, ids array<bigint>").groupBy("version").agg(F.first("ids").alias("ids")))
+    few = wanted.count() <= BROADCAST_ROWS
+    found = docs.select(F.xxhash64(body).alias("version"), body.alias("text")).join(F.broadcast(wanted) if few else wanted, F.col("version") == F.col("w"), "left_semi")
+    sets = own.cut(found.mapInArrow(run, "version bigint, ids array<bigint>").groupBy("version").agg(F.first("ids").alias("ids")))
     both = pairs.join(sets.withColumnsRenamed({"version": "a", "ids": "ia"}), "a").join(sets.withColumnsRenamed({"version": "b", "ids": "ib"}), "b")
     both = both.filter((F.size("ia") >= F.size("ib") * F.lit(similarity) - F.lit(1e-9)) & (F.size("ib") >= F.size("ia") * F.lit(similarity) - F.lit(1e-9)))
     common = F.size(F.array_intersect("ia", "ib"))
-    return both.filter(common >= (F.size("ia") + F.size("ib") - common) * F.lit(similarity) - F.lit(1e-9)).select("u", "v").distinct()
+    return own.cut(both.filter(common >= (F.size("ia") + F.size("ib") - common) * F.lit(similarity) - F.lit(1e-9)).select("a", "u", "b", "v"))
+
+
+def _flat(pairs: DataFrame) -> DataFrame:
+    """Distinct (a, u, b, v) of pairs of structs x and y whose prints aren't close already."""
+    apart = pairs.filter(F.bit_count(F.col("x.print").bitwiseXOR(F.col("y.print"))) > MAX_BITS)
+    ordered = apart.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    return ordered.select(F.col("x.version").alias("a"), F.col("x.print").alias("u"), F.col("y.version").alias("b"), F.col("y.print").alias("v"))
+
+
+def similar_links(docs: DataFrame, prints: DataFrame, *, text: str, shingle: int, similarity: float, small: int = SMALL) -> DataFrame:
+    """Links (u, v) between the prints of texts with a Jaccard similarity of ``similarity`` or more over their shingles.
+
+    Texts that share a MinHash key are candidates, and every candidate is verified on whole shingle
+    sets.  Under a key of at most ``small`` texts all pairs are candidates.  Under a larger one every
+    text is held against the least of them, which settles groups of near copies in as many pairs as
+    there are texts; those that it doesn't settle are held against all texts of the key that share a
+    second key with them.
+    """
+    with Scratch(docs.sparkSession) as own:
+        texts = prints.groupBy("version").agg(F.first("print").alias("print"), F.first("keys").alias("keys"))
+        rows = own.cut(texts.select("version", "print", F.explode("keys").alias("key")))
+        one = F.struct("version", "print")
+        shared = own.cut(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min(one).alias("head")).filter("n > 1").withColumnRenamed("key", "k"))
+        few = rows.join(shared.filter(F.col("n") <= small), F.col("key") == F.col("k"), "left_semi")
+        order = W.partitionBy("key").orderBy("version")
+        after = F.array(*[F.lead(one, k).over(order) for k in range(1, small)])
+        close_by = few.select(one.alias("x"), after.alias("after")).select("x", F.explode("after").alias("y")).filter("y IS NOT NULL")
+        many = own.cut(rows.join(shared.filter(F.col("n") > small), F.col("key") == F.col("k")).select("key", "version", "print", "head"))
+        stars = many.select(one.alias("x"), F.col("head").alias("y")).filter("x.version <> y.version")
+        links = _similar(docs, own.cut(_flat(close_by.union(stars))), text=text, shingle=shingle, similarity=similarity, own=own)
+        if many.isEmpty():
+            return cut(links.select("u", "v").distinct())
+
+        apart = F.bit_count(F.col("print").bitwiseXOR(F.col("head.print"))) > MAX_BITS
+        left = many.filter((F.col("version") != F.col("head.version")) & apart)
+        known = links.select(F.least("a", "b").alias("p"), F.greatest("a", "b").alias("q"))
+        left = own.cut(left.join(known, (F.least("version", "head.version") == F.col("p")) & (F.greatest("version", "head.version") == F.col("q")), "left_anti").select("key", "version", "print"))
+        open_keys = left.select(F.col("key").alias("k")).distinct()
+        seconds = rows.select(F.col("version").alias("w"), F.col("key").alias("second"))
+        again = own.cut(many.join(open_keys, F.col("key") == F.col("k"), "left_semi").join(seconds, (F.col("version") == F.col("w")) & (F.col("key") != F.col("second"))).select("key", "second", one.alias("y")))
+        probes = left.join(seconds, (F.col("version") == F.col("w")) & (F.col("key") != F.col("second"))).select(F.col("key").alias("k"), F.col("second").alias("s"), one.alias("x"))
+        met = probes.join(again, (F.col("k") == F.col("key")) & (F.col("s") == F.col("second"))).filter("x.version <> y.version").select("x", "y")
+        more = _similar(docs, own.cut(_flat(met)), text=text, shingle=shingle, similarity=similarity, own=own)
+        return cut(links.union(more).select("u", "v").distinct())
 
 
 def _flips(mask: int) -> Column:
@@ -145,11 +180,11 @@ def _flips(mask: int) -> Column:
     return F.array(F.col("print"), *[F.col("print").bitwiseXOR(F.lit(_signed(1 << k))) for k in range(64) if not mask >> k & 1])
 
 
-def close_links(prints: DataFrame) -> DataFrame:
+def close_links(prints: DataFrame, own: Scratch) -> DataFrame:
     """Links (u, v) whose components are those of all pairs within two bits; ``prints`` has distinct prints."""
     keys = F.array(*[F.struct(F.lit(k).alias("key"), F.col("print").bitwiseAND(F.lit(_signed(m))).alias("part")) for k, m in enumerate(MASKS)])
     rows = prints.select("print", F.inline(keys))
-    shared = cut(rows.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("key").alias("k"), F.col("part").alias("p")))
+    shared = own.cut(rows.groupBy("key", "part").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(F.col("key").alias("k"), F.col("part").alias("p")))
     meet = rows.join(shared, (F.col("key") == F.col("k")) & (F.col("part") == F.col("p")), "left_semi")
     values = F.when(F.col("key") == 0, _flips(MASKS[0]))
     for k, mask in enumerate(MASKS[1:], 1):
@@ -163,13 +198,14 @@ def close_links(prints: DataFrame) -> DataFrame:
 
 def _labelled(prints: DataFrame, more: DataFrame | None = None) -> DataFrame:
     """The rows of ``prints`` (id, print and what else they have), with root, the component's print, and component_id; ``more`` are links besides the close ones."""
-    nodes = cut(prints.groupBy("print").agg(F.min("id").alias("least")))
-    links = close_links(nodes.select("print"))
-    roots = components(links if more is None else links.select("u", "v").union(more))
-    named = cut(nodes.join(roots, F.col("print") == F.col("node")).select("print", "least", "root"))
-    whole = cut(named.groupBy(F.col("root").alias("top")).agg(F.min("least").alias("whole")))
-    joined = cut(named.join(whole, F.col("root") == F.col("top")).select(F.col("print").alias("p"), "whole", "top"))
-    labels = cut(nodes.join(joined, F.col("print") == F.col("p"), "left").select(F.col("print").alias("fp"), F.coalesce("top", "print").alias("root"), F.coalesce("whole", "least").alias("component_id")))
+    with Scratch(prints.sparkSession) as own:
+        nodes = own.cut(prints.groupBy("print").agg(F.min("id").alias("least")))
+        links = close_links(nodes.select("print"), own)
+        roots = components(links if more is None else links.select("u", "v").union(more), own)
+        named = own.cut(nodes.join(roots, F.col("print") == F.col("node")).select("print", "least", "root"))
+        whole = own.cut(named.groupBy(F.col("root").alias("top")).agg(F.min("least").alias("whole")))
+        joined = own.cut(named.join(whole, F.col("root") == F.col("top")).select(F.col("print").alias("p"), "whole", "top"))
+        labels = cut(nodes.join(joined, F.col("print") == F.col("p"), "left").select(F.col("print").alias("fp"), F.coalesce("top", "print").alias("root"), F.coalesce("whole", "least").alias("component_id")))
     return prints.join(labels, F.col("print") == F.col("fp")).drop("fp")
 
 
@@ -187,8 +223,8 @@ def one_of_each(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
     prints = cut(fingerprints(docs, doc_id=doc_id, text=text, shingle=shingle, version=True))
     found = _labelled(prints, similar_links(docs, prints, text=text, shingle=shingle, similarity=similarity))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "version")).alias("first")
-    stay = cut(found.groupBy("root").agg(first).select(F.col("first.id").alias("__stays__"), F.col("first.version").alias("__version__")))
-    version = F.xxhash64(docs[text].cast("string"))
-    kept = docs.join(stay, docs[doc_id].eqNullSafe(stay["__stays__"]) & (version == stay["__version__"]), "left_semi")
+    stays, version, row = (fresh(x, docs) for x in ("stays", "version", "row"))
+    stay = cut(found.groupBy("root").agg(first).select(F.col("first.id").alias(stays), F.col("first.version").alias(version)))
+    kept = docs.join(stay, docs[doc_id].eqNullSafe(stay[stays]) & (F.xxhash64(docs[text].cast("string")) == stay[version]), "left_semi")
     once = W.partitionBy(F.col(doc_id), F.xxhash64(F.col(text).cast("string"))).orderBy(doc_id)
-    return kept.withColumn("__row__", F.row_number().over(once)).filter("__row__ = 1").drop("__row__").select(*docs.columns)
+    return kept.withColumn(row, F.row_number().over(once)).filter(F.col(row) == 1).drop(row).select(*docs.columns)

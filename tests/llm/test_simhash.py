@@ -2,10 +2,12 @@
 
 import random
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from glossa.llm import simhash as sh
+from glossa.llm.common import Scratch
 from glossa.llm.components import components
 from glossa.llm.queries import op5_simhash
 
@@ -52,13 +54,15 @@ def test_links_equal_all_pairs(spark):
             prints.add(x)
     signed = [sh._signed(p) for p in prints]
     want = roots([(a, b) for a in signed for b in signed if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= 2], signed)
-    found = {r.node: r.root for r in components(sh.close_links(spark.createDataFrame([(p,) for p in signed], "print bigint"))).collect()}
+    with Scratch(spark) as own:
+        found = {r.node: r.root for r in components(sh.close_links(spark.createDataFrame([(p,) for p in signed], "print bigint"), own), own).collect()}
     assert {p: found.get(p, p) for p in signed} == want
 
 
 def test_components_of_chains(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (102, 100), (7, 7)]
-    got = {r.node: r.root for r in components(spark.createDataFrame(chain, "u bigint, v bigint")).collect()}
+    with Scratch(spark) as own:
+        got = {r.node: r.root for r in components(spark.createDataFrame(chain, "u bigint, v bigint"), own).collect()}
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100, 102: 100}
 
 
@@ -86,7 +90,10 @@ def test_one_of_each_component_stays_whatever_the_ids(spark):
     assert sorted((r.doc_id or 0, r.text) for r in left) == sorted([(0, say(1)), (0, say(2)), (7, say(3)), (7, say(4)), (8, say(5))])
 
 
-def test_one_of_each_finds_edited_copies(spark):
+@pytest.mark.parametrize("small", [9, 2])
+def test_one_of_each_finds_edited_copies(spark, monkeypatch, small):
+    """With two texts at most under a key of all pairs, larger groups go the way of heads and second keys."""
+    monkeypatch.setattr(sh.similar_links, "__kwdefaults__", {"small": small})
     rng = random.Random(9)
     words = [f"w{k}" for k in range(3000)]
     texts = []
