@@ -10,6 +10,7 @@ import re
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,56 +18,45 @@ from glossa.functions.text import with_field
 
 Splitter = Callable[[str], list[str]]
 
+#: Rows that are held as Python objects at a time.
+ROWS = 256
 ROMAN = ("lin", "nde", "sna", "som")
 TIBETAN = "bod"
 
-#: An end mark with what may close the sentence after it.
-_END = re.compile(r"(?P<mark>\.+|[!?])(?:(?P<letter>[A-Za-z])|(?P<tail>\s*['`\"”)}\]]*|\s+))")
-REACH, SHORTEST_ROMAN, SHORTEST_TIBETAN = 20, 10, 8
-# The Tibetan marks that end a sentence, and the one that opens a text.
-SHAD, OPENING = "།༎", "༅"
+# Lengths below which a sentence isn't cut off, and the characters whose neighbourhood is looked at.
+SHORTEST_ROMAN, SHORTEST_TIBETAN, REACH = 10, 8, 20
+# A title that may have prefixes, marks that close a quotation or bracket, the Tibetan marks that end a sentence, and the one that opens a text.
+TITLE, CLOSERS, SHAD, OPENING = "Mnu", "'`\"”)}\\]", "།༎", "༅"
 
+#: A token of at most four characters with a capital: an initial, a title, an abbreviation.
+_ABBREVIATION = r"(?<!\S)(?:\p{Uppercase}\S{0,3}|\S\p{Uppercase}\S{0,2}|\S{2}\p{Uppercase}\S?|\S{3}\p{Uppercase})"
+#: Digits that can't be a year.
+_NUMBER = r"(?<!\S)(?:\d{1,3}|\d{5,})"
+#: The end of a sentence: a mark that follows none of the above, no other dot and no title; what closes after it; then a capital or nothing.
+_ROMAN_END = regex.compile(rf"(?<!(?:\.|{TITLE}|{_ABBREVIATION}|{_NUMBER})\s*)(?:\.(?!\.)|[!?])(?>\s*[{CLOSERS}]*)(?=\s{{{REACH}}}|\s*(?:\p{{Uppercase}}|\Z))")
+#: The end of a Tibetan sentence: a mark that doesn't belong to the opening, to a number or to another mark.
+_TIBETAN_END = regex.compile(rf"(?<!{OPENING}|{OPENING}.|\d)[{SHAD}](?![{SHAD}\d])", regex.DOTALL)
 
-def _odd_number(token: str) -> bool:
-    return token.isdigit() and len(token) != 4
 
-
-def roman_break(before: str, after: str) -> bool:
-    """May a sentence end between these tokens?  Titles, abbreviations, numbers and lower case say no."""
-    if before:
-        titled = before.endswith("Mnu") or len(before) <= 4 and any(map(str.isupper, before))
-        if titled or _odd_number(before) or before.endswith("."):
-            return False
-    return not after or not _odd_number(after) and after[0].isupper()
+def _cut(text: str, end: regex.Pattern, shortest: int) -> list[str]:
+    """The text cut at those ends that leave no sentence shorter than ``shortest``."""
+    sentences, start = [], 0
+    for at in (m.end() for m in end.finditer(text)):
+        if at - start >= shortest and (sentence := text[start:at].strip()):
+            sentences.append(sentence)
+            start = at
+    rest = text[start:].strip()
+    return [*sentences, rest] if rest else sentences
 
 
 def segment_roman(text: str, shortest: int = SHORTEST_ROMAN) -> list[str]:
     """Sentences by end marks, with guards against abbreviations."""
-    cuts = [0]
-    for m in _END.finditer(text):
-        mark = m.end("mark")
-        end = m.start("letter") if m["letter"] else m.end()
-        before = text[max(0, mark - REACH) : mark - 1].split()
-        after = text[end : end + REACH].split()
-        fits = end - cuts[-1] >= shortest and text[cuts[-1] : end].strip()
-        if fits and roman_break(before[-1] if before else "", after[0] if after else ""):
-            cuts.append(end)
-    pieces = (text[a:b].strip() for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True))
-    return [p for p in pieces if p]
+    return _cut(text, _ROMAN_END, shortest)
 
 
 def segment_tibetan(text: str, shortest: int = SHORTEST_TIBETAN) -> list[str]:
     """Sentences by shad marks that neither open a text nor stand by another mark or a digit."""
-    cuts = [0]
-    for m in re.finditer(f"[{SHAD}]", text):
-        at = m.start()
-        left = text[at - 1] if at > 1 else ""
-        left2 = text[at - 2] if at > 2 else ""
-        right = text[at + 1 : at + 2]
-        if at + 1 - cuts[-1] >= shortest and OPENING not in (left, left2) and right not in (*SHAD,) and not left.isdigit() and not right.isdigit() and text[cuts[-1] : at + 1].strip():
-            cuts.append(at + 1)
-    pieces = (text[a:b].strip() for a, b in zip(cuts, [*cuts[1:], len(text)], strict=True))
-    return [p for p in pieces if p]
+    return _cut(text, _TIBETAN_END, shortest)
 
 
 def segment_plain(text: str) -> list[str]:
@@ -110,7 +100,7 @@ def with_sentences(docs: DataFrame, *, paragraphs: str = "paragraphs", iso: str
     token_t = pa.list_(sentence_t)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             sents, toks = [], []
             for ps, lang in zip(batch.column(paragraphs).to_pylist(), batch.column(iso).to_pylist(), strict=True):
                 if ps is None or supported is not None and lang not in supported:
