@@ -1,13 +1,16 @@
 """Main text of web pages: the maximum-scoring run of words and tags.
 
-A page becomes a sequence of text runs and tags.  Words score positive where labelled pages have
-them in their main text, negative where they have them elsewhere; tags score negative, those that
-labelled pages have in menus and lists more so.  A linear scan finds the contiguous region with
-the largest sum; its text, without what stands in boilerplate elements, is the page's main text.
+A page becomes a sequence of text runs and tags.  What stands in elements that are no text (scripts,
+forms, menus, and those whose class, id or role names them as adverts, notices, comments and the
+like) takes no part.  Of the rest each word scores by the element that it stands in (positive where
+labelled pages have their main text) and by the word itself; each tag scores negative, the more so
+if labelled pages have it outside their main text.  A linear scan finds the contiguous region with
+the largest sum; its text is the page's main text.
 
 Weights come from labelled pages: pages that mark their main text with an ``article`` or ``main``
-element.  All of them are counted (one pass, a bounded number of counters per task, summed by a
-grouped aggregation); the weights are log odds.  Then each page is scored where it is read.
+element.  The mark is only read as a label, never to extract.  All labelled pages are counted (one
+pass, a bounded number of counters per task, summed by a grouped aggregation); the weights are log
+odds.  Then each page is scored where it is read, in time linear in its length.
 
 Defined cases: a null or empty page has the empty text; malformed markup is read as browsers do
 (unclosed elements end with their parents, an unclosed comment runs to the end); a page without any
@@ -19,6 +22,7 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -43,31 +47,46 @@ MARKS = frozenset(
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login paywall share sharing social "
     "comment comments disqus respond reply replies toolbar pagination pager complementary contentinfo search form".split()
 )
+#: Parts of such names that say nothing by themselves.
+NEUTRAL = frozenset(
+    "box wrap wrapper container content contents block bar list lists item items area inner outer section top bottom left right main site page global "
+    "primary secondary mobile desktop fixed sticky header footer button buttons link links post posts article articles stories slot unit text row col "
+    "column panel module component group card js user reader readers form field x bg el id the my".split()
+)
 COMMENTS = frozenset("comment comments disqus respond reply replies".split())
 NEGATED = frozenset("has with no without is not".split())
-KEPT_NAMES = frozenset(("html", "body", "main", "article"))
+WHOLE = frozenset(("html", "body", "main"))
+SECTIONS = frozenset(("article", "main", "section"))
 
 ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]*))?""")
 NAME = re.compile(r"[A-Za-z][^\s/>]*")
 PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
-#: Bounds of the weights, and the smallest cost of a tag.
-WORD_LIMIT, TAG_LIMIT, TAG_LEAST = 4.0, 3.0, 0.01
+#: Bounds of the weights, the smallest cost of a tag, hash buckets of words and the prior weight of a word's own odds.
+PLACE_LIMIT, TAG_LIMIT, TAG_LEAST, WORD_LIMIT = 4.0, 3.0, 0.01, 1.0
+BUCKETS, PRIOR = 4096, 50.0
+
 
+def named_boilerplate(name: str) -> bool:
+    """Does a class, id or role name nothing but boilerplate?  One mark, and other parts that are marks, neutral or numbers."""
+    parts = [p.lower() for p in PARTS.findall(name)]
+    return bool(parts) and parts[0] not in NEGATED and not MARKS.isdisjoint(parts) and all(p in MARKS or p in NEUTRAL or p.isdigit() for p in parts)
 
-def marked(tag: str, attributes: str, in_main: bool) -> bool:
+
+def marked(tag: str, attributes: str, in_section: bool) -> bool:
     """Does the element hold boilerplate?"""
-    if tag in DROPPED or tag == "header" and not in_main:
+    if tag in DROPPED or tag == "header" and not in_section:
         return True
-    if not attributes or not ("class" in attributes or "id" in attributes or "role" in attributes):
+    if tag in WHOLE or not attributes or not ("class" in attributes or "id" in attributes or "role" in attributes):
         return False
     for name, value in ATTRIBUTE.findall(attributes):
         if name.lower() in ("class", "id", "role"):
             for one in value.strip("\"'").split():
-                parts = [p.lower() for p in PARTS.findall(one)]
-                if parts and parts[0] not in NEGATED:
-                    hits = MARKS.intersection(parts)
-                    if tag in KEPT_NAMES or in_main and hits <= {"header"}:
-                        hits &= COMMENTS if tag == "article" else frozenset()
+                if named_boilerplate(one):
+                    hits = MARKS.intersection(p.lower() for p in PARTS.findall(one))
+                    if tag == "article":
+                        hits &= COMMENTS
+                    elif in_section:
+                        hits -= {"header"}
                     if hits:
                         return True
     return False
@@ -135,97 +154,145 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
 
 
 class Item:
-    """A run of text or a tag, with where it stands."""
+    """A run of text or a tag: the element it stands in (None in boilerplate), whether in a link and in the labelled main text, and its block."""
+
+    __slots__ = ("block", "link", "main", "place", "tag", "text")
+
+    def __init__(self, tag: str, text: str, place: str | None, link: bool, main: bool, block: int):
+        self.tag, self.text, self.place, self.link, self.main, self.block = tag, text, place, link, main, block
+
+
+class Open:
+    """The elements that are open; each operation takes time in proportion to what it opens or closes."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, str]] = []  # name, and the nearest block element
+        self.count: Counter[str] = Counter()
+        self.first: dict[str, int] = {}  # by role, the depth of the outermost element that has it
 
-    __slots__ = ("block", "context", "main", "tag", "text")
+    def push(self, name: str) -> None:
+        self.count[name] += 1
+        self.stack.append((name, name if name in BLOCKS else self.place))
 
-    def __init__(self, tag: str, text: str, context: str, main: bool, block: int):
-        self.tag, self.text, self.context, self.main, self.block = tag, text, context, main, block
+    @property
+    def place(self) -> str:
+        return self.stack[-1][1] if self.stack else ""
+
+    def close(self, name: str) -> None:
+        """Closes the innermost element of the name, and all in it."""
+        if self.count[name]:
+            while True:
+                last = self.stack.pop()[0]
+                self.count[last] -= 1
+                if last == name:
+                    break
+            self.first = {role: depth for role, depth in self.first.items() if depth < len(self.stack)}
+
+    def mark(self, role: str) -> None:
+        """The next element has the role."""
+        self.first.setdefault(role, len(self.stack))
 
 
 def items(page: str) -> tuple[list[Item], bool]:
-    """The page's items, and whether it marks its main text: by articles, or else by a main element."""
+    """The page's items, and whether it is labelled: by articles, or else by a main element."""
     for name in MAIN:
         if re.search("<" + name, page, re.IGNORECASE):
-            found, has_main = _items(page, name)
-            if has_main:
+            found, labelled = _items(page, name)
+            if labelled:
                 return found, True
     return _items(page, "")
 
 
-def _items(page: str, main_name: str) -> tuple[list[Item], bool]:
+def _items(page: str, label: str) -> tuple[list[Item], bool]:
     out: list[Item] = []
-    stack: list[str] = []
-    boiler = main = link = -1  # depth of the outermost boilerplate, main and link element, or -1
-    block, has_main = 0, False
-
-    def cut_to(depth: int) -> None:
-        nonlocal boiler, main, link
-        del stack[depth:]
-        boiler, main, link = (-1 if x >= depth else x for x in (boiler, main, link))
-
+    open_, block, labelled = Open(), 0, False
+    roles = open_.first
     for kind, name, attributes in tokens(page):
+        roles = open_.first
         if kind == "text":
-            context = "marked" if boiler >= 0 else "link" if link >= 0 else "plain"
-            out.append(Item("", name, context, main >= 0, block))
+            out.append(Item("", name, None if "boiler" in roles else open_.place, "link" in roles, "main" in roles, block))
             continue
         block += name in BLOCKS
         if kind == "open":
-            if name in CLOSES_P and "p" in stack:
-                cut_to(len(stack) - 1 - stack[::-1].index("p"))
-            elif name in ("li", "dd", "dt", "option", "tr", "td", "th") and stack and stack[-1] == name:
-                cut_to(len(stack) - 1)
-            is_main = name == main_name
-            if boiler < 0 and marked(name, attributes, main >= 0):
-                if name not in VOID:
-                    boiler = len(stack)
-            elif is_main and boiler < 0:
-                has_main = True
-                main = len(stack) if main < 0 else main
-            if name == "a" and link < 0:
-                link = len(stack)
-            if name not in VOID and not attributes.endswith("/") or name in RAW:
-                stack.append(name)
-            elif name not in VOID:  # written as <x/>
-                cut_to(len(stack))
-        elif name in stack:
-            cut_to(len(stack) - 1 - stack[::-1].index(name))
-        out.append(Item(name if name in BLOCKS or name in INLINE or name in DROPPED else "other", "", "tag", main >= 0, block))
-    return out, has_main
+            if name in CLOSES_P:
+                open_.close("p")
+            elif name in ("li", "dd", "dt", "option", "tr", "td", "th") and open_.stack and open_.stack[-1][0] == name:
+                open_.close(name)
+            single = name in VOID or attributes.endswith("/") and name not in RAW
+            if not single:
+                if "boiler" not in open_.first:
+                    if marked(name, attributes, any(open_.count[x] for x in SECTIONS)):
+                        open_.mark("boiler")
+                    elif name == label:
+                        labelled = True
+                        open_.mark("main")
+                if name == "a":
+                    open_.mark("link")
+                open_.push(name)
+        else:
+            open_.close(name)
+        roles = open_.first
+        if name not in SECTIONS:  # these are labels
+            out.append(Item(name if name in BLOCKS or name in INLINE or name in DROPPED else "other", "", None if "boiler" in roles else "", False, "main" in roles, block))
+    return out, labelled
+
+
+def bucket(word: str) -> int:
+    return zlib.crc32(word.lower().encode("utf-8", "replace")) % BUCKETS
 
 
 def counted(pages: Iterator[str | None]) -> Counter[tuple[str, bool]]:
-    """Over labelled pages, words by context and tags by name, inside and outside the main text."""
+    """Over labelled pages, words by place and by hash bucket, and tags by name, inside and outside the main text."""
     total: Counter[tuple[str, bool]] = Counter()
     for page in pages:
-        found, has_main = items(page or "")
-        if has_main:
-            for x in found:
-                if x.tag:
-                    total["<" + x.tag, x.main] += 1
-                else:
-                    total[x.context, x.main] += len(x.text.split())
+        found, labelled = items(page or "")
+        for x in found if labelled else ():
+            if x.place is None:
+                continue
+            if x.tag:
+                total["<" + x.tag, x.main] += 1
+            else:
+                words = x.text.split()
+                total[f"@{x.place}{' a' * x.link}", x.main] += len(words)
+                for w in words:
+                    total[f"#{bucket(w)}", x.main] += 1
     return total
 
 
 class Weights:
-    """Log odds of standing in the main text: positive for words there, negative for tags."""
+    """Log odds of standing in the main text: of places and words, mostly positive there, and of tags, always negative."""
 
     def __init__(self, counts: dict[tuple[str, bool], int]):
-        odds = lambda k: math.log((counts.get((k, True), 0) + 1) / (counts.get((k, False), 0) + 1))
         limited = lambda x, low, high: max(low, min(high, x))
-        self.plain = limited(odds("plain"), 0.5, WORD_LIMIT)
-        self.link = limited(odds("link"), -WORD_LIMIT, self.plain / 2)
-        self.marked = min(-0.01, limited(odds("marked"), -WORD_LIMIT, 0))
-        self.tags = {k[1:]: limited(odds(k), -TAG_LIMIT, -TAG_LEAST) for k, _ in counts if k[0] == "<"}
-
-    def score(self, x: Item, has_main: bool) -> float:
+        n = lambda k, main: counts.get((k, main), 0)
+        keys = sorted({k for k, _ in counts})
+        odds = lambda k: math.log((n(k, True) + 1) / (n(k, False) + 1))
+        total = {(link, main): sum(c for (k, m), c in counts.items() if k[0] == "@" and m == main and k.endswith(" a") == link) for link in (True, False) for main in (True, False)}
+        plain = math.log((total[False, True] + 1) / (total[False, False] + 1))
+        #: Where a place hasn't been seen: words outside and inside links.
+        self.plain = limited(plain, 0.5, PLACE_LIMIT)
+        self.link = limited(math.log((total[True, True] + 1) / (total[True, False] + 1)), -PLACE_LIMIT, self.plain / 2)
+        self.places = {k[1:]: limited(odds(k), -PLACE_LIMIT, PLACE_LIMIT) for k in keys if k[0] == "@"}
+        self.tags = {k[1:]: limited(odds(k), -TAG_LIMIT, -TAG_LEAST) for k in keys if k[0] == "<"}
+        inside, outside = (sum(c for (k, m), c in counts.items() if k[0] == "#" and m == main) for main in (True, False))
+        share = (inside + 1) / (inside + outside + 2)
+        self.words = [0.0] * BUCKETS
+        for k in keys:
+            if k[0] == "#":  # what the word adds to its place
+                own = (n(k, True) + PRIOR * share) / (n(k, False) + PRIOR * (1 - share))
+                self.words[int(k[1:])] = limited(math.log(own) - math.log(share / (1 - share)), -WORD_LIMIT, WORD_LIMIT)
+        self.flat = not any(self.words)
+
+    def score(self, x: Item) -> float:
+        if x.place is None:
+            return 0.0
         if x.tag:
-            return -TAG_LEAST if x.main else self.tags.get(x.tag, -TAG_LEAST)
-        n = len(x.text.split())
-        if has_main:  # the page says itself where its main text is
-            return n * self.plain if x.main and x.context != "marked" else -n * self.plain * (not x.main) - n * 0.001
-        return n * {"plain": self.plain, "link": self.link, "marked": self.marked}[x.context]
+            return self.tags.get(x.tag, -TAG_LEAST)
+        words = x.text.split()
+        if not words:
+            return 0.0
+        place = self.places.get(f"{x.place}{' a' * x.link}", self.link if x.link else self.plain)
+        return len(words) * place + (0.0 if self.flat else sum(self.words[bucket(w)] for w in words))
 
 
 def best_region(scores: list[float]) -> tuple[int, int]:
@@ -244,18 +311,18 @@ def best_region(scores: list[float]) -> tuple[int, int]:
 def main_text(page: str | None, weights: Weights) -> str:
     if not page:
         return ""
-    found, has_main = items(page)
-    low, high = best_region([weights.score(x, has_main) for x in found])
+    found, _ = items(page)
+    low, high = best_region([weights.score(x) for x in found])
     blocks: dict[int, list[str]] = {}
     for x in found[low:high]:
-        if not x.tag and x.context != "marked" and (x.main or not has_main):
+        if not x.tag and x.place is not None:
             blocks.setdefault(x.block, []).append(x.text)
     texts = (" ".join(entities.unescape("".join(runs)).split()) for runs in blocks.values())
     return " ".join(t for t in texts if t)
 
 
 def fit(pages: DataFrame, html: str = "html") -> Weights:
-    """Weights from every page that marks its main text; a few hundred counts reach the driver."""
+    """Weights from every page that marks its main text; counts of the elements' names and of BUCKETS words reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter[tuple[str, bool]] = Counter()

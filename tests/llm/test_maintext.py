@@ -41,6 +41,11 @@ def test_best_region_equals_all_ranges():
         ("<article><p>in<b>li</b>ne &copy; 3 < 4</article>", "inline © 3 < 4"),
         ("<article><style>p{}</style><noscript>enable</noscript><p title='a > b'>kept</p><textarea>no</textarea></article>", "kept"),
         ("<article class='post'><p>post</p></article><article class='comment'><p>reader</p></article>", "post"),
+        ("<article><p>first</p></article><div class='ad'>buy</div><article><p>second</p></article>", "first second"),
+        ("<article><p>a</p><section class='social-history'>b</section><div id='related-work'>c</div></article>", "a b c"),
+        ("<div class='notice-board-content'><p>all of it</p></div>", "all of it"),
+        ("<div class='cookie-notice ad-300x250'>x</div><p>y</p><div class='related-posts'>z</div>", "y"),
+        ("<article><p>text</p><ul><li>one</li><li>two</li></ul></article>", "text one two"),
     ],
 )
 def test_pages(weights, page, text):
@@ -65,6 +70,34 @@ def test_without_article_element_the_region_is_the_same(spark, sf_dir):
         assert mt.main_text(p.replace("<article>", "<div>").replace("</article>", "</div>"), weights) == plain(p)
 
 
+def test_labels_are_only_read_to_fit():
+    """Pages without any of the marks that help: places and words alone part text from the rest."""
+    rows = [f"<div><div>Home News Sport Contact Imprint</div><div>Subscribe now for offers</div><article><p>The {k} river rose over night and people left their homes.</p><p>Water stood high in all streets of the old town.</p></article><div>Home News Sport all rights</div></div>" for k in range(60)]
+    weights = mt.Weights(mt.counted(iter(rows)))
+    for page in rows:
+        bare = page.replace("<article>", "<div>").replace("</article>", "</div>")
+        want = re.sub("<[^>]*>", " ", page[page.index("<article>") : page.index("</article>")])
+        assert mt.main_text(bare, weights) == mt.main_text(page, weights) == " ".join(want.split())
+
+
+def test_scores_equal_a_plain_version(weights):
+    """The region is the best of all ranges of the page's items."""
+    for page in (PAGE, "<p>a b</p><table><tr><td>1<td>2</table><a href=x>y z</a><p>c</p>"):
+        scores = [weights.score(x) for x in mt.items(page)[0]]
+        low, high = mt.best_region(scores)
+        assert sum(scores[low:high]) == pytest.approx(max(sum(scores[a:b]) for a in range(len(scores)) for b in range(a, len(scores) + 1)))
+
+
+def test_long_and_deep_pages_take_linear_time(weights):
+    import time
+
+    began = time.perf_counter()
+    assert mt.main_text("<div>" * 100_000 + "x" + "</div>" * 100_000, weights) == "x"
+    assert mt.main_text("<p>" + "<b>" * 50_000 + "deep" + "<p>next" * 20_000, weights).startswith("deep next")
+    assert len(mt.main_text("<p>" + "word " * 1_000_000, weights)) == 4_999_999
+    assert time.perf_counter() - began < 15
+
+
 def test_frames(spark):
     pages = spark.createDataFrame([(1, "u", PAGE, 0), (1, "u", PAGE, 0), (None, None, None, 1)], "page_id bigint, url string, html string, id int")
     got = sorted((r.page_id or 0, r.text) for r in mt.extract(pages, mt.fit(pages)).collect())
