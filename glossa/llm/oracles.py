@@ -1,6 +1,6 @@
 """SQL that gives the same rows as the queries of this subpackage, where SQL can express them."""
 
-from glossa.llm.licenses import BLOCK, PHRASES, TEMPLATES, THRESHOLD
+from glossa.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
 
 SQL: dict[str, str] = {
     "op1_decontamination": r"""
@@ -39,15 +39,14 @@ SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(r.text, '') END AS t
 def _license_sql() -> str:
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
     words = r"regexp_extract_all(" + lower + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
-    rows = ", ".join(f"('{label}', '{text}')" for label, text in TEMPLATES)
+    rows = ", ".join(f"('{label}', '{text}', '{required}')" for label, text, required in TEMPLATES)
     hits = " UNION ALL ".join(f"SELECT doc_id, k - 1 AS word, '{label}' AS label FROM p WHERE array_to_string(ws[k:k + {len(phrase.split()) - 1}], ' ') = '{phrase}'" for phrase, label in PHRASES.items())
     return rf"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-l AS (SELECT doc_id, {words.format("line")} AS ws FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)),
-b AS (SELECT doc_id, list_distinct(ws[k + 1:k + {BLOCK}]) AS block FROM (SELECT doc_id, ws, unnest(range(0, greatest(1, len(ws) - {BLOCK // 2}), {BLOCK // 2})) AS k FROM l WHERE len(ws) > 0)),
-t AS (SELECT label, list_distinct({words.format("body")}) AS ts FROM (VALUES {rows}) v(label, body)),
-f AS (SELECT doc_id, label, max(len(list_intersect(block, ts)) / len(ts)) AS share FROM b JOIN t ON len(list_intersect(block, ts)) >= ceil({THRESHOLD} * len(ts) - 1e-9) GROUP BY 1, 2),
-w AS (SELECT doc_id, {words.format("text")} AS ws FROM d),
+WITH w AS (SELECT doc_id, {words.format("coalesce(text, '')")} AS ws FROM documents),
+t AS (SELECT label, list_distinct(ts) AS ts, len(ts) + len(ts) // 8 AS width, string_split(req, ' ') AS req FROM (SELECT label, {words.format("body")} AS ts, req FROM (VALUES {rows}) v(label, body, req))),
+c AS (SELECT doc_id, ws, label, ts, width, req FROM (SELECT doc_id, ws, list_distinct(ws) AS ds FROM w) JOIN t ON list_has_all(ds, req) AND len(list_intersect(ds, ts)) >= ceil({THRESHOLD} * len(ts) - 1e-9)),
+b AS (SELECT label, ts, req, doc_id, list_distinct(ws[k:k + width - 1]) AS block FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS k FROM c)),
+f AS (SELECT doc_id, label, max(len(list_intersect(block, ts)) / len(ts)) AS share FROM b WHERE list_has_all(block, req) AND len(list_intersect(block, ts)) >= ceil({THRESHOLD} * len(ts) - 1e-9) GROUP BY 1, 2),
 p AS (SELECT doc_id, ws, unnest(range(1, len(ws) + 1)) AS k FROM w),
 h AS ({hits}),
 base AS (SELECT doc_id, count(*) AS n_base, min(word) AS first_word, max(word) AS last_word FROM h GROUP BY 1),

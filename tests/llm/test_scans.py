@@ -19,35 +19,43 @@ def frame(spark, texts):
 # --- licences ---
 
 
+def brute_finds(text):
+    """Best containment of each label over all blocks of all templates."""
+    words, best = alnum_words(text), {}
+    for label, t, required in li.TEMPLATES:
+        tokens, width = set(alnum_words(t)), li.block_words(alnum_words(t))
+        for k in range(len(words)):
+            block = set(words[k : k + width])
+            share = len(tokens & block) / len(tokens)
+            if share >= li.THRESHOLD and set(alnum_words(required)) <= block:
+                best[label] = max(best.get(label, 0), share)
+    return best
+
+
 def test_containment_equals_all_blocks(spark):
     rng = random.Random(6)
-    words = sorted({w.decode() for _, t in li.TEMPLATES for w in alnum_words(t)})[:30] + ["zz", "yy"]
+    words = sorted({w.decode() for _, t, _ in li.TEMPLATES for w in alnum_words(t)})[:30] + ["zz", "yy"]
     texts = []
-    for _ in range(60):
+    for _ in range(80):
         template = rng.choice(li.TEMPLATES)[1].split()
-        kept = [w for w in template if rng.random() < 0.9]
+        kept = [w for w in template if rng.random() < 0.93]
+        rng.random() < 0.3 and rng.shuffle(kept)
         texts.append(" ".join(rng.choice(words) for _ in range(rng.randint(0, 90))) + "\n" + " ".join(kept) + " " + " ".join(rng.choice(words) for _ in range(5)))
-    want = {}
-    for d, text in enumerate(texts):
-        best = {}
-        for _, block in li.blocks(text):
-            for label, t in li.TEMPLATES:
-                tokens = set(alnum_words(t))
-                share = len(tokens & set(block)) / len(tokens)
-                if share >= li.THRESHOLD:
-                    best[label] = max(best.get(label, 0), share)
-        want[d] = best
     got = li.scan_licenses(frame(spark, texts)).collect()
-    assert {r.doc_id: {f.label: pytest.approx(f.containment) for f in r.finds} for r in got} == want
-    assert sum(map(bool, want.values())) > 20
+    best = {}
+    for r in got:
+        for f in r.finds:
+            best.setdefault(r.doc_id, {})[f.label] = max(best.get(r.doc_id, {}).get(f.label, 0), f.containment)
+    want = {d: pytest.approx(x) for d, t in enumerate(texts) if (x := brute_finds(t))}
+    assert best == want and len(want) > 30
 
 
-def test_phrases_and_blocks():
+def test_phrases_and_wrong_labels(spark):
     words = alnum_words("Under the MIT-License. CC BY-NC; cc by nc / apache license, version 2.0 under the mit")
     assert li.phrase_places(words, li.PHRASES) == [(0, "mit"), (4, "cc-by-nc"), (7, "cc-by-nc"), (10, "apache-2")]
-    text = "\n".join(" ".join(f"w{k}x{i}" for i in range(k * 37)) for k in range(6))
-    covered = {(at + i): w for at, block in li.blocks(text) for i, w in enumerate(block)}
-    assert [covered[k] for k in range(len(covered))] == alnum_words(text)
+    texts = ["licensed under cc by nc 4.0", "the rights were all reserved", "under the released MIT students license", "This library is licensed under the GNU General Public License version 3", "All rights reserved, mit. " * 3, "Licensed under CC BY-SA 4.0"]
+    got = {r.doc_id: [(f.label, f.word) for f in r.finds] for r in li.scan_licenses(frame(spark, texts)).collect()}
+    assert got == {0: [("cc-by-nc", 0)], 1: [], 2: [], 3: [("gpl-3", 0)], 4: [("all-rights-reserved", k) for k in (0, 4, 8)], 5: [("cc-by-sa", 0)]}
 
 
 def test_license_query_and_weird_rows(spark, sf_dir, weird):
@@ -64,11 +72,11 @@ def test_license_query_and_weird_rows(spark, sf_dir, weird):
 
 def test_wrapped_notices_are_found(spark):
     texts = []
-    for _, template in li.TEMPLATES:
+    for _, template, _ in li.TEMPLATES:
         words = template.split()
         texts.append("some code before\n" + "\n".join(" * " + " ".join(words[k : k + 4]) for k in range(0, len(words), 4)) + "\nand after")
     got = {r.doc_id: {f.label for f in r.finds} for r in li.scan_licenses(frame(spark, texts)).collect()}
-    assert all(label in got[d] for d, (label, _) in enumerate(li.TEMPLATES))
+    assert all(label in got[d] for d, (label, _, _) in enumerate(li.TEMPLATES))
 
 
 # --- personal data ---
