@@ -1,19 +1,22 @@
-"""Personal data: fixed patterns, and terms whose company gives a protected entity away.
+"""Personal data: fixed patterns and titled names, and terms whose company gives a protected entity away.
 
-The patterns give base spans; each distinct value (an address, a number) is a protected entity.
-Corpus co-occurrence then estimates what other terms reveal.  For a term t near entity e,
+The patterns give base spans, and names after a title ("Dr. Jane Roe") are found as well; each
+distinct value (an address, a number, a name) is a protected entity.  Corpus co-occurrence then
+estimates what other terms reveal.  For a term t near entity e,
 
     disclosure(t, e) = 1 - log p(e|t) / log p(e)
 
 is the share of the entity's information, -log p(e), that knowing t gives away, with p(e|t) the
 documents that have t near e over those that have t, and p(e) the entity's documents over all
-documents; copies count in each.  Terms at or above ``generalise`` are replaced by a general word in
-every document that has them, those at or above ``remove`` vanish.  A term needs ``support`` distinct contexts, so copies of one
-text reveal nothing more than the text itself.
+documents; copies count in each.  A term needs ``support`` distinct contexts, so copies of one text
+reveal nothing more than the text itself.  In every document that has them, terms at or above
+``remove`` vanish, and terms at or above ``generalise`` are generalised: cut to the longest of their
+beginnings of three, two or one letters that, by the same measure over all terms that begin so,
+stays below the threshold.
 
-All counts cover all documents.  Contexts are counted by grouped aggregation (partial sums before
-the shuffle).  Candidate terms and revealing pairs go to the executors in blocks of at most
-``block_pairs`` entries, one narrow pass for each block, however many there are.
+All counts cover all documents: one pass counts contexts, one the documents of each term; both are
+grouped aggregations (partial sums before the shuffle).  Up to ``max_terms`` revealing terms go to
+the executors with the function; more are joined to the documents' own terms.
 
 Defined cases: a null or empty text has no spans; ties in start are ordered by kind; repeated rows
 are each scanned; no entities, no terms; other columns are ignored.
@@ -21,7 +24,6 @@ are each scanned; no entities, no terms; other columns are ignored.
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -30,9 +32,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glossa.llm.common import cut, slices
+from glossa.llm.common import Scratch, cut, slices
 
-KINDS = ("email", "ip", "card", "phone", "term")
+KINDS = ("email", "ip", "card", "phone", "name", "term")
+NAME_KIND, TERM_KIND = 4, 5
 #: Of an address, what may stand before the @, and the rest from the @ on.
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 HOST = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -40,10 +43,14 @@ IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")  # no match s
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TERM = re.compile(r"[^\W\d_]{2,}")
+#: Titles that a name follows.
+TITLES = ("Mr", "Mrs", "Ms", "Miss", "Dr", "Prof", "Professor", "Herr", "Frau", "Monsieur", "Madame", "Señor", "Señora")
+NAME = re.compile(rf"\b(?:{'|'.join(TITLES)})\b\.?\x20((?:[A-ZÀ-ÖØ-Þ][^\W\d_]+[\x20'-]?){{1,4}}(?<=\w))")
 #: Words on either side of an entity that are its context, distinct contexts a term needs, thresholds of disclosure.
 REACH, SUPPORT, GENERALISE, REMOVE = 8, 3, 0.9, 0.97
-BLOCK_PAIRS = 200_000
-GENERAL = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>", "term": "<TERM>"}
+#: Revealing terms that go to the executors with the function (some 20 MB), terms that a task counts before it passes sums on, and lengths of beginnings.
+MAX_TERMS, COUNTED, BEGINNINGS = 200_000, 200_000, (3, 2, 1)
+GENERAL = {"email": "<EMAIL>", "ip": "<IP>", "card": "<CARD>", "phone": "<PHONE>", "name": "<NAME>"}
 
 
 def luhn(digits: str) -> bool:
@@ -83,11 +90,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def names(text: str) -> list[tuple[int, int, int]]:
+    """Spans of names that follow a title."""
+    return [(m.start(1), NAME_KIND, m.end(1)) for m in NAME.finditer(text)] if any(t in text for t in TITLES) else []
+
+
+def spans_of(text: str | None) -> list[tuple[int, int, int]]:
+    """Base spans and names, in order."""
+    return sorted(base_spans(text) + names(text)) if text else []
+
+
 def entity(text: str, span: tuple[int, int, int]) -> str:
     """A span's value, in one spelling."""
     start, kind, end = span
     value = text[start:end]
-    return f"{KINDS[kind]}:{value.lower() if kind == 0 else value if kind == 1 else re.sub('[^0-9]', '', value)}"
+    return f"{KINDS[kind]}:{value.lower() if kind in (0, NAME_KIND) else value if kind == 1 else re.sub('[^0-9]', '', value)}"
 
 
 def context(text: str, start: int, end: int, reach: int) -> list[str]:
@@ -107,7 +124,7 @@ def contexts(docs: DataFrame, text: str, reach: int) -> DataFrame:
         for batch in slices(batches):
             rows = []
             for value in batch.column(0).to_pylist():
-                spans, met = base_spans(value) if value else [], set()
+                spans, met = spans_of(value), set()
                 covered = [(s, e) for s, _, e in spans]
                 for span in spans:
                     near = context(_masked(value, covered, span, reach), *_moved(covered, span, value, reach), reach)
@@ -144,86 +161,109 @@ def _moved(covered: list[tuple[int, int]], span: tuple[int, int, int], value: st
     return span[0] - low, span[2] - low
 
 
-def _blocks(rows: DataFrame, size: int) -> Iterator[list]:
-    """The rows in lists of bounded length, read one after another."""
-    block = []
-    for row in rows.toLocalIterator():
-        block.append(tuple(row))
-        if len(block) >= size:
-            yield block
-            block = []
-    if block:
-        yield block
+def terms_of(text: str | None) -> set[str]:
+    return set(TERM.findall(text.lower())) if text else set()
+
 
+def document_frequency(docs: DataFrame, text: str) -> DataFrame:
+    """In how many documents each term stands: (term, n_docs)."""
 
-def document_counts(docs: DataFrame, text: str, terms: list[str]) -> DataFrame:
-    """In how many documents each of these terms stands."""
-    wanted = frozenset(terms)
+    def sums(total: Counter[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["term", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: Counter[str] = Counter()
         for batch in slices(batches):
             for value in batch.column(0).to_pylist():
-                total.update(wanted.intersection(TERM.findall(value.lower())) if value else ())
-        yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.string()), pa.array(list(total.values()), pa.int64())], names=["term", "n"])
+                total.update(terms_of(value))
+            if len(total) >= COUNTED:
+                yield sums(total)
+                total.clear()
+        yield sums(total)
 
     return docs.select(docs[text].cast("string").alias("text")).mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n_docs"))
 
 
-def revealing_terms(docs: DataFrame, *, text: str = "text", reach: int = REACH, support: int = SUPPORT, generalise: float = GENERALISE, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
-    """Pairs (entity, term) with their disclosure, at or above the threshold."""
-    counted = cut(contexts(docs, text, reach).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_contexts"), F.sum("n").alias("n_near")).filter(F.col("n_contexts") >= support))
-    pairs = counted.filter("term != ''")
-    spark, counts = docs.sparkSession, None
-    for block in _blocks(pairs.select("term").distinct(), block_pairs):
-        part = document_counts(docs, text, [t for (t,) in block])
-        counts = part if counts is None else counts.union(part)
-    if counts is None:
-        return spark.createDataFrame([], "entity string, term string, disclosure double")
-    entities = counted.filter("term = ''").select("entity", F.col("n_near").alias("n_entity"))
-    n = max(docs.count(), 2)
-    prior = F.log(F.least(F.col("n_entity") / F.lit(n), F.lit(1 - 1e-9)))
-    given = F.log(F.least(F.col("n_near") / F.col("n_docs"), F.lit(1.0)))
-    return pairs.join(cut(counts), "term").join(entities, "entity").select("entity", "term", (1 - given / prior).alias("disclosure")).filter(F.col("disclosure") >= generalise)
-
-
-def find_personal_data(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", reach: int = REACH, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE, block_pairs: int = BLOCK_PAIRS) -> DataFrame:
+def revealing_terms(docs: DataFrame, *, text: str = "text", reach: int = REACH, support: int = SUPPORT, generalise: float = GENERALISE) -> DataFrame:
+    """(entity, term, disclosure) at or above the threshold, with ``beginnings``: the disclosure of the term's beginnings, longest first."""
+    with Scratch(docs.sparkSession) as own:
+        met = own.cut(contexts(docs, text, reach).groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_contexts"), F.sum("n").alias("n_near")))
+        frequency = own.cut(document_frequency(docs, text))
+        n = max(docs.count(), 2)
+        entities = met.filter("term = ''").select("entity", F.log(F.least(F.col("n_near") / F.lit(n), F.lit(1 - 1e-9))).alias("prior"))
+        share = lambda near, docs: 1 - F.log(F.least(F.col(near) / F.col(docs), F.lit(1.0))) / F.col("prior")
+        pairs = met.filter(F.col("n_contexts") >= support).filter("term != ''").join(frequency, "term").join(entities, "entity")
+        found = own.cut(pairs.select("entity", "term", "prior", share("n_near", "n_docs").alias("disclosure")).filter(F.col("disclosure") >= generalise))
+        out = found
+        for k in BEGINNINGS:
+            begin = F.substring("term", 1, k).alias(f"b{k}")
+            all_docs = frequency.groupBy(begin).agg(F.sum("n_docs").alias(f"d{k}"))
+            all_near = met.filter("term != ''").join(found.select("entity").distinct(), "entity", "left_semi").groupBy("entity", begin).agg(F.sum("n_near").alias(f"e{k}"))
+            out = out.withColumn(f"b{k}", begin).join(all_docs, f"b{k}").join(all_near, ["entity", f"b{k}"])
+        return cut(out.select("entity", "term", "disclosure", F.array(*[share(f"e{k}", f"d{k}") for k in BEGINNINGS]).alias("beginnings")))
+
+
+def treated_terms(pairs: DataFrame, generalise: float) -> DataFrame:
+    """(term, disclosure, general) over all entities: the longest proper beginning that gives none of them away, or null."""
+    worst = pairs.groupBy("term").agg(F.max("disclosure").alias("disclosure"), *[F.max(F.col("beginnings")[i]).alias(f"w{k}") for i, k in enumerate(BEGINNINGS)])
+    general = F.coalesce(*[F.when((F.col(f"w{k}") < generalise) & (F.length("term") > k), F.substring("term", 1, k)) for k in BEGINNINGS])
+    return worst.select("term", "disclosure", general.alias("general"))
+
+
+def own_terms(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """(version, own): for each text, by its hash, those of its terms that are treated."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            rows = [(v, t) for v, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for t in terms_of(value)]
+            yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in rows], pa.int64()), pa.array([t for _, t in rows], pa.string())], names=["version", "term"])
+
+    met = docs.select("version", "text").mapInArrow(run, "version bigint, term string").distinct().join(terms, "term")
+    return met.groupBy("version").agg(F.collect_list(F.struct("term", "disclosure", "general")).alias("own"))
+
+
+def find_personal_data(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", reach: int = REACH, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE, max_terms: int = MAX_TERMS) -> DataFrame:
     """Per document: id, spans (kind, start, end, disclosure) by start and kind, and the sanitised text."""
     kind = docs.schema[doc_id].dataType.simpleString()
-    pairs = cut(revealing_terms(docs, text=text, reach=reach, support=support, generalise=generalise, block_pairs=block_pairs).groupBy("term").agg(F.max("disclosure").alias("disclosure")))
-    blocks = list(_blocks(pairs, block_pairs)) or [[]]
-    span_t = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("disclosure", pa.float64())]))
+    terms = cut(treated_terms(revealing_terms(docs, text=text, reach=reach, support=support, generalise=generalise), generalise))
     frame = docs.select(docs[doc_id].alias("id"), docs[text].cast("string").alias("text"))
-    for k, block in enumerate(blocks):
-        reveals: dict[str, float] = dict(block)
-        last = k == len(blocks) - 1
-
-        def run(batches: Iterator[pa.RecordBatch], reveals: dict = reveals, last: bool = last) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches):
-                before = batch.column(2).to_pylist() if batch.num_columns > 2 else [None] * batch.num_rows
-                texts, rows = batch.column(1).to_pylist(), []
-                for value, old in zip(texts, before, strict=True):
-                    base = base_spans(value) if value else []
-                    found = {(s["start"], KINDS.index(s["kind"]), s["end"]): s["disclosure"] for s in old} if old is not None else {b: 1.0 for b in base}
-                    for m in TERM.finditer(value) if reveals and value else ():
-                        if m[0].lower() in reveals and not any(s < m.end() and m.start() < e for s, _, e in base):
-                            at = (m.start(), 4, m.end())
-                            found[at] = max(found.get(at, 0.0), reveals[m[0].lower()])
-                    rows.append([{"kind": KINDS[k], "start": s, "end": e, "disclosure": d} for (s, k, e), d in sorted(found.items())])
-                if last:
-                    texts = [sanitised(t, r, remove) if r else t for t, r in zip(texts, rows, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(rows, span_t)], names=["id", "text", "spans"])
-
-        frame = frame.mapInArrow(run, f"id {kind}, text string, spans array<struct<kind:string,start:bigint,end:bigint,disclosure:double>>")
-    return frame.withColumnRenamed("id", doc_id).withColumnRenamed("text", "sanitised")
-
-
-def sanitised(text: str, spans: list[dict], remove: float) -> str:
+    if terms.count() <= max_terms:
+        shared = {r.term: (r.disclosure, r.general) for r in terms.collect()}
+    else:
+        shared = None
+        frame = frame.withColumn("version", F.xxhash64("text"))
+        frame = frame.join(cut(own_terms(frame, terms)), "version", "left").select("id", "text", "own")
+    span_t = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("disclosure", pa.float64())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts, rows, clean = batch.column(1).to_pylist(), [], []
+            owned = batch.column(2).to_pylist() if shared is None else [None] * len(texts)
+            for value, own in zip(texts, owned, strict=True):
+                reveals = shared if shared is not None else {t["term"]: (t["disclosure"], t["general"]) for t in own or ()}
+                found = spans_of(value)
+                levels = dict.fromkeys(found, 1.0)
+                for m in TERM.finditer(value) if reveals and value else ():
+                    if m[0].lower() in reveals and not any(s < m.end() and m.start() < e for s, _, e in found):
+                        levels[m.start(), TERM_KIND, m.end()] = reveals[m[0].lower()][0]
+                ordered = sorted(levels.items())
+                rows.append([{"kind": KINDS[k], "start": s, "end": e, "disclosure": d} for (s, k, e), d in ordered])
+                clean.append(sanitised(value, ordered, reveals, remove) if ordered else value)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(clean, pa.string()), pa.array(rows, span_t)], names=["id", "sanitised", "spans"])
+
+    return frame.mapInArrow(run, f"id {kind}, sanitised string, spans array<struct<kind:string,start:bigint,end:bigint,disclosure:double>>").withColumnRenamed("id", doc_id)
+
+
+def sanitised(text: str, spans: list[tuple[tuple[int, int, int], float]], reveals: dict[str, tuple[float, str | None]], remove: float) -> str:
     """The text with spans generalised, and with those terms gone that reveal too much; of overlapping spans the first counts."""
     out, at = [], 0
-    for s in spans:
-        if s["start"] >= at:
-            gone = s["kind"] == "term" and s["disclosure"] >= remove
-            out += [text[at : s["start"]], "" if gone else GENERAL[s["kind"]]]
-            at = s["end"]
+    for (start, kind, end), level in spans:
+        if start < at:
+            continue
+        out.append(text[at:start])
+        if kind != TERM_KIND:
+            out.append(GENERAL[KINDS[kind]])
+        elif level < remove and (general := reveals[text[start:end].lower()][1]):
+            out.append(text[start : start + len(general)] + "…")
+        at = end
     return "".join([*out, text[at:]])

@@ -119,8 +119,8 @@ def test_revealing_terms_are_found_and_common_ones_left(spark):
         assert terms == ({"Zorblatt"} if "Zorblatt" in t else set())
         if "Zorblatt" in t:
             assert "Zorblatt" not in found[d].sanitised and "<EMAIL>" in found[d].sanitised and "please write" in found[d].sanitised
-    blocks = {r.doc_id: r.spans for r in pii.find_personal_data(frame(spark, texts), block_pairs=1).collect()}
-    assert blocks == {d: r.spans for d, r in found.items()}
+    joined = {r.doc_id: (r.spans, r.sanitised) for r in pii.find_personal_data(frame(spark, texts), max_terms=0).collect()}
+    assert joined == {d: (r.spans, r.sanitised) for d, r in found.items()}
 
 
 def test_copies_and_texts_without_the_entity(spark):
@@ -133,6 +133,47 @@ def test_copies_and_texts_without_the_entity(spark):
     assert all(found[d] == texts[d] for d in range(300))
 
 
+def test_names_after_titles():
+    text = "Dr. Jane Roe met Mr Smith-Jones and Frau Müller. The Drum Major left; Ms. spoke."
+    assert [text[s:e] for s, _, e in pii.names(text)] == ["Jane Roe", "Smith-Jones", "Müller"]
+
+
+def test_disclosure_equals_a_plain_version(spark):
+    """Counts, disclosures and generalisations by loops over all documents."""
+    import math
+    from collections import defaultdict
+
+    rng = random.Random(4)
+    words = ["zorba", "zorbin", "zolta", "mark", "lona", "tivex", "quartz", "ruda", "keva", "siva"]
+    say = lambda n: " ".join(rng.choice(words[3:] if rng.random() < 0.9 else words) for _ in range(n))
+    texts = [say(25) for _ in range(150)]
+    for who, term in (("one@corp.example.com", "zorba"), ("10.0.0.7", "quokka"), ("Dr. Jane Roe", "zolta")):
+        texts += [f"{say(6)} {term} {who} {say(9)}" for _ in range(5)]
+    texts += [f"quokka {say(12)}" for _ in range(2)] + [texts[-1]] * 4
+    near, contexts, held = defaultdict(set), defaultdict(set), defaultdict(set)
+    for d, text in enumerate(texts):
+        for t in set(re.findall(r"[^\W\d_]{2,}", text.lower())):
+            held[t].add(d)
+        for s, k, e in pii.spans_of(text):
+            name = pii.entity(text, (s, k, e))
+            around = re.findall(r"[^\W\d_]{2,}", text[:s].lower())[-8:] + re.findall(r"[^\W\d_]{2,}", text[e:].lower())[:8]
+            for t in {*around, ""}:
+                near[name, t].add(d)
+                contexts[name, t].add(" ".join(around))
+    level = lambda x, docs, name: 1 - math.log(min(1, x / docs)) / math.log(min(len(near[name, ""]) / len(texts), 1 - 1e-9))
+    want = {}
+    for (name, t), ds in near.items():
+        if t and len(contexts[name, t]) >= 3 and (x := level(len(ds), len(held[t]), name)) >= 0.9:
+            starts = [level(sum(len(v) for (n, u), v in near.items() if n == name and u.startswith(t[:k]) and u), sum(len(v) for u, v in held.items() if u.startswith(t[:k])), name) for k in (3, 2, 1)]
+            want[name, t] = (pytest.approx(x), pytest.approx(starts))
+    got = pii.revealing_terms(frame(spark, texts))
+    assert {(r.entity, r.term): (r.disclosure, r.beginnings) for r in got.collect()} == want and want
+    general = {r.term: r.general for r in pii.treated_terms(got, 0.9).collect()}
+    for t in {t for _, t in want}:
+        worst = [max(w[1].expected[i] for (_, u), w in want.items() if u == t) for i in range(3)]
+        assert general[t] == next((t[:k] for k, w in zip((3, 2, 1), worst, strict=True) if w < 0.9), None)
+
+
 def test_pii_query_and_weird_rows(spark, sf_dir, weird):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     for r in op8_personal_data(spark, sf_dir).collect():
