@@ -1,13 +1,14 @@
 """Benchmark decontamination with suffix arrays over shards of the training text.
 
-Each executor takes its documents shard by shard, turns words into ids of the benchmark's
-vocabulary and sorts the suffixes of the shard.  Every test suffix is looked up in that order
-by binary search; equal ranges give the verbatim matches, which are then extended word by word
-to their full length.  Nothing is shuffled: a document is judged where it is read.
+Each executor takes its documents shard by shard (about a million words, or one task's rows), turns
+words into ids of the benchmark's vocabulary and sorts the suffixes of the shard by their first
+``window`` words.  Every test suffix whose words all occur in the shard is looked up in that order
+by binary search; equal ranges give the verbatim matches, which are then extended word by word to
+their full length.  Nothing is shuffled: a document is judged where it is read.
 
 The benchmark is the stated query set.  It is brought to the executors in blocks of at most
-``block_words`` words; each block is one pass in a chain of narrow maps, so that a benchmark of
-any size stays within a bounded memory.
+``block_words`` words, prepared once each.  A block is one pass; between passes the documents are
+written to the shared folder, so that the driver and the executors hold one block at a time.
 
 Defined cases: a null or wordless text has no words and is never contaminated; an item without
 words (or a null one) matches nothing; an item shorter than ``window`` words matches as a whole;
@@ -18,7 +19,6 @@ repeated document rows are each judged alike; other input columns are ignored (o
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -26,12 +26,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from glossa.llm.common import alnum_words, slices
+from glossa.llm.common import Scratch, alnum_words, cut, slices
 
 WINDOW = 10
 #: Words of benchmark text in a block (about 6 bytes each), and of documents in a shard.
 BLOCK_WORDS = 2_000_000
 SHARD_WORDS = 1_000_000
+#: Rows that a shard grows by.
+SHARD_ROWS = 64
 #: What the search says of a document.
 FOUND_DDL = {"n_words": "bigint", "spans": "array<struct<first:int,last:int>>", "item_ids": "array<string>", "matches": "array<struct<item_id:string,item_word:int,doc_word:int,n_words:int>>"}
 FOUND = pa.schema(
@@ -66,6 +68,19 @@ class TestSet:
             begins.setdefault(n, s)
         self.begin = np.array([begins[n] for n in owner], dtype=np.int64)  # where the suffix's item begins
         self.least = int(self.widths.min()) if starts else 0
+        self.sorted = []  # for each width: the suffixes, and their distinct keys in order with one suffix each
+        for width in np.unique(self.widths):
+            mine = np.flatnonzero(self.widths == width)
+            wanted, one, back = np.unique(keys_at(self.flat, self.starts[mine], int(width)), return_index=True, return_inverse=True)
+            self.sorted.append((int(width), mine, wanted, mine[one], back))
+
+    def present(self, ids: np.ndarray) -> np.ndarray:
+        """Of each test suffix, whether a shard has all words of its window."""
+        there = np.zeros(len(self.vocab) + 1, dtype=bool)
+        there[ids] = True
+        there[0] = False
+        upto = np.concatenate(([0], np.cumsum(there[self.flat])))
+        return upto[self.starts + self.widths] - upto[self.starts] == self.widths
 
 
 def keys_at(ids: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
@@ -91,12 +106,14 @@ def suffix_matches(ids: np.ndarray, tests: TestSet) -> tuple[np.ndarray, np.ndar
     order = np.argsort(keys, kind="stable")
     suffixes, keys = at[order], keys[order]
     lows, highs = np.zeros(len(tests.starts), np.int64), np.zeros(len(tests.starts), np.int64)
-    for width in np.unique(tests.widths):
-        mine = np.flatnonzero(tests.widths == width)
-        wanted, back = np.unique(keys_at(tests.flat, tests.starts[mine], int(width)), return_inverse=True)
+    present = tests.present(ids)
+    for width, mine, wanted, one, back in tests.sorted:
+        ask = np.flatnonzero(present[one])
         have = keys if width == tests.window else np.ascontiguousarray(keys.view("S4").reshape(len(keys), -1)[:, :width]).view(f"S{4 * width}").ravel()
-        lows[mine] = np.searchsorted(have, wanted, "left")[back]
-        highs[mine] = np.searchsorted(have, wanted, "right")[back]
+        low, high = np.zeros(len(wanted), np.int64), np.zeros(len(wanted), np.int64)
+        low[ask] = np.searchsorted(have, wanted[ask], "left")
+        high[ask] = np.searchsorted(have, wanted[ask], "right")
+        lows[mine], highs[mine] = low[back], high[back]
     counts = highs - lows
     test = np.repeat(np.arange(len(counts)), counts)
     within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
@@ -152,17 +169,18 @@ def _shard(docs: list[list[bytes]], tests: TestSet, longest: bool) -> list[tuple
     return out
 
 
-def searched(batch: pa.RecordBatch, text: str, tests: TestSet, longest: bool) -> tuple[list[int], list]:
-    """Word counts and findings of a batch, shard by shard."""
-    counts, found, docs, words = [], [], [], 0
-    for value in batch.column(text).to_pylist():
-        docs.append(alnum_words(value))
-        counts.append(len(docs[-1]))
-        words += counts[-1]
+def shards(batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, list[list[bytes]]]]:
+    """Rows of about SHARD_WORDS words, with the words of each."""
+    held, docs, words = [], [], 0
+    for batch in slices(batches, SHARD_ROWS):
+        held.append(batch)
+        docs += map(alnum_words, batch.column(text).to_pylist())
+        words += sum(map(len, docs[-batch.num_rows :])) if batch.num_rows else 0
         if words >= SHARD_WORDS:
-            found += _shard(docs, tests, longest)
-            docs, words = [], 0
-    return counts, found + _shard(docs, tests, longest)
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0], docs
+            held, docs, words = [], [], 0
+    if docs:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0], docs
 
 
 def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -192,40 +210,55 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "
     """Per document: id, n_words, spans (hit word intervals), item_ids (sorted strings), matches (longest per item)."""
     kind = docs.schema[doc_id].dataType.simpleString()
     frame = docs.select(docs[doc_id].alias("id"), docs[text].alias("text"))
-    blocks = list(test_blocks(benchmark, item_id, item_text, window, block_words))
-    for n, tests in enumerate(blocks, 1):
-        names = ["id", *["text"] * (n < len(blocks)), *FOUND.names]  # the text goes on only to another block
-
-        def run(batches: Iterator[pa.RecordBatch], tests: TestSet = tests, names: list[str] = names) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches):
-                counts, found = searched(batch, "text", tests, longest)
-                before = batch.select(FOUND.names[1:]).to_pylist() if "spans" in batch.schema.names else [{"spans": [], "item_ids": [], "matches": []}] * batch.num_rows
-                made = {x: [] for x in FOUND.names} | {"n_words": counts}
-                for (spans, owners, matches), old in zip(found, before, strict=True):
-                    whole = united(spans + [(s["first"], s["last"]) for s in old["spans"]])
-                    made["spans"].append([{"first": a, "last": b} for a, b in whole])
-                    made["item_ids"].append(sorted({tests.ids[n] for n in owners} - {None} | set(old["item_ids"])))
-                    made["matches"].append(old["matches"] + matches)
-                cols = {x: pa.array(made[x], FOUND.field(x).type) for x in FOUND.names} | {x: batch.column(x) for x in ("id", "text")}
-                yield pa.RecordBatch.from_arrays([cols[x] for x in names], names=names)
-
-        frame = frame.mapInArrow(run, ", ".join({"id": f"id {kind}", "text": "text string"}.get(x) or f"{x} {FOUND_DDL[x]}" for x in names))
+    with Scratch(docs.sparkSession) as own:
+        for tests, last in with_last(test_blocks(benchmark, item_id, item_text, window, block_words)):
+            names = ["id", *["text"] * (not last), *FOUND.names]  # the text goes on only to another block
+
+            def run(batches: Iterator[pa.RecordBatch], tests: TestSet = tests, names: list[str] = names) -> Iterator[pa.RecordBatch]:
+                for batch, words in shards(batches, "text"):
+                    before = batch.select(FOUND.names[1:]).to_pylist() if "spans" in batch.schema.names else [{"spans": [], "item_ids": [], "matches": []}] * batch.num_rows
+                    made = {x: [] for x in FOUND.names} | {"n_words": list(map(len, words))}
+                    for (spans, owners, matches), old in zip(_shard(words, tests, longest), before, strict=True):
+                        whole = united(spans + [(s["first"], s["last"]) for s in old["spans"]])
+                        made["spans"].append([{"first": a, "last": b} for a, b in whole])
+                        made["item_ids"].append(sorted({tests.ids[n] for n in owners} - {None} | set(old["item_ids"])))
+                        made["matches"].append(old["matches"] + matches)
+                    cols = {x: pa.array(made[x], FOUND.field(x).type) for x in FOUND.names} | {x: batch.column(x) for x in ("id", "text")}
+                    yield pa.RecordBatch.from_arrays([cols[x] for x in names], names=names)
+
+            frame = frame.mapInArrow(run, ", ".join({"id": f"id {kind}", "text": "text string"}.get(x) or f"{x} {FOUND_DDL[x]}" for x in names))
+            if not last:
+                frame = own.cut(frame)
+                own.clear(keep=1)
+            elif own.paths:
+                frame = cut(frame)
     return frame.withColumnRenamed("id", doc_id)
 
 
-def ids_digest(ids: list[str]) -> str:
-    return hashlib.sha256(",".join(ids).encode()).hexdigest()
+def with_last(things: Iterator) -> Iterator[tuple]:
+    """Each thing, and whether it is the last; one more is read ahead."""
+    things = iter(things)
+    now = next(things, None)
+    while now is not None:
+        after = next(things, None)
+        yield now, after is None
+        now = after
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id", item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents, all columns as they are, without those that hold a benchmark window."""
     kept = docs
-    for tests in test_blocks(benchmark, item_id, item_text, window, block_words):
-
-        def run(batches: Iterator[pa.RecordBatch], tests: TestSet = tests) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches):
-                _, found = searched(batch, text, tests, False)
-                yield batch.filter(pa.array([not spans for spans, _, _ in found], pa.bool_()))
-
-        kept = kept.mapInArrow(run, docs.schema)
+    with Scratch(docs.sparkSession) as own:
+        for tests, last in with_last(test_blocks(benchmark, item_id, item_text, window, block_words)):
+
+            def run(batches: Iterator[pa.RecordBatch], tests: TestSet = tests) -> Iterator[pa.RecordBatch]:
+                for batch, words in shards(batches, text):
+                    yield batch.filter(pa.array([not spans for spans, _, _ in _shard(words, tests, False)], pa.bool_()))
+
+            kept = kept.mapInArrow(run, docs.schema)
+            if not last:
+                kept = own.cut(kept)
+                own.clear(keep=1)
+            elif own.paths:
+                kept = cut(kept)
     return kept

@@ -9,10 +9,13 @@ b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGH
 iw AS (SELECT DISTINCT item_id, n, array_to_string(w[k:k + n - 1], ' ') AS x FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS k FROM b WHERE len(w) > 0)),
 p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM d),
 hits AS (SELECT p.doc_id, p.k, i.n, i.item_id FROM (SELECT DISTINCT n FROM iw) s JOIN p ON p.k + s.n - 1 <= len(p.w) JOIN iw i ON i.n = s.n AND i.x = array_to_string(p.w[p.k:p.k + s.n - 1], ' ')),
+iw2 AS (SELECT item_id, j, n, array_to_string(w[j:j + n - 1], ' ') AS x FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS j FROM b WHERE len(w) > 0)),
+runs AS (SELECT doc_id, item_id, n, k, k - j AS diagonal, k - row_number() OVER (PARTITION BY doc_id, item_id, n, k - j ORDER BY k) AS run FROM (SELECT DISTINCT h.doc_id, h.item_id, h.n, h.k, i.j FROM hits h JOIN d USING (doc_id) JOIN iw2 i ON i.item_id = h.item_id AND i.n = h.n AND i.x = array_to_string(d.w[h.k:h.k + h.n - 1], ' '))),
+longest AS (SELECT doc_id, min(row(-span, pos, item)) AS best FROM (SELECT doc_id, CAST(item_id AS VARCHAR) AS item, min(k) - 1 AS pos, count(*) + n - 1 AS span FROM runs GROUP BY doc_id, item_id, n, diagonal, run) GROUP BY 1),
 words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS k FROM hits) GROUP BY 1),
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY 1)
-SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, (-best[1])::BIGINT AS longest_words, best[2]::BIGINT AS longest_at, best[3] AS longest_item
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN longest USING (doc_id)""",
     "op7_warc_revisits": r"""
 WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
 g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p)

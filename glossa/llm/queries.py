@@ -25,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dc.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + (s["last"] - s["first"]))
+    longest = F.array_min(F.transform("matches", lambda m: F.struct((-m["n_words"]).alias("n"), m["doc_word"].alias("at"), m["item_id"].alias("item"))))
     return found.select(
         "doc_id",
         "n_words",
@@ -32,6 +33,9 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
         (F.size("spans") > 0).alias("contaminated"),
+        (-longest["n"]).cast("long").alias("longest_words"),
+        longest["at"].cast("long").alias("longest_at"),
+        longest["item"].alias("longest_item"),
     )
 
 

@@ -62,6 +62,29 @@ def test_blocks_of_the_benchmark_give_the_same(spark):
     check(spark, block_words=25)
 
 
+def test_shards_of_any_size_give_the_same(spark, monkeypatch):
+    monkeypatch.setattr("glossa.llm.decontaminate.SHARD_WORDS", 40)
+    monkeypatch.setattr("glossa.llm.decontaminate.SHARD_ROWS", 3)
+    import pyarrow as pa
+
+    from glossa.llm import decontaminate as dc
+
+    docs, items = fixture(8)
+    tests = next(dc.test_blocks(spark.createDataFrame(items, "item_id bigint, text string"), "item_id", "text", 10, 10**6))
+    batch = pa.RecordBatch.from_pydict({"id": [d for d, _ in docs], "text": [t for _, t in docs]})
+    found, sizes = [], []
+    for part, words in dc.shards(iter([batch]), "text"):
+        sizes.append(part.num_rows)
+        found += [(len(w), sum(b - a for a, b in dc.united(s)), sorted({tests.ids[n] for n in o} - {None})) for w, (s, o, _) in zip(words, dc._shard(words, tests, True), strict=True)]
+    assert dict(zip([d for d, _ in docs], found, strict=True)) == brute(docs, items) and len(sizes) > 5
+
+
+def test_an_empty_benchmark_finds_nothing(spark):
+    docs = spark.createDataFrame([(1, "a b c"), (2, None)], "doc_id bigint, text string")
+    got = find_contamination(docs, spark.createDataFrame([], "item_id bigint, text string")).collect()
+    assert sorted((r.doc_id, r.n_words, r.spans, r.item_ids, r.matches) for r in got) == [(1, 3, [], [], []), (2, 0, [], [], [])]
+
+
 def test_longest_matches_are_verbatim_and_maximal(spark):
     got, docs, items = check(spark)
     seen = 0
