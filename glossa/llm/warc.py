@@ -1,12 +1,14 @@
 """WARC archives with revisit resolution.
 
-Writing: payload digests are computed where the pages are read.  Only headers (id, digest, size)
+Writing: payload digests are computed where the pages are read.  Only headers (id, digest, URL)
 are shuffled by digest to find, for each payload of at least ``min_bytes`` that occurs more than
-once, the page that keeps it (the largest id).  That table goes to the shared folder and is joined
-back to the pages, and every page becomes one record with fresh headers: a full ``response``, or a
-``revisit`` that names its original and has the HTTP header but no payload.  The records are valid
-UTF-8, so Spark's own text sink writes real gzipped WARC files (its line separator is the blank
-line that ends a WARC record), on any file system and with Spark's commit protocol.
+once, the page that keeps it (the largest id).  That table goes to the shared folder.  If it is
+short, it is sent to the pages; if it is long, a bit table of fixed size keeps apart the pages whose
+payload occurs once, which are written where they are read, and only the rest is shuffled.  Every
+page becomes one record with fresh headers: a full ``response``, or a ``revisit`` that names its
+original and has the HTTP header but no payload.  The records are valid UTF-8, so Spark's own text
+sink writes real gzipped WARC files (its line separator is the blank line that ends a WARC record;
+a file is one gzip member), on any file system and with Spark's commit protocol.
 
 Reading: the files are parsed by Content-Length, response payloads are hashed again, and revisits
 are resolved by joining their WARC-Refers-To with the record ids of the responses.
@@ -23,32 +25,61 @@ import gzip
 import hashlib
 import io
 from collections.abc import Iterator
+from datetime import UTC, datetime
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glossa.llm.common import cut, shared_dir
 
 MIN_BYTES = 1000
-RECORDS_PER_FILE = 5000
-DATE = "2024-01-01T00:00:00Z"
+RECORDS_PER_FILE = 2000
+#: Repeated payloads whose table is broadcast (some 30 MB in memory), and bits of the table that stands for a longer one.
+BROADCAST_ROWS, FILTER_BITS = 200_000, 1 << 22
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HEAD = pa.schema([("record_id", pa.string()), ("page_id", pa.string()), ("url", pa.string()), ("record_type", pa.string()), ("refers_to", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string())])
 
 
-def with_originals(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """id, url, html with the payload's size and digest, and the original's id and URL for revisits."""
-    html = F.coalesce(F.col("html"), F.lit(""))
-    known = pages.select("id", "url", html.alias("html"), F.octet_length(html).cast("long").alias("bytes"), F.sha1(html).alias("digest"))
-    heads = known.filter(F.col("bytes") >= min_bytes).select("id", "url", "digest")
-    first = heads.groupBy("digest").agg(F.max("id").alias("original"), F.max_by("url", "id").alias("original_url"), F.count(F.lit(1)).alias("n")).filter("n > 1 AND original IS NOT NULL").drop("n")
-    return known.join(cut(first), "digest", "left")
+def _bit(digest: Column) -> Column:
+    return F.pmod(F.xxhash64(digest), F.lit(FILTER_BITS))
+
+
+def _may_repeat(first: DataFrame) -> Column:
+    """Whether a payload may be one of the repeated ones; false only if it is not."""
+    rows = first.select(_bit(F.col("digest")).alias("bit")).groupBy(F.expr("bit div 63").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 63 as int))")).alias("bits"))
+    words = [0] * (FILTER_BITS // 63 + 1)
+    for r in rows.collect():  # FILTER_BITS / 63 rows at most
+        words[r.word] = r.bits
+    table, bit = F.split(F.lit(",".join(map(str, words))), ",").cast("array<bigint>"), _bit(F.col("digest"))
+    return F.get(table, F.floor(bit / 63).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 63).cast("int"))) != 0
 
 
-def _urn(key: Column, digest: Column) -> Column:
-    """A record id that follows from page and payload: the same on every attempt of a task."""
-    h = F.md5(F.concat_ws("|", F.coalesce(key.cast("string"), F.lit("-")), digest))
+def with_originals(pages: DataFrame, min_bytes: int = MIN_BYTES, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """id, url, html with the payload's size and digest, the original's id and URL for revisits, and ``copy``: 0 but for further rows of the original's own id."""
+    html = F.coalesce(F.col("html"), F.lit(""))
+    known = pages.select("id", "url", html.alias("html"), F.octet_length(html).cast("long").alias("bytes"), F.sha1(html).alias("digest"))
+    heads = known.filter(F.col("bytes") >= min_bytes).groupBy("digest", "id").agg(F.count(F.lit(1)).alias("n"), F.max("url").alias("url"))
+    top = F.max(F.struct("id", "url", "n")).alias("top")
+    first = heads.groupBy("digest").agg(top, F.sum("n").alias("n")).filter("n > 1 AND top.id IS NOT NULL")
+    first = cut(first.select("digest", F.col("top.id").alias("original"), F.col("top.url").alias("original_url"), F.col("top.n").alias("ties")))
+    if first.count() <= broadcast_rows:
+        joined = known.join(F.broadcast(first), "digest", "left")
+    else:
+        repeats = F.coalesce(_may_repeat(first), F.lit(True))
+        alone = known.filter(~repeats).select("digest", "id", "url", "html", "bytes", *[F.lit(None).cast(first.schema[c].dataType).alias(c) for c in first.columns[1:]])
+        joined = known.filter(repeats).join(first, "digest", "left").unionByName(alone)
+    tied = F.coalesce((F.col("ties") > 1) & (F.col("id") == F.col("original")), F.lit(False))
+    if first.filter("ties > 1").isEmpty():
+        return joined.withColumn("copy", F.lit(0))
+    numbered = joined.filter(tied).withColumn("copy", F.row_number().over(W.partitionBy("digest", "id").orderBy("url")) - 1)
+    return joined.filter(~tied).withColumn("copy", F.lit(0)).unionByName(numbered)
+
+
+def _urn(*parts: Column) -> Column:
+    """A record id that follows from its parts."""
+    h = F.md5(F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("-")) for p in parts]))
     return F.concat(F.lit("<urn:uuid:"), *[x for k, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)) for x in (F.lit("-" * (k > 1)), F.substring(h, k, n))], F.lit(">"))
 
 
@@ -63,14 +94,18 @@ def _clean(url: Column) -> Column:
     return url
 
 
-def records(known: DataFrame, date: str = DATE) -> DataFrame:
-    """One column, ``value``: a WARC record without the blank line that ends it."""
+def records(known: DataFrame, date: str) -> DataFrame:
+    """One column, ``value``: a WARC record without the blank line that ends it.
+
+    An original's record id follows from page and payload, so that revisits can name it; all others
+    get ids of their own, also where page and payload are the same.
+    """
     revisit = F.col("original").isNotNull() & (F.col("id").isNull() | (F.col("id") < F.col("original")))
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes").cast("string"), F.lit("\r\n\r\n"))
     head = F.concat(
         F.lit("WARC/1.1\r\n"),
         _field("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-        _field("WARC-Record-ID", _urn(F.col("id"), F.col("digest"))),
+        _field("WARC-Record-ID", F.when(F.coalesce((F.col("id") == F.col("original")) & (F.col("copy") == 0), F.lit(False)), _urn(F.col("id"), F.col("digest"))).otherwise(_urn(F.col("id"), F.col("digest"), F.monotonically_increasing_id()))),
         _field("WARC-Date", F.lit(date)),
         _field("WARC-Target-URI", _clean(F.col("url"))),
         _field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
@@ -83,10 +118,11 @@ def records(known: DataFrame, date: str = DATE) -> DataFrame:
     return known.select(F.concat(head, http, F.when(revisit, "").otherwise(F.col("html"))).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, *, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = MIN_BYTES, date: str = DATE, records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Writes the pages as gzipped WARC files into the folder ``path``."""
+def write_archives(pages: DataFrame, path: str, *, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = MIN_BYTES, date: str | None = None, records_per_file: int = RECORDS_PER_FILE, broadcast_rows: int = BROADCAST_ROWS) -> None:
+    """Writes the pages as gzipped WARC files into the folder ``path``; ``date`` is now if it isn't given."""
+    date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     plain = pages.select(pages[page_id].alias("id"), pages[url].cast("string").alias("url"), pages[html].cast("string").alias("html"))
-    out = records(with_originals(plain, min_bytes), date)
+    out = records(with_originals(plain, min_bytes, broadcast_rows), date)
     out.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 

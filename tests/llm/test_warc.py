@@ -28,3 +28,23 @@ def test_ties_nulls_and_empty_tables(spark):
     assert warc.round_trip(pages.limit(0)).count() == 0
     alone = spark.createDataFrame([(None, "u", html), (None, "u", html)], "page_id bigint, url string, html string")
     assert [r.record_type for r in warc.round_trip(alone).collect()] == ["response", "response"]
+
+
+def test_the_bit_table_gives_the_same(spark, tmp_path):
+    """Without a broadcast: repeated payloads are shuffled, others are not."""
+    bodies = [f"{k} " * 600 for k in range(40)] + ["", "short"]
+    pages = spark.createDataFrame([(i, f"http://h/{i}", bodies[i * 7 % 42 if i % 3 else i % 5]) for i in range(120)], "page_id bigint, url string, html string")
+    fields = ("page_id", "record_type", "refers_to", "payload_bytes", "payload_digest")
+    one = sorted(tuple(r[f] for f in fields) for r in warc.round_trip(pages, path=f"file://{tmp_path}/one").collect())
+    two = sorted(tuple(r[f] for f in fields) for r in warc.round_trip(pages, path=f"file://{tmp_path}/two", broadcast_rows=0).collect())
+    assert one == two and sum(r[1] == "revisit" for r in one) > 10
+
+
+def test_record_ids_are_unique_and_long_pages_stay_whole(spark, tmp_path):
+    html, huge = "z" * 1500, "<p>long</p>" * 400_000
+    rows = [(5, "u", html), (5, "u", html), (5, "v", html), (2, "u", html), (2, "u", html), (7, "w", "tiny"), (7, "w", "tiny"), (8, "x", huge)]
+    path = f"file://{tmp_path}/archives"
+    got = warc.round_trip(spark.createDataFrame(rows, "page_id bigint, url string, html string"), path=path).collect()
+    assert len({r.record_id for r in got}) == len(rows)
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in got)[:5] == [(2, "revisit", 5), (2, "revisit", 5), (5, "response", None), (5, "response", None), (5, "response", None)]
+    assert {r.payload_bytes for r in got if r.page_id == 8} == {len(huge)}
