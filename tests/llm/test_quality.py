@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from glossa.llm import quality as ql
 from glossa.llm.queries import op3_quality_rules
@@ -55,3 +56,43 @@ def test_query_and_weird_rows(spark, sf_dir, weird):
     assert ql.judge(weird, none).count() == 9 and not any(r.kept for r in ql.judge(weird, none).collect())
     assert ql.keep_good(weird, none).columns == weird.columns and ql.keep_good(weird, none).count() == 0
     assert ql.judge(weird.limit(0), none).count() == 0
+
+
+def plain_score(forest, row):
+    """The mean depth of a row over all trees, walked node by node."""
+    total = 0.0
+    for node in forest.roots:
+        while forest.left[node] != node:
+            node = forest.left[node] if row[forest.feature[node]] < forest.cut[node] else forest.right[node]
+        total += forest.path[node]
+    return 2 ** (-total / len(forest.roots) / forest.norm)
+
+
+def test_path_lengths_equal_a_plain_walk():
+    rng = np.random.default_rng(3)
+    rows = rng.random((60, 6)) ** 2
+    forest = ql.Forest(rows, rows.min(0) - 0.1, rows.max(0) + 0.5, trees=20, tree_rows=60)
+    other = rng.random((40, 6)) * 1.4
+    assert forest.scores(other) == pytest.approx([plain_score(forest, r) for r in other])
+    for root in forest.roots:  # a leaf's path is its depth and the mean path among its rows
+        seen = {}
+        for row in rows:
+            node, depth = root, 0
+            while forest.left[node] != node:
+                node, depth = (forest.left if row[forest.feature[node]] < forest.cut[node] else forest.right)[node], depth + 1
+            seen.setdefault((node, depth), []).append(row)
+        for (node, depth), held in seen.items():
+            n = len(held)
+            mean = 0 if n == 1 else 1 if n == 2 else 2 * (np.log(n - 1) + 0.5772156649) - 2 * (n - 1) / n
+            assert forest.path[node] == pytest.approx(depth + mean)
+
+
+def test_verdicts_equal_a_plain_version(spark, sf_dir):
+    """kept: no base rule fails, and the plain walk stays under the calibrated threshold."""
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "labels"))
+    judged = ql.fit(docs, labels)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in ql.judge(docs, judged).collect():
+        counts, features = ql.statistics(texts[r.doc_id])
+        failed = counts[0] < 50 or 2 * counts[4] > counts[0]
+        assert (r.base_failed, r.kept) == (failed, not failed and plain_score(judged.forest, features) < judged.threshold)
