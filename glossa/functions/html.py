@@ -9,6 +9,7 @@ end at the next one unless its end tag says so.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -17,6 +18,8 @@ from pyspark.sql import DataFrame
 
 from glossa.functions.text import BOILERPLATE, IMAGE_MARKS, SCRAPE_BOILERPLATE, with_field
 
+#: Rows that are held as Python objects at a time.
+ROWS = 64
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _IMAGE = re.compile("|".join(map(re.escape, IMAGE_MARKS)))
 
@@ -63,22 +66,24 @@ class _Builder(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("", {}, None)
+        self.open: Counter[str] = Counter()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         node = Node(tag, {k: v or "" for k, v in attrs}, self.at)
         self.at.children.append(node)
         if tag not in VOID:
             self.at = node
+            self.open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.at.children.append(Node(tag, {k: v or "" for k, v in attrs}, self.at))
 
     def handle_endtag(self, tag: str) -> None:
-        node: Node | None = self.at
-        while node is not None and node.name != tag:
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.at = node.parent
+        while self.open[tag]:  # what it leaves is closed for good, so all end tags together take linear time
+            left, self.at = self.at, self.at.parent
+            self.open[left.name] -= 1
+            if left.name == tag:
+                break
 
     def handle_data(self, data: str) -> None:
         self.at.children.append(data)
@@ -140,7 +145,17 @@ def generic_paragraphs(root: Node, iso: str | None = None) -> list[str]:
 
 def _inline(node: Node) -> str:
     """Text of inline markup, without the paragraphs that hang below an unclosed one."""
-    return "".join(c if isinstance(c, str) else "\n" if c.name == "br" else "" if c.name == "p" else _inline(c) for c in node.children)
+    out: list[str] = []
+    stack: list[Node | str] = list(reversed(node.children))
+    while stack:
+        x = stack.pop()
+        if isinstance(x, str):
+            out.append(x)
+        elif x.name == "br":
+            out.append("\n")
+        elif x.name != "p":
+            stack.extend(reversed(x.children))
+    return "".join(out)
 
 
 PROFILES = {"news_site": news_paragraphs, "generic": generic_paragraphs}
@@ -169,7 +184,7 @@ def with_paragraphs(pages: DataFrame, *, html: str = "html", iso: str | None = N
     extract = PROFILES[profile]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             isos = batch.column(iso).to_pylist() if iso else [None] * batch.num_rows
             rows = [extract(tree(x), i) if x is not None else None for x, i in zip(batch.column(html).to_pylist(), isos, strict=True)]
             yield batch.append_column("paragraphs", pa.array(rows, pa.list_(pa.string())))
@@ -182,7 +197,7 @@ def with_metadata(pages: DataFrame, *, html: str = "html") -> DataFrame:
     kind = pa.struct([("title", pa.string()), ("description", pa.string()), ("canonical_link", pa.string()), ("keywords", pa.list_(pa.string())), ("authors", pa.list_(pa.string())), ("has_ptags", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             rows = [metadata(tree(x)) if x is not None else None for x in batch.column(html).to_pylist()]
             yield batch.append_column("meta", pa.array(rows, kind))
 

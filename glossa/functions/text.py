@@ -133,8 +133,9 @@ def capitalize(x: Column) -> Column:
 
 
 def unquote(url: Column) -> Column:
-    """Percent decoding that leaves + alone, and a malformed URL as it is."""
-    return F.coalesce(F.try_url_decode(F.replace(url, F.lit("+"), F.lit("%2B"))), url)
+    """Percent decoding that leaves + and malformed escapes alone."""
+    plain = F.regexp_replace(F.replace(url, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(plain), url)
 
 
 def _each_replaced(x: Column, pairs: tuple[tuple[str, str], ...]) -> Column:

@@ -65,7 +65,8 @@ def top(rows: DataFrame, order: list[Column], k: int, keys: list[str] | None = N
 def frequency(rows: DataFrame, value: Column, name: str, k: int = 0) -> DataFrame:
     """How often each value occurs, most frequent first with ties in the order of values."""
     counts = rows.select(value.alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
-    return top(counts, [F.desc("n"), F.asc(name)], k) if k else counts
+    order = [F.desc("n"), F.asc(name)]
+    return top(counts, order, k) if k else counts.orderBy(*order)
 
 
 def exploded_frequency(rows: DataFrame, values: Column, name: str) -> DataFrame:

@@ -7,9 +7,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
-def _earlier_than(rows: DataFrame, keys: list[str], seq: str) -> Column:
-    """The smallest later sequence number of a superseding row with the same keys."""
-    window = W.partitionBy(*keys).orderBy(seq).rowsBetween(1, W.unboundedFollowing)
+def _earlier_than(rows: DataFrame, iso: str, key: str, seq: str) -> Column:
+    """The smallest later sequence number of a superseding row with the same language and key.
+
+    Rows without a key are no group: each gets a partition of its own, so they don't meet in one task.
+    """
+    own = F.when(F.coalesce(F.length(key), F.lit(0)) == 0, F.col(seq))
+    window = W.partitionBy(iso, key, own).orderBy(seq).rowsBetween(1, W.unboundedFollowing)
     return F.min(F.when(F.col("_supersedes"), F.col(seq))).over(window)
 
 
@@ -21,8 +25,8 @@ def with_superseded(pages: DataFrame, *, iso: str = "iso", url: str = "url", can
     multiplies.  ``latest`` names a column that says which rows were inserted as latest at all.
     """
     rows = pages.withColumn("_supersedes", F.coalesce(F.col(success), F.lit(False)) & F.coalesce(F.length(canonical) > 0, F.lit(False)))
-    by_link = F.when(F.coalesce(F.length(canonical) > 0, F.lit(False)), _earlier_than(rows, [iso, canonical], seq))
-    by_url = F.when(F.col(url).isNotNull(), _earlier_than(rows, [iso, url], seq))
+    by_link = F.when(F.coalesce(F.length(canonical) > 0, F.lit(False)), _earlier_than(rows, iso, canonical, seq))
+    by_url = F.when(F.col(url).isNotNull(), _earlier_than(rows, iso, url, seq))
     found = rows.withColumn("_by_link", by_link).withColumn("_by_url", by_url).withColumn("superseded_seq", F.least("_by_link", "_by_url"))
     inserted = F.coalesce(F.col(latest), F.lit(True)) if latest else F.lit(True)
     return found.withColumn("latest", F.col("superseded_seq").isNull() & inserted).drop("_supersedes", "_by_link", "_by_url")
@@ -70,9 +74,8 @@ def added(early: DataFrame, late: DataFrame, *, iso: str = "iso", url: str = "ur
 
 
 def lost(early: DataFrame, late: DataFrame, *, iso: str = "iso", url: str = "url") -> DataFrame:
-    """Pages of the earlier inventory that the later one lacks, in languages that both have."""
-    languages = late.select(iso).distinct()
-    return early.join(late.select(iso, url), [iso, url], "left_anti").join(languages, iso, "left_semi")
+    """Pages of the earlier inventory that the later one lacks; a language that is gone has lost all of them."""
+    return early.join(late.select(iso, url), [iso, url], "left_anti")
 
 
 def new_languages(early: DataFrame, late: DataFrame, *, iso: str = "iso") -> DataFrame:

@@ -9,7 +9,7 @@ from glossa.functions import dates, text
 from glossa.sources.schemas import DOCUMENT, DOMAIN, FILEMAP, PAGE
 
 
-def documents(spark: SparkSession, path: str, *, articles_only: bool = False) -> DataFrame:
+def documents(spark: SparkSession, path: str | list[str], *, articles_only: bool = False) -> DataFrame:
     """All ``*.json`` below a folder, one document each, with ``path`` (and ``_corrupt_record`` for unreadable ones).
 
     ``articles_only`` goes by the folder's name, not by the document's content type.
@@ -19,9 +19,18 @@ def documents(spark: SparkSession, path: str, *, articles_only: bool = False) ->
     return found.filter(text.path_part(F.col("path"), 2) == "article") if articles_only else found
 
 
-def listed_documents(spark: SparkSession, listing: str, root: str) -> DataFrame:
-    """Documents whose paths (below ``root``) a text file lists, one a line."""
-    wanted = spark.read.text(listing).select(F.trim("value").alias("wanted")).filter("wanted != ''")
+#: Paths of a list that are read one by one; a longer list is held against a whole folder.
+LISTED = 10_000
+
+
+def listed_documents(spark: SparkSession, listing: str, root: str | None = None, *, most: int = LISTED) -> DataFrame:
+    """Documents whose paths a text file lists, one a line, wherever they are; of a list longer than ``most`` those below ``root``."""
+    wanted = spark.read.text(listing).select(F.trim("value").alias("wanted")).filter("wanted != ''").distinct()
+    names = [r.wanted for r in wanted.limit(most + 1).collect()]
+    if len(names) <= most:
+        return documents(spark, names) if names else documents(spark, listing).limit(0)
+    if root is None:
+        raise ValueError("a list this long needs a root folder")
     found = documents(spark, root).withColumn("_name", F.regexp_replace("path", "^file:/+", "/"))
     return found.join(wanted, F.col("_name") == F.col("wanted"), "left_semi").drop("_name")
 

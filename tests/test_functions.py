@@ -145,3 +145,14 @@ def test_generic_paragraphs_and_metadata(spark):
     meta = {r.page_id: r.meta for r in html.with_metadata(frame).collect()}
     assert meta[2] is None and meta[1].authors == ["A", "B"] and meta[1].canonical_link == "http://c/" and meta[1].keywords == ["k1", "k2"] and meta[1].has_ptags
     assert {r.page_id: r.paragraphs for r in html.with_paragraphs(frame, profile="news_site").collect()}[2] is None
+
+
+def test_deep_and_unclosed_markup():
+    page = "<article><p>" + "<b>" * 5000 + "deep" + "</i>" * 5000 + "</article><article><p>next</p></article>"
+    assert html.generic_paragraphs(html.tree(page)) == ["deep", "next"]
+
+
+def test_malformed_escapes_stay(spark):
+    urls = ["a%2Fb", "100%", "%zz%41", "x+y%20z", "%E4%BD%A0%"]
+    got = [r.u for r in spark.createDataFrame([(u,) for u in urls], "u string").select(text.unquote(F.col("u")).alias("u")).collect()]
+    assert got == ["a/b", "100%", "%zzA", "x+y z", "你%"]
