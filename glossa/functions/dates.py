@@ -64,3 +64,10 @@ def in_range_or_null(x: Column, start: str | None = None, end: str | None = None
 def repaired(stamp: Column, text: Column) -> Column:
     """The timestamp, or the text read as one where there is none."""
     return F.coalesce(stamp, sitemap_timestamp(text))
+
+
+def inserted(x: Column) -> Column:
+    """A dump's publication date; null or any other spelling is an error, as it is when a dump is read in again."""
+    good = x.rlike(r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$")
+    bad = F.raise_error(F.concat(F.lit("no publication date: "), F.coalesce(x, F.lit("null")))).cast("timestamp")
+    return F.when(F.coalesce(good, F.lit(False)), F.to_timestamp(x, "yyyy-MM-dd'T'HH:mm:ss")).otherwise(bad)

@@ -20,6 +20,11 @@ Splitter = Callable[[str], list[str]]
 
 #: Rows that are held as Python objects at a time.
 ROWS = 256
+# Languages whose documents are segmented.
+SEGMENTABLE = tuple(
+    "amh bod cmn ell eng fas fra hye ind kor khm lao lin mya nde por prs pus rus sna som spa srp tha tir tur ukr urd vie "
+    "aze ben bos hat hau kat kin kur mkd orm sqi swh uzb".split()
+)
 ROMAN = ("lin", "nde", "sna", "som")
 TIBETAN = "bod"
 
@@ -92,10 +97,11 @@ def tokenizer_for(iso: str | None) -> Splitter:
 def with_sentences(docs: DataFrame, *, paragraphs: str = "paragraphs", iso: str = "site_language", tokens: bool = False, supported: tuple[str, ...] | None = None) -> DataFrame:
     """The documents with ``sentences`` (and ``tokens``): a list for each paragraph that has any.
 
-    Documents of languages that are not supported get null.  Plug-ins registered on the driver go to
+    Documents of languages that are not ``supported`` get null; those that are segmented here or have a plug-in are, unless others are named.  Plug-ins registered on the driver go to
     the executors with the function.
     """
     segmenters, tokenizers = dict(_SEGMENTERS), dict(_TOKENIZERS)
+    known = frozenset((*SEGMENTABLE, *segmenters) if supported is None else supported)
     sentence_t = pa.list_(pa.list_(pa.string()))
     token_t = pa.list_(sentence_t)
 
@@ -103,7 +109,7 @@ def with_sentences(docs: DataFrame, *, paragraphs: str = "paragraphs", iso: str
         for batch in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             sents, toks = [], []
             for ps, lang in zip(batch.column(paragraphs).to_pylist(), batch.column(iso).to_pylist(), strict=True):
-                if ps is None or supported is not None and lang not in supported:
+                if ps is None or lang not in known:
                     sents.append(None)
                     toks.append(None)
                     continue

@@ -252,3 +252,32 @@ def rendered(units: str, paragraphs: Column, *, title: Column | None = None, aut
         done = F.aggregate(lines, start, lambda a, x: F.when(a["n"] >= limit, a).otherwise(F.struct((a["n"] + x["n"]).alias("n"), F.concat(a["text"], x["text"]).alias("text"))))
         return F.concat(head, done["text"])
     return F.concat(head, F.array_join(F.transform(lines, lambda x: x["text"]), ""))
+
+
+def without_wiki_markup(x: Column) -> Column:
+    """A wiki page's text: templates, tables, files, references and tags go, links leave their text."""
+    for pattern, new in (
+        (r"(?s)<!--.*?-->", ""),
+        (r"(?s)<ref[^>/]*/>|<ref.*?</ref>", ""),
+        (r"(?s)\{\{[^{}]*\}\}", ""),
+        (r"(?s)\{\{[^{}]*\}\}", ""),
+        (r"(?s)\{\|.*?\|\}", ""),
+        (r"(?i)\[\[(?:file|image|category):[^\[\]]*\]\]", ""),
+        (r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", "$1"),
+        (r"\[https?://\S+ ?([^\]]*)\]", "$1"),
+        (r"<[^>]*>", ""),
+        (r"'{2,}|={2,}", ""),
+    ):
+        x = F.regexp_replace(x, pattern, new)
+    return x
+
+
+def wiki_tokens(x: Column, shortest: int = 1, longest: int = 25) -> Column:
+    """Lower-case words of letters within bounds of length."""
+    words = F.regexp_extract_all(F.lower(without_wiki_markup(x)), F.lit(r"\p{L}+"), F.lit(0))
+    return F.filter(words, lambda w: F.length(w).between(shortest, longest))
+
+
+def shortened(name: Column, most: int = 100) -> Column:
+    """The last characters of a name that is too long for a file."""
+    return F.when(F.length(name) > most, F.right(name, F.lit(most))).otherwise(name)

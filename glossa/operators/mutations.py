@@ -47,3 +47,17 @@ def without_languages(rows: DataFrame, codes: list[str], column: str = "iso") ->
 
 def by_canonical(rows: DataFrame, link: str) -> DataFrame:
     return rows.filter(F.col("canonical_link") == link)
+
+
+def rederived(rows: DataFrame, *, html: str = "original_html") -> DataFrame:
+    """Authors, linked data and dates read again from the page; rows without a page stay as they are."""
+    page = F.coalesce(F.col(html), F.lit(""))
+    linked = text.ld_json(page)
+    author = F.regexp_extract_all(page, F.lit(r'(?is)<meta\b(?=[^>]*\bname="Author")[^>]*\bcontent="([^"]*)"'), F.lit(1))
+    published = F.try_to_timestamp(F.get_json_object(linked, "$.datePublished"))
+    modified = F.try_to_timestamp(F.get_json_object(linked, "$.dateModified"), F.lit("yyyy-MM-dd HH:mm:ss'Z'"))
+    return set_where(rows, page != "", date_published=published, date_modified=modified, authors=author, application_ld_json=linked)
+
+
+def ids(rows: DataFrame, column: str = "_id") -> DataFrame:
+    return rows.select(column)

@@ -114,3 +114,52 @@ def lonely(rows: DataFrame, value: str, condition: Column, by: str) -> DataFrame
 def listed_by_date(rows: DataFrame, date: Column, value: str, sep: str = "\t") -> DataFrame:
     """Values of each date, sorted and joined; rows without a date are left out."""
     return rows.select(date.alias("date"), F.col(value).alias("_v")).filter("date IS NOT NULL").groupBy("date").agg(F.array_join(F.array_sort(F.collect_list(F.col("_v").cast("string"))), sep).alias("listed"))
+
+
+def document_sizes(paragraphs: str = "paragraphs", sentences: str = "sentences", tokens: str = "tokens") -> list[Column]:
+    """What a document counts of itself: paragraphs, characters in them, tokens and sentences (null where there are none)."""
+    chars = F.aggregate(paragraphs, F.lit(0).cast("long"), lambda n, p: n + F.length(p))
+    held = F.coalesce(F.size(tokens), F.lit(0)) > 0
+    words = F.aggregate(F.flatten(tokens), F.lit(0).cast("long"), lambda n, s: n + F.size(s))
+    n_sentences = F.aggregate(sentences, F.lit(0).cast("long"), lambda n, p: n + F.size(p))
+    return [
+        F.size(paragraphs).cast("long").alias("n_paragraphs"),
+        chars.alias("n_chars"),
+        F.when(held, words).alias("n_tokens"),
+        F.when(F.coalesce(F.size(sentences), F.lit(0)) > 0, n_sentences).alias("n_sentences"),
+    ]
+
+
+def joint_counts(docs: DataFrame, *, key: str = "site_language", sentences: str = "sentences", tokens: str = "tokens", corrupt: str = "_corrupt_record", error: str = "ERROR_None") -> DataFrame:
+    """Documents, sentences and tokens by language, in order; unreadable documents are a language of their own.
+
+    Each paragraph's list counts as one sentence, and its lists of tokens as the lists of a sentence.
+    """
+    bad = F.col(corrupt).isNotNull()
+    n_sentences = F.when(bad, 0).otherwise(F.coalesce(F.size(sentences), F.lit(0)))
+    n_tokens = F.when(bad, 0).otherwise(F.coalesce(F.aggregate(F.flatten(tokens), F.lit(0).cast("long"), lambda n, s: n + F.size(s)), F.lit(0)))
+    rows = docs.select(F.when(bad, error).otherwise(F.col(key)).alias("Language"), n_sentences.alias("s"), n_tokens.alias("t"))
+    counts = rows.groupBy("Language").agg(F.count(F.lit(1)).alias("Document"), F.sum("s").cast("long").alias("Sentence"), F.sum("t").cast("long").alias("Token"))
+    return counts.orderBy("Language")
+
+
+def with_errors(rows: DataFrame, corrupt: Column, **names: str) -> DataFrame:
+    """Columns of unreadable rows set to names of their own, so that a pivot counts them."""
+    return rows.withColumns({c: F.when(corrupt, F.lit(name)).otherwise(F.col(c)) for c, name in names.items()})
+
+
+def crossed(rows: DataFrame, row: str, column: str) -> DataFrame:
+    """Counts by two keys as a table, rows and columns in order, absent pairs zero."""
+    table = rows.groupBy(row).pivot(column).count().fillna(0)
+    return table.select(row, *sorted(c for c in table.columns if c != row)).orderBy(row)
+
+
+def united_counts(left: DataFrame, right: DataFrame, key: str, value: str = "n") -> DataFrame:
+    """Two tables of counts as one; a key that one of them lacks counts zero there."""
+    return left.select(key, value).unionByName(right.select(key, value)).groupBy(key).agg(F.sum(value).alias(value))
+
+
+def ranked(counts: DataFrame, value: str, *, name: str | None = None) -> DataFrame:
+    """A table of counts for a chart: largest first."""
+    out = counts.withColumnRenamed(value, name) if name else counts
+    return out.orderBy(F.desc(name or value), *[c for c in out.columns if c != (name or value)])

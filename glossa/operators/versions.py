@@ -101,3 +101,15 @@ def latest_snapshots(listing: DataFrame, *, url: str = "original_url", snapshot:
 def distinct_with_null(rows: DataFrame, column: str, name: str) -> DataFrame:
     """Distinct values, nulls counting as one."""
     return rows.agg((F.countDistinct(column) + F.max(F.col(column).isNull().cast("int"))).alias(name))
+
+
+def languages_of(*inventories: DataFrame, iso: str = "iso", more: tuple[str, ...] = ()) -> DataFrame:
+    """The languages of several inventories, each once, and those that are named besides (also where they are there already)."""
+    found = inventories[0].select(iso)
+    for other in inventories[1:]:
+        found = found.union(other.select(iso))
+    extra = [found.sparkSession.range(1).select(F.lit(x).alias(iso)) for x in more]
+    out = found.distinct()
+    for x in extra:
+        out = out.union(x)
+    return out

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glossa.functions import dates, text
@@ -84,7 +85,7 @@ def article_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file_name, line_no, value): the lines of each file in order (a file is read by one task)."""
-    whole = spark.read.option("wholetext", True).text(path).withColumn("file_name", F.col("_metadata.file_name"))
+    whole = spark.read.text(path, wholetext=True).withColumn("file_name", F.col("_metadata.file_name"))
     return whole.select("file_name", F.posexplode(F.split("value", "\n"))).withColumnsRenamed({"pos": "line_no", "col": "value"})
 
 
@@ -108,3 +109,31 @@ def counts(spark: SparkSession, path: str) -> DataFrame:
 
 def stored_pages(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def sitemap_pages(spark: SparkSession, path: str, sitemaps: DataFrame | None = None) -> DataFrame:
+    """Entries of sitemap files with their news and video tags; of entries of one language that share a URL the first counts.
+
+    ``sitemaps`` names the files in order, with their languages (Filename, ISO); without it all files are one language.
+    """
+    schema = "loc STRING, lastmod STRING, changefreq STRING, priority STRING, news MAP<STRING, STRING>, video MAP<STRING, STRING>"
+    rows = spark.read.format("xml").schema(schema).option("rowTag", "url").option("ignoreNamespace", True).option("mode", "DROPMALFORMED").load(path)
+    rows = rows.filter("trim(loc) <> ''").select("*", F.col("_metadata.file_name").alias("filename"), F.monotonically_increasing_id().alias("_at"))
+    if sitemaps is None:
+        rows = rows.withColumns({"iso": F.lit(None).cast("string"), "_file": F.col("filename")})
+    else:
+        order = sitemaps.select(F.col("Filename").alias("filename"), F.col("ISO").alias("iso"), F.monotonically_increasing_id().alias("_file"))
+        rows = rows.join(order, "filename")
+    first = rows.withColumn("_n", F.row_number().over(W.partitionBy("iso", F.trim("loc")).orderBy("_file", "_at"))).filter("_n = 1")
+    return first.select("iso", F.trim("loc").alias("url"), dates.sitemap_timestamp(F.col("lastmod")).alias("sitemap_last_modified"), "changefreq", "priority", *[F.map_filter(c, lambda tag, _: ~tag.startswith("_")).alias(c) for c in ("news", "video")], "filename")
+
+
+def language_reports(spark: SparkSession, path: str, section: str = "iso_domain") -> DataFrame:
+    """The language rows of all sites as one table, with the site as ``domain``."""
+    return spark.read.option("header", True).option("inferSchema", True).csv(path).withColumnRenamed(section, "domain")
+
+
+def reinserted(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Dumped pages read in again, their publication dates as times; a missing or odd date is an error."""
+    rows = spark.read.schema(schema).json(path)
+    return rows.withColumn("date_published", dates.inserted(F.col("date_published")))

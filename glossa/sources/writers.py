@@ -89,3 +89,36 @@ def by_section(rows: DataFrame, path: str, section: str = "iso_domain") -> None:
 
 def vocabulary(tokens: DataFrame, path: str, column: str = "token") -> None:
     tokens.select(F.col(column).alias("value")).distinct().write.text(path)
+
+
+def per_document(rows: DataFrame, path: str, *, name: str = "filename", body: str = "text", folders: tuple[str, ...] = ()) -> None:
+    """Each text in a folder of its own name, below folders by the other columns; for small exports."""
+    rows.select(*folders, name, F.col(body).alias("value")).write.partitionBy(*folders, name).text(path)
+
+
+def sentences(rows: DataFrame, path: str, *, sentences: str = "sentences", lines: bool = True) -> None:
+    """Documents' sentences one a line, or each document on one line."""
+    flat = F.flatten(F.col(sentences))
+    out = rows.select(F.explode(flat).alias("value")) if lines else rows.select(F.array_join(flat, " ").alias("value"))
+    out.write.text(path)
+
+
+def html_report(rows: DataFrame, path: str, by: str) -> None:
+    """A table in HTML for each value of a column; made for reports, whose tables are small."""
+    columns = [c for c in rows.columns if c != by]
+
+    def escaped(c: str) -> Column:
+        x = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        for old, new in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+            x = F.replace(x, F.lit(old), F.lit(new))
+        return F.concat(F.lit("<td>"), x, F.lit("</td>"))
+
+    row = F.concat(F.lit("<tr>"), *map(escaped, columns), F.lit("</tr>"))
+    head = "<table><tr>" + "".join(f"<th>{c}</th>" for c in columns) + "</tr>"
+    tables = rows.select(by, row.alias("row")).groupBy(by).agg(F.array_join(F.array_sort(F.collect_list("row")), "").alias("body"))
+    tables.select(by, F.concat(F.lit(head), F.col("body"), F.lit("</table>")).alias("value")).write.partitionBy(by).text(path)
+
+
+def archives(docs: DataFrame, path: str, section: str = "iso_domain") -> None:
+    """A release by site, compressed."""
+    docs.write.partitionBy(section).option("compression", "gzip").json(path)

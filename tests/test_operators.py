@@ -61,7 +61,7 @@ def test_inventories(spark):
     early = spark.createDataFrame([("eng", "a"), ("eng", "b"), ("fra", "c")], "iso string, url string")
     late = spark.createDataFrame([("eng", "b"), ("eng", "d"), ("som", "e")], "iso string, url string")
     assert [(r.iso, r.url) for r in versions.added(early, late).collect()] == [("eng", "d")]
-    assert [(r.iso, r.url) for r in versions.lost(early, late).collect()] == [("eng", "a")]
+    assert sorted((r.iso, r.url) for r in versions.lost(early, late).collect()) == [("eng", "a"), ("fra", "c")]
     assert [r.iso for r in versions.new_languages(early, late).collect()] == ["som"]
     assert [(r.url) for r in versions.first_per_key(early.union(late), ["iso"], ["url"]).orderBy("iso").collect()] == ["a", "c", "e"]
     assert versions.sampled_per_key(early, ["iso"], "url", 1).count() == 2
@@ -171,3 +171,40 @@ def test_other_readers(spark, tmp_path):
     (tmp_path / "p.jsonl").write_text('{"url": "a", "timestamp": "2020-01-01T00:00:00Z"}\n')
     assert str(readers.inventory_pages(spark, str(tmp_path / "p.jsonl")).first().sitemap_last_modified).startswith("2020-01-01")
     assert schemas.DOCUMENT.count("STRING") > 10
+
+
+def test_sitemap_entries_of_a_language_count_once(spark, tmp_path):
+    entry = "<url><loc>{}</loc><priority>{}</priority></url>"
+    head = "<urlset xmlns='s' xmlns:video='v' xmlns:news='n'>"
+    (tmp_path / "b.xml").write_text(head + entry.format(" http://x/1 ", "b1") + entry.format("http://x/2", "b2") + entry.format("http://x/2", "b3") + "<url><priority>no</priority></url></urlset>")
+    (tmp_path / "a.xml").write_text(head + entry.format("http://x/1", "a1") + "<url><loc>http://x/3</loc><video:video><video:title>t</video:title></video:video></url></urlset>")
+    (tmp_path / "c.xml").write_text(head + entry.format("http://x/1", "c1") + "</urlset>")
+    order = spark.createDataFrame([("b.xml", "eng"), ("a.xml", "eng"), ("c.xml", "fra")], "Filename string, ISO string").coalesce(1)
+    got = {(r.iso, r.url): (r.priority, r.video) for r in readers.sitemap_pages(spark, f"{tmp_path}/*.xml", order).collect()}
+    assert got == {("eng", "http://x/1"): ("b1", None), ("eng", "http://x/2"): ("b2", None), ("eng", "http://x/3"): (None, {"title": "t"}), ("fra", "http://x/1"): ("c1", None)}
+
+
+def test_lines_are_numbered_by_file(spark, tmp_path):
+    (tmp_path / "one").write_text("a\nb\n\nc")
+    got = sorted((r.file_name, r.line_no, r.value) for r in readers.numbered_lines(spark, str(tmp_path)).collect())
+    assert got == [("one", 0, "a"), ("one", 1, "b"), ("one", 2, ""), ("one", 3, "c")]
+
+
+def test_lost_urls_of_a_language_that_is_gone(spark):
+    early = spark.createDataFrame([("eng", "u1"), ("eng", "u2"), ("fra", "u3")], "iso string, url string")
+    late = spark.createDataFrame([("eng", "u1"), ("deu", "u9")], "iso string, url string")
+    assert sorted(r.url for r in versions.lost(early, late).collect()) == ["u2", "u3"] and versions.added(early, late).count() == 0
+
+
+def test_a_dump_without_a_date_is_an_error(spark, tmp_path):
+    (tmp_path / "d.json").write_text('{"_id": "1", "date_published": null}')
+    with pytest.raises(Exception, match="no publication date"):
+        readers.reinserted(spark, f"{tmp_path}/d.json", "_id STRING, date_published STRING").collect()
+
+
+def test_single_line_texts_and_archives(spark, tmp_path):
+    docs = spark.createDataFrame([("x", [["One.", "Two."], ["Three."]])], "iso_domain string, sentences array<array<string>>")
+    writers.sentences(docs, f"{tmp_path}/flat", lines=False)
+    assert [r.value for r in spark.read.text(f"{tmp_path}/flat").collect()] == ["One. Two. Three."]
+    writers.archives(docs, f"{tmp_path}/release")
+    assert len(list((tmp_path / "release" / "iso_domain=x").glob("*.gz"))) == 1
