@@ -37,11 +37,14 @@ from glossa.llm.components import components
 
 WIDTHS = (13, 13, 13, 13, 12)
 MAX_BITS = 2
-#: MinHash keys of a text, minima in each, and texts under a key of which all pairs are candidates.
-BANDS, ROWS, SMALL = 20, 4, 9
+#: MinHash functions, keys of a text, minima in each, and texts under a key of which all pairs are candidates.
+#: By calculation a pair with a similarity of 0.8 shares no key with a chance below 1 in 1,000.
+MINIMA, BANDS, ROWS, SMALL = 200, 100, 10, 9
 #: A table of at most so many hashes is broadcast (some 20 MB in memory); a larger one is shuffled.
 BROADCAST_ROWS = 500_000
-_FACTORS = np.random.default_rng(5).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FACTORS = np.random.default_rng(5).integers(0, 1 << 63, MINIMA, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: The minima of each key: random sets, each minimum in as many of them.
+_PICKED = np.sort(np.concatenate([np.random.default_rng(k).permutation(MINIMA) for k in range(BANDS * ROWS // MINIMA)]).reshape(BANDS, ROWS), axis=1)
 
 
 def _blocks() -> list[int]:
@@ -83,13 +86,13 @@ def fingerprint(text: str | None, shingle: int) -> int:
 
 
 def minhash_keys(hashes: np.ndarray) -> list[int]:
-    """One key for each band, of the least values of ROWS hash functions over the shingles; none for a wordless text."""
+    """BANDS keys, each of the least values of ROWS hash functions over the shingles; none for a wordless text."""
     if not len(hashes):
         return []
     least = np.full(len(_FACTORS), np.iinfo(np.uint64).max)
     for at in range(0, len(hashes), 1 << 10):
         np.minimum(least, (_FACTORS[:, None] * hashes[None, at : at + (1 << 10)]).min(1), out=least)
-    return [_signed(xxhash.xxh64_intdigest(band.tobytes(), k)) for k, band in enumerate(least.reshape(BANDS, ROWS))]
+    return [_signed(xxhash.xxh64_intdigest(band.tobytes(), k)) for k, band in enumerate(least[_PICKED])]
 
 
 def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, version: bool = False) -> DataFrame:
@@ -144,8 +147,8 @@ def similar_links(docs: DataFrame, prints: DataFrame, *, text: str, shingle: int
     Texts that share a MinHash key are candidates, and every candidate is verified on whole shingle
     sets.  Under a key of at most ``small`` texts all pairs are candidates.  Under a larger one every
     text is held against the least of them, which settles groups of near copies in as many pairs as
-    there are texts; those that it doesn't settle are held against all texts of the key that share a
-    second key with them.
+    there are texts; those that it doesn't settle are held against all texts of the key.  Keys are of
+    many minima, so texts that aren't close rarely share one.
     """
     with Scratch(docs.sparkSession) as own:
         texts = prints.groupBy("version").agg(F.first("print").alias("print"), F.first("keys").alias("keys"))
@@ -166,11 +169,8 @@ def similar_links(docs: DataFrame, prints: DataFrame, *, text: str, shingle: int
         left = many.filter((F.col("version") != F.col("head.version")) & apart)
         known = links.select(F.least("a", "b").alias("p"), F.greatest("a", "b").alias("q"))
         left = own.cut(left.join(known, (F.least("version", "head.version") == F.col("p")) & (F.greatest("version", "head.version") == F.col("q")), "left_anti").select("key", "version", "print"))
-        open_keys = left.select(F.col("key").alias("k")).distinct()
-        seconds = rows.select(F.col("version").alias("w"), F.col("key").alias("second"))
-        again = own.cut(many.join(open_keys, F.col("key") == F.col("k"), "left_semi").join(seconds, (F.col("version") == F.col("w")) & (F.col("key") != F.col("second"))).select("key", "second", one.alias("y")))
-        probes = left.join(seconds, (F.col("version") == F.col("w")) & (F.col("key") != F.col("second"))).select(F.col("key").alias("k"), F.col("second").alias("s"), one.alias("x"))
-        met = probes.join(again, (F.col("k") == F.col("key")) & (F.col("s") == F.col("second"))).filter("x.version <> y.version").select("x", "y")
+        probes = left.select(F.col("key").alias("k"), one.alias("x"))
+        met = probes.join(many.select("key", one.alias("y")), F.col("k") == F.col("key")).filter("x.version <> y.version").select("x", "y")
         more = _similar(docs, own.cut(_flat(met)), text=text, shingle=shingle, similarity=similarity, own=own)
         return cut(links.union(more).select("u", "v").distinct())
 

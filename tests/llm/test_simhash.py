@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -113,3 +114,16 @@ def test_one_of_each_finds_edited_copies(spark, monkeypatch, small):
     assert len(near - close) > 10
     left = sh.one_of_each(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"))
     assert {r.doc_id for r in left.collect()} == set(roots(near | close, ids).values())
+
+
+def test_recall_of_minhash_keys():
+    """Of pairs with a similarity of just over 0.8 nearly all share a key; of those at 0.4 few do."""
+    rng = np.random.default_rng(7)
+    met = {0.8: 0, 0.4: 0}
+    for similarity in met:
+        for _ in range(300):
+            n = 400
+            shared = int(np.ceil(similarity * 2 * n / (1 + similarity)))
+            ids = rng.integers(0, 1 << 63, 2 * n - shared, dtype=np.uint64)
+            met[similarity] += bool(set(sh.minhash_keys(ids[:n])) & set(sh.minhash_keys(ids[n - shared :])))
+    assert met[0.8] >= 297 and met[0.4] <= 30
