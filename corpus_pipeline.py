@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.llm import decontaminate, linededup, pieces, quality, simhash
-from glossa.llm.common import cut, table
+from glossa.llm.common import Scratch, cut, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,13 +50,15 @@ STAGES = [
     ("SentencePiece encoding", encoding),
 ]
 
-#: SQL has neither the forest nor the piece search; the tests hold each stage against a brute-force version.
+#: SQL has neither the forest nor the piece search; tests/llm/test_pipeline.py holds every stage, and run(), against plain loops.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
+    """All stages over ``documents``; what is between two stages is deleted when the later one is written."""
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = cut(stage(spark, docs, sf_dir))
-    return docs
+    with Scratch(spark) as own:
+        for _, stage in STAGES[:-1]:
+            docs = own.cut(stage(spark, docs, sf_dir))
+            own.clear(keep=1)
+        return cut(STAGES[-1][1](spark, docs, sf_dir))
