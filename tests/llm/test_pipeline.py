@@ -1,32 +1,68 @@
-"""The pipeline's stages in order; each judged on its own input."""
+"""The pipeline's stages in order, each against plain loops over its own input."""
+
+import test_decontaminate
+import test_line_dedup
+import test_quality
+import test_simhash
 
 import corpus_pipeline
-from glossa.llm import decontaminate, quality, simhash
+from glossa.llm import quality
 from glossa.llm.pieces import Pieces
 
 
-def test_stages(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    columns, states = docs.columns, [docs]
-    for name, stage in corpus_pipeline.STAGES:
-        out = stage(spark, states[-1], sf_dir).cache()
-        if name != corpus_pipeline.STAGES[-1][0]:
-            assert out.columns == columns
-        states.append(out)
-    raw, good, lines, single, clean, ids = states
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    verdict = {r.doc_id for r in quality.judge(raw, quality.fit(raw, labels)).filter("kept").collect()}
-    assert {r.doc_id for r in good.collect()} == verdict
-    assert lines.count() == good.count() and lines.filter("n_chars <> length(text)").count() == 0
-    groups = {r.component_id for r in simhash.near_duplicates(lines, shingle=5).collect()}
-    assert {r.doc_id for r in single.collect()} == groups
-    dirty = {r.doc_id for r in decontaminate.find_contamination(single, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).filter("size(spans) > 0").collect()}
-    assert {r.doc_id for r in clean.collect()} == groups - dirty
-    model = Pieces.load()
-    texts = {r.doc_id: r.text for r in clean.collect()}
-    assert {r.doc_id: model.decode(r.ids) for r in ids.collect()} == texts
+def plain_quality(docs, judged):
+    out = {}
+    for d, text in docs.items():
+        counts, features = quality.statistics(text)
+        if counts[0] >= 50 and 2 * counts[4] <= counts[0] and test_quality.plain_score(judged.forest, features) < judged.threshold:
+            out[d] = text
+    return out
+
+
+def plain_near_dedup(docs):
+    ids = list(docs)
+    grams = {d: frozenset(zip(*(lowered(t).split()[k:] for k in range(5)), strict=False)) for d, t in docs.items()}
+    prints = {d: test_simhash.naive_print(t, 5) for d, t in docs.items()}
+    links = [(a, b) for n, b in enumerate(ids) for a in ids[:n] if (prints[a] ^ prints[b]).bit_count() <= 2 or len(grams[a] & grams[b]) >= 0.8 * len(grams[a] | grams[b]) > 0]
+    kept = set(test_simhash.roots(links, ids).values())
+    return {d: t for d, t in docs.items() if d in kept}
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
 
 
-def test_run_gives_the_last_stage(spark, sf_dir):
-    out = corpus_pipeline.run(spark, sf_dir)
-    assert out.columns == ["doc_id", "n_pieces", "n_unknown", "ids", "ids_sha256", "round_trip"] and out.count() > 100
+def plain_decontamination(docs, items):
+    found = test_decontaminate.brute(list(docs.items()), items)
+    return {d: t for d, t in docs.items() if not found[d][1]}
+
+
+def texts_of(frame):
+    return {r.doc_id: r.text for r in frame.collect()}
+
+
+def test_stages_and_run_equal_plain_loops(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    judged = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    plain = [
+        lambda d: plain_quality(d, judged),
+        lambda d: dict(test_line_dedup.brute(list(d.items()))),
+        plain_near_dedup,
+        lambda d: plain_decontamination(d, items),
+    ]
+    state, want, sizes = docs, texts_of(docs), []
+    for (name, stage), loop in zip(corpus_pipeline.STAGES, plain, strict=False):
+        out = stage(spark, state, sf_dir).cache()
+        assert out.columns == docs.columns, name
+        want = loop(want)
+        assert texts_of(out) == want, name
+        assert out.filter("n_chars <> length(text)").count() == 0, name
+        sizes.append(len(want))
+        state = out
+    assert 200 > sizes[0] > sizes[2] > sizes[3] > 50
+    model = Pieces.load()
+    ran = corpus_pipeline.run(spark, sf_dir)
+    assert ran.columns == ["doc_id", "n_pieces", "n_unknown", "ids", "ids_sha256", "round_trip"]
+    assert {r.doc_id: model.decode(r.ids) for r in ran.collect()} == want
+    assert {r.doc_id: r.ids for r in ran.collect()} == {d: model.encode(t)[0].tolist() for d, t in want.items()}
