@@ -174,7 +174,7 @@ def metadata(root: Node) -> dict:
         "description": metas.get("description"),
         "canonical_link": links[0] if links else None,
         "keywords": split(metas.get("keywords")),
-        "authors": split(metas.get("Author")),
+        "authors": [m.attributes.get("content", "") for m in root.find_all("meta") if m.attributes.get("name") == "Author"] or None,
         "has_ptags": any((t := p.text().strip()) and not t.startswith(SCRAPE_BOILERPLATE) for p in root.find_all("p")),
     }
 

@@ -281,3 +281,8 @@ def wiki_tokens(x: Column, shortest: int = 1, longest: int = 25) -> Column:
 def shortened(name: Column, most: int = 100) -> Column:
     """The last characters of a name that is too long for a file."""
     return F.when(F.length(name) > most, F.right(name, F.lit(most))).otherwise(name)
+
+
+def linked_data(html: Column) -> Column:
+    """The first linked-data script as a variant; one that isn't JSON is an error."""
+    return F.parse_json(ld_json(html))

@@ -117,3 +117,17 @@ def required_rules(columns: tuple[str, ...] = REQUIRED) -> dict[str, Column]:
 def categories(*columns: str) -> Column:
     """The pages of a site that there are."""
     return F.array_compact(F.array(*columns))
+
+
+def of_section(docs: DataFrame, section: str | None = None, keyword: str | None = None, *, column: str = "section", keywords: str = "keywords", route: str | None = None) -> DataFrame:
+    """Documents of a section or with a keyword, without those that language identification took out."""
+    if section is not None:
+        docs = docs.filter(F.col(column) == section)
+    if keyword is not None:
+        docs = with_keyword(docs, keyword, keywords)
+    return docs.filter(F.col(route) != "lang_id_filtered") if route else docs
+
+
+def type_rules(**types: str) -> dict[str, Column]:
+    """Rules that fields, read as text, have the types that are asked for; a missing value breaks none."""
+    return {f"{name}_{kind}": F.col(name).isNull() | F.col(name).cast("string").try_cast(kind).isNotNull() for name, kind in types.items()}

@@ -61,3 +61,22 @@ def rederived(rows: DataFrame, *, html: str = "original_html") -> DataFrame:
 
 def ids(rows: DataFrame, column: str = "_id") -> DataFrame:
     return rows.select(column)
+
+
+def with_filename(rows: DataFrame, name: Column) -> DataFrame:
+    """The documents under a new file name."""
+    return rows.withColumn("filename", name)
+
+
+def as_json(rows: DataFrame, name: str = "value") -> DataFrame:
+    """Each row as a JSON object, times in ISO form, nulls written."""
+    return rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss"}).alias(name))
+
+
+def as_fields(rows: DataFrame, name: str = "value", sep: str = "\t") -> DataFrame:
+    """Each row as one line of fields, nulls empty."""
+    return rows.select(F.concat_ws(sep, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in rows.columns]).alias(name))
+
+
+def keys(rows: DataFrame) -> list[str]:
+    return rows.columns

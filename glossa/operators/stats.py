@@ -163,3 +163,14 @@ def ranked(counts: DataFrame, value: str, *, name: str | None = None) -> DataFra
     """A table of counts for a chart: largest first."""
     out = counts.withColumnRenamed(value, name) if name else counts
     return out.orderBy(F.desc(name or value), *[c for c in out.columns if c != (name or value)])
+
+
+def latex(rows: DataFrame, most: int = 10_000) -> str:
+    """A small table for a paper; a larger one than ``most`` rows is an error."""
+    held = rows.limit(most + 1).collect()
+    if len(held) > most:
+        raise ValueError(f"more than {most} rows")
+    spelt = lambda x: f"{x:,d}" if isinstance(x, int) and not isinstance(x, bool) else "" if x is None else str(x)
+    escaped = lambda x: spelt(x).replace("_", r"\_").replace("&", r"\&").replace("%", r"\%")
+    lines = [" & ".join(map(escaped, r)) + r" \\" for r in (rows.columns, *held)]
+    return "\n".join([rf"\begin{{tabular}}{{{'l' * len(rows.columns)}}}", lines[0], r"\hline", *lines[1:], r"\end{tabular}"])

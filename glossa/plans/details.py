@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.functions import dates, lid, segment, text
-from glossa.operators import filters, mutations, ordered, stats, versions
+from glossa.operators import filters, mutations, ordered, scraping, stats, versions
 from glossa.plans.catalogue import DOCS_SQL, PAGES_SQL, STOP_SQL, docs_view, pages_view, query, table
 from glossa.sources import readers, writers
 from glossa.sources.shared import shared_dir
@@ -160,6 +160,31 @@ def detector_codes(spark, sf_dir):
     return table(spark, sf_dir, "nation").select("n_nationkey", lid.iso3(F.get(codes, F.col("n_nationkey") % 6)).alias("iso"))
 
 
+@query(
+    "SELECT event_id, 'T ' || event_type AS title, 'D' AS description, 'http://c/' || event_id AS canonical_link, ['a b', event_type] AS keywords, ['Jane', 'Roe'] AS authors, event_id % 2 = 0 AS has_ptags, 'k' || json_extract_string(props, '$.k') AS content_type,"
+    " CASE event_id % 3 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('day', ts) END AS date_published, CASE WHEN event_id % 3 = 0 THEN date_trunc('second', ts) END AS date_modified FROM events"
+)
+def scraped_metadata(spark, sf_dir):
+    """Everything that is kept of a scraped page."""
+    i, e = F.col("event_id"), F.col("event_type")
+    part = lambda f: F.date_format("ts", f)
+    linked = F.concat(F.lit('<script type="application/ld+json">{"datePublished": "'), part("yyyy-MM-dd HH:mm:ss'Z'"), F.lit('", "dateModified": "'), part("yyyy-MM-dd HH:mm:ss'Z'"), F.lit('"}</script>'))
+    dated = F.concat(F.lit(",pub_year:'"), part("yyyy"), F.lit("',pub_month:'"), part("MM"), F.lit("',pub_day:'"), part("dd"), F.lit("'"))
+    page = F.concat(
+        F.lit('<head><meta name="title" content="T '), e, F.lit('"><meta name="description" content="D"><link rel="canonical" href="http://c/'), i.cast("string"),
+        F.lit('"><meta name="keywords" content="a b , '), e, F.lit('"><meta name="Author" content="Jane"><meta name="Author" content="Roe"></head><script type="text/javascript">var utag_data = {content_type:\'k'),
+        F.get_json_object("props", "$.k"), F.lit("'"), F.when(i % 3 == 1, dated).otherwise(""), F.lit("}</script>"), F.when(i % 3 == 0, linked).otherwise(""), F.when(i % 2 == 0, "<p>text</p>").otherwise("<p>Log in</p>"),
+    )
+    found = scraping.page_metadata(table(spark, sf_dir, "events").select("event_id", page.alias("html")))
+    return found.select("event_id", "title", "description", "canonical_link", "keywords", "authors", "has_ptags", "content_type", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("date_published", "date_modified")])
+
+
+@query("""SELECT event_id, '{"n":' || json_extract_string(props, '$.k') || '}' AS linked FROM events""")
+def parsed_linked_data(spark, sf_dir):
+    page = F.concat(F.lit('<script type="application/ld+json">{"n": '), F.get_json_object("props", "$.k"), F.lit(" }</script>"))
+    return table(spark, sf_dir, "events").select("event_id", F.to_json(text.linked_data(page)).alias("linked"))
+
+
 # --- dates ------------------------------------------------------------------------------------
 
 
@@ -194,6 +219,30 @@ def publication_dates(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", ntz(dates.published(linked, utag)).alias("published"), ntz(dates.repaired(stamp, iso)).alias("retrieved"), ntz(dates.inserted(iso)).alias("inserted"))
 
 
+# --- records and sections ---------------------------------------------------------------------
+
+
+@query("SELECT doc_id FROM documents WHERE source = 'src1' AND list_contains(string_split(text, ' '), 'the') AND doc_id % 4 <> 3")
+def section_with_keyword(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumns({"keywords": F.split("text", " "), "route": F.when(F.col("doc_id") % 4 == 3, "lang_id_filtered").otherwise("article")})
+    return filters.of_section(docs, "src1", "the", column="source", route="route").select("doc_id")
+
+
+@query("SELECT 'o_totalprice_int' AS rule, count(*) FILTER (o_orderkey % 3 = 0) AS n_broken FROM orders UNION ALL SELECT 'o_orderkey_bigint', 0 FROM orders WHERE o_orderkey = (SELECT min(o_orderkey) FROM orders)")
+def typed_fields(spark, sf_dir):
+    price = F.when(F.col("o_orderkey") % 3 == 0, "dear").when(F.col("o_orderkey") % 3 == 1, "5")
+    return filters.violations(table(spark, sf_dir, "orders").withColumn("o_totalprice", price), filters.type_rules(o_totalprice="int", o_orderkey="bigint"))
+
+
+@query("""SELECT '{"filename":"' || o_orderkey || '.json","status":' || CASE WHEN o_orderkey % 2 = 0 THEN '"' || o_orderstatus || '"' ELSE 'null' END || ',"d":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '"}' AS value FROM orders
+UNION ALL SELECT o_orderkey || '.json' || chr(9) || CASE WHEN o_orderkey % 2 = 0 THEN o_orderstatus ELSE '' END AS value FROM orders""")
+def records_as_text(spark, sf_dir):
+    """Records under new file names, as JSON and as lines of fields."""
+    rows = table(spark, sf_dir, "orders").select(F.lit("old").alias("filename"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderstatus")).alias("status"), F.col("o_orderdate").alias("d"), "o_orderkey")
+    named = mutations.with_filename(rows, F.concat(F.col("o_orderkey").cast("string"), F.lit(".json"))).drop("o_orderkey")
+    return mutations.as_json(named).union(mutations.as_fields(named.select("filename", "status")))
+
+
 # --- reports ----------------------------------------------------------------------------------
 
 
@@ -226,6 +275,11 @@ def content_with_errors(spark, sf_dir):
     return stats.crossed(rows, "site_language", "content_type")
 
 
+@query(DOCS_SQL + "SELECT site_language, count(*) FILTER (content_type = 'article') AS article, count(*) FILTER (content_type = 'audio') AS audio, count(*) FILTER (content_type = 'photo') AS photo, count(*) FILTER (content_type = 'video') AS video FROM docs GROUP BY 1")
+def crossed_counts(spark, sf_dir):
+    return stats.crossed(docs_view(spark, sf_dir), "site_language", "content_type")
+
+
 @query("SELECT lang, sum(n)::BIGINT AS n FROM (SELECT lang, count(*) AS n FROM documents WHERE lang <> 'es' GROUP BY 1 UNION ALL SELECT lang, count(*) FROM documents WHERE doc_id % 2 = 0 AND lang <> 'de' GROUP BY 1) GROUP BY 1")
 def united_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
@@ -408,6 +462,23 @@ def reinserted_pages(spark, sf_dir):
     return back.agg(F.count(F.lit(1)).alias("n"), ntz(F.min("date_published")).alias("first_date"), ntz(F.max("date_published")).alias("last_date"))
 
 
+@query(PAGES_SQL + "SELECT iso, count(url) AS n_urls, count(url) - count(DISTINCT url) AS n_duplicates FROM p GROUP BY 1")
+def url_tables(spark, sf_dir):
+    """URLs and their counts, written as three tables; the counts by language read again."""
+    path = shared_dir(spark)
+    writers.url_tables(pages_view(spark, sf_dir).withColumn("host", F.get(F.split("url", "/"), F.lit(2))), path)
+    return spark.read.option("sep", "\t").option("header", True).schema("iso STRING, n_urls BIGINT, n_duplicates BIGINT").csv(f"{path}/by_language")
+
+
+@query("SELECT lang AS iso_domain, count(*) AS n FROM documents WHERE doc_id % 4 <> 3 AND doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 0) GROUP BY 1")
+def packed_release(spark, sf_dir):
+    """A release by site: without filtered routes and named files, compressed."""
+    path = shared_dir(spark)
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("filename"), "text", F.col("lang").alias("iso_domain"), F.when(F.col("doc_id") % 4 == 3, "index").otherwise("article").alias("route"))
+    writers.release(docs, path, names=table(spark, sf_dir, "labels").filter("quality = 0").select(F.col("doc_id").alias("filename")))
+    return stats.counted(spark.read.schema("filename BIGINT, iso_domain STRING").json(path), "iso_domain", name="n")
+
+
 @query("SELECT o_orderstatus AS status, count(*) AS n_rows FROM orders WHERE o_orderkey % 100 = 1 GROUP BY 1")
 def html_reports(spark, sf_dir):
     """A table for each status; its rows are counted in the HTML."""

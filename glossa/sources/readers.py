@@ -137,3 +137,18 @@ def reinserted(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Dumped pages read in again, their publication dates as times; a missing or odd date is an error."""
     rows = spark.read.schema(schema).json(path)
     return rows.withColumn("date_published", dates.inserted(F.col("date_published")))
+
+
+def segmentation_data(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """Sentences to train or test a segmenter on: from token lines (``ner``), annotated treebanks (``ud``) or XML words (``xml``)."""
+    from glossa.operators import ordered
+
+    if kind == "xml":
+        return word_sentences(spark, path)
+    lines = numbered_lines(spark, path)
+    if kind == "ud":
+        return ordered.annotated_texts(lines)
+    if kind == "ner":
+        tokens = lines.withColumn("value", F.get(F.split(F.trim("value"), r"\s+"), F.lit(0)))
+        return ordered.grouped_sentences(tokens).select("sentence")
+    raise ValueError(f"unknown kind {kind}")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from glossa.functions import text
+from glossa.operators import filters, stats
 from glossa.sources.schemas import DROPPED_IF_EMPTY
 
 
@@ -53,8 +54,9 @@ def plaintext(docs: DataFrame, path: str, units: str, *, title: bool = False, au
     docs.select("content_type", body.alias("value")).write.partitionBy("content_type").text(path)
 
 
-def plaintext_pair(docs: DataFrame, path: str) -> None:
-    """Titles and paragraphs, and tokenised sentences one a line, in two folders."""
+def plaintext_pair(docs: DataFrame, path: str, *, section: str | None = None, keyword: str | None = None) -> None:
+    """Titles and paragraphs, and tokenised sentences one a line, in two folders; of a section or keyword if one is named."""
+    docs = filters.of_section(docs, section, keyword)
     raw = F.array_join(F.concat(F.array("title"), "paragraphs"), "\n\n")
     sentences = F.array_join(F.transform("tokens", lambda p: F.array_join(F.transform(p, lambda s: F.array_join(s, " ")), "\n")), "\n\n")
     docs.select(raw.alias("value")).write.text(f"{path}/raw_paragraphs")
@@ -122,3 +124,15 @@ def html_report(rows: DataFrame, path: str, by: str) -> None:
 def archives(docs: DataFrame, path: str, section: str = "iso_domain") -> None:
     """A release by site, compressed."""
     docs.write.partitionBy(section).option("compression", "gzip").json(path)
+
+
+def url_tables(urls: DataFrame, path: str, *, language: str = "iso", site: str = "host", url: str = "url") -> None:
+    """The URLs, and their counts by language and by site."""
+    table(urls.select(language, site, url), f"{path}/urls")
+    table(stats.url_counts(urls, language, url), f"{path}/by_language")
+    table(stats.url_counts(urls, site, url), f"{path}/by_site")
+
+
+def release(docs: DataFrame, path: str, *, names: DataFrame | None = None, section: str = "iso_domain") -> None:
+    """What a release has, by site and compressed."""
+    archives(filters.released(docs, names=names), path, section)

@@ -208,3 +208,26 @@ def test_single_line_texts_and_archives(spark, tmp_path):
     assert [r.value for r in spark.read.text(f"{tmp_path}/flat").collect()] == ["One. Two. Three."]
     writers.archives(docs, f"{tmp_path}/release")
     assert len(list((tmp_path / "release" / "iso_domain=x").glob("*.gz"))) == 1
+
+
+def test_segmentation_data_of_three_kinds(spark, tmp_path):
+    (tmp_path / "ner").write_text("Moyo B-PER\nwahamba O\n. O\n\nKwaba O\nnjalo O\n")
+    (tmp_path / "ud").write_text("# sent_id = 1\n# text = One two.\n1\tOne\n\n# text = Three.\n")
+    (tmp_path / "xml.xml").write_text("<t><s><w>One</w><w>two</w><w>.</w></s><s><w>Three</w></s></t>")
+    got = {k: sorted(r.sentence for r in readers.segmentation_data(spark, str(tmp_path / f), k).collect()) for k, f in (("ner", "ner"), ("ud", "ud"), ("xml", "xml.xml"))}
+    assert got == {"ner": ["Kwaba njalo", "Moyo wahamba."], "ud": ["One two.", "Three."], "xml": ["One two.", "Three"]}
+
+
+def test_tables_for_papers(spark):
+    rows = spark.createDataFrame([("a_b", 1200), (None, 3)], "lang string, n bigint").orderBy("n")
+    assert stats.latex(rows) == "\\begin{tabular}{ll}\nlang & n \\\\\n\\hline\n & 3 \\\\\na\\_b & 1,200 \\\\\n\\end{tabular}"
+    with pytest.raises(ValueError, match="more than 1"):
+        stats.latex(rows, most=1)
+
+
+def test_linked_data_that_is_not_json_is_an_error(spark):
+    from glossa.functions import text
+
+    page = spark.createDataFrame([('<script type="application/ld+json">{broken</script>',)], "html string")
+    with pytest.raises(Exception, match="MALFORMED"):
+        page.select(F.to_json(text.linked_data(F.col("html")))).collect()
