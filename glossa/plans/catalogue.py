@@ -487,7 +487,7 @@ def html_paragraphs(spark, sf_dir):
     return found.select("page_id", F.size("paragraphs").cast("long").alias("n_paragraphs"), F.md5(F.array_join("paragraphs", "\n")).alias("paragraphs_md5"))
 
 
-@query()
+@query("SELECT page_id, replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title, NULL::VARCHAR AS canonical_link, html LIKE '%<p>%' AS has_ptags FROM pages")
 def html_metadata(spark, sf_dir):
     found = html.with_metadata(table(spark, sf_dir, "pages"))
     return found.select("page_id", "meta.title", "meta.canonical_link", "meta.has_ptags")
