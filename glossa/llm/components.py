@@ -2,7 +2,7 @@
 
 No component, and no node's neighbours, are ever gathered in one place: each round is a grouped
 minimum (partial sums before the shuffle) and a join of tables that were written to the shared
-folder, whose hot keys adaptive execution can split.  Rounds go on until nothing changes; their
+folder, whose hot keys adaptive execution can split.  Rounds go on until all components are stars; their
 number grows with the logarithm of the longest path.
 """
 
@@ -25,6 +25,13 @@ def _star(pairs: DataFrame, kept: str, own: Scratch) -> DataFrame:
     return joined.filter(kept).select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
+def _are_stars(down: DataFrame) -> bool:
+    """Does each node hang on one other, which hangs on none?  Rounds keep components together, so then they are found."""
+    if not down.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        return False
+    return down.join(down.select(F.col("u").alias("w")), F.col("v") == F.col("w"), "left_semi").isEmpty()
+
+
 def components(links: DataFrame, own: Scratch) -> DataFrame:
     """``links`` has columns u, v of one ordered type; the result has (node, root) for each node in a link, root the least.
 
@@ -32,14 +39,10 @@ def components(links: DataFrame, own: Scratch) -> DataFrame:
     """
     with Scratch(own.spark) as rounds:
         down = rounds.cut(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u != v").distinct())
-        before = None
-        while True:
+        while not _are_stars(down):
             both = rounds.cut(down.union(down.select(F.col("v").alias("u"), F.col("u").alias("v"))))
             large = rounds.cut(_star(both, "v > u AND v != m", rounds).distinct())
             least = _least(large).select(F.col("w").alias("u"), F.col("m").alias("v"))
             down = rounds.cut(_star(large, "v != m", rounds).union(least).filter("u != v").distinct())
             rounds.clear(keep=1)
-            state = down.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-            if state == before:
-                return own.cut(down.select(F.col("u").alias("node"), F.col("v").alias("root")).union(down.select("v", "v").distinct()))
-            before = state
+        return own.cut(down.select(F.col("u").alias("node"), F.col("v").alias("root")).union(down.select("v", "v").distinct()))

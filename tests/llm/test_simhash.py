@@ -127,3 +127,13 @@ def test_recall_of_minhash_keys():
             ids = rng.integers(0, 1 << 63, 2 * n - shared, dtype=np.uint64)
             met[similarity] += bool(set(sh.minhash_keys(ids[:n])) & set(sh.minhash_keys(ids[n - shared :])))
     assert met[0.8] >= 297 and met[0.4] <= 30
+
+
+def test_components_of_random_graphs(spark):
+    rng = random.Random(11)
+    for n, m in ((30, 20), (60, 60), (40, 200)):
+        links = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)]
+        nodes = {x for a, b in links if a != b for x in (a, b)}
+        with Scratch(spark) as own:
+            got = {r.node: r.root for r in components(spark.createDataFrame(links, "u bigint, v bigint"), own).collect()}
+        assert got == roots(links, nodes | {x for p in links for x in p}) or got == {k: v for k, v in roots(links, {x for p in links for x in p}).items() if k in nodes}
