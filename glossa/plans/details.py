@@ -486,3 +486,65 @@ def html_reports(spark, sf_dir):
     writers.html_report(table(spark, sf_dir, "orders").filter("o_orderkey % 100 = 1").select("o_orderkey", "o_orderpriority", F.col("o_orderstatus").alias("status")), path, "status")
     back = spark.read.text(path, wholetext=True).withColumn("status", F.split_part(text.path_part(F.col("_metadata.file_path"), 2), F.lit("="), F.lit(2)))
     return back.groupBy("status").agg(F.sum(F.regexp_count("value", F.lit("<tr><td>"))).cast("long").alias("n_rows"))
+
+
+@query("SELECT n_name AS url, n_nationkey AS n_chars, 'article' AS folder FROM nation WHERE n_nationkey % 3 = 0")
+def corpus_of_files(spark, sf_dir):
+    """A folder of documents, one in a file, of which only articles by folder are read."""
+    path = shared_dir(spark)
+    rows = table(spark, sf_dir, "nation").select(F.col("n_name").alias("url"), F.col("n_nationkey").cast("bigint").alias("n_chars"), F.when(F.col("n_nationkey") % 3 == 0, "article").otherwise("video").alias("folder"), F.col("n_nationkey").alias("name"))
+    for folder in ("article", "video"):
+        rows.filter(F.col("folder") == folder).drop("folder").repartition(32, "name").write.option("maxRecordsPerFile", 1).json(f"{path}/site/{folder}")
+    back = readers.documents(spark, path, articles_only=True)
+    return back.select("url", "n_chars", text.path_part(F.col("path"), 2).alias("folder"))
+
+
+@query(DOCS_SQL + ", v AS (SELECT doc_id, lead(doc_id) OVER (PARTITION BY site_language, canonical_link ORDER BY doc_id) AS a, lead(doc_id) OVER (PARTITION BY site_language, source ORDER BY doc_id) AS b FROM docs) SELECT doc_id, least(a, b) AS superseded_seq, least(a, b) IS NULL AS latest FROM v")
+def ingested_versions(spark, sf_dir):
+    """New page files taken in by a stream give the table that one batch would."""
+    from glossa.streaming import ingest
+
+    path = shared_dir(spark)
+    pages = docs_view(spark, sf_dir).select("doc_id", F.col("site_language").alias("iso"), F.col("source").alias("url"), "canonical_link", F.lit(True).alias("success"))
+    pages.repartition(6, "doc_id").write.parquet(f"{path}/new")
+    ingest.ingest(spark, f"{path}/new", "doc_id BIGINT, iso STRING, url STRING, canonical_link STRING, success BOOLEAN", f"{path}/table", f"{path}/state", seq="doc_id", files_per_batch=2).awaitTermination()
+    return ingest.current(spark, f"{path}/table", seq="doc_id").select("doc_id", "superseded_seq", "latest")
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS url_key, CAST(strftime(o_orderdate, '%Y%m%d%H%M%S') AS BIGINT) AS snapshot, 'http://x/' || o_custkey AS original_url FROM orders")
+def archive_lines(spark, sf_dir):
+    path = shared_dir(spark)
+    line = F.concat_ws(" ", F.col("o_orderkey").cast("string"), F.date_format("o_orderdate", "yyyyMMddHHmmss"), F.concat(F.lit("http://x/"), F.col("o_custkey").cast("string")), F.lit("more"))
+    table(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
+    return readers.archive_listing(spark, path)
+
+
+@query("SELECT n_name AS \"Filename\", 'l' || n_regionkey AS \"ISO\", n_regionkey = 0 AS first FROM nation")
+def sitemap_lists(spark, sf_dir):
+    """The list of sitemap files as a table of fields."""
+    path = shared_dir(spark)
+    rows = table(spark, sf_dir, "nation").select(F.col("n_name").alias("Filename"), F.lit("u").alias("Url"), F.concat(F.lit("l"), F.col("n_regionkey").cast("string")).alias("ISO"), F.lit("x").alias("Language"), F.lit("s").alias("Sitename"), F.lit("t").alias("Timestamp"), F.lit("r").alias("Region"))
+    writers.table(rows, path)
+    return readers.filemap(spark, path).select("Filename", "ISO", (F.col("ISO") == "l0").alias("first"))
+
+
+@query("SELECT n_regionkey AS file, (row_number() OVER (PARTITION BY n_regionkey ORDER BY n_name) - 1)::INTEGER AS line_no, n_name AS value FROM nation")
+def lines_of_files(spark, sf_dir):
+    """The lines of each file, numbered in order."""
+    path = shared_dir(spark)
+    files = table(spark, sf_dir, "nation").groupBy(F.col("n_regionkey").alias("file")).agg(F.array_join(F.array_sort(F.collect_list("n_name")), "\n").alias("value"))
+    files.write.partitionBy("file").text(path)
+    lines = readers.numbered_lines(spark, path).filter("value <> ''")
+    regions = table(spark, sf_dir, "nation").select(F.col("n_name").alias("value"), F.col("n_regionkey").alias("file"))
+    return lines.join(regions, "value").select("file", "line_no", "value")
+
+
+@query("SELECT event_type AS iso, count(*) AS n, count(DISTINCT user_id) AS n_urls FROM events GROUP BY 1")
+def inventory_lines(spark, sf_dir):
+    """Page entries as JSON lines, the modification time under an older name."""
+    path = shared_dir(spark)
+    prov = F.struct(F.lit("f").alias("filename"), F.struct(F.lit("u").alias("url"), F.col("event_type").alias("iso")).alias("sitemap"))
+    rows = table(spark, sf_dir, "events").select(F.concat(F.lit("http://x/"), F.col("user_id").cast("string")).alias("url"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("timestamp"), prov.alias("sitemap_prov"))
+    writers.json_lines(rows, path)
+    back = readers.inventory_pages(spark, path).filter("sitemap_last_modified IS NOT NULL")
+    return back.groupBy(F.col("sitemap_prov.sitemap.iso").alias("iso")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("url").alias("n_urls"))
