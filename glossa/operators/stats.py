@@ -62,6 +62,19 @@ def top(rows: DataFrame, order: list[Column], k: int, keys: list[str] | None = N
     return rows.withColumn("rank", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).filter(F.col("rank") <= k)
 
 
+def longest(rows: DataFrame, value: str, k: int, key: str) -> DataFrame:
+    """The k longest distinct texts of each key, with their length ``n`` and rank.
+
+    Lengths and hashes give the length that a text needs (hashes that meet only lower it), so that
+    few texts are shuffled; the table of these lengths has one row for each key.
+    """
+    n = F.length(value).alias("n")
+    heads = top(rows.select(key, n, F.xxhash64(value).alias("_h")).distinct(), [F.desc("n")], k, [key])
+    least = heads.groupBy(F.col(key).alias("_k")).agg(F.min("n").alias("_least"))
+    found = rows.select(key, value, n).join(F.broadcast(least), F.col(key).eqNullSafe(F.col("_k"))).filter("n >= _least").select(key, value, "n").distinct()
+    return top(found, [F.desc("n"), F.desc(value)], k, [key])
+
+
 def frequency(rows: DataFrame, value: Column, name: str, k: int = 0) -> DataFrame:
     """How often each value occurs, most frequent first with ties in the order of values."""
     counts = rows.select(value.alias(name)).groupBy(name).agg(F.count(F.lit(1)).alias("n"))

@@ -146,8 +146,7 @@ def sentence_endings_top(spark, sf_dir):
 
 @query(SENTENCES_SQL + ", r AS (SELECT DISTINCT site_language, s, length(s) AS n FROM sents) SELECT site_language, s, n::INTEGER AS n, rank FROM (SELECT *, row_number() OVER (PARTITION BY site_language ORDER BY n DESC, s DESC)::INTEGER AS rank FROM r) WHERE rank <= 15")
 def longest_sentences(spark, sf_dir):
-    rows = sentences_view(spark, sf_dir).select("site_language", "s", F.length("s").alias("n")).distinct()
-    return stats.top(rows, [F.desc("n"), F.desc("s")], 15, ["site_language"])
+    return stats.longest(sentences_view(spark, sf_dir), "s", 15, "site_language")
 
 
 @query(SENTENCES_SQL + "SELECT n::INTEGER AS n_chars, count(*) AS n FROM (SELECT DISTINCT doc_id, length(s) AS n FROM sents) GROUP BY 1")
