@@ -143,7 +143,7 @@ def test_generic_paragraphs_and_metadata(spark):
     assert html.generic_paragraphs(html.tree(page)) == ["Head", "Lead", "Body italic"]
     frame = spark.createDataFrame([(1, NEWS), (2, None)], "page_id int, html string")
     meta = {r.page_id: r.meta for r in html.with_metadata(frame).collect()}
-    assert meta[2] is None and meta[1].authors == ["A", "B"] and meta[1].canonical_link == "http://c/" and meta[1].keywords == ["k1", "k2"] and meta[1].has_ptags
+    assert meta[2] is None and meta[1].authors == ["A, B"] and meta[1].canonical_link == "http://c/" and meta[1].keywords == ["k1", "k2"] and meta[1].has_ptags
     assert {r.page_id: r.paragraphs for r in html.with_paragraphs(frame, profile="news_site").collect()}[2] is None
 
 
