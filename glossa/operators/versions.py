@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -32,22 +35,55 @@ def with_superseded(pages: DataFrame, *, iso: str = "iso", url: str = "url", can
     return found.withColumn("latest", F.col("superseded_seq").isNull() & inserted).drop("_supersedes", "_by_link", "_by_url")
 
 
+def _last_living(rows: DataFrame, key: str, name: str) -> DataFrame:
+    """(_name, name): for each row that links, the URL of the last earlier row of another language with the same key that still lives.
+
+    Rows stream through a task by key and sequence number.  For each language a stack keeps the rows
+    that can still be an answer: a later row that lives as long makes an earlier one useless, and one
+    that has died is dropped when it comes up.  So a key costs time in proportion to its rows and
+    languages, and memory in proportion to its languages.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, living = None, {}
+        for batch in batches:
+            found, urls = [], []
+            for seq, iso, own_url, value, until, links in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+                if value != at:
+                    at, living = value, {}
+                if iso is None:
+                    continue
+                if links:
+                    best = None
+                    for other, stack in living.items():
+                        while stack and stack[-1][2] is not None and stack[-1][2] <= seq:
+                            stack.pop()
+                        if other != iso and stack and (best is None or stack[-1][0] > best[0]):
+                            best = stack[-1]
+                    if best is not None:
+                        found.append(seq)
+                        urls.append(best[1])
+                stack = living.setdefault(iso, [])
+                while stack and (until is None or stack[-1][2] is not None and stack[-1][2] <= until):
+                    stack.pop()
+                stack.append((seq, own_url, until))
+            yield pa.RecordBatch.from_arrays([pa.array(found, batch.schema.field(0).type), pa.array(urls, pa.string())], names=[f"_{name}", name])
+
+    keyed = rows.filter(F.coalesce(F.length(key) > 0, F.lit(False))).select("_seq", "_iso", "_url", F.col(key).alias("_key"), "_until", "_links")
+    ordered = keyed.repartition("_key").sortWithinPartitions("_key", "_seq")
+    return ordered.mapInArrow(run, f"_{name} {rows.schema['_seq'].dataType.simpleString()}, {name} string")
+
+
 def with_parallel(pages: DataFrame, *, iso: str = "iso", url: str = "url", canonical: str = "canonical_link", seq: str = "ingest_seq", success: str = "success") -> DataFrame:
     """The pages with ``parallel_url``: the last earlier page of another language, still latest then.
 
-    Matches by URL come before matches by canonical link.  Pages meet only versions of the same URL or
-    canonical link, in equi-joins whose other conditions are part of the join.
+    Matches by URL come before matches by canonical link.
     """
     rows = with_superseded(pages, iso=iso, url=url, canonical=canonical, seq=seq, success=success)
-    joined = rows.select(F.col(seq).alias("_seq"), F.col(iso).alias("_iso"), F.col(url).alias("_url"), F.col(canonical).alias("_link"), F.col("superseded_seq").alias("_until"), (F.coalesce(F.col(success), F.lit(False)) & F.coalesce(F.length(canonical) > 0, F.lit(False))).alias("_links"))
-
-    def best(key: str, name: str) -> DataFrame:
-        mine = joined.filter(F.col("_links") & F.col(key).isNotNull()).select("_seq", "_iso", F.col(key).alias("_k"))
-        theirs = joined.filter(F.coalesce(F.length(key) > 0, F.lit(False))).select(F.col("_seq").alias("_s"), F.col("_iso").alias("_i"), F.col(key).alias("_kk"), F.col("_url").alias("_u"), "_until")
-        hits = mine.join(theirs, (F.col("_k") == F.col("_kk")) & (F.col("_s") < F.col("_seq")) & (F.col("_i") != F.col("_iso")) & (F.col("_until").isNull() | (F.col("_until") > F.col("_seq"))))
-        return hits.groupBy(F.col("_seq").alias(f"_{name}")).agg(F.max_by("_u", "_s").alias(name))
-
-    out = rows.join(best("_url", "_hit_url"), F.col(seq) == F.col("__hit_url"), "left").join(best("_link", "_hit_link"), F.col(seq) == F.col("__hit_link"), "left")
+    links = F.coalesce(F.col(success), F.lit(False)) & F.coalesce(F.length(canonical) > 0, F.lit(False))
+    known = rows.select(F.col(seq).alias("_seq"), F.col(iso).cast("string").alias("_iso"), F.col(url).alias("_url"), F.col(canonical).alias("_link"), F.col("superseded_seq").alias("_until"), links.alias("_links"))
+    by_url, by_link = _last_living(known, "_url", "_hit_url"), _last_living(known, "_link", "_hit_link")
+    out = rows.join(by_url, F.col(seq) == F.col("__hit_url"), "left").join(by_link, F.col(seq) == F.col("__hit_link"), "left")
     return out.withColumn("parallel_url", F.coalesce("_hit_url", "_hit_link")).drop("_hit_url", "_hit_link", "__hit_url", "__hit_link")
 
 
