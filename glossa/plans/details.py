@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from glossa.functions import dates, lid, segment, text
 from glossa.operators import filters, mutations, ordered, scraping, stats, versions
-from glossa.plans.catalogue import DOCS_SQL, PAGES_SQL, STOP_SQL, docs_view, pages_view, query, table
+from glossa.plans.catalogue import DOCS_SQL, PAGES_SQL, SQL, STOP_SQL, docs_view, pages_view, query, table
 from glossa.sources import readers, writers
 from glossa.sources.shared import shared_dir
 
@@ -548,3 +548,53 @@ def inventory_lines(spark, sf_dir):
     writers.json_lines(rows, path)
     back = readers.inventory_pages(spark, path).filter("sitemap_last_modified IS NOT NULL")
     return back.groupBy(F.col("sitemap_prov.sitemap.iso").alias("iso")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("url").alias("n_urls"))
+
+
+@query(DOCS_SQL + r"SELECT count(DISTINCT t) AS n FROM (SELECT unnest(list_filter(regexp_split_to_array(text, '\s+'), lambda t: t <> '')) AS t FROM docs)")
+def vocabulary_file(spark, sf_dir):
+    path = shared_dir(spark)
+    writers.vocabulary(table(spark, sf_dir, "documents").select(F.explode(segment.plain_tokens(F.col("text"))).alias("token")), path)
+    return spark.read.text(path).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT 'corpus/' || doc_id || '.json' AS path FROM documents WHERE list_contains(string_split(text, ' '), 'of')")
+def found_paths(spark, sf_dir):
+    """The list of files that a keyword search finds."""
+    path = shared_dir(spark)
+    docs = table(spark, sf_dir, "documents").select(F.format_string("corpus/%d.json", "doc_id").alias("path"), F.split("text", " ").alias("keywords"))
+    writers.paths(filters.with_keyword(docs, "of"), path)
+    return spark.read.text(path).withColumnRenamed("value", "path")
+
+
+@query("SELECT 'http://x/' || doc_id AS url FROM documents WHERE doc_id % 6 = 0")
+def empty_documents(spark, sf_dir):
+    """URLs of documents that had nothing to keep, appended in two runs."""
+    path = shared_dir(spark)
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.format_string("http://x/%d", "doc_id").alias("url"), F.when(F.col("doc_id") % 6 == 0, "empty_output").otherwise("article").alias("route"))
+    for half in (0, 1):
+        writers.empty_list(docs.filter(F.col("doc_id") % 4 == half * 2).unionByName(docs.filter(F.col("doc_id") % 4 == half * 2 + 1)), path)
+    return spark.read.text(path).withColumnRenamed("value", "url")
+
+
+@query(
+    NESTED_SQL
+    + """SELECT 'raw_paragraphs' AS folder, sum(1 + 2 * len(paragraphs))::BIGINT AS n_lines, sum(length(source) + coalesce(list_sum(list_transform(paragraphs, lambda p: length(p))), 0))::BIGINT AS n_chars FROM k WHERE source = 'src1'
+UNION ALL SELECT 'tokenized_sentences', sum(greatest(1, coalesce(list_sum(list_transform(tokens, lambda p: greatest(1, len(p)))), 0) + greatest(0, len(tokens) - 1)))::BIGINT, sum(coalesce(list_sum(list_transform(flatten(tokens), lambda s: length(array_to_string(s, ' ')))), 0))::BIGINT FROM k WHERE source = 'src1'"""
+)
+def plaintext_pair(spark, sf_dir):
+    """A section's titles and paragraphs, and its tokenised sentences, in two folders of plain text."""
+    path = shared_dir(spark)
+    docs = nested_view(spark, sf_dir).withColumn("title", F.col("source"))
+    writers.plaintext_pair(docs.withColumn("section", F.col("source")), path, section="src1")
+    sizes = [spark.read.text(f"{path}/{f}").agg(F.count(F.lit(1)).alias("n_lines"), F.sum(F.length("value")).cast("long").alias("n_chars")).select(F.lit(f).alias("folder"), "n_lines", "n_chars") for f in ("raw_paragraphs", "tokenized_sentences")]
+    return sizes[0].union(sizes[1])
+
+
+@query(f"SELECT coalesce(sum(n_removed), 0)::BIGINT AS n FROM ({SQL['english_paragraph_filter']})")
+def removed_paragraphs(spark, sf_dir):
+    """What language filtering took out, as a table of fields."""
+    path = shared_dir(spark)
+    docs = filters.without_english(docs_view(spark, sf_dir)).withColumn("filename", F.col("doc_id").cast("string"))
+    writers.removed_paragraphs(docs, path)
+    back = spark.read.option("sep", "\t").schema("filename STRING, par_num INT, probability DOUBLE, proportion DOUBLE, paragraph STRING").csv(path)
+    return back.filter("probability IS NOT NULL AND paragraph IS NOT NULL").agg(F.count(F.lit(1)).alias("n"))
