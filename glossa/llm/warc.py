@@ -8,7 +8,7 @@ payload occurs once, which are written where they are read, and only the rest is
 page becomes one record with fresh headers: a full ``response``, or a ``revisit`` that names its
 original and has the HTTP header but no payload.  The records are valid UTF-8, so Spark's own text
 sink writes real gzipped WARC files (its line separator is the blank line that ends a WARC record;
-a file is one gzip member), on any file system and with Spark's commit protocol.
+a file is one gzip member and begins with a warcinfo record), on any file system and with Spark's commit protocol.
 
 Reading: the files are parsed by Content-Length, response payloads are hashed again, and revisits
 are resolved by joining their WARC-Refers-To with the record ids of the responses.
@@ -28,14 +28,15 @@ from collections.abc import Iterator
 from datetime import UTC, datetime
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from glossa.llm.common import cut, shared_dir
 
 MIN_BYTES = 1000
-RECORDS_PER_FILE = 2000
+#: Bytes of payload that a file has on average (a reader holds one compressed file at a time).
+FILE_BYTES = 128 << 20
 #: Repeated payloads whose table is broadcast (some 30 MB in memory), and bits of the table that stands for a longer one.
 BROADCAST_ROWS, FILTER_BITS = 200_000, 1 << 22
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -56,11 +57,14 @@ def _may_repeat(first: DataFrame) -> Column:
     return F.get(table, F.floor(bit / 63).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 63).cast("int"))) != 0
 
 
-def with_originals(pages: DataFrame, min_bytes: int = MIN_BYTES, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """id, url, html with the payload's size and digest, the original's id and URL for revisits, and ``copy``: 0 but for further rows of the original's own id."""
+def with_originals(pages: DataFrame, min_bytes: int = MIN_BYTES, broadcast_rows: int = BROADCAST_ROWS, seen: Observation | None = None) -> DataFrame:
+    """``seen`` gets the number of pages and their bytes, as ``n`` and ``bytes``.
+
+    Columns: id, url, html with the payload's size and digest, the original's id and URL for revisits, and ``copy``: 0 but for further rows of the original's own id."""
     html = F.coalesce(F.col("html"), F.lit(""))
     known = pages.select("id", "url", html.alias("html"), F.octet_length(html).cast("long").alias("bytes"), F.sha1(html).alias("digest"))
-    heads = known.filter(F.col("bytes") >= min_bytes).groupBy("digest", "id").agg(F.count(F.lit(1)).alias("n"), F.max("url").alias("url"))
+    watched = known if seen is None else known.observe(seen, F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    heads = watched.filter(F.col("bytes") >= min_bytes).groupBy("digest", "id").agg(F.count(F.lit(1)).alias("n"), F.max("url").alias("url"))
     top = F.max(F.struct("id", "url", "n")).alias("top")
     first = heads.groupBy("digest").agg(top, F.sum("n").alias("n")).filter("n > 1 AND top.id IS NOT NULL")
     first = cut(first.select("digest", F.col("top.id").alias("original"), F.col("top.url").alias("original_url"), F.col("top.n").alias("ties")))
@@ -118,11 +122,28 @@ def records(known: DataFrame, date: str) -> DataFrame:
     return known.select(F.concat(head, http, F.when(revisit, "").otherwise(F.col("html"))).alias("value"))
 
 
-def write_archives(pages: DataFrame, path: str, *, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = MIN_BYTES, date: str | None = None, records_per_file: int = RECORDS_PER_FILE, broadcast_rows: int = BROADCAST_ROWS) -> None:
-    """Writes the pages as gzipped WARC files into the folder ``path``; ``date`` is now if it isn't given."""
+def with_info(found: DataFrame, date: str, records_per_file: int) -> DataFrame:
+    """The records, the first of each file with a warcinfo record before it: files are cut after so many rows of a task."""
+    number = F.monotonically_increasing_id()
+    fields = "software: glossa\r\nformat: WARC File Format 1.1\r\n"
+    head = F.concat(F.lit("WARC/1.1\r\nWARC-Type: warcinfo\r\n"), _field("WARC-Record-ID", _urn(F.lit("warcinfo"), F.lit(date), number)), _field("WARC-Date", F.lit(date)))
+    info = F.concat(head, F.lit(f"Content-Type: application/warc-fields\r\nContent-Length: {len(fields)}\r\n\r\n{fields}\r\n\r\n"))
+    first = number.bitwiseAND(F.lit((1 << 33) - 1)) % records_per_file == 0  # the lower bits count a task's rows
+    return found.select(F.when(first, F.concat(info, F.col("value"))).otherwise(F.col("value")).alias("value"))
+
+
+def write_archives(pages: DataFrame, path: str, *, page_id: str = "page_id", url: str = "url", html: str = "html", min_bytes: int = MIN_BYTES, date: str | None = None, records_per_file: int | None = None, file_bytes: int = FILE_BYTES, broadcast_rows: int = BROADCAST_ROWS) -> None:
+    """Writes the pages as gzipped WARC files into the folder ``path``; ``date`` is now if it isn't given.
+
+    Files are cut after ``records_per_file`` records, or else after as many as have ``file_bytes`` on average.
+    """
     date = date or datetime.now(UTC).strftime("%Y-%m-%dT%H:%M:%SZ")
     plain = pages.select(pages[page_id].alias("id"), pages[url].cast("string").alias("url"), pages[html].cast("string").alias("html"))
-    out = records(with_originals(plain, min_bytes, broadcast_rows), date)
+    seen = Observation()
+    known = with_originals(plain, min_bytes, broadcast_rows, seen)
+    if records_per_file is None:
+        records_per_file = max(1, file_bytes * seen.get["n"] // max(1, seen.get["bytes"] or 0))
+    out = with_info(records(known, date), date, records_per_file)
     out.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", records_per_file).text(path)
 
 
@@ -155,6 +176,8 @@ def read_archives(spark: SparkSession, path: str, *, payloads: bool = False) ->
                 raw = batch.column(0)[k].as_buffer()
                 with gzip.GzipFile(fileobj=pa.BufferReader(raw)) as stream:
                     for head, block in parsed(io.BufferedReader(stream, 1 << 16)):
+                        if head["warc-type"] == "warcinfo":
+                            continue
                         http, _, payload = block.partition(b"\r\n\r\n")
                         sizes = [int(x.split(b":")[1]) for x in http.split(b"\r\n") if x.lower().startswith(b"content-length:")]
                         full = head["warc-type"] == "response"

@@ -48,3 +48,19 @@ def test_record_ids_are_unique_and_long_pages_stay_whole(spark, tmp_path):
     assert len({r.record_id for r in got}) == len(rows)
     assert sorted((r.page_id, r.record_type, r.refers_to) for r in got)[:5] == [(2, "revisit", 5), (2, "revisit", 5), (5, "response", None), (5, "response", None), (5, "response", None)]
     assert {r.payload_bytes for r in got if r.page_id == 8} == {len(huge)}
+
+
+def test_every_file_begins_with_its_own_warcinfo(spark, tmp_path):
+    import gzip
+    import io
+
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"<p>{i}</p>" * 300) for i in range(57)], "page_id bigint, url string, html string")
+    for name, options in (("n", {"records_per_file": 10}), ("bytes", {"file_bytes": 20_000})):
+        warc.write_archives(pages.repartition(2), f"file://{tmp_path}/{name}", **options)
+        files, total = list((tmp_path / name).glob("*.gz")), 0
+        for f in files:
+            kinds = [h["warc-type"] for h, _ in warc.parsed(io.BufferedReader(gzip.open(f)))]
+            assert kinds[0] == "warcinfo" and "warcinfo" not in kinds[1:]
+            total += len(kinds) - 1
+        assert total == 57 and len(files) >= 6
+        assert warc.read_archives(spark, f"file://{tmp_path}/{name}").count() == 57
