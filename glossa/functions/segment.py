@@ -1,4 +1,4 @@
-"""Sentence segmenters and tokenisers: two rule-based segmenters, fallbacks, and a registry of plug-ins.
+"""Sentence segmenters and tokenisers: rule-based ones by language, fallbacks, and a registry of plug-ins.
 
 A segmenter or tokeniser is a plain function from a text to a list of texts.  Models are plugged
 in by language; where none is, the rule-based ones and the regular-expression fallbacks serve.
@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import partial
 
 import pyarrow as pa
 import regex
@@ -64,6 +65,34 @@ def segment_tibetan(text: str, shortest: int = SHORTEST_TIBETAN) -> list[str]:
     return _cut(text, _TIBETAN_END, shortest)
 
 
+# The marks that end a sentence in scripts of their own; the second part ends one only before white space.
+END_MARKS = {
+    "amh": ("።፧፨", "!?"), "tir": ("።፧፨", "!?"), "hye": ("։", "!?"), "ell": (";", ".!"), "urd": ("۔؟", "!"), "fas": ("؟", ".!"), "prs": ("؟", ".!"), "pus": ("؟", ".!۔"),
+    "mya": ("။", "!?"), "khm": ("។៕", "!?"), "cmn": ("。！？", ""), "ben": ("।", "!?"),
+}
+
+
+def segment_marks(text: str, always: str, spaced: str) -> list[str]:
+    """Sentences by a script's own marks, with what closes after them."""
+    before_space = rf"|[{regex.escape(spaced)}]+[{CLOSERS}»」』]*(?=\s)" if spaced else ""
+    return _cut(text, regex.compile(rf"[{regex.escape(always)}]+[{CLOSERS}»」』]*{before_space}"), 1)
+
+
+def tokenize_syllables(text: str) -> list[str]:
+    """Tibetan syllables with their mark, and punctuation."""
+    return regex.findall(r"[^་།༎\s]+་?|[།༎]", text)
+
+
+def tokenize_geez(text: str) -> list[str]:
+    """Ethiopic words, which a word mark or blanks separate, and punctuation."""
+    return regex.findall(r"[^\s፡።፣፤፥፦፧፨!?]+|[።፣፤፥፦፧፨!?]", text)
+
+
+def tokenize_characters(text: str) -> list[str]:
+    """Chinese characters one by one, other words whole."""
+    return regex.findall(r"\p{Han}|[^\W\p{Han}]+|[^\w\s]", text)
+
+
 def segment_plain(text: str) -> list[str]:
     """Fallback: an end mark followed by white space ends a sentence."""
     return [s for s in re.split(r"(?<=[.!?։።।؟])\s+", text.strip()) if s]
@@ -74,8 +103,8 @@ def tokenize_plain(text: str) -> list[str]:
     return re.findall(r"\w+(?:['’]\w+)*|[^\w\s]", text)
 
 
-_SEGMENTERS: dict[str, Splitter] = dict.fromkeys(ROMAN, segment_roman) | {TIBETAN: segment_tibetan}
-_TOKENIZERS: dict[str, Splitter] = {}
+_SEGMENTERS: dict[str, Splitter] = dict.fromkeys(ROMAN, segment_roman) | {TIBETAN: segment_tibetan} | {iso: partial(segment_marks, always=a, spaced=b) for iso, (a, b) in END_MARKS.items()}
+_TOKENIZERS: dict[str, Splitter] = {TIBETAN: tokenize_syllables, "amh": tokenize_geez, "tir": tokenize_geez, "cmn": tokenize_characters}
 
 
 def register_segmenter(iso: str, segmenter: Splitter) -> None:

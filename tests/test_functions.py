@@ -156,3 +156,14 @@ def test_malformed_escapes_stay(spark):
     urls = ["a%2Fb", "100%", "%zz%41", "x+y%20z", "%E4%BD%A0%"]
     got = [r.u for r in spark.createDataFrame([(u,) for u in urls], "u string").select(text.unquote(F.col("u")).alias("u")).collect()]
     assert got == ["a/b", "100%", "%zzA", "x+y z", "你%"]
+
+
+def test_scripts_with_marks_of_their_own():
+    of = segment.segmenter_for
+    assert of("amh")("ሰላም ነው። እንዴት ነህ፧ ደህና!") == ["ሰላም ነው።", "እንዴት ነህ፧", "ደህና!"]
+    assert of("cmn")("他来了。“好吗？”她问。完") == ["他来了。", "“好吗？”", "她问。", "完"]
+    assert of("urd")("یہ ٹھیک ہے۔ کیا؟ ہاں 3.5 ہے") == ["یہ ٹھیک ہے۔", "کیا؟", "ہاں 3.5 ہے"]
+    assert of("ell")("Τι είναι; Είναι 3.5 ευρώ. Ναι") == ["Τι είναι;", "Είναι 3.5 ευρώ.", "Ναι"]
+    assert segment.tokenizer_for("bod")("བོད་ཡིག། ") == ["བོད་", "ཡིག", "།"]
+    assert segment.tokenizer_for("tir")("ሰላም፡ነው። x") == ["ሰላም", "ነው", "።", "x"]
+    assert segment.tokenizer_for("cmn")("他 came。") == ["他", "came", "。"]
