@@ -51,7 +51,8 @@ MARKS = frozenset(
 NEUTRAL = frozenset(
     "box wrap wrapper container content contents block bar list lists item items area inner outer section top bottom left right main site page global "
     "primary secondary mobile desktop fixed sticky header footer button buttons link links post posts article articles stories slot unit text row col "
-    "column panel module component group card js user reader readers form field x bg el id the my".split()
+    "column panel module component group card js user reader readers form field x bg el id the my "
+    "news entry blog story topics topic headlines coverage popular label placeholder title heading icon image img inline floating".split()
 )
 COMMENTS = frozenset("comment comments disqus respond reply replies".split())
 NEGATED = frozenset("has with no without is not".split())

@@ -45,6 +45,7 @@ def test_best_region_equals_all_ranges():
         ("<article><p>a</p><section class='social-history'>b</section><div id='related-work'>c</div></article>", "a b c"),
         ("<div class='notice-board-content'><p>all of it</p></div>", "all of it"),
         ("<div class='cookie-notice ad-300x250'>x</div><p>y</p><div class='related-posts'>z</div>", "y"),
+        ("<div><p>a</p><div class='entry-footer'>b</div><div class='related-news'>c</div><div id='adSlot3'>d</div><p class='comment-policy-explained'>e</p></div>", "a e"),
         ("<article><p>text</p><ul><li>one</li><li>two</li></ul></article>", "text one two"),
     ],
 )
