@@ -16,14 +16,14 @@ def tokens_of(line, words=5):
     return frozenset(zip(*(w[k:] for k in range(words)), strict=False)) if len(w) >= words else frozenset([tuple(w)] if w else [])
 
 
-def brute(rows, similarity=0.8):
+def brute(rows, similarity=0.8, words=5):
     """Texts after dedup: every line is held against every earlier one."""
     kept, seen = {}, []
     order = sorted({(d is not None, d, t) for d, t in rows if t is not None}, key=lambda r: (r[0], r[1] or 0))
     for _, doc, text in order:
         out = []
         for line in text.split("\n"):
-            tokens = tokens_of(line)
+            tokens = tokens_of(line, words)
             if tokens:
                 dup = any(len(tokens & s) >= similarity * len(tokens | s) - 1e-9 for s in seen)
                 seen.append(tokens)
@@ -58,6 +58,14 @@ def test_equals_brute_force(spark, seed, hot):
     assert sorted(((r.doc_id, r.text) for r in got), key=str) == brute(rows)
 
 
+@pytest.mark.parametrize(("words", "similarity", "hot"), [(1, 0.8, 1000), (1, 0.8, 3), (1, 0.6, 5), (2, 0.8, 1000), (3, 0.9, 4)])
+def test_other_tokens_equal_brute_force(spark, words, similarity, hot):
+    """Words as tokens, or shorter shingles, and other thresholds."""
+    rows = corpus(words * 10 + hot, n=40)
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), words=words, similarity=similarity, hot=hot).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == brute(rows, similarity, words)
+
+
 def test_near_copies_settle_on_representatives(spark):
     base = [f"t{k}" for k in range(40)]
     rows = [(d, " ".join([*base, f"x{d}", f"y{d}"])) for d in range(40)]
