@@ -598,3 +598,63 @@ def removed_paragraphs(spark, sf_dir):
     writers.removed_paragraphs(docs, path)
     back = spark.read.option("sep", "\t").schema("filename STRING, par_num INT, probability DOUBLE, proportion DOUBLE, paragraph STRING").csv(path)
     return back.filter("probability IS NOT NULL AND paragraph IS NOT NULL").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT n_name AS url FROM nation WHERE n_nationkey % 2 = 0")
+def listed_files(spark, sf_dir):
+    """Documents whose paths a list names."""
+    path = shared_dir(spark)
+    table(spark, sf_dir, "nation").select(F.col("n_name").alias("url"), "n_nationkey").repartition(32, "n_nationkey").write.option("maxRecordsPerFile", 1).json(f"{path}/docs")
+    known = spark.read.schema("n_nationkey INT").json(f"{path}/docs").select("n_nationkey", F.col("_metadata.file_path").alias("value"))
+    known.filter("n_nationkey % 2 = 0").select("value").write.text(f"{path}/list")
+    return readers.listed_documents(spark, f"{path}/list").select("url")
+
+
+@query("SELECT 'http://x/' || n_name AS url FROM nation WHERE n_nationkey % 3 <> 0")
+def sitemap_index(spark, sf_dir):
+    """Sitemaps that an index names, without those of alternate languages."""
+    path = shared_dir(spark)
+    entry = F.concat(F.lit("<sitemap><loc> http://x/"), F.col("n_name"), F.when(F.col("n_nationkey") % 3 == 0, "Hreflang").otherwise(""), F.lit("</loc></sitemap>"))
+    index = table(spark, sf_dir, "nation").agg(F.array_join(F.collect_list(entry), "").alias("entries"))
+    index.select(F.concat(F.lit("<sitemapindex xmlns='s'>"), F.col("entries"), F.lit("</sitemapindex>")).alias("value")).write.text(path)
+    return readers.sitemap_index(spark, path)
+
+
+@query("SELECT n_name AS title, list_filter(regexp_extract_all(lower(n_name), '\\p{L}+'), lambda w: length(w) >= 2) AS tokens FROM nation")
+def wiki_pages(spark, sf_dir):
+    """Pages of a wiki dump as tokens."""
+    path = shared_dir(spark)
+    page = F.concat(F.lit("<page><title>"), F.col("n_name"), F.lit("</title><revision><text>'''"), F.col("n_name"), F.lit("''' {{Infobox|x=1}}</text></revision></page>"))
+    dump = table(spark, sf_dir, "nation").agg(F.array_join(F.collect_list(page), "").alias("pages"))
+    dump.select(F.concat(F.lit("<mediawiki xmlns='m'>"), F.col("pages"), F.lit("</mediawiki>")).alias("value")).write.text(path)
+    return readers.dump_pages(spark, path).select("title", text.wiki_tokens(F.col("text"), 2).alias("tokens"))
+
+
+@query("SELECT n_name || ' is here.' AS sentence FROM nation")
+def word_sentences(spark, sf_dir):
+    """Sentences of an XML corpus, out of their words."""
+    path = shared_dir(spark)
+    sentence = F.concat(F.lit("<s><w>"), F.array_join(F.array(F.col("n_name"), F.lit("is"), F.lit("here"), F.lit(".")), "</w><w>"), F.lit("</w></s>"))
+    corpus = table(spark, sf_dir, "nation").agg(F.array_join(F.collect_list(sentence), "").alias("s"))
+    corpus.select(F.concat(F.lit("<text>"), F.col("s"), F.lit("</text>")).alias("value")).write.text(path)
+    return readers.segmentation_data(spark, path, "xml")
+
+
+@query("SELECT lang, count(*)::INTEGER AS n FROM documents GROUP BY 1")
+def counts_table(spark, sf_dir):
+    """A report's counts, written as a table and read again."""
+    path = shared_dir(spark)
+    writers.table(stats.counted(table(spark, sf_dir, "documents"), "lang", name="n"), path, sep=",")
+    return readers.counts(spark, path)
+
+
+@query("SELECT lang AS section, count(*) AS n, sum(length(text))::BIGINT AS n_chars FROM documents WHERE doc_id % 3 <> 0 GROUP BY 1")
+def article_files(spark, sf_dir):
+    """Articles one a line in files by language; a line's end counts no more than it does in the reader."""
+    path = shared_dir(spark)
+    docs = table(spark, sf_dir, "documents").filter("doc_id % 3 <> 0")
+    docs.select("lang", F.replace("text", F.lit("\n"), F.lit(" ")).alias("value")).write.partitionBy("lang").text(path)
+    lines = spark.read.text(path)
+    back = readers.article_lines(spark, f"{path}/lang=en").select(F.lit("en").alias("section"), (F.col("n_chars") - 1).alias("n"))
+    rest = lines.filter("lang <> 'en'").select(F.col("lang").alias("section"), F.length("value").alias("n"))
+    return back.union(rest).groupBy("section").agg(F.count(F.lit(1)).alias("n"), F.sum("n").cast("long").alias("n_chars"))
