@@ -42,13 +42,17 @@ def main(arguments: list[str] | None = None) -> None:
             one.add_argument("--max-per-file", type=int, default=0)
             one.add_argument("--include-title", action="store_true")
             one.add_argument("--include-authors", action="store_true")
+            one.add_argument("--lines", action="store_true", help="names and texts as JSON lines instead of a file for each document")
     given = parser.parse_args(arguments)
     docs = readers.documents(SparkSession.builder.getOrCreate(), given.source)
     if given.command == "search":
         writers.paths(search(filters.of_types(docs, given.types), given.what), given.target)
     else:
         out = extract(docs, given.what, types=given.types, max_files=given.max_files, max_per_file=given.max_per_file, include_title=given.include_title, include_authors=given.include_authors)
-        out.select("content_type", F.col("text").alias("value")).write.partitionBy("content_type").text(given.target)
+        if given.lines:
+            out.write.partitionBy("content_type").json(given.target)
+        else:
+            writers.per_document(out, given.target, folders=("content_type",))
 
 
 if __name__ == "__main__":

@@ -231,3 +231,17 @@ def test_linked_data_that_is_not_json_is_an_error(spark):
     page = spark.createDataFrame([('<script type="application/ld+json">{broken</script>',)], "html string")
     with pytest.raises(Exception, match="MALFORMED"):
         page.select(F.to_json(text.linked_data(F.col("html")))).collect()
+
+
+def test_commands(spark, tmp_path):
+    folder = tmp_path / "in" / "eng_site" / "article"
+    folder.mkdir(parents=True)
+    for name in ("a", "b"):
+        (folder / f"{name}.json").write_text(json.dumps({"filename": f"{name}.json", "content_type": "article", "title": f"T {name}", "paragraphs": [f"{name} one", "two"], "keywords": ["k"] if name == "a" else []}))
+    api.main(["search", "k", str(tmp_path / "in"), f"{tmp_path}/found"])
+    assert [r.value.rsplit("/", 1)[1] for r in spark.read.text(f"{tmp_path}/found").collect()] == ["a.json"]
+    api.main(["extract", "paragraphs", str(tmp_path / "in"), f"{tmp_path}/texts", "--include-title"])
+    files = {f.parent.name: f.read_text() for f in (tmp_path / "texts").glob("content_type=article/*/*.txt")}
+    assert files == {f"filename={n}.txt": f"T {n}\n\n{n} one\n\ntwo\n\n\n" for n in ("a", "b")}
+    api.main(["extract", "paragraphs", str(tmp_path / "in"), f"{tmp_path}/lines", "--lines", "--max-per-file", "1"])
+    assert {(r.filename, r.text) for r in spark.read.json(f"{tmp_path}/lines").collect()} == {("a.txt", "a one\n\n"), ("b.txt", "b one\n\n")}
