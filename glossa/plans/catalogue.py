@@ -479,14 +479,19 @@ def html_title(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.title_of(F.col("html")).alias("title"))
 
 
-@query()
+@query(
+    r"""WITH a AS (SELECT page_id, string_split(regexp_replace(regexp_extract(html, '<article>(.*?)</article>', 1, 's'), '</?(p|h1|br)>', chr(10), 'g'), chr(10)) AS runs FROM pages),
+ t AS (SELECT page_id, list_transform(runs, lambda x: trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&#x27;', chr(39)), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', chr(34), 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS runs FROM a),
+ p AS (SELECT page_id, list_filter(runs, lambda x: x <> '' AND NOT regexp_matches(x, '^(No media source|Embed|0:|share|Log in|Sign up|Avec AFP)')) AS ps FROM t)
+SELECT page_id, len(ps)::BIGINT AS n_paragraphs, md5(array_to_string(ps, chr(10))) AS paragraphs_md5 FROM p"""
+)
 def html_paragraphs(spark, sf_dir):
     """Tested against hand-made pages."""
     found = html.with_paragraphs(table(spark, sf_dir, "pages"))
     return found.select("page_id", F.size("paragraphs").cast("long").alias("n_paragraphs"), F.md5(F.array_join("paragraphs", "\n")).alias("paragraphs_md5"))
 
 
-@query("SELECT page_id, replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS title, NULL::VARCHAR AS canonical_link, html LIKE '%<p>%' AS has_ptags FROM pages")
+@query("SELECT page_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&#x27;', chr(39)), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', chr(34), 'g'), '&amp;?', '&', 'g') AS title, NULL::VARCHAR AS canonical_link, html LIKE '%<p>%' AS has_ptags FROM pages")
 def html_metadata(spark, sf_dir):
     found = html.with_metadata(table(spark, sf_dir, "pages"))
     return found.select("page_id", "meta.title", "meta.canonical_link", "meta.has_ptags")

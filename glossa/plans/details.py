@@ -488,7 +488,7 @@ def html_reports(spark, sf_dir):
     return back.groupBy("status").agg(F.sum(F.regexp_count("value", F.lit("<tr><td>"))).cast("long").alias("n_rows"))
 
 
-@query("SELECT n_name AS url, n_nationkey AS n_chars, 'article' AS folder FROM nation WHERE n_nationkey % 3 = 0")
+@query("SELECT n_name AS url, n_nationkey::BIGINT AS n_chars, 'article' AS folder FROM nation WHERE n_nationkey % 3 = 0")
 def corpus_of_files(spark, sf_dir):
     """A folder of documents, one in a file, of which only articles by folder are read."""
     path = shared_dir(spark)
