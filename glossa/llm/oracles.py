@@ -16,6 +16,11 @@ words AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(
 items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY 1)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, (-best[1])::BIGINT AS longest_words, best[2]::BIGINT AS longest_at, best[3] AS longest_item
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN longest USING (doc_id)""",
+    # the tables' pages mark their main text, so SQL can read it off the mark, which the operator never does
+    "op2_main_text": r"""
+WITH a AS (SELECT page_id, url, regexp_replace(regexp_replace(coalesce(regexp_extract(html, '<article>(.*)</article>', 1, 's'), ''), '</?(p|h1|br)>', ' ', 'g'), '<[^>]*>', '', 'g') AS x FROM pages),
+u AS (SELECT page_id, url, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(x, '&#x27;', chr(39)), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&quot;?', chr(34), 'g'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM a)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM u""",
     "op7_warc_revisits": r"""
 WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
 g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM p)
