@@ -66,3 +66,20 @@ def test_stages_and_run_equal_plain_loops(spark, sf_dir):
     assert ran.columns == ["doc_id", "n_pieces", "n_unknown", "ids", "ids_sha256", "round_trip"]
     assert {r.doc_id: model.decode(r.ids) for r in ran.collect()} == want
     assert {r.doc_id: r.ids for r in ran.collect()} == {d: model.encode(t)[0].tolist() for d, t in want.items()}
+
+
+def test_encoding_reads_all_segmentations_back(spark, monkeypatch):
+    """A second segmentation that doesn't decode to the text fails the round trip."""
+
+    class Odd(Pieces):
+        def __reduce__(self):
+            return Odd, (self.source,)
+
+        def decode(self, ids):
+            return "x" if ids == [0, 2, 3] else super().decode(ids)
+
+    odd = Odd([("\u2581", 0.0, False), ("ab", -1.0, False), ("a", -2.0, False), ("b", -3.0, False)])
+    monkeypatch.setattr(Pieces, "load", classmethod(lambda cls: odd))
+    docs = spark.createDataFrame([(1, "ab"), (2, "b"), (3, None)], "doc_id bigint, text string")
+    got = {r.doc_id: (r.ids, r.round_trip) for r in corpus_pipeline.encoding(spark, docs, "").collect()}
+    assert got == {1: ([0, 1], False), 2: ([0, 3], True), 3: (None, None)}
