@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from glossa.llm import linededup
 from glossa.llm.linededup import dedup_lines
 
 
@@ -108,3 +109,24 @@ def test_nothing_is_left_behind(spark):
     before = set(folder.iterdir()) if folder.exists() else set()
     dedup_lines(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id bigint, text string")).collect()
     assert len(set(folder.iterdir()) - before) == 2
+
+
+@pytest.mark.parametrize("sample", [1, 8, 10**9])
+def test_rarity_of_a_sample_gives_the_same_lines(spark, monkeypatch, sample):
+    """Rarity is only an order: with all, some or no texts counted the result is the brute-force one."""
+    monkeypatch.setattr(linededup.rarity_ranks, "__defaults__", (sample,))
+    rows = corpus(5)
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), hot=6).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == brute(rows)
+
+
+def test_tokens_are_sorted_in_generated_code(spark):
+    """Beside a lambda, a sort would be interpreted on boxed numbers."""
+    lines = spark.createDataFrame([(1, "a b c d e f a b c d e f"), (2, "a b c d")], "rid bigint, line string")
+    ranks = F.split(F.lit(",".join(["0"] * (1 << linededup.BUCKET_BITS))), ",").cast("array<bigint>")
+    sets = linededup.token_sets(linededup.shingles(lines, "rid", words=5), "rid", ranks=ranks)
+    assert {r.rid: (len(r.ids), r.ids == sorted(set(r.ids))) for r in sets.collect()} == {1: (6, True), 2: (0, True)}
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    generators = [line for line in plan.split("\n") if "Generate explode(" in line]
+    assert generators and not any("lambda" in g and ("sort_array" in g or "array_distinct" in g) for g in generators)
+    assert any("sort_array" in g for g in generators)
