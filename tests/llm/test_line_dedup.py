@@ -130,3 +130,31 @@ def test_tokens_are_sorted_in_generated_code(spark):
     generators = [line for line in plan.split("\n") if "Generate explode(" in line]
     assert generators and not any("lambda" in g and ("sort_array" in g or "array_distinct" in g) for g in generators)
     assert any("sort_array" in g for g in generators)
+
+
+def test_texts_are_not_shuffled(spark):
+    """The lines that go are few: they are broadcast to the texts, whatever Spark's own threshold is."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = dedup_lines(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id bigint, text string"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("hot", [1000, 4])
+def test_tables_too_large_for_a_broadcast(spark, monkeypatch, hot):
+    monkeypatch.setattr(linededup, "BROADCAST_ROWS", 0)
+    rows = corpus(6)
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), hot=hot).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == brute(rows)
+
+
+def test_pairs_whose_prefixes_differ_too_much_are_not_verified(spark):
+    """Of two lines of 20 tokens five are in a prefix; at 0.8 they share 18, so three of the five at least."""
+    sets = {1: range(20), 2: [*range(3), *range(23, 40)], 3: [0, *range(51, 70)]}
+    rows = [(t, k, 20 << 32 | sorted(v)[4], at + 1) for k, v in sets.items() for at, t in enumerate(sorted(v)[:5])]
+    cold = spark.createDataFrame(rows, "token bigint, key bigint, size bigint, pos int")
+    assert [tuple(r) for r in linededup._met(cold, 0.8, spare=0).collect()] == [(1, 2)]
+    assert {tuple(r) for r in linededup._met(cold, 0.8, spare=2).collect()} == {(1, 2), (1, 3), (2, 3)}
