@@ -156,5 +156,20 @@ def test_pairs_whose_prefixes_differ_too_much_are_not_verified(spark):
     sets = {1: range(20), 2: [*range(3), *range(23, 40)], 3: [0, *range(51, 70)]}
     rows = [(t, k, 20 << 32 | sorted(v)[4], at + 1) for k, v in sets.items() for at, t in enumerate(sorted(v)[:5])]
     cold = spark.createDataFrame(rows, "token bigint, key bigint, size bigint, pos int")
-    assert [tuple(r) for r in linededup._met(cold, 0.8, spare=0).collect()] == [(1, 2)]
-    assert {tuple(r) for r in linededup._met(cold, 0.8, spare=2).collect()} == {(1, 2), (1, 3), (2, 3)}
+    assert [tuple(r) for r in linededup._met(cold.withColumn("hot", F.lit(0)), 0.8).collect()] == [(1, 2)]
+    assert {tuple(r) for r in linededup._met(cold.withColumn("hot", F.lit(2)), 0.8).collect()} == {(1, 2), (1, 3), (2, 3)}
+
+
+def test_near_copies_that_share_long_lists(spark):
+    """Lines whose first shared tokens are rare and whose others are in many lines."""
+    rng, common = random.Random(3), [[f"c{k}x{j}" for j in range(12)] for k in range(6)]
+    rows = []
+    for d in range(120):
+        own = [f"o{d % 40}x{j}" for j in range(30)]
+        parts = [own, *[common[k] for k in sorted(rng.sample(range(6), 3))]]
+        line = [w for part in parts for w in part]
+        line[rng.randrange(len(line))] = f"e{d}"
+        rows.append((d, " ".join(line)))
+    for hot in (4, 12, 30):
+        got = dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), hot=hot).collect()
+        assert sorted(((r.doc_id, r.text) for r in got), key=str) == brute(rows)
