@@ -41,6 +41,27 @@ marks AS (SELECT big.ws, big.first, dup.id IS NOT NULL AS dup FROM big LEFT JOIN
 kept AS (SELECT l.doc_id, l.no, l.raw, m.ws IS NOT NULL AND (m.dup OR m.first <> l.doc_id * 2147483648 + l.no) AS gone FROM l LEFT JOIN marks m ON m.ws = l.ws),
 r AS (SELECT doc_id, string_agg(raw, chr(10) ORDER BY no) FILTER (NOT gone) AS text, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed FROM kept GROUP BY 1)
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(r.text, '') END AS text, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed FROM documents d LEFT JOIN r USING (doc_id)""",
+    "op11_source_mix": r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size, ('0x' || substr(md5('mix:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS key FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS z, row_number() OVER (ORDER BY source COLLATE "C" NULLS LAST) - 1 AS no FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][no % 3 + 1] AS w, z * 2.0 / [5, 2, 1][no % 3 + 1] AS ratio FROM s),
+r AS (SELECT *, (SELECT sum(z) FROM s)::DOUBLE * 1.5 - 2.0 * coalesce(sum(z) OVER before, 0)::DOUBLE AS rest, ((SELECT sum(w) FROM w) - coalesce(sum(w) OVER before, 0))::DOUBLE AS over_w FROM w WINDOW before AS (ORDER BY ratio, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+l AS (SELECT rest, over_w FROM r WHERE ratio >= rest / over_w ORDER BY ratio, no LIMIT 1),
+t AS (SELECT source, z, least(z * 2.0::DOUBLE, w.w * l.rest / l.over_w)::DOUBLE AS target FROM w, l),
+b AS (SELECT *, CASE WHEN z > 0 THEN floor(target / z) ELSE 0 END AS whole FROM t),
+g AS (SELECT source, key, sum(size) AS n, sum(sum(size)) OVER (PARTITION BY source ORDER BY key) AS upto FROM d GROUP BY source, key)
+SELECT d.doc_id, d.size, b.z AS source_size, b.target, (d.size * (b.whole + (2.0::DOUBLE * (g.upto - g.n)::DOUBLE + g.n::DOUBLE <= 2.0::DOUBLE * (b.target - b.whole * b.z))::INT))::BIGINT AS taken
+FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source JOIN g ON d.source IS NOT DISTINCT FROM g.source AND d.key = g.key
+""",
+    "op13_fill_in_middle": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u FROM documents),
+n AS (SELECT *, len(u)::BIGINT AS n, ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2, ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM n),
+p AS (SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS pre, coalesce(array_to_string(u[a + 1:b], ''), '') AS mid, coalesce(array_to_string(u[b + 1:n], ''), '') AS suf FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256 FROM p
+""",
 }
 
 

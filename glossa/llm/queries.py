@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.llm import decontaminate as dc
+from glossa.llm import fim
 from glossa.llm import licenses as li
 from glossa.llm import linededup as ld
 from glossa.llm import maintext as mt
+from glossa.llm import mixing as mx
 from glossa.llm import oracles, pii
 from glossa.llm import pieces as pc
 from glossa.llm import quality as ql
@@ -123,6 +125,25 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ld.dedup_lines(docs, counts=("n_lines", "n_removed"))
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mx.mix(table(spark, sf_dir, "documents"))
+    first = F.get("mix.mixes", F.lit(0))
+    return found.select("doc_id", "mix.size", "mix.source_size", first["target"].alias("target"), first["taken"].alias("taken"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        F.sha2("fim.output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("fim.output"), F.col("fim.form")), 256).alias("restored_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -141,6 +162,8 @@ def queries() -> dict[str, Query]:
         "op8_personal_data": op8_personal_data,
         "op9_secret_scan": op9_secret_scan,
         "op10_line_dedup": op10_line_dedup,
+        "op11_source_mix": op11_source_mix,
+        "op13_fill_in_middle": op13_fill_in_middle,
         "pipeline": pipeline,
     }
 
