@@ -52,6 +52,23 @@ b AS (SELECT *, CASE WHEN z > 0 THEN floor(target / z) ELSE 0 END AS whole FROM
 g AS (SELECT source, key, sum(size) AS n, sum(sum(size)) OVER (PARTITION BY source ORDER BY key) AS upto FROM d GROUP BY source, key)
 SELECT d.doc_id, d.size, b.z AS source_size, b.target, (d.size * (b.whole + (2.0::DOUBLE * (g.upto - g.n)::DOUBLE + g.n::DOUBLE <= 2.0::DOUBLE * (b.target - b.whole * b.z))::INT))::BIGINT AS taken
 FROM d JOIN b ON d.source IS NOT DISTINCT FROM b.source JOIN g ON d.source IS NOT DISTINCT FROM g.source AND d.key = g.key
+""",
+    "op12_collocations": r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+o AS (SELECT lang, w, s.n, unnest(range(1, len(w) - s.n + 2)) AS i FROM w, (VALUES (1), (2), (3), (4)) s(n) WHERE len(w) >= s.n),
+g AS (SELECT lang, n, array_to_string(w[i:i + n - 1], ' ') AS phrase, count(*)::BIGINT AS f FROM o GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, n, phrase, f AS a, string_split(phrase, ' ') AS w FROM g WHERE n > 1),
+sub AS (SELECT c.lang, array_to_string(w[i:i + m - 1], ' ') AS phrase, max(a) AS longer FROM (SELECT *, unnest(range(1, n - m + 2)) AS i FROM (SELECT *, unnest(range(2, n)) AS m FROM c)) c GROUP BY ALL),
+k AS (SELECT c.* FROM c LEFT JOIN sub USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 80 * a),
+x AS (SELECT *, unnest(range(1, n)) AS cut FROM k),
+s AS (SELECT x.lang, x.phrase, a, cut, l.f AS l, r.f AS r, ((2000000::HUGEINT * a) // (l.f::HUGEINT + r.f::HUGEINT))::BIGINT AS score
+FROM x JOIN g l ON l.lang = x.lang AND l.phrase = array_to_string(x.w[1:cut], ' ') JOIN g r ON r.lang = x.lang AND r.phrase = array_to_string(x.w[cut + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, t.n, score FROM z JOIN t USING (lang) WHERE rank <= 2000
 """,
     "op13_fill_in_middle": r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u FROM documents),

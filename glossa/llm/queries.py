@@ -13,7 +13,7 @@ from glossa.llm import licenses as li
 from glossa.llm import linededup as ld
 from glossa.llm import maintext as mt
 from glossa.llm import mixing as mx
-from glossa.llm import oracles, pii
+from glossa.llm import oracles, phrases, pii
 from glossa.llm import pieces as pc
 from glossa.llm import quality as ql
 from glossa.llm import secrets as sc
@@ -131,6 +131,10 @@ def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "mix.size", "mix.source_size", first["target"].alias("target"), first["taken"].alias("taken"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = fim.fill_in_middle(table(spark, sf_dir, "documents"))
     return found.select(
@@ -163,6 +167,7 @@ def queries() -> dict[str, Query]:
         "op9_secret_scan": op9_secret_scan,
         "op10_line_dedup": op10_line_dedup,
         "op11_source_mix": op11_source_mix,
+        "op12_collocations": op12_collocations,
         "op13_fill_in_middle": op13_fill_in_middle,
         "pipeline": pipeline,
     }
