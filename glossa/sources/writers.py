@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from glossa.functions import text
 from glossa.operators import filters, stats
+from glossa.sources.named import write_named
 from glossa.sources.schemas import DROPPED_IF_EMPTY
 
 
@@ -94,8 +95,35 @@ def vocabulary(tokens: DataFrame, path: str, column: str = "token") -> None:
 
 
 def per_document(rows: DataFrame, path: str, *, name: str = "filename", body: str = "text", folders: tuple[str, ...] = ()) -> None:
-    """Each text in a folder of its own name, below folders by the other columns; for small exports."""
-    rows.select(*folders, name, F.col(body).alias("value")).write.partitionBy(*folders, name).text(path)
+    """Each text in a file of its own name, below folders by the other columns."""
+    write_named(rows, path, F.concat_ws("/", *folders, name), F.col(body))
+
+
+def named_release(docs: DataFrame, path: str, *, section: str = "iso_domain", route: str = "route", content_type: str = "content_type", filename: str = "filename", url: str = "url") -> None:
+    """Each document as ``section/route/filename.json``; the URLs of those without content as lines of ``section/type/empty_output.txt``."""
+    body = document_json(docs.drop(section, route))
+    write_named(docs.filter(F.col(route) != "empty_output"), path, F.concat_ws("/", section, route, F.concat(filename, F.lit(".json"))), body)
+    empty = docs.filter(F.col(route) == "empty_output")
+    folder = F.concat_ws("/", section, F.coalesce(content_type, F.lit("other")), F.lit("empty_output.txt"))
+    write_named(empty, path, folder, F.concat(url, F.lit("\n")), order=[F.col(url)])
+
+
+def named_dump(pages: DataFrame, path: str, *, iso: str = "iso", key: str = "_id") -> None:
+    """Each page's row as ``iso/key.json``, nulls written, the key last."""
+    rest = [c for c in pages.columns if c != key]
+    body = F.to_json(F.struct(*rest, F.col(key).cast("string").alias(key)), {"ignoreNullFields": "false"})
+    write_named(pages, path, F.concat_ws("/", iso, F.concat(F.col(key).cast("string"), F.lit(".json"))), body)
+
+
+def named_plaintext(docs: DataFrame, path: str, *, folder: str = "content_type", filename: str = "filename", section: str | None = None, keyword: str | None = None) -> None:
+    """``raw_paragraphs`` and ``tokenized_sentences`` with a file for each document below its folder; each begins with the title, and filtered documents are left out."""
+    docs = filters.of_section(docs.filter(F.col(folder) != "lang_id_filtered"), section, keyword)
+    name = F.concat_ws("/", F.col(folder), text.html_to_txt(F.col(filename)))
+    title = F.coalesce("title", F.lit(""))
+    raw = F.array_join(F.concat(F.array(title), "paragraphs"), "\n\n")
+    sentences = F.array_join(F.transform("tokens", lambda p: F.array_join(F.transform(p, lambda s: F.array_join(s, " ")), "\n")), "\n\n")
+    write_named(docs, f"{path}/raw_paragraphs", name, F.coalesce(raw, title))
+    write_named(docs, f"{path}/tokenized_sentences", name, F.concat(title, F.lit("\n\n"), F.coalesce(sentences, F.lit(""))))
 
 
 def sentences(rows: DataFrame, path: str, *, sentences: str = "sentences", lines: bool = True) -> None:
