@@ -13,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from glossa.functions import json5
+
 # Beginnings of paragraphs that are interface text or placeholders, not article text.
 BOILERPLATE = (
     "No media source currently available",
@@ -201,15 +203,14 @@ def authors_of(stored: Column, meta: Column, byline: Column, ld_authors: Column)
 
 
 def utag_json(html: Column) -> Column:
-    """The object assigned to ``utag_data`` on one line, without trailing commas."""
-    found = F.regexp_extract(html, r"var utag_data\s*=\s*(\{.*\})", 1)
-    return F.when(found != "", F.regexp_replace(found, r",\s*([}\]])", "$1"))
+    """The object assigned to ``utag_data`` on one line of a script, as JSON; null where it isn't JSON5."""
+    found = F.regexp_extract(html, r"var utag_data\s*=\s*(\{(?:(?!</script).)*\})", 1)
+    return json5.lenient(F.when(found != "", found))
 
 
 def utag_map(html: Column) -> Column:
-    """``utag_data`` as a map, read leniently; an object that can't be read is empty."""
-    options = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true", "allowComments": "true"}
-    return F.coalesce(F.from_json(utag_json(html), "map<string,string>", options), F.create_map().cast("map<string,string>"))
+    """``utag_data`` as a map (nested values as JSON); an object that can't be read is empty."""
+    return F.coalesce(F.from_json(utag_json(html), "map<string,string>"), F.create_map().cast("map<string,string>"))
 
 
 def ld_json(html: Column) -> Column:
@@ -254,35 +255,11 @@ def rendered(units: str, paragraphs: Column, *, title: Column | None = None, aut
     return F.concat(head, F.array_join(F.transform(lines, lambda x: x["text"]), ""))
 
 
-def without_wiki_markup(x: Column) -> Column:
-    """A wiki page's text: templates, tables, files, references and tags go, links leave their text."""
-    for pattern, new in (
-        (r"(?s)<!--.*?-->", ""),
-        (r"(?s)<ref[^>/]*/>|<ref.*?</ref>", ""),
-        (r"(?s)\{\{[^{}]*\}\}", ""),
-        (r"(?s)\{\{[^{}]*\}\}", ""),
-        (r"(?s)\{\|.*?\|\}", ""),
-        (r"(?i)\[\[(?:file|image|category):[^\[\]]*\]\]", ""),
-        (r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", "$1"),
-        (r"\[https?://\S+ ?([^\]]*)\]", "$1"),
-        (r"<[^>]*>", ""),
-        (r"'{2,}|={2,}", ""),
-    ):
-        x = F.regexp_replace(x, pattern, new)
-    return x
-
-
-def wiki_tokens(x: Column, shortest: int = 1, longest: int = 25) -> Column:
-    """Lower-case words of letters within bounds of length."""
-    words = F.regexp_extract_all(F.lower(without_wiki_markup(x)), F.lit(r"\p{L}+"), F.lit(0))
-    return F.filter(words, lambda w: F.length(w).between(shortest, longest))
-
-
 def shortened(name: Column, most: int = 100) -> Column:
     """The last characters of a name that is too long for a file."""
     return F.when(F.length(name) > most, F.right(name, F.lit(most))).otherwise(name)
 
 
 def linked_data(html: Column) -> Column:
-    """The first linked-data script as a variant; one that isn't JSON is an error."""
-    return F.parse_json(ld_json(html))
+    """The first linked-data script as a variant; one that isn't JSON5 is an error."""
+    return json5.variant(ld_json(html))
