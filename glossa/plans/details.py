@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.functions import dates, lid, segment, text
+from glossa.functions import dates, json5, langmodel, lid, segment, text, wiki
 from glossa.operators import filters, mutations, ordered, scraping, stats, versions
 from glossa.plans.catalogue import DOCS_SQL, PAGES_SQL, SQL, STOP_SQL, docs_view, pages_view, query, table
-from glossa.sources import readers, writers
-from glossa.sources.shared import shared_dir
+from glossa.sources import named, readers, writers
+from glossa.sources.shared import shared_dir, stored
 
 #: Lists of paragraphs, of sentences in them and of tokens in those, as DuckDB and Spark cut them.
 NESTED_SQL = DOCS_SQL + r""", n AS (SELECT doc_id, site_language, content_type, source, text, paragraphs, list_transform(paragraphs, lambda p: list_filter(regexp_split_to_array(p, '[.!?]+\s+'), lambda s: s <> '')) AS sentences FROM docs),
@@ -385,26 +385,159 @@ def annotated_texts(spark, sf_dir):
     return ordered.annotated_texts(lines).join(ids, F.col("sentence") == F.col("s"), "right").select("doc_id", "sentence").distinct()
 
 
-@query("SELECT doc_id, list_filter(regexp_extract_all(lower(text), '\\p{L}+'), lambda w: length(w) BETWEEN 3 AND 12) AS tokens FROM documents WHERE NOT regexp_matches(text, '[\\[\\]{}<>=''|]')")
+#: What wiki markup is made of.
+_MARKUP = "[]{}<>='|"
+
+
+@query("SELECT doc_id, list_filter(regexp_extract_all(lower('before ' || translate(text, '[]{}<>=''|', '         ') || ' shown ' || source || ' label ' || lang), '\\p{L}+'), lambda w: length(w) BETWEEN 3 AND 12) AS tokens FROM documents")
 def wiki_tokens(spark, sf_dir):
-    """Words of wiki pages without their markup."""
-    docs = table(spark, sf_dir, "documents").filter(~F.col("text").rlike(r"[\[\]{}<>='|]"))
-    page = F.concat(F.lit("{{Infobox|a={{b}}}}[[File:x.png|thumb]]'''"), F.col("text"), F.lit("'''<ref>no</ref> <!-- no -->{| no |}"))
-    return docs.select("doc_id", text.wiki_tokens(page, 3, 12).alias("tokens"))
+    """Words of wiki pages whose markup nests up to 40 deep: templates in templates, tables in tables, links in links."""
+    docs = table(spark, sf_dir, "documents")
+    deep = (F.col("doc_id") % 40).cast("int") + 1
+    parts = [
+        "before ",
+        F.repeat(F.lit("{{Infobox|a="), deep),
+        "hidden [[x]] {| ",
+        F.repeat(F.lit("{| class=y\n| "), deep),
+        F.repeat(F.lit("|}"), deep),
+        "|}",
+        F.repeat(F.lit("}}"), deep),
+        "[[File:x.png|thumb|hidden [[inner|too]] {{and}} this]]'''",
+        F.translate("text", _MARKUP, " " * len(_MARKUP)),
+        "'''<ref name=a>no</ref><ref name=b/> <!-- no {{ -->",
+        F.repeat(F.lit("[[target|"), deep),
+        "shown ",
+        F.col("source"),
+        F.repeat(F.lit("]]"), deep),
+        " [http://x.org/a label] <b>",
+        F.col("lang"),
+        "</b>",
+    ]
+    page = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    return docs.select("doc_id", wiki.tokens(page, 3, 12).alias("tokens"))
+
+
+@query("SELECT doc_id, doc_id AS hexadecimal, -n_chars AS negative, 0.5::DOUBLE + doc_id AS half, text, [1, -2, 3]::BIGINT[] AS list, source AS inner_source, 'it''s ' || lang AS quoted, true AS yes FROM documents")
+def json5_values(spark, sf_dir):
+    """Objects as scripts write them: comments, bare names, either quote, hexadecimal, signed and short numbers, trailing commas, nested values."""
+    i = F.col("doc_id").cast("string")
+    body = F.col("text")
+    for plain, escaped in (("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n\\\n"), ("\r", "\\r"), ("\x00", "\\0")):
+        body = F.replace(body, F.lit(plain), F.lit(escaped))
+    parts = ["// page ", i, "\n{hexadecimal: 0x", F.hex("doc_id"), ", 'negative': -", F.col("n_chars").cast("string"), ", half: +", i, ".5, /* the\n text */ \"text\": '", body]
+    parts += ["', list: [1, -2, +3,], $in: {a: {source: \"", F.col("source"), "\",},}, quoted: 'it\\'s ", F.col("lang"), "', yes: true, half_: .5,}"]
+    docs = table(spark, sf_dir, "documents").select("doc_id", json5.variant(F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])).alias("v"))
+    fields = (
+        ("$.hexadecimal", "bigint", "hexadecimal"),
+        ("$.negative", "bigint", "negative"),
+        ("$.half", "double", "half"),
+        ("$.text", "string", "text"),
+        ("$.list", "array<bigint>", "list"),
+        ("$['$in'].a.source", "string", "inner_source"),
+        ("$.quoted", "string", "quoted"),
+        ("$.yes", "boolean", "yes"),
+    )
+    return docs.select("doc_id", *[F.variant_get("v", path, kind).alias(name) for path, kind, name in fields])
+
+
+# --- ordered lines ----------------------------------------------------------------------------
+
+LINES_SQL = "WITH l AS (SELECT doc_id, lang, source, unnest(string_split(text, chr(10))) AS value, unnest(range(len(string_split(text, chr(10))))) AS pos FROM documents)\n"
+
+
+def lines_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of ``documents``, with a number that puts them in order."""
+    docs = table(spark, sf_dir, "documents")
+    lines = docs.select("doc_id", "lang", "source", F.posexplode(F.split("text", "\n")).alias("pos", "value"))
+    return lines.withColumn("at", F.col("doc_id") * 10_000_000 + F.col("pos"))
+
+
+@query(LINES_SQL + "SELECT row_number() OVER (ORDER BY doc_id, pos) - 1 AS line_no, md5(value) AS digest FROM l")
+def split_lines(spark, sf_dir):
+    """The lines of one file, numbered by many tasks."""
+    path, setting = shared_dir(spark), "spark.sql.files.maxPartitionBytes"
+    lines = lines_view(spark, sf_dir).repartitionByRange(1, "at").sortWithinPartitions("at").select("value")
+    lines.write.option("lineSep", "\n").text(path)
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "256k")
+    try:
+        return stored(readers.numbered_lines(spark, path).select("line_no", F.md5("value").alias("digest")))
+    finally:
+        spark.conf.set(setting, before)
+
+
+@query(LINES_SQL + "SELECT doc_id, pos::INTEGER AS pos, last_value(CASE WHEN doc_id % 5 = 0 AND pos = 0 THEN source || doc_id END IGNORE NULLS) OVER (PARTITION BY lang ORDER BY doc_id, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS given FROM l")
+def filled_lines(spark, sf_dir):
+    """Values that some lines give, filled down over the lines of a language."""
+    given = F.when((F.col("doc_id") % 5 == 0) & (F.col("pos") == 0), F.concat("source", F.col("doc_id").cast("string"))).otherwise(" ")
+    lines = lines_view(spark, sf_dir).select("doc_id", "pos", "lang", "at", given.alias("given"))
+    return ordered.filled_down(lines, "given", "at", ("lang",)).select("doc_id", "pos", "given")
+
+
+@query(
+    LINES_SQL
+    + ", f AS (SELECT *, (trim(value) = '' OR doc_id % 3 = 0 AND pos = 0) AS b FROM l), i AS (SELECT *, sum(b::INT) OVER (PARTITION BY lang ORDER BY doc_id, pos) AS island FROM f) SELECT lang, island::BIGINT AS island, md5(string_agg(md5(value), ' ' ORDER BY doc_id, pos)) AS digest FROM i WHERE NOT b GROUP BY 1, 2"
+)
+def line_islands(spark, sf_dir):
+    """Lines of a language between boundaries, each island a sentence."""
+    lines = lines_view(spark, sf_dir)
+    boundary = (F.trim("value") == "") | ((F.col("doc_id") % 3 == 0) & (F.col("pos") == 0))
+    rows = lines.select("lang", "at", F.md5("value").alias("token"), boundary.alias("bound"))
+    found = ordered.grouped_sentences(rows, file="lang", order="at", value="token", boundary=F.col("bound"))
+    return found.select("lang", "island", F.md5("sentence").alias("digest"))
 
 
 # --- written and read again -------------------------------------------------------------------
 
 
-@query(DOCS_SQL + "SELECT content_type, count(*) AS n_files, sum(length(list_reduce(list_concat([''], list_transform(paragraphs, lambda p: p || chr(10) || chr(10))), lambda a, b: a || b)))::BIGINT AS n_chars FROM docs GROUP BY 1")
+#: Paragraphs with a blank line behind each.
+_BLOCKS_SQL = "array_to_string(list_transform(paragraphs, lambda p: p || chr(10) || chr(10)), '')"
+
+
+@query(DOCS_SQL + f"SELECT content_type || '/' || doc_id || '.txt' AS name, md5({_BLOCKS_SQL}) AS digest FROM docs WHERE len(paragraphs) > 0")
 def exported_text(spark, sf_dir):
-    """Text files, one for each document, in folders by content type; a file's last line end is the sink's."""
+    """Text files under the documents' own names, in folders by content type; empty files are not read back."""
     path = shared_dir(spark)
     docs = docs_view(spark, sf_dir).withColumn("filename", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
     rows = docs.select("content_type", "filename", text.rendered("paragraphs", F.col("paragraphs")).alias("text"))
     writers.per_document(rows.repartition(4), path, folders=("content_type",))
-    back = spark.read.text(path, wholetext=True).withColumn("content_type", text.path_part(F.col("_metadata.file_path"), 3))
-    return back.groupBy(F.split_part("content_type", F.lit("="), F.lit(2)).alias("content_type")).agg(F.count(F.lit(1)).alias("n_files"), F.sum(F.length("value") - 1).cast("long").alias("n_chars"))
+    return named.read_named(spark, path).select("name", F.md5("text").alias("digest"))
+
+
+_NAMED_SQL = DOCS_SQL + """, r AS (SELECT *, site_language || '_x.org' AS section, CASE doc_id % 6 WHEN 0 THEN 'empty_output' WHEN 1 THEN 'lang_id_filtered' ELSE content_type END AS route FROM docs)
+SELECT section || '/' || route || '/d' || doc_id || '.json' AS name, doc_id AS of, len(paragraphs)::BIGINT AS n, NULL AS urls FROM r WHERE route <> 'empty_output'
+UNION ALL SELECT section || '/' || content_type || '/empty_output.txt', NULL, count(*), string_agg('http://x/' || doc_id || chr(10), '' ORDER BY 'http://x/' || doc_id) FROM r WHERE route = 'empty_output' GROUP BY 1"""
+
+
+@query(_NAMED_SQL)
+def named_release(spark, sf_dir):
+    """Documents as JSON files under their own paths, and lists of those without content, read back by name."""
+    path = shared_dir(spark)
+    rest = F.col("doc_id") % 6
+    docs = docs_view(spark, sf_dir).select(
+        "doc_id",
+        "paragraphs",
+        "content_type",
+        F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("filename"),
+        F.concat(F.lit("http://x/"), F.col("doc_id").cast("string")).alias("url"),
+        F.concat("site_language", F.lit("_x.org")).alias("iso_domain"),
+        F.when(rest == 0, "empty_output").when(rest == 1, "lang_id_filtered").otherwise(F.col("content_type")).alias("route"),
+    )
+    writers.named_release(docs.repartition(4), path)
+    back = named.read_named(spark, path)
+    json = F.from_json("text", "doc_id BIGINT, paragraphs ARRAY<STRING>")
+    listed = F.col("name").endswith(".txt")
+    lines = F.size(F.split("text", "\n")) - 1
+    return back.select("name", F.when(~listed, json["doc_id"]).alias("of"), F.when(listed, lines).otherwise(F.size(json["paragraphs"])).cast("long").alias("n"), F.when(listed, F.col("text")).alias("urls"))
+
+
+@query("SELECT lang || '/' || doc_id || '.json' AS name, doc_id::VARCHAR AS key, md5(text) AS digest, n_chars FROM documents")
+def named_dump(spark, sf_dir):
+    """Pages as JSON files named by their keys, in folders by language."""
+    path = shared_dir(spark)
+    writers.named_dump(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_id"), "text", F.col("lang").alias("iso"), "n_chars").repartition(4), path)
+    page = F.from_json("text", "_id STRING, text STRING, n_chars BIGINT")
+    return named.read_named(spark, path).select("name", page["_id"].alias("key"), F.md5(page["text"]).alias("digest"), page["n_chars"].alias("n_chars"))
 
 
 @query("SELECT lang AS iso, count(*) AS n, sum(length(text))::BIGINT AS n_chars FROM documents GROUP BY 1")
@@ -511,6 +644,22 @@ def ingested_versions(spark, sf_dir):
     return ingest.current(spark, f"{path}/table", seq="doc_id").select("doc_id", "superseded_seq", "latest")
 
 
+@query(SQL["latest_version"])
+def keyed_versions(spark, sf_dir):
+    """Latest flags from keyed state: files in no order, some of them again, one in each batch, with a restart in between."""
+    from glossa.streaming import latest
+
+    path = shared_dir(spark)
+    pages = docs_view(spark, sf_dir).select("doc_id", F.col("site_language").alias("iso"), F.col("source").alias("url"), "canonical_link", F.lit(True).alias("success"))
+    mixed = pages.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(4)))
+    schema = "doc_id BIGINT, iso STRING, url STRING, canonical_link STRING, success BOOLEAN"
+    for parts in ((2, 0), (1, 2), (3,)):
+        for part in parts:
+            mixed.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(f"{path}/new")
+        latest.follow(spark, f"{path}/new", schema, f"{path}/changes", f"{path}/state", seq="doc_id", files_per_batch=1).awaitTermination()
+    return latest.current(pages, f"{path}/changes", seq="doc_id").select("doc_id", "superseded_seq", "latest")
+
+
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS url_key, CAST(strftime(o_orderdate, '%Y%m%d%H%M%S') AS BIGINT) AS snapshot, 'http://x/' || o_custkey AS original_url FROM orders")
 def archive_lines(spark, sf_dir):
     path = shared_dir(spark)
@@ -590,6 +739,19 @@ def plaintext_pair(spark, sf_dir):
     return sizes[0].union(sizes[1])
 
 
+@query(
+    NESTED_SQL
+    + """SELECT 'raw_paragraphs/' || content_type || '/p' || doc_id || '.txt' AS name, md5(source || coalesce(array_to_string(list_transform(paragraphs, lambda p: chr(10) || chr(10) || p), ''), '')) AS digest FROM k
+UNION ALL SELECT 'tokenized_sentences/' || content_type || '/p' || doc_id || '.txt', md5(source || chr(10) || chr(10) || coalesce(array_to_string(list_transform(tokens, lambda p: array_to_string(list_transform(p, lambda s: array_to_string(s, ' ')), chr(10))), chr(10) || chr(10)), '')) FROM k"""
+)
+def named_plaintext(spark, sf_dir):
+    """Titles and paragraphs, and tokenised sentences, in files under the documents' names."""
+    path = shared_dir(spark)
+    docs = nested_view(spark, sf_dir).withColumn("title", F.col("source")).withColumn("filename", F.concat(F.lit("p"), F.col("doc_id").cast("string"), F.lit(".html")))
+    writers.named_plaintext(docs.repartition(4), path)
+    return named.read_named(spark, path).select("name", F.md5("text").alias("digest"))
+
+
 @query(f"SELECT coalesce(sum(n_removed), 0)::BIGINT AS n FROM ({SQL['english_paragraph_filter']})")
 def removed_paragraphs(spark, sf_dir):
     """What language filtering took out, as a table of fields."""
@@ -627,7 +789,7 @@ def wiki_pages(spark, sf_dir):
     page = F.concat(F.lit("<page><title>"), F.col("n_name"), F.lit("</title><revision><text>'''"), F.col("n_name"), F.lit("''' {{Infobox|x=1}}</text></revision></page>"))
     dump = table(spark, sf_dir, "nation").agg(F.array_join(F.collect_list(page), "").alias("pages"))
     dump.select(F.concat(F.lit("<mediawiki xmlns='m'>"), F.col("pages"), F.lit("</mediawiki>")).alias("value")).write.text(path)
-    return readers.dump_pages(spark, path).select("title", text.wiki_tokens(F.col("text"), 2).alias("tokens"))
+    return readers.dump_pages(spark, path).select("title", wiki.tokens(F.col("text"), 2).alias("tokens"))
 
 
 @query("SELECT n_name || ' is here.' AS sentence FROM nation")
@@ -658,3 +820,42 @@ def article_files(spark, sf_dir):
     back = readers.article_lines(spark, f"{path}/lang=en").select(F.lit("en").alias("section"), (F.col("n_chars") - 1).alias("n"))
     rest = lines.filter("lang <> 'en'").select(F.col("lang").alias("section"), F.length("value").alias("n"))
     return back.union(rest).groupBy("section").agg(F.count(F.lit(1)).alias("n"), F.sum("n").cast("long").alias("n_chars"))
+
+
+# --- languages, learned from the documents ----------------------------------------------------
+
+#: Windows of three letters as buckets, and each bucket's weight for each language.
+WINDOWS_SQL = r"""WITH d AS (SELECT doc_id, lang, list_transform(regexp_extract_all(regexp_replace(translate(' ' || coalesce(text, '') || ' ', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x60\x7B-\x7F]+', ' ', 'g'), '(?s).'), lambda c: unicode(c)::BIGINT) AS u FROM documents),
+w AS (SELECT doc_id, lang, unnest(list_transform(range(1, len(u) - 1), lambda i: ((u[i] * 2654435761 + u[i + 1] * 40503 + u[i + 2]) % 4294967296) // 65536)) AS bucket FROM d),
+m AS (SELECT lang, bucket, count(*) AS n FROM w WHERE lang IS NOT NULL GROUP BY ALL),
+t AS (SELECT lang, sum(n) AS total FROM m GROUP BY lang),
+weights AS (SELECT lang, bucket, round(1000 * ln((n * 65536.0::DOUBLE / total + 0.05) / 1.05))::BIGINT AS weight FROM m JOIN t USING (lang)),
+c AS (SELECT doc_id, bucket, count(*) AS n FROM w GROUP BY ALL)
+"""
+
+
+@query(WINDOWS_SQL + "SELECT lang, bucket, weight FROM weights")
+def language_model(spark, sf_dir):
+    """The detector's weights: how much more of a language than of an even spread falls into each bucket of windows."""
+    return langmodel.fit(table(spark, sf_dir, "documents"))
+
+
+@query(
+    WINDOWS_SQL
+    + """, unseen AS (SELECT round(1000 * ln(0.05 / 1.05))::BIGINT AS none),
+s AS (SELECT c.doc_id, x.lang, sum(c.n * (x.weight - none)) AS score FROM c JOIN weights x USING (bucket), unseen GROUP BY ALL),
+a AS (SELECT doc_id, sum(n) * any_value(none) AS base FROM c, unseen GROUP BY doc_id)
+SELECT doc_id, t.lang, (coalesce(base, 0) + coalesce(score, 0))::BIGINT AS score FROM documents CROSS JOIN t LEFT JOIN a USING (doc_id) LEFT JOIN s ON s.doc_id = documents.doc_id AND s.lang = t.lang"""
+)
+def language_scores(spark, sf_dir):
+    """Each document's score for each language of a detector that is learned from the documents."""
+    docs = table(spark, sf_dir, "documents")
+    return langmodel.scored(docs, langmodel.Detector.of(langmodel.fit(docs)), key="doc_id")
+
+
+@query()
+def language_spans(spark, sf_dir):
+    """The languages of each document by spans: up to five with probability and proportion."""
+    docs = table(spark, sf_dir, "documents")
+    found = langmodel.detect(F.col("text"), langmodel.Detector.of(langmodel.fit(docs)), docs)
+    return docs.select("doc_id", F.explode(found).alias("language", "of")).select("doc_id", "language", F.round("of.probability", 6).alias("probability"), "of.is_reliable", F.round("of.proportion", 6).alias("proportion"))

@@ -84,9 +84,20 @@ def article_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file_name, line_no, value): the lines of each file in order (a file is read by one task)."""
-    whole = spark.read.text(path, wholetext=True).withColumn("file_name", F.col("_metadata.file_name"))
-    return whole.select("file_name", F.posexplode(F.split("value", "\n"))).withColumnsRenamed({"pos": "line_no", "col": "value"})
+    """(file_name, line_no, value): the lines of each file, numbered from 0.
+
+    A file is read in splits by as many tasks as it needs.  Within a split lines come in order, so a
+    first scan counts the lines of each split, the counts before each split are summed (a row for
+    each split, not for each line), and the second scan adds its own count; no line is moved.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path)
+    meta = F.col("_metadata")
+    rows = lines.select(meta["file_path"].alias("file"), meta["file_name"].alias("file_name"), meta["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("at"), "value")
+    splits = rows.groupBy("file", "start").agg(F.min("at").alias("least"), F.count(F.lit(1)).alias("n"))
+    earlier = W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
+    splits = splits.select(F.col("file").alias("f"), F.col("start").alias("s"), "least", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    numbered = rows.join(splits, (F.col("file") == F.col("f")) & (F.col("start") == F.col("s")))
+    return numbered.select("file_name", (F.col("at") - F.col("least") + F.col("before")).alias("line_no"), "value")
 
 
 def dump_pages(spark: SparkSession, path: str) -> DataFrame:
