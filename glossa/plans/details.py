@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.functions import dates, json5, langmodel, lid, segment, text, wiki
-from glossa.operators import filters, mutations, ordered, scraping, stats, versions
+from glossa.operators import boundaries, filters, mutations, ordered, scraping, stats, versions
 from glossa.plans.catalogue import DOCS_SQL, PAGES_SQL, SQL, STOP_SQL, docs_view, pages_view, query, table
 from glossa.sources import named, readers, writers
 from glossa.sources.shared import shared_dir, stored
@@ -859,3 +859,29 @@ def language_spans(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = langmodel.detect(F.col("text"), langmodel.Detector.of(langmodel.fit(docs)), docs)
     return docs.select("doc_id", F.explode(found).alias("language", "of")).select("doc_id", "language", F.round("of.probability", 6).alias("probability"), "of.is_reliable", F.round("of.proportion", 6).alias("proportion"))
+
+
+# --- sentence boundaries, learned from the documents ------------------------------------------
+
+
+@query(
+    r"""WITH w AS (SELECT coalesce(lang, '') AS lang, unnest(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \t\n\x0b\f\r]+'), lambda x: x <> '')) AS token FROM documents),
+b AS (SELECT lang, lower(regexp_replace(token, '^["''(\[{«“‘„]+|["'')\]}»”’]+$', '', 'g')) AS t FROM w),
+k AS (SELECT lang, NOT regexp_matches(t, '[!?…]$|\.\.$') AND t LIKE '%.' AS stop, CASE WHEN regexp_matches(t, '^[^\p{L}]*\d[\d.,:/-]*$') THEN '##' ELSE regexp_replace(t, '[.!?…]+$', '') END AS type FROM b),
+c AS (SELECT lang, type, count(*) FILTER (stop) AS stops, count(*) FILTER (NOT stop) AS plain FROM k GROUP BY ALL),
+s AS (SELECT lang, sum(stops) AS all_stops, sum(stops + plain) AS n FROM c GROUP BY lang),
+d AS (SELECT *, length(type) - length(replace(type, '.', '')) AS dots, greatest(all_stops::DOUBLE / n, 1e-12) AS p, greatest(1 - all_stops::DOUBLE / n, 1e-12) AS q FROM c JOIN s USING (lang))
+SELECT lang, type, stops, plain, CASE WHEN regexp_matches(type, '\p{L}') THEN round(-2 * ((stops * ln(p) + plain * ln(q)) - (stops * ln(0.99) + plain * ln(1 - 0.99))) * exp(dots - length(type)) * (dots + 1) * pow((length(type) - dots)::DOUBLE, -plain), 3) + 0.0 END AS score FROM d WHERE stops > 0"""
+)
+def abbreviation_scores(spark, sf_dir):
+    """Word types with a full stop: how often with and without, and the ratio that tells abbreviations."""
+    found = boundaries.learn(table(spark, sf_dir, "documents")).words
+    return found.filter("stops > 0").select("lang", "type", "stops", "plain", (F.round("score", 3) + 0.0).alias("score"))
+
+
+@query()
+def learned_sentences(spark, sf_dir):
+    """The sentences of each document by learned boundaries."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = boundaries.with_sentences(docs, boundaries.learn(docs), key="doc_id")
+    return found.select("doc_id", F.size("sentences").alias("n_sentences"), F.md5(F.array_join("sentences", "\n")).alias("digest"))
