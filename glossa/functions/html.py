@@ -14,7 +14,9 @@ from collections.abc import Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import StringType
 
 from glossa.functions.text import BOILERPLATE, IMAGE_MARKS, SCRAPE_BOILERPLATE, with_field
 
@@ -202,3 +204,14 @@ def with_metadata(pages: DataFrame, *, html: str = "html") -> DataFrame:
             yield batch.append_column("meta", pa.array(rows, kind))
 
     return pages.mapInArrow(run, with_field(pages.schema, "meta struct<title:string,description:string,canonical_link:string,keywords:array<string>,authors:array<string>,has_ptags:boolean>"))
+
+
+def last_link_of_class(page: Column, name: str) -> Column:
+    """The target of the last link of a class, whatever its quotes; null where there is none."""
+
+    @arrow_udf(StringType())
+    def run(pages: pa.Array) -> pa.Array:
+        found = [[n.attributes.get("href") for n in tree(p).find_all("a", css=name)] if p is not None and name in p else [] for p in pages.to_pylist()]
+        return pa.array([links[-1] if links else None for links in found], pa.string())
+
+    return run(page)

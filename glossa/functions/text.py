@@ -8,10 +8,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from html import unescape
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import StringType, StructType
 
 from glossa.functions import json5
 
@@ -185,9 +188,14 @@ def path_part(path: Column, from_end: int) -> Column:
     return F.try_element_at(F.split(path, "/"), F.lit(-from_end))
 
 
+@arrow_udf(StringType())
+def _decoded(texts: pa.Array) -> pa.Array:
+    return pa.array([None if t is None else unescape(t) for t in texts.to_pylist()], pa.string())
+
+
 def title_of(html: Column, iso: Column | None = None) -> Column:
-    """The text of ``<title>`` or the empty string; one site's suffix is stripped as a set of characters."""
-    title = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
+    """The text of ``<title>``, its character references decoded, or the empty string; one site's suffix is stripped as a set of characters."""
+    title = _decoded(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1))
     if iso is None:
         return title
     return F.when(iso == "kor", F.btrim(title, F.lit("| Voice of America - Korean"))).otherwise(title)
@@ -219,12 +227,6 @@ def ld_json(html: Column) -> Column:
     return F.get(F.filter(F.transform(scripts, strip), lambda s: s != ""), F.lit(0))
 
 
-def last_link_of_class(html: Column, name: str) -> Column:
-    """The target of the last link of a class."""
-    links = F.regexp_extract_all(html, F.lit(rf'(?is)<a\b(?=[^>]*class="[^"]*\b{name}\b)[^>]*href="([^"]*)"'), F.lit(1))
-    return F.try_element_at(links, F.lit(-1))
-
-
 def rendered(units: str, paragraphs: Column, *, title: Column | None = None, authors: Column | None = None, limit: int = 0) -> Column:
     """A document as text: title and authors, a blank line, then its units with a blank line after each paragraph.
 

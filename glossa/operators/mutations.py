@@ -49,8 +49,16 @@ def by_canonical(rows: DataFrame, link: str) -> DataFrame:
     return rows.filter(F.col("canonical_link") == link)
 
 
+def by_canonicals(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """The rows of many links; ``links`` has them in ``canonical_link``."""
+    return rows.join(links.select("canonical_link"), "canonical_link", "left_semi")
+
+
 def rederived(rows: DataFrame, *, html: str = "original_html") -> DataFrame:
-    """Authors, linked data and dates read again from the page; rows without a page stay as they are."""
+    """Authors, linked data and dates read again from the page; rows without a page stay as they are.
+
+    A date of either kind that can't be read is null; one odd page doesn't end the job.
+    """
     page = F.coalesce(F.col(html), F.lit(""))
     linked = text.ld_json(page)
     author = F.regexp_extract_all(page, F.lit(r'(?is)<meta\b(?=[^>]*\bname="Author")[^>]*\bcontent="([^"]*)"'), F.lit(1))

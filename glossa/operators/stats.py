@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from glossa.sources.shared import stored
+
+#: Rows of a table that is broadcast.
+FEW = 200_000
 #: Languages and counts that reports leave out.
 HIDDEN, LEAST = ("bam",), 10
 
@@ -66,12 +70,15 @@ def longest(rows: DataFrame, value: str, k: int, key: str) -> DataFrame:
     """The k longest distinct texts of each key, with their length ``n`` and rank.
 
     Lengths and hashes give the length that a text needs (hashes that meet only lower it), so that
-    few texts are shuffled; the table of these lengths has one row for each key.
+    few texts are shuffled; the table of these lengths has one row for each key, and is broadcast if
+    it has at most FEW rows.
     """
     n = F.length(value).alias("n")
     heads = top(rows.select(key, n, F.xxhash64(value).alias("_h")).distinct(), [F.desc("n")], k, [key])
     least = heads.groupBy(F.col(key).alias("_k")).agg(F.min("n").alias("_least"))
-    found = rows.select(key, value, n).join(F.broadcast(least), F.col(key).eqNullSafe(F.col("_k"))).filter("n >= _least").select(key, value, "n").distinct()
+    least = stored(least)
+    least = F.broadcast(least) if least.limit(FEW + 1).count() <= FEW else least
+    found = rows.select(key, value, n).join(least, F.col(key).eqNullSafe(F.col("_k"))).filter("n >= _least").select(key, value, "n").distinct()
     return top(found, [F.desc("n"), F.desc(value)], k, [key])
 
 

@@ -100,7 +100,7 @@ def capped_per_key(rows: DataFrame, keys: list[str], order: list, n: int) -> Dat
 
 def sampled_per_key(rows: DataFrame, keys: list[str], ident: str, n: int, seed: int = 0) -> DataFrame:
     """A repeatable sample of at most n rows of each key, by hash."""
-    return capped_per_key(rows, keys, [F.xxhash64(F.col(ident), F.lit(seed)), F.col(ident)], n)
+    return capped_per_key(rows, keys, [F.md5(F.concat_ws(":", F.lit(seed), F.col(ident)).cast("binary")), F.col(ident)], n)
 
 
 def added(early: DataFrame, late: DataFrame, *, iso: str = "iso", url: str = "url") -> DataFrame:

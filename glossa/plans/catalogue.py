@@ -201,9 +201,9 @@ def date_range(spark, sf_dir):
     return table(spark, sf_dir, "orders").agg(F.min("o_orderdate").alias("first_date"), F.max("o_orderdate").alias("last_date"))
 
 
-@query("SELECT CAST(ts AS DATE) AS date, string_agg(CAST(event_id AS VARCHAR), chr(9) ORDER BY CAST(event_id AS VARCHAR)) AS listed FROM events WHERE event_type = 'purchase' GROUP BY 1")
+@query("SELECT CAST(ts AS DATE) AS date, string_agg(CAST(event_id AS VARCHAR), chr(9) ORDER BY CAST(event_id AS VARCHAR)) AS listed FROM events GROUP BY 1")
 def ids_by_date(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").filter("event_type = 'purchase'")
+    rows = table(spark, sf_dir, "events")
     return stats.listed_by_date(rows, F.to_date("ts"), "event_id")
 
 
@@ -409,6 +409,10 @@ def doc_route(spark, sf_dir):
     return docs.select("doc_id", where.alias("route"))
 
 
+#: The paragraphs that language filtering takes out.
+REMOVED_SQL = PARAGRAPHS_SQL + _detected("paragraph", "pars", "doc_id, site_language, paragraph") + f" SELECT doc_id::VARCHAR AS filename, md5(translate(paragraph, chr(9) || chr(10), '  ')) AS digest FROM d WHERE site_language <> 'eng' AND c_eng > 0 AND ((p_eng > 0.7 AND p_eng > 0.25) OR {_found} = 1)"
+
+
 @query(PARAGRAPHS_SQL + _detected("paragraph", "pars", "doc_id, site_language") + f" SELECT doc_id, count(*) FILTER (NOT coalesce(site_language <> 'eng' AND c_eng > 0 AND ((p_eng > 0.7 AND p_eng > 0.25) OR {_found} = 1), false)) AS n_kept, count(*) FILTER (site_language <> 'eng' AND c_eng > 0 AND ((p_eng > 0.7 AND p_eng > 0.25) OR {_found} = 1)) AS n_removed FROM d GROUP BY 1")
 def english_paragraph_filter(spark, sf_dir):
     docs = filters.without_english(docs_view(spark, sf_dir))
@@ -439,9 +443,9 @@ def capped_per_language(spark, sf_dir):
     return versions.capped_per_key(table(spark, sf_dir, "documents").select("lang", "doc_id"), ["lang"], ["doc_id"], 5)
 
 
-@query()
+@query("SELECT source, doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY source ORDER BY md5('0:' || doc_id), doc_id) <= 5")
 def stratified_sample(spark, sf_dir):
-    """A sampling operator: its rows depend on Spark's hash."""
+    """A sampling operator: five documents of each source, by the digest of their ids."""
     return versions.sampled_per_key(table(spark, sf_dir, "documents").select("source", "doc_id"), ["source"], "doc_id", 5)
 
 
@@ -474,7 +478,7 @@ def utag_lenient(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.to_json(text.utag_map(page)).alias("utag_")).select("event_id", F.replace(F.col("utag_"), F.lit('"k":"'), F.lit('"k":')).alias("u")).select("event_id", F.replace(F.col("u"), F.lit('"}'), F.lit("}")).alias("utag"))
 
 
-@query("SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS title FROM pages")
+@query("SELECT page_id, replace(replace(replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&quot;', chr(34)), '&#x27;', chr(39)), '&amp;', '&') AS title FROM pages")
 def html_title(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", text.title_of(F.col("html")).alias("title"))
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glossa.functions import dates, json5, langmodel, lid, segment, text, wiki
+from glossa.functions import dates, html, json5, langmodel, lid, segment, text, wiki
 from glossa.operators import boundaries, filters, mutations, ordered, scraping, stats, versions
-from glossa.plans.catalogue import DOCS_SQL, PAGES_SQL, SQL, STOP_SQL, docs_view, pages_view, query, table
+from glossa.plans.catalogue import DOCS_SQL, PAGES_SQL, REMOVED_SQL, SQL, STOP_SQL, docs_view, pages_view, query, table
 from glossa.sources import named, readers, writers
 from glossa.sources.shared import shared_dir, stored
 
@@ -127,7 +127,7 @@ def linked_data(spark, sf_dir):
     scripts = F.concat(F.lit('<script type="application/ld+json"> </script><script type="application/ld+json">\n{"n": '), k, F.lit("}</script>"))
     links = F.concat(F.lit('<a class="wsw__a" href="http://y/">a</a><a class="b wsw__a" href="http://x/'), F.col("user_id").cast("string"), F.lit('">b</a>'))
     page = F.concat(scripts, links)
-    return table(spark, sf_dir, "events").select("event_id", text.ld_json(page).alias("linked"), text.last_link_of_class(page, "wsw__a").alias("link"))
+    return table(spark, sf_dir, "events").select("event_id", text.ld_json(page).alias("linked"), html.last_link_of_class(page, "wsw__a").alias("link"))
 
 
 @query("SELECT doc_id, text AS plain, trim(text) AS ends, trim(regexp_replace(text, '\\s+', ' ', 'g')) AS flat FROM documents")
@@ -356,11 +356,11 @@ def rederived_fields(spark, sf_dir):
     return done.select("event_id", F.col("date_published").cast("timestamp_ntz").alias("date_published"), F.col("date_modified").cast("timestamp_ntz").alias("date_modified"), "authors")
 
 
-@query("SELECT doc_id FROM documents WHERE md5(text) = (SELECT md5(text) FROM documents WHERE doc_id = 1)")
+@query("SELECT doc_id FROM documents WHERE md5(text) IN (SELECT md5(text) FROM documents WHERE doc_id % 100 = 0)")
 def pages_of_link(spark, sf_dir):
+    """All pages of the links that every hundredth page has."""
     docs = docs_view(spark, sf_dir)
-    link = docs.filter("doc_id = 1").select("canonical_link").first()
-    return mutations.ids(mutations.by_canonical(docs, link.canonical_link if link else ""), "doc_id")
+    return mutations.ids(mutations.by_canonicals(docs, docs.filter("doc_id % 100 = 0")), "doc_id")
 
 
 @query("SELECT DISTINCT lang AS iso FROM documents UNION ALL SELECT 'ell'")
@@ -612,13 +612,12 @@ def packed_release(spark, sf_dir):
     return stats.counted(spark.read.schema("filename BIGINT, iso_domain STRING").json(path), "iso_domain", name="n")
 
 
-@query("SELECT o_orderstatus AS status, count(*) AS n_rows FROM orders WHERE o_orderkey % 100 = 1 GROUP BY 1")
+@query("SELECT o_orderstatus || '.html' AS name, md5('<table><tr><th>o_orderkey</th><th>o_orderpriority</th></tr>' || string_agg(r, '' ORDER BY r) || '</table>') AS digest FROM (SELECT *, '<tr><td>' || o_orderkey || '</td><td>' || o_orderpriority || '</td></tr>' AS r FROM orders) GROUP BY o_orderstatus")
 def html_reports(spark, sf_dir):
-    """A table for each status; its rows are counted in the HTML."""
+    """A table in HTML for each status."""
     path = shared_dir(spark)
-    writers.html_report(table(spark, sf_dir, "orders").filter("o_orderkey % 100 = 1").select("o_orderkey", "o_orderpriority", F.col("o_orderstatus").alias("status")), path, "status")
-    back = spark.read.text(path, wholetext=True).withColumn("status", F.split_part(text.path_part(F.col("_metadata.file_path"), 2), F.lit("="), F.lit(2)))
-    return back.groupBy("status").agg(F.sum(F.regexp_count("value", F.lit("<tr><td>"))).cast("long").alias("n_rows"))
+    writers.html_report(table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", F.col("o_orderstatus").alias("status")), path, "status")
+    return named.read_named(spark, path).select("name", F.md5("text").alias("digest"))
 
 
 @query("SELECT n_name AS url, n_nationkey::BIGINT AS n_chars, 'article' AS folder FROM nation WHERE n_nationkey % 3 = 0")
@@ -752,14 +751,14 @@ def named_plaintext(spark, sf_dir):
     return named.read_named(spark, path).select("name", F.md5("text").alias("digest"))
 
 
-@query(f"SELECT coalesce(sum(n_removed), 0)::BIGINT AS n FROM ({SQL['english_paragraph_filter']})")
+@query(REMOVED_SQL)
 def removed_paragraphs(spark, sf_dir):
     """What language filtering took out, as a table of fields."""
     path = shared_dir(spark)
     docs = filters.without_english(docs_view(spark, sf_dir)).withColumn("filename", F.col("doc_id").cast("string"))
     writers.removed_paragraphs(docs, path)
     back = spark.read.option("sep", "\t").schema("filename STRING, par_num INT, probability DOUBLE, proportion DOUBLE, paragraph STRING").csv(path)
-    return back.filter("probability IS NOT NULL AND paragraph IS NOT NULL").agg(F.count(F.lit(1)).alias("n"))
+    return back.filter("probability IS NOT NULL").select("filename", F.md5("paragraph").alias("digest"))
 
 
 @query("SELECT n_name AS url FROM nation WHERE n_nationkey % 2 = 0")
@@ -810,16 +809,13 @@ def counts_table(spark, sf_dir):
     return readers.counts(spark, path)
 
 
-@query("SELECT lang AS section, count(*) AS n, sum(length(text))::BIGINT AS n_chars FROM documents WHERE doc_id % 3 <> 0 GROUP BY 1")
+@query("SELECT lang AS language, md5(replace(text, chr(10), ' ')) AS digest, length(text) + 1 AS n_chars FROM (SELECT text, CASE lang WHEN 'en' THEN 'eng' WHEN 'fr' THEN 'fra' WHEN 'de' THEN 'deu' WHEN 'es' THEN 'spa' ELSE lang END AS lang FROM documents)")
 def article_files(spark, sf_dir):
-    """Articles one a line in files by language; a line's end counts no more than it does in the reader."""
+    """Articles one a line in files by language, with their lengths."""
     path = shared_dir(spark)
-    docs = table(spark, sf_dir, "documents").filter("doc_id % 3 <> 0")
-    docs.select("lang", F.replace("text", F.lit("\n"), F.lit(" ")).alias("value")).write.partitionBy("lang").text(path)
-    lines = spark.read.text(path)
-    back = readers.article_lines(spark, f"{path}/lang=en").select(F.lit("en").alias("section"), (F.col("n_chars") - 1).alias("n"))
-    rest = lines.filter("lang <> 'en'").select(F.col("lang").alias("section"), F.length("value").alias("n"))
-    return back.union(rest).groupBy("section").agg(F.count(F.lit(1)).alias("n"), F.sum("n").cast("long").alias("n_chars"))
+    lines = docs_view(spark, sf_dir).select(F.concat("site_language", F.lit("_articles.txt")).alias("name"), "doc_id", F.concat(F.replace("text", F.lit("\n"), F.lit(" ")), F.lit("\n")).alias("line"))
+    named.write_named(lines, path, F.col("name"), F.col("line"), order=[F.col("doc_id")])
+    return readers.article_lines(spark, path).select("language", F.md5("article").alias("digest"), F.col("n_chars").cast("long"))
 
 
 # --- languages, learned from the documents ----------------------------------------------------

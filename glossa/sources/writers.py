@@ -134,7 +134,7 @@ def sentences(rows: DataFrame, path: str, *, sentences: str = "sentences", lines
 
 
 def html_report(rows: DataFrame, path: str, by: str) -> None:
-    """A table in HTML for each value of a column; made for reports, whose tables are small."""
+    """A table in HTML for each value of a column, in a file of that name; rows stream to it in the order of their cells."""
     columns = [c for c in rows.columns if c != by]
 
     def escaped(c: str) -> Column:
@@ -145,8 +145,10 @@ def html_report(rows: DataFrame, path: str, by: str) -> None:
 
     row = F.concat(F.lit("<tr>"), *map(escaped, columns), F.lit("</tr>"))
     head = "<table><tr>" + "".join(f"<th>{c}</th>" for c in columns) + "</tr>"
-    tables = rows.select(by, row.alias("row")).groupBy(by).agg(F.array_join(F.array_sort(F.collect_list("row")), "").alias("body"))
-    tables.select(by, F.concat(F.lit(head), F.col("body"), F.lit("</table>")).alias("value")).write.partitionBy(by).text(path)
+    ends = F.array(F.struct(F.lit(0).alias("at"), F.lit(head).alias("text")), F.struct(F.lit(2).alias("at"), F.lit("</table>").alias("text")))
+    around = rows.select(F.col(by).alias("by")).distinct().select("by", F.inline(ends))
+    parts = rows.select(F.col(by).alias("by"), F.lit(1).alias("at"), row.alias("text")).union(around)
+    write_named(parts, path, F.concat(F.col("by").cast("string"), F.lit(".html")), F.col("text"), order=[F.col("at"), F.col("text")])
 
 
 def archives(docs: DataFrame, path: str, section: str = "iso_domain") -> None:

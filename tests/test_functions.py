@@ -45,7 +45,9 @@ def test_page_metadata(spark):
     assert one(spark, text.ld_json(page)) == '{"a": 1}' and one(spark, text.title_of(page)) == "T | K"
     names = text.authors_of(F.lit(None).cast("array<string>"), F.lit(""), F.lit("A , B"), F.array(F.lit("C")))
     assert one(spark, names) == ["A", "B"]
-    assert one(spark, text.last_link_of_class(F.lit('<a class="w" href="1">x</a><a class="w z" href="2">'), "w")) == "2"
+    assert one(spark, html.last_link_of_class(F.lit('<a class="w" href="1">x</a><a class=\'w z\' href=\'2\'>'), "w")) == "2"
+    assert one(spark, html.last_link_of_class(F.lit('<a class="ww" href="1">x</a>'), "w")) is None
+    assert one(spark, text.title_of(F.lit("<title>A &amp; B &#x27;&eacute;</title>"))) == "A & B 'é"
     assert one(spark, text.without_image_marks(F.lit("a<!-- IMAGE -->b<!--IMAGE--c"))) == "abc"
 
 
