@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from glossa.operators import scans
+from glossa.operators.scans import fresh
+from glossa.sources.shared import stored
+
 
 def _earlier_than(rows: DataFrame, iso: str, key: str, seq: str) -> Column:
     """The smallest later sequence number of a superseding row with the same language and key.
@@ -35,56 +40,126 @@ def with_superseded(pages: DataFrame, *, iso: str = "iso", url: str = "url", can
     return found.withColumn("latest", F.col("superseded_seq").isNull() & inserted).drop("_supersedes", "_by_link", "_by_url")
 
 
-def _last_living(rows: DataFrame, key: str, name: str) -> DataFrame:
-    """(_name, name): for each row that links, the URL of the last earlier row of another language with the same key that still lives.
+class _Living:
+    """For each language the rows that can still be an answer, the latest on top.
 
-    Rows stream through a task by key and sequence number.  For each language a stack keeps the rows
-    that can still be an answer: a later row that lives as long makes an earlier one useless, and one
-    that has died is dropped when it comes up.  So a key costs time in proportion to its rows and
-    languages, and memory in proportion to its languages.
+    A later row that lives as long makes an earlier one useless, and one that has died is dropped
+    when it comes up; so every row is put on a stack and taken off it once.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, living = None, {}
-        for batch in batches:
-            found, urls = [], []
-            for seq, iso, own_url, value, until, links in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
-                if value != at:
-                    at, living = value, {}
-                if iso is None:
-                    continue
-                if links:
-                    best = None
-                    for other, stack in living.items():
-                        while stack and stack[-1][2] is not None and stack[-1][2] <= seq:
-                            stack.pop()
-                        if other != iso and stack and (best is None or stack[-1][0] > best[0]):
-                            best = stack[-1]
-                    if best is not None:
-                        found.append(seq)
-                        urls.append(best[1])
-                stack = living.setdefault(iso, [])
-                while stack and (until is None or stack[-1][2] is not None and stack[-1][2] <= until):
-                    stack.pop()
-                stack.append((seq, own_url, until))
-            yield pa.RecordBatch.from_arrays([pa.array(found, batch.schema.field(0).type), pa.array(urls, pa.string())], names=[f"_{name}", name])
-
-    keyed = rows.filter(F.coalesce(F.length(key) > 0, F.lit(False))).select("_seq", "_iso", "_url", F.col(key).alias("_key"), "_until", "_links")
-    ordered = keyed.repartition("_key").sortWithinPartitions("_key", "_seq")
-    return ordered.mapInArrow(run, f"_{name} {rows.schema['_seq'].dataType.simpleString()}, {name} string")
-
-
-def with_parallel(pages: DataFrame, *, iso: str = "iso", url: str = "url", canonical: str = "canonical_link", seq: str = "ingest_seq", success: str = "success") -> DataFrame:
+    def __init__(self) -> None:
+        self.stacks: dict[str, list[tuple]] = {}
+
+    def add(self, iso: str, row: tuple) -> None:
+        """``row``: (seq, url, until)."""
+        stack = self.stacks.setdefault(iso, [])
+        while stack and (row[2] is None or stack[-1][2] is not None and stack[-1][2] <= row[2]):
+            stack.pop()
+        stack.append(row)
+
+    def last(self, iso: str, seq: int) -> tuple | None:
+        """The last row of another language that lives at ``seq``."""
+        best = None
+        for other, stack in self.stacks.items():
+            while stack and stack[-1][2] is not None and stack[-1][2] <= seq:
+                stack.pop()
+            if other != iso and stack and (best is None or stack[-1][0] > best[0]):
+                best = stack[-1]
+        return best
+
+    def rows(self) -> list[tuple]:
+        return [(iso, *row) for iso, stack in self.stacks.items() for row in stack]
+
+
+def _ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each range its first and last key, and what lives of the last one when the range ends."""
+    at, first, key, living = None, None, None, _Living()
+
+    def ended() -> Iterator[pa.RecordBatch]:
+        if at is not None:
+            rows = living.rows() or [(None, None, None, None)]
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.string(), pa.int64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(at, pa.int32()), len(rows)), pa.repeat(first, len(rows)), pa.repeat(key, len(rows)), *columns], ["part", "first", "last", "iso", "seq", "url", "until"])
+
+    for batch in batches:
+        for part, value, seq, iso, url, until in zip(*(batch.column(k).to_pylist() for k in range(6)), strict=True):
+            if part != at:
+                yield from ended()
+                at, first = part, value
+                key = None
+            if value != key:
+                key, living = value, _Living()
+            if iso is not None:
+                living.add(iso, (seq, url, until))
+    yield from ended()
+
+
+def _carried(ends: pd.DataFrame) -> pd.DataFrame:
+    """What lives of a key when each of its ranges begins; ``ends``: the ranges that it begins or ends, one or more rows each."""
+    out, living = [], _Living()
+    for part, rows in ends.sort_values(["part", "seq"]).groupby("part", sort=True):
+        key = rows["key"].iloc[0]
+        if (rows["first"] == key).any():
+            out += [(part, key, *row) for row in living.rows()]
+        if (rows["last"] == key).any():
+            if not (rows["first"] == key).any():
+                living = _Living()
+            for iso, seq, url, until in zip(rows["iso"], rows["seq"], rows["url"], rows["until"], strict=True):
+                if iso is not None and not pd.isna(seq):
+                    living.add(iso, (int(seq), url, None if pd.isna(until) else int(until)))
+    frame = pd.DataFrame(out, columns=["part", "key", "iso", "seq", "url", "until"])
+    return frame.astype({"seq": "Int64", "until": "Int64"})
+
+
+def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(seq, url): for each row that links, the last living one; carried rows come first in their range and ask nothing."""
+    at, living = None, _Living()
+    for batch in batches:
+        found, urls = [], []
+        for part, value, seq, iso, url, until, links in zip(*(batch.column(k).to_pylist() for k in range(7)), strict=True):
+            if (part, value) != at:
+                at, living = (part, value), _Living()
+            if iso is None:
+                continue
+            if links and (best := living.last(iso, seq)) is not None:
+                found.append(seq)
+                urls.append(best[1])
+            living.add(iso, (seq, url, until))
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int64()), pa.array(urls, pa.string())], ["of", "found"])
+
+
+def _last_living(rows: DataFrame, key: str, ranges: int | None = None) -> DataFrame:
+    """(of, found): for each row that links, the URL of the last earlier row of another language with the same key that still lives.
+
+    Rows are cut into ranges of key and sequence number, so a key may fill many tasks.  A first pass
+    finds what of a range's last key lives when the range ends; these few rows are put together for
+    the ranges that the key goes on in, and stand before their rows in the second pass.
+    """
+    keyed = rows.filter(F.coalesce(F.length(key) > 0, F.lit(False))).select(F.col(key).alias("key"), "seq", "iso", "url", "until", "links")
+    found, part, _ = scans.in_ranges(keyed, [F.col("key"), F.col("seq")], ranges)
+    by_range = found.withColumnRenamed(part, "part").select("part", "key", "seq", "iso", "url", "until", "links")
+    ordered = by_range.drop("links").repartition("part").sortWithinPartitions("part", "key", "seq")
+    ends = stored(ordered.mapInArrow(_ends, "part int, first string, last string, iso string, seq bigint, url string, until bigint"))
+    touched = ends.select("*", F.explode(F.array_distinct(F.array("first", "last"))).alias("key"))
+    carried = touched.groupBy("key").applyInPandas(_carried, "part int, key string, iso string, seq bigint, url string, until bigint")
+    all_rows = by_range.union(carried.withColumn("links", F.lit(False)).select(*by_range.columns))
+    return all_rows.repartition("part").sortWithinPartitions("part", "key", "seq").mapInArrow(_answers, "of bigint, found string")
+
+
+def with_parallel(pages: DataFrame, *, iso: str = "iso", url: str = "url", canonical: str = "canonical_link", seq: str = "ingest_seq", success: str = "success", ranges: int | None = None) -> DataFrame:
     """The pages with ``parallel_url``: the last earlier page of another language, still latest then.
 
-    Matches by URL come before matches by canonical link.
+    Matches by URL come before matches by canonical link.  Sequence numbers are whole numbers.
     """
     rows = with_superseded(pages, iso=iso, url=url, canonical=canonical, seq=seq, success=success)
     links = F.coalesce(F.col(success), F.lit(False)) & F.coalesce(F.length(canonical) > 0, F.lit(False))
-    known = rows.select(F.col(seq).alias("_seq"), F.col(iso).cast("string").alias("_iso"), F.col(url).alias("_url"), F.col(canonical).alias("_link"), F.col("superseded_seq").alias("_until"), links.alias("_links"))
-    by_url, by_link = _last_living(known, "_url", "_hit_url"), _last_living(known, "_link", "_hit_link")
-    out = rows.join(by_url, F.col(seq) == F.col("__hit_url"), "left").join(by_link, F.col(seq) == F.col("__hit_link"), "left")
-    return out.withColumn("parallel_url", F.coalesce("_hit_url", "_hit_link")).drop("_hit_url", "_hit_link", "__hit_url", "__hit_link")
+    known = rows.select(F.col(seq).cast("bigint").alias("seq"), F.col(iso).cast("string").alias("iso"), F.col(url).alias("url"), F.col(canonical).alias("link"), F.col("superseded_seq").cast("bigint").alias("until"), links.alias("links"))
+    out = rows
+    hits = {key: fresh(f"hit_{key}", rows) for key in ("url", "link")}
+    for key, hit in hits.items():
+        of = fresh("of", out)
+        out = out.join(_last_living(known, key, ranges).toDF(of, hit), F.col(seq) == F.col(of), "left").drop(of)
+    return out.withColumn("parallel_url", F.coalesce(*hits.values())).drop(*hits.values())
 
 
 def first_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -255,6 +255,13 @@ def parallel_link(spark, sf_dir):
     return found.select("doc_id", F.col("parallel_url").cast("bigint").alias("parallel_id"))
 
 
+@query(PARALLEL_SQL.replace("canonical_link FROM docs)", "'all' AS canonical_link FROM docs)"))
+def parallel_of_one_link(spark, sf_dir):
+    """Parallel pages where all pages have one link, which fills many tasks."""
+    pages = docs_view(spark, sf_dir).select("doc_id", (F.col("doc_id") % 3).alias("iso"), F.lit("all").alias("canonical_link"), F.col("doc_id").cast("string").alias("url"), F.lit(True).alias("success"))
+    return versions.with_parallel(pages, seq="doc_id").select("doc_id", F.col("parallel_url").cast("bigint").alias("parallel_id"))
+
+
 @query(PAGES_SQL + "SELECT url, iso FROM p WHERE page_id % 5 <> 0 AND url NOT IN (SELECT url FROM p WHERE page_id % 3 <> 0) AND iso IN (SELECT iso FROM p WHERE page_id % 3 <> 0)")
 def url_added(spark, sf_dir):
     p = pages_view(spark, sf_dir)

@@ -47,6 +47,15 @@ def test_versions_equal_insertion(spark, seed):
     assert {r.ingest_seq: r.parallel_url for r in versions.with_parallel(frame).collect()} == parallel
 
 
+@pytest.mark.parametrize(("seed", "ranges"), [(4, 7), (5, 40)])
+def test_one_link_fills_many_tasks(spark, seed, ranges):
+    rng = random.Random(seed)
+    rows = [(k, rng.choice(["eng", "fra", "deu"]), rng.choice(["hot", f"u{k}"]), "c1", rng.random() < 0.5) for k in range(150)]
+    parallel = stored(rows)[1]
+    frame = spark.createDataFrame(rows, PAGE).repartition(4)
+    assert {r.ingest_seq: r.parallel_url for r in versions.with_parallel(frame, ranges=ranges).collect()} == parallel
+
+
 def test_stream_equals_batch(spark, tmp_path):
     rows = pages(5)
     source, table = f"{tmp_path}/in", f"{tmp_path}/table"
