@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.functions import dates, html, json5, langmodel, lid, segment, text, wiki
-from glossa.operators import boundaries, filters, mutations, ordered, scraping, stats, versions
+from glossa.operators import boundaries, filters, mutations, ordered, scraping, sketches, stats, versions
 from glossa.plans.catalogue import DOCS_SQL, PAGES_SQL, REMOVED_SQL, SQL, STOP_SQL, docs_view, pages_view, query, table
-from glossa.sources import named, readers, writers
+from glossa.sources import indexed, named, readers, writers
 from glossa.sources.shared import shared_dir, stored
 
 #: Lists of paragraphs, of sentences in them and of tokens in those, as DuckDB and Spark cut them.
@@ -881,3 +881,31 @@ def learned_sentences(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = boundaries.with_sentences(docs, boundaries.learn(docs), key="doc_id")
     return found.select("doc_id", F.size("sentences").alias("n_sentences"), F.md5(F.array_join("sentences", "\n")).alias("digest"))
+
+
+# --- indexes and stored sketches --------------------------------------------------------------
+
+
+@query("SELECT doc_id, md5(text) IN (SELECT md5(text) FROM documents WHERE doc_id % 100 = 0) AS wanted FROM documents")
+def indexed_pages(spark, sf_dir):
+    """Pages by link from an index: those of every hundredth page's links, and all others."""
+    pages = docs_view(spark, sf_dir).select("doc_id", "canonical_link", F.format_string("http://x/%d", "doc_id").alias("url"))
+    index = indexed.written(pages, shared_dir(spark), "canonical_link", bloom=("url",), buckets=8)
+    keys = pages.filter("doc_id % 100 = 0")
+    parts = [indexed.found(index, keys, "canonical_link", missing=missing).select("doc_id", F.lit(not missing).alias("wanted")) for missing in (False, True)]
+    return parts[0].union(parts[1])
+
+
+@query(
+    "SELECT lang, count(*) AS n_rows, count(DISTINCT word) AS n_words, true AS near FROM (SELECT lang, unnest(regexp_split_to_array(text, '\\s+')) AS word FROM documents) GROUP BY 1"
+)
+def stored_vocabulary(spark, sf_dir):
+    """Vocabulary sizes by language from sketches of ten batches, one taken in twice, and whether they are within six percent of the exact ones."""
+    path = shared_dir(spark)
+    words = table(spark, sf_dir, "documents").select("doc_id", "lang", F.explode(F.split("text", r"\s+")).alias("word"))
+    for batch in (*range(10), 4):
+        sketches.taken_in(words.filter(F.col("doc_id") % 10 == batch), path, f"b{batch}", F.col("word"), "lang")
+    counts = sketches.stored_counts(spark, path, "lang")
+    exact = words.groupBy(F.col("lang").alias("of")).agg(F.count_distinct("word").alias("n_words"))
+    near = F.abs(F.col("n_distinct") - F.col("n_words")) <= 0.06 * F.col("n_words")
+    return counts.join(exact, F.col("lang").eqNullSafe(F.col("of"))).select("lang", "n_rows", "n_words", near.alias("near"))
