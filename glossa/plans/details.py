@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glossa.functions import dates, html, json5, langmodel, lid, segment, text, wiki
-from glossa.operators import boundaries, filters, mutations, ordered, scraping, sketches, stats, versions
+from glossa.operators import boundaries, filters, lexicon, mutations, ordered, scraping, sketches, stats, versions
 from glossa.plans.catalogue import DOCS_SQL, PAGES_SQL, REMOVED_SQL, SQL, STOP_SQL, docs_view, pages_view, query, table
 from glossa.sources import indexed, named, readers, writers
 from glossa.sources.shared import shared_dir, stored
@@ -909,3 +909,68 @@ def stored_vocabulary(spark, sf_dir):
     exact = words.groupBy(F.col("lang").alias("of")).agg(F.count_distinct("word").alias("n_words"))
     near = F.abs(F.col("n_distinct") - F.col("n_words")) <= 0.06 * F.col("n_words")
     return counts.join(exact, F.col("lang").eqNullSafe(F.col("of"))).select("lang", "n_rows", "n_words", near.alias("near"))
+
+
+# --- news pages and compressed files ----------------------------------------------------------
+
+
+@query(
+    r"""SELECT doc_id, list_concat([source], ['D' || doc_id], list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')),
+lambda x: x <> '' AND NOT regexp_matches(x, '^(No media source currently available|Already have an account\?|Log in|Sign up|Not a registered user\?|The (code|URL) has been copied to your clipboard|Embed|0:|share|Telegram Banner|Avec (Reuters|AFP)|-? ?Clique (aqui )?para ouvir|Clique na barra sobre este texto)')), ['newer ' || lang]) AS paragraphs FROM documents"""
+)
+def news_paragraphs(spark, sf_dir):
+    """Paragraphs of news pages: introduction, dateline, the body's own text cut at line breaks, newer bodies; comments and nested text go."""
+    body = F.col("text")
+    for plain, coded in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\n", "<br><b>nested</b>")):
+        body = F.replace(body, F.lit(plain), F.lit(coded))
+    parts = ["<html><p>outside</p><div class='intro small'><p>", F.col("source"), "</p></div><div id='article-content'><div class='comments'><p>said</p></div><span class=dateline> D"]
+    parts += [F.col("doc_id").cast("string"), " </span><p>", body, "</p></div><div class='article__content'><p>newer <i>not</i>", F.col("lang"), "</p><p>Log in</p></div></html>"]
+    page = F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    found = html.with_paragraphs(table(spark, sf_dir, "documents").select("doc_id", page.alias("html")), profile="news_site")
+    return found.select("doc_id", "paragraphs")
+
+
+@query("SELECT lang || '_lo' AS name, md5(string_agg(replace(text, chr(10), ' ') || chr(10), '' ORDER BY doc_id)) AS digest FROM documents GROUP BY 1")
+def gunzipped_files(spark, sf_dir):
+    """Compressed files, uncompressed under their names without the extension's letters."""
+    path = shared_dir(spark)
+    lines = table(spark, sf_dir, "documents").select("lang", "doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("value"))
+    for r in lines.select("lang").distinct().collect():  # the languages: one file each
+        own = lines.filter(F.col("lang") == r.lang).repartitionByRange(1, "doc_id").sortWithinPartitions("doc_id")
+        own.select("value").write.option("compression", "gzip").text(f"{path}/in/{r.lang}")
+    written = spark.read.text(f"{path}/in", recursiveFileLookup=True).select(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2).alias("lang"), "value")
+    writers.gunzipped(written, f"{path}/out", F.concat("lang", F.lit("_log.gz")))
+    return named.read_named(spark, f"{path}/out").select("name", F.md5("text").alias("digest"))
+
+
+# --- words of texts without blanks ------------------------------------------------------------
+
+
+@query(
+    r"""WITH r AS (SELECT unnest(regexp_extract_all(text, '[\p{L}\p{M}]+')) AS run FROM documents),
+k AS (SELECT run, unnest(range(1, least(length(run), 4) + 1)) AS k FROM r),
+g AS (SELECT substr(run, i, k) AS gram, count(*) AS n FROM (SELECT *, unnest(range(1, length(run) - k + 2)) AS i FROM k) GROUP BY 1 HAVING count(*) > 1),
+a AS (SELECT left(gram, length(gram) - 1) AS gram, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS h FROM g WHERE length(gram) > 1 GROUP BY 1),
+b AS (SELECT substr(gram, 2) AS gram, ln(sum(n)) - sum(n * ln(n)) / sum(n) AS h FROM g WHERE length(gram) > 1 GROUP BY 1)
+SELECT g.gram, n, round(coalesce(b.h, 0), 6) + 0.0 AS "left", round(coalesce(a.h, 0), 6) + 0.0 AS "right" FROM g LEFT JOIN a USING (gram) LEFT JOIN b USING (gram) WHERE n >= 5 AND length(gram) <= 3"""
+)
+def branching_entropies(spark, sf_dir):
+    """Substrings of up to three letters with the entropies of what precedes and follows them."""
+    found = lexicon.branching(table(spark, sf_dir, "documents"), longest=3)
+    return found.select("gram", "n", *[(F.round(c, 6) + 0.0).alias(c) for c in ("left", "right")])
+
+
+@query()
+def words_without_blanks(spark, sf_dir):
+    """The documents' lines without blanks, cut into words by a lexicon that is learned from just these, against the words that stood there."""
+    docs = table(spark, sf_dir, "documents")
+    lines = docs.select("doc_id", F.explode(F.split(F.lower("text"), "[.\n]+")).alias("line")).select("doc_id", F.regexp_extract_all("line", F.lit(r"[\p{L}\p{M}]+"), F.lit(0)).alias("right"))
+    lines = stored(lines.filter(F.size("right") > 0).withColumn("text", F.array_join("right", "")))
+    found = lines.withColumn("found", lexicon.words(F.col("text"), lexicon.learn(lines), lines))
+
+    def ends(words: str) -> Column:
+        return F.slice(F.aggregate(words, F.array(F.lit(0)), lambda out, w: F.concat(out, F.array(F.element_at(out, -1) + F.length(w)))), 2, F.size(words) - 1)
+
+    both = F.size(F.array_intersect(ends("found"), ends("right")))
+    sums = found.groupBy("doc_id").agg(F.sum(both).alias("n_both"), F.sum(F.size("found") - 1).alias("n_found"), F.sum(F.size("right") - 1).alias("n_right"))
+    return sums.select("doc_id", "n_both", "n_found", "n_right")

@@ -166,3 +166,14 @@ def url_tables(urls: DataFrame, path: str, *, language: str = "iso", site: str =
 def release(docs: DataFrame, path: str, *, names: DataFrame | None = None, section: str = "iso_domain") -> None:
     """What a release has, by site and compressed."""
     archives(filters.released(docs, names=names), path, section)
+
+
+def gunzipped(lines: DataFrame, path: str, name: Column, value: str = "value") -> None:
+    """Lines of compressed files, as Spark reads them, in files without the extension; a name that does not end in .gz is an error.
+
+    A compressed file is read by one task in order, so its lines follow each other.  Of a name all
+    trailing letters and dots of the extension go, not only the extension.
+    """
+    bad = F.raise_error(F.concat(F.lit("not a compressed file: "), name)).cast("string")
+    plain = F.when(name.endswith(".gz"), F.regexp_replace(name, "[.gz]+$", "")).otherwise(bad)
+    write_named(lines, path, plain, F.concat(F.col(value), F.lit("\n")))
