@@ -2,7 +2,7 @@
 
 import pytest
 
-from glossa.llm import decontaminate, licenses, linededup, maintext, pieces, pii, quality, secrets, simhash, warc
+from glossa.llm import decontaminate, fim, licenses, linededup, maintext, mixing, phrases, pieces, pii, quality, secrets, simhash, warc
 
 NAMES = "rid place words hashes ids first copies mark dup doc version no line later holes stays row print keys key head n x y a b u v w spans own term entity digest original bit label word token pos id".split()
 CLEAN = "a b c d e f g\nshort"
@@ -48,6 +48,10 @@ def test_the_others_give_a_row_for_each(docs, labels, benchmark_items):
     assert decontaminate.find_contamination(docs, benchmark_items).count() == n
     assert quality.judge(docs, quality.fit(docs, labels)).count() == n
     assert pieces.encode(docs, pieces.Pieces.load()).count() == n
+    for out in (fim.fill_in_middle(docs), mixing.mix(docs, source="key")):
+        assert out.count() == n and out.columns[:-1] == docs.columns
+    found = {tuple(r) for r in phrases.mine(docs, lang="id", least=2).select("lang", "phrase", "a").collect()}
+    assert found == ({("z", "a b c d", 2), ("z", "b c d e", 2), ("z", "c d e f", 2), ("z", "d e f g", 2)} if n else set())
     pages = docs.withColumnsRenamed({"doc_id": "page_id", "text": "html"}).withColumn("url", docs["key"])
     assert maintext.extract(pages, maintext.fit(pages)).count() == n
     assert warc.round_trip(pages).count() == n
