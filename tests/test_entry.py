@@ -46,4 +46,4 @@ def test_entry(spark):
 def test_names_match():
     assert set(SQL) <= set(entry.queries())
     if entry.HAS_LLM:
-        assert [n for n in range(1, 11) if not any(q.startswith(f"op{n}_") for q in entry.queries())] == [] and "pipeline" in entry.queries()
+        assert [n for n in range(1, 14) if not any(q.startswith(f"op{n}_") for q in entry.queries())] == [] and "pipeline" in entry.queries()
