@@ -965,8 +965,9 @@ def words_without_blanks(spark, sf_dir):
     """The documents' lines without blanks, cut into words by a lexicon that is learned from just these, against the words that stood there."""
     docs = table(spark, sf_dir, "documents")
     lines = docs.select("doc_id", F.explode(F.split(F.lower("text"), "[.\n]+")).alias("line")).select("doc_id", F.regexp_extract_all("line", F.lit(r"[\p{L}\p{M}]+"), F.lit(0)).alias("right"))
-    lines = stored(lines.filter(F.size("right") > 0).withColumn("text", F.array_join("right", "")))
-    found = lines.withColumn("found", lexicon.words(F.col("text"), lexicon.learn(lines), lines))
+    lines = lines.filter(F.size("right") > 0).withColumn("text", F.array_join("right", ""))
+    lines = stored(lines.repartition(spark.sparkContext.defaultParallelism, "doc_id", "text"))  # a small table may be one file
+    found = lines.withColumn("found", lexicon.words(F.col("text"), lexicon.learn(lines, longest=6, rounds=2), lines))
 
     def ends(words: str) -> Column:
         return F.slice(F.aggregate(words, F.array(F.lit(0)), lambda out, w: F.concat(out, F.array(F.element_at(out, -1) + F.length(w)))), 2, F.size(words) - 1)
