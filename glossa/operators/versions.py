@@ -19,9 +19,11 @@ def _earlier_than(rows: DataFrame, iso: str, key: str, seq: str) -> Column:
     """The smallest later sequence number of a superseding row with the same language and key.
 
     Rows without a key are no group: each gets a partition of its own, so they don't meet in one task.
+    The window runs from the last row to the first: Spark carries a sum over what came before on from
+    row to row, but takes one over what follows anew for each row, so a key's square of rows.
     """
     own = F.when(F.coalesce(F.length(key), F.lit(0)) == 0, F.col(seq))
-    window = W.partitionBy(iso, key, own).orderBy(seq).rowsBetween(1, W.unboundedFollowing)
+    window = W.partitionBy(iso, key, own).orderBy(F.col(seq).desc()).rowsBetween(W.unboundedPreceding, -1)
     return F.min(F.when(F.col("_supersedes"), F.col(seq))).over(window)
 
 
