@@ -1,5 +1,8 @@
 """What has to stay in proportion to the input, and be right, when tables grow."""
 
+from pyspark.sql import functions as F
+
+from glossa.functions import text
 from glossa.operators import versions
 
 PAGE = "ingest_seq bigint, iso string, url string, canonical_link string, success boolean"
@@ -12,3 +15,9 @@ def test_versions_carry_on_from_row_to_row(spark):
     assert "unboundedfollowing" not in found._jdf.queryExecution().toString().lower()
     marks = [k for k in range(40) if k % 4 == 0]
     assert {r.ingest_seq: r.superseded_seq for r in found.collect()} == {k: min((m for m in marks if m > k), default=None) for k in range(40)}
+
+
+def test_titles_with_cut_references(spark):
+    """``terminated`` leaves what has no semicolon, as the query's SQL does."""
+    page = F.lit("<title>a &amp;amp &lt;&#x27;&amp;&amp &ampx; &nosuch;</title>")
+    assert spark.range(1).select(text.title_of(page, terminated=True)).first()[0] == "a &amp <'&&amp &ampx; &nosuch;"
