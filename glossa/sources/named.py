@@ -19,6 +19,7 @@ were there before are replaced (a job that fails removes those that it had repla
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import uuid
@@ -39,6 +40,8 @@ FORMAT = "glossa_named"
 PENDING = "_named"
 #: Names in one list; files that a failed job removes at a time.
 LISTED, THREADS = 1000, 16
+#: Bytes that a reading task holds at a time, besides one file.
+READ_AT_ONCE = 4 << 20
 
 
 @dataclass
@@ -181,10 +184,89 @@ def write_named(rows: DataFrame, path: str, name: Column, body: Column, *, mode:
     named.select("name", "text").write.format(FORMAT).mode(mode).save(path)
 
 
+def write_parts(rows: DataFrame, path: str, name: Column, body: Column, by: list[Column], suffix: str = "") -> None:
+    """Texts of one name in the order of ``by``, in files ``name.0007suffix`` of a task's share each, so that no task has to write all of a name; the numbers follow the order."""
+    named = rows.select(name.cast("string").alias("name"), body.cast("string").alias("text"), *[x.alias(f"by{k}") for k, x in enumerate(by)])
+    keys = ["name", *[f"by{k}" for k in range(len(by))]]
+    ranges = named.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    write_named(ranges, path, F.concat("name", F.lit("."), F.lpad(F.spark_partition_id().cast("string"), 5, "0"), F.lit(suffix)), F.col("text"))
+
+
+def _listed(path: str) -> Iterator[tuple[str, int]]:
+    """(name, size) of the files below a folder but those that Spark's readers pass over."""
+    files, root = _opened(path)
+    open_folders = [root]
+    while open_folders:
+        for info in files.get_file_info(fs.FileSelector(open_folders.pop())):
+            if info.base_name[0] in "_.":
+                continue
+            if info.type == fs.FileType.Directory:
+                open_folders.append(info.path)
+            elif info.size:
+                yield info.path[len(root) + 1 :], info.size
+
+
+def named_files(spark: SparkSession, path: str) -> DataFrame:
+    """(folder, name, size) of the files below a folder that are not empty, each top folder listed by a task; the driver sees the top level only."""
+    files, root = _opened(path)
+    tops = [info for info in files.get_file_info(fs.FileSelector(root)) if info.base_name[0] not in "_."]
+    plain = [(path, info.base_name, info.size) for info in tops if info.type == fs.FileType.File and info.size]
+    folders = [info.base_name for info in tops if info.type == fs.FileType.Directory]
+    schema = "folder string, name string, size bigint"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for top in batch.column(0).to_pylist():
+                found = list(_listed(f"{path.rstrip('/')}/{top}"))
+                for at in range(0, len(found), 10_000):
+                    some = found[at : at + 10_000]
+                    yield pa.RecordBatch.from_arrays([pa.repeat(path, len(some)), pa.array([f"{top}/{n}" for n, _ in some], pa.string()), pa.array([size for _, size in some], pa.int64())], ["folder", "name", "size"])
+
+    listed = spark.createDataFrame([(f,) for f in folders], "top string").repartition(max(len(folders), 1), "top").mapInArrow(run, schema)
+    return listed.union(spark.createDataFrame(plain, schema))
+
+
+def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        names, texts, held = [], [], 0
+        for folder, name in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            files, root = _opened(folder)
+            with files.open_input_stream(f"{root}/{name}") as stream:
+                texts.append(stream.read().decode("utf-8", "replace"))
+            names.append(name)
+            held += len(texts[-1])
+            if held > READ_AT_ONCE:
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], ["name", "text"])
+                names, texts, held = [], [], 0
+        yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], ["name", "text"])
+
+
 def read_named(spark: SparkSession, path: str) -> DataFrame:
-    """(name, text) of the files below a folder."""
-    root = "/" + re.sub(r"^[a-z0-9]+:/+", "", path).strip("/")
-    rows = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
-    where = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return rows.select(F.substring(where, F.locate(root, where) + len(root) + 1, F.length(where)).alias("name"), F.col("value").alias("text"))
+    """(name, text) of the files below a folder, but empty and hidden ones.
 
+    Small files in great number cost Spark's own reader some milliseconds and a share of a task
+    each, and the driver a list of them all; here tasks list them and open them one after another.
+    """
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return named_files(spark, path).repartition(n, "name").select("folder", "name").mapInArrow(_texts, "name string, text string")
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        found = []
+        for folder, parts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            files, root = _opened(folder)
+            digest = hashlib.md5()
+            for part in parts:
+                with files.open_input_stream(f"{root}/{part}") as stream:
+                    while chunk := stream.read(READ_AT_ONCE):
+                        digest.update(chunk)
+            found.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], ["name", "digest"])
+
+
+def named_digests(spark: SparkSession, path: str, name: Column) -> DataFrame:
+    """(name, digest): the MD5 of the files that one ``name`` (by their own ``name``) stands for, in the order of their own; files of any size stream through."""
+    parts = named_files(spark, path).groupBy(name.alias("of"), "folder").agg(F.array_sort(F.collect_list("name")).alias("parts"))
+    rows = parts.select(F.col("of").alias("name"), "folder", "parts")
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "name").mapInArrow(_digests, "name string, digest string")

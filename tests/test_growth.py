@@ -1,9 +1,15 @@
 """What has to stay in proportion to the input, and be right, when tables grow."""
 
+import hashlib
+import inspect
+import re
+
 from pyspark.sql import functions as F
 
 from glossa.functions import text
 from glossa.operators import versions
+from glossa.plans import details
+from glossa.sources import named, readers
 
 PAGE = "ingest_seq bigint, iso string, url string, canonical_link string, success boolean"
 
@@ -21,3 +27,33 @@ def test_titles_with_cut_references(spark):
     """``terminated`` leaves what has no semicolon, as the query's SQL does."""
     page = F.lit("<title>a &amp;amp &lt;&#x27;&amp;&amp &ampx; &nosuch;</title>")
     assert spark.range(1).select(text.title_of(page, terminated=True)).first()[0] == "a &amp <'&&amp &ampx; &nosuch;"
+
+
+def test_files_of_a_name_stream(spark, tmp_path):
+    """A name's texts in files of many tasks give the digest of the whole, in order; empty and hidden files give no row."""
+    rows = spark.range(2000).select(F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("name"), (-F.col("id")).alias("at"), F.concat(F.lit("line "), F.col("id").cast("string"), F.lit("\n")).alias("line"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so small a table would be one task's
+    try:
+        named.write_parts(rows.repartition(5), str(tmp_path / "out"), F.col("name"), F.col("line"), [F.col("at")], ".txt")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = named.named_files(spark, str(tmp_path / "out"))
+    got = {r.name: r.digest for r in named.named_digests(spark, str(tmp_path / "out"), F.substring("name", 1, 1)).collect()}
+    want = {n: hashlib.md5("".join(f"line {k}\n" for k in range(1999, -1, -1) if (k % 3 == 0) == (n == "a")).encode()).hexdigest() for n in "ab"}
+    assert got == want and files.count() > 2
+    (tmp_path / "out/d/_x").mkdir(parents=True)
+    for name, body in (("d/e", ""), ("d/f", "é\r\n"), ("d/_x/g", "no"), (".h", "no")):
+        (tmp_path / "out" / name).write_bytes(body.encode())
+    assert {r.name: r.text for r in named.read_named(spark, str(tmp_path / "out")).filter("name LIKE 'd%' OR name LIKE '.%'").collect()} == {"d/f": "é\r\n"}
+
+
+def test_lines_of_one_file_in_parts(spark, tmp_path):
+    spark.range(0, 3000, 1, 6).select(F.col("id").cast("string").alias("value")).write.text(str(tmp_path / "in"))
+    assert all(int(r.value) == r.line_no for r in readers.numbered_lines(spark, str(tmp_path / "in"), parts=True).collect())
+
+
+def test_no_task_writes_a_fixed_share():
+    """Queries that write files leave the number of tasks to the size of their tables."""
+    for query in (details.exported_text, details.named_release, details.named_dump, details.named_plaintext, details.split_lines, details.gunzipped_files):
+        assert not re.search(r"repartition(ByRange)?\([0-9]", inspect.getsource(query))
+    assert "coalesce(1)" not in inspect.getsource(details.keyed_versions)  # would read its input in one task as well
