@@ -79,12 +79,12 @@ def archive_listing(spark: SparkSession, path: str) -> DataFrame:
 
 def article_lines(spark: SparkSession, path: str) -> DataFrame:
     """One article a line; the language is the first three letters of the file's name, the length counts the line's end."""
-    rows = spark.read.text(path).withColumn("file_name", F.col("_metadata.file_name"))
+    rows = spark.read.option("lineSep", "\n").text(path).withColumn("file_name", F.col("_metadata.file_name"))
     return rows.select("file_name", F.substring("file_name", 1, 3).alias("language"), F.col("value").alias("article"), (F.length("value") + 1).alias("n_chars"))
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(file_name, line_no, value): the lines of each file, numbered from 0.
+def numbered_lines(spark: SparkSession, path: str, *, parts: bool = False) -> DataFrame:
+    """(file_name, line_no, value): the lines of each file, numbered from 0; with ``parts`` the files, by name, are one file's parts.
 
     A file is read in splits by as many tasks as it needs.  Within a split lines come in order, so a
     first scan counts the lines of each split, the counts before each split are summed (a row for
@@ -94,7 +94,8 @@ def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     meta = F.col("_metadata")
     rows = lines.select(meta["file_path"].alias("file"), meta["file_name"].alias("file_name"), meta["file_block_start"].alias("start"), F.monotonically_increasing_id().alias("at"), "value")
     splits = rows.groupBy("file", "start").agg(F.min("at").alias("least"), F.count(F.lit(1)).alias("n"))
-    earlier = W.partitionBy("file").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
+    window = W.orderBy("file", "start") if parts else W.partitionBy("file").orderBy("start")
+    earlier = window.rowsBetween(W.unboundedPreceding, -1)
     splits = splits.select(F.col("file").alias("f"), F.col("start").alias("s"), "least", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     numbered = rows.join(splits, (F.col("file") == F.col("f")) & (F.col("start") == F.col("s")))
     return numbered.select("file_name", (F.col("at") - F.col("least") + F.col("before")).alias("line_no"), "value")
