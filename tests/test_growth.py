@@ -3,11 +3,12 @@
 import hashlib
 import inspect
 import re
+from collections import Counter
 
 from pyspark.sql import functions as F
 
 from glossa.functions import text
-from glossa.operators import versions
+from glossa.operators import lexicon, versions
 from glossa.plans import details
 from glossa.sources import named, readers
 
@@ -57,3 +58,15 @@ def test_no_task_writes_a_fixed_share():
     for query in (details.exported_text, details.named_release, details.named_dump, details.named_plaintext, details.split_lines, details.gunzipped_files):
         assert not re.search(r"repartition(ByRange)?\([0-9]", inspect.getsource(query))
     assert "coalesce(1)" not in inspect.getsource(details.keyed_versions)  # would read its input in one task as well
+
+
+def test_substrings_of_long_runs(spark):
+    """Counted in arrays: a run of many letters, letters beyond 16 bits, marks; no row for each occurrence reaches the shuffle."""
+    runs = ["ab" * 3000, "é𐐀a𐐀a", "x", "".join(map(chr, range(0x4E00, 0x4E00 + 70_000 // 4)))]  # the last: too many letters to be packed
+    frame = spark.createDataFrame([(" ".join(runs),), (None,), ("1 2",)], "text string")
+    found = lexicon.substrings(frame, "text", 4)
+    want = Counter(run[i : i + k] for run in runs for k in range(1, 5) for i in range(len(run) - k + 1))
+    assert {r.gram: r.n for r in found.collect()} == want
+    packed = lexicon._counted(runs[:3], 4)
+    assert {g: want[g] for g in packed.column("gram").to_pylist()} == dict(zip(packed.column("gram").to_pylist(), packed.column("n").to_pylist(), strict=True))
+    assert "sequence(" not in found._jdf.queryExecution().toString()
