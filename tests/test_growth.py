@@ -70,3 +70,9 @@ def test_substrings_of_long_runs(spark):
     packed = lexicon._counted(runs[:3], 4)
     assert {g: want[g] for g in packed.column("gram").to_pylist()} == dict(zip(packed.column("gram").to_pylist(), packed.column("n").to_pylist(), strict=True))
     assert "sequence(" not in found._jdf.queryExecution().toString()
+
+
+def test_shared_ends(spark):
+    rows = [(["ab", "c", "d"], ["a", "bc", "d"]), (["x"], ["x"]), (["a"] * 20_000, ["a"] * 20_000), (None, ["a"])]
+    frame = spark.createDataFrame(rows, "found array<string>, right array<string>")
+    assert [r[0] for r in frame.select(lexicon.shared_ends(F.col("found"), F.col("right"))).collect()] == [1, 0, 19_999, None]
