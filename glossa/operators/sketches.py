@@ -1,13 +1,13 @@
 """Distinct counts that merge over runs: stored sketches by batch instead of recounts.
 
-Each batch's distinct values by group are one HyperLogLog sketch a group, some kilobytes whatever
+Each batch's distinct values by group are one HyperLogLog sketch a group, 64 kilobytes at most whatever
 the batch; new batches are sketched alone and stored beside the others, and a report unions the
 stored sketches.  A batch that is taken in again replaces its sketches, and unions count a value once
 however many batches have it, so reports depend on the set of batches only.
 
-Defined cases: null values count for nothing (a group of nulls has 0); null groups are one group; a
-batch without rows has no sketch; estimates are within some percent: the relative standard error is
-about 1.04 / sqrt(2^BITS) = 1.6 % at 12 bits.
+Defined cases: null values count for nothing (a group of nulls has 0), the empty string is a value
+like any other; null groups are one group; a batch without rows has no sketch; estimates are within
+some percent: the relative standard error is about 1.04 / sqrt(2^BITS) = 0.4 % at 16 bits.
 """
 
 from __future__ import annotations
@@ -15,12 +15,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BITS = 12
+BITS = 16
 
 
 def sketched(rows: DataFrame, value: Column, *groups: str, bits: int = BITS) -> DataFrame:
-    """(groups, n_rows, sketch): one row for each group, summed partially before the shuffle."""
-    return rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_rows"), F.hll_sketch_agg(value, F.lit(bits)).alias("sketch"))
+    """(groups, n_rows, sketch): one row for each group, summed partially before the shuffle.
+
+    Values are taken in by their 64-bit hashes: a sketch leaves out empty strings.
+    """
+    hashed = F.when(value.isNotNull(), F.xxhash64(value))
+    return rows.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_rows"), F.hll_sketch_agg(hashed, F.lit(bits)).alias("sketch"))
 
 
 def taken_in(rows: DataFrame, path: str, batch: str, value: Column, *groups: str, bits: int = BITS) -> None:
