@@ -173,3 +173,12 @@ def test_near_copies_that_share_long_lists(spark):
     for hot in (4, 12, 30):
         got = dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), hot=hot).collect()
         assert sorted(((r.doc_id, r.text) for r in got), key=str) == brute(rows)
+
+
+def test_lines_of_one_token_in_a_hot_list(spark):
+    """They match each other by their only token, though the list's two earliest lines have more."""
+    lines = [(1, [7, 21, 22, 23]), (2, [7, 31, 32, 33]), (3, [7]), (4, [7])]
+    rows = spark.createDataFrame([(7, bytes([k]), len(ids), 1, k) for k, ids in lines], "token bigint, rid binary, n int, pos int, first bigint")
+    sets = spark.createDataFrame([(bytes([k]), k, ids) for k, ids in lines], "rid binary, first bigint, ids array<bigint>")
+    with linededup.Scratch(spark) as own:
+        assert [bytes(r.later) for r in linededup._hot_matches(rows, sets, 0.8, own).collect()] == [b"\x04"]
