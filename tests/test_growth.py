@@ -3,11 +3,13 @@
 import hashlib
 import inspect
 import re
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from glossa.functions import text
+from glossa.functions import json5, text
 from glossa.operators import lexicon, versions
 from glossa.plans import details
 from glossa.sources import named, readers
@@ -76,3 +78,15 @@ def test_shared_ends(spark):
     rows = [(["ab", "c", "d"], ["a", "bc", "d"]), (["x"], ["x"]), (["a"] * 20_000, ["a"] * 20_000), (None, ["a"])]
     frame = spark.createDataFrame(rows, "found array<string>, right array<string>")
     assert [r[0] for r in frame.select(lexicon.shared_ends(F.col("found"), F.col("right"))).collect()] == [1, 0, 19_999, None]
+
+
+def test_few_texts_of_a_batch_are_python_strings(spark):
+    """A batch of long texts was held twice as Python strings, before and after."""
+    texts = pa.array([f"{{a: '{k}{'x' * 20_000}',}}" for k in range(2_000)] + [None])
+    run = json5._each(True).func
+    tracemalloc.start()
+    found = run(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20_000_000 and len(found) == 2_001 and found[1_999].as_py() == f'{{"a":"1999{"x" * 20_000}"}}' and found[2_000].as_py() is None
+    assert len(run(texts[:0])) == 0
