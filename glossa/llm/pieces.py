@@ -23,6 +23,8 @@ extra columns are ignored.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import hashlib
 import heapq
 import math
@@ -119,6 +121,7 @@ class Pieces:
         self.unit_pattern = re.compile(self._unit_pattern())
         self.known: dict[int, Known] = {}  # by n; a full table becomes the older one
         self.older: dict[int, Known] = {}
+        self.remembered = REMEMBERED
         self.resting: threading.Timer | None = None
 
     def _unit_pattern(self) -> str:
@@ -135,21 +138,31 @@ class Pieces:
         rest = rf"(?:(?:{'|'.join(f'(?<=[{a}]){re.escape(b)}' for b, a in joined.items())})[^{SPACE}\n]*)?" if joined else ""
         return rf"{SPACE}*[^\W{odd}]+{rest}|{SPACE}*(?![{SPACE}\n])[\W{odd}][^{SPACE}\n]*|{SPACE}+|\n"
 
-    def wake(self) -> None:
-        """A task begins: what is remembered stays."""
+    def wake(self, remembered: int = REMEMBERED) -> None:
+        """A task begins: what is remembered stays, in tables of so many units from now on."""
+        self.remembered = remembered
+        self._stay()
+
+    def _stay(self) -> None:
         if self.resting is not None:
             self.resting.cancel()
             self.resting = None
 
     def rest(self, seconds: float | None = None) -> None:
         """A task has ended: if none begins soon, the tables of units are freed."""
-        self.wake()
+        self._stay()
         self.resting = threading.Timer(REST if seconds is None else seconds, self._forget)
         self.resting.daemon = True
         self.resting.start()
 
     def _forget(self) -> None:
+        """Frees the tables, and gives what the allocators keep of them back to the system."""
         self.known, self.older = {}, {}
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+        if trim is not None:
+            trim(0)
 
     def __reduce__(self) -> tuple:
         return _restored, (self.digest, self.source)
@@ -268,7 +281,7 @@ class Pieces:
         are remembered with the units; where a unit is cut otherwise, those ids are decoded.
         """
         known = self.known.setdefault(n, Known())
-        if len(known.ids) >= REMEMBERED:
+        if len(known.ids) >= self.remembered:
             self.older[n] = known
             known = self.known[n] = Known()
         units, met = self.units(text), {}
@@ -337,17 +350,18 @@ def _lists(rows: list[list | None], kind: pa.DataType) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array([r is None for r in rows], pa.bool_()))
 
 
-def encode(docs: DataFrame, pieces: Pieces, *, doc_id: str = "doc_id", text: str = "text", n_best: int = N_BEST, with_ids: bool = True) -> DataFrame:
+def encode(docs: DataFrame, pieces: Pieces, *, doc_id: str = "doc_id", text: str = "text", n_best: int = N_BEST, with_ids: bool = True, remembered: int = REMEMBERED) -> DataFrame:
     """Per document: id, ids and others (if asked for), n_pieces, n_unknown, scores (of the n best), ids_sha256, others_sha256, round_trip (null for null).
 
     ``others`` has the ids of the second to the n-th segmentation, as far as there are so many;
-    ``round_trip`` says whether each of the n decodes to the text.
+    ``round_trip`` says whether each of the n decodes to the text.  ``remembered`` bounds a worker's
+    two tables of units, and with them its memory; it changes no result.
     """
     kind = docs.schema[doc_id].dataType.simpleString()
     names = ["id", *["ids", "others"] * with_ids, "n_pieces", "n_unknown", "scores", "ids_sha256", "others_sha256", "round_trip"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces.wake()
+        pieces.wake(remembered)
         for batch in slices(batches, 128):
             texts = batch.column(1).to_pylist()
             found = [pieces.best_decoded(t, n_best) if t is not None else None for t in texts]

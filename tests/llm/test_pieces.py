@@ -189,3 +189,21 @@ def test_an_idle_worker_forgets_its_units():
     time.sleep(0.5)
     assert not model.known and not model.older
     assert model.best("a aa", 2)[0][0][1].tolist() == before
+
+
+def test_tables_of_units_are_bounded_by_the_caller(spark, sf_dir):
+    """The pipeline's encoding keeps small tables, whatever the number of units; the rows are the same."""
+    import corpus_pipeline
+
+    model = pc.Pieces.load()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(60).coalesce(1)
+    one, two = (sorted(map(str, pc.encode(docs, model, remembered=n).collect())) for n in (pc.REMEMBERED, 40))
+    assert one == two
+    model.wake(40)
+    sizes = []
+    for r in docs.collect():
+        before = len(model.known.get(2, pc.Known()).ids)
+        model.best_decoded(r.text or "", 2)
+        sizes.append(before)
+    assert max(sizes) < 40 + max(len(set(model.units(r.text or ""))) for r in docs.collect())
+    assert corpus_pipeline.UNITS < pc.REMEMBERED
