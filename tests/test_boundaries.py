@@ -84,3 +84,16 @@ def test_tables_beyond_the_bound_are_shuffled(docs, learned, monkeypatch):
     monkeypatch.setattr(bd, "BROADCAST_ROWS", 0)
     assert sorted((r.id, r["at"]) for r in bd.boundaries(docs, learned, key="id").collect()) == want
     assert docs.filter(F.col("id") < 0).count() == 0
+
+
+def test_classes_are_those_of_the_columns(spark):
+    """The class that a task gives a token is that of the patterns on its columns; texts are not exploded into rows of tokens."""
+    rng = random.Random(3)
+    odd = ["", ".", "..", "…", "?!", "a.", "abc.", "abcd.", '"abcd."', "12.", "1,2.", "x12.", "12. ", "abcd. ", "abcd!\x85", "ſ.", "İst.", "İsta.", "٣.", "³.", "##.", "(3.)", "«e.g.»", "a\xa0b.", "--1.", "1.a.", "\x00.", "\U0001f600."]
+    odd += ["".join(rng.choice("aÉ1.,!?…\"')»“ \x85:-/٣İ") for _ in range(rng.randint(1, 6))) for _ in range(3000)]
+    frame = bd._described(spark.createDataFrame([(w,) for w in odd], "w string"), "w", "")
+    sure = (F.col("mark") == "end") | ((F.col("mark") == "stop") & (F.length("type") > 3) & (F.col("type") != bd.NUMBER))
+    want = frame.select("w", F.when(sure, bd.SURE).when(F.col("mark") == "stop", bd.DOUBTFUL).otherwise(bd.NONE).alias("class"))
+    assert [(r.w, r["class"]) for r in want.collect() if bd._class(r.w) != r["class"]] == []
+    docs = spark.createDataFrame([(1, "Dr. A b. C", "en")], "id int, text string, lang string")
+    assert "Generate" not in bd.boundaries(docs, bd.learn(docs), key="id")._jdf.queryExecution().executedPlan().toString()
