@@ -139,6 +139,16 @@ class Detector:
                 out[order[row]].append((self.languages[lang], p, p >= RELIABLE, float(n[row] / sizes[row].sum())))
         return [sorted(x, key=lambda e: -e[3])[:TOP] for x in out]
 
+    def batch_spans(self, texts: list[str | None]) -> list[list[tuple[str, float, bool, float]]]:
+        """``spans`` of any number of texts; those of like length share a group, as a group takes the steps of its longest."""
+        order = sorted(range(len(texts)), key=lambda k: len(texts[k] or ""))
+        out: list[list[tuple[str, float, bool, float]]] = [[] for _ in texts]
+        places = iter(order)
+        for group in _groups([texts[k] for k in order], len(self.languages)):
+            for found, k in zip(self.spans(group), places, strict=False):
+                out[k] = found
+        return out
+
     @staticmethod
     def _paths(scores: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """The best language of each word; texts are sorted by length, the longest first, and -1 stands behind their ends."""
@@ -185,7 +195,7 @@ def detect(text: Column, detector: Detector, docs: DataFrame) -> Column:
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             texts = batch.to_pylist()
-            rows = [r for group in _groups(texts, len(sent.value.languages)) for r in sent.value.spans(group)]
+            rows = sent.value.batch_spans(texts)
             offsets = pa.array(np.concatenate([[0], np.cumsum([len(r) for r in rows])]), pa.int32())
             flat = [e for r in rows for e in r]
             keys, probabilities, reliable, proportions = ([e[k] for e in flat] for k in range(4))

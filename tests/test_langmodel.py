@@ -81,3 +81,15 @@ def test_texts_without_letters_and_empty_models(spark, detector):
     none = lm.Detector.of(lm.fit(spark.createDataFrame([], "text string, lang string")))
     assert [r.p for r in frame.select(lm.detect(F.col("text"), none, frame).alias("p")).collect()] == [{}] * 4
     assert lm.scored(frame, none, key="k").count() == 0
+
+
+def test_long_texts_do_not_lengthen_the_groups_of_short_ones(detector, monkeypatch):
+    """The steps of all groups together stay near those of the long texts, and every text keeps its own result."""
+    rng = random.Random(1)
+    texts = [None, "", *(" ".join(rng.choice(["the house", "la maison", "das Haus", "la casa"]) for _ in range(4000 if k % 20 == 0 else rng.randint(1, 40))) for k in range(300))]
+    steps = []
+    paths = lm.Detector._paths
+    monkeypatch.setattr(lm.Detector, "_paths", staticmethod(lambda scores, lengths: steps.append(scores.shape[1]) or paths(scores, lengths)))
+    assert detector.batch_spans(texts) == [detector.spans([t])[0] for t in texts]
+    alone = sum(steps[-300:])
+    assert sum(steps[:-300]) < alone / 4
