@@ -183,9 +183,16 @@ def _abbreviation_score(kind: Column, stops: Column, plain: Column, all_stops: C
     return F.when((stops > 0) & (a > 0) & kind.rlike(r"\p{L}"), score)
 
 
-def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Statistics:
-    """What the corpus tells about its word types."""
-    met = stored(_as_strings(_texts(docs, lang, text).mapInArrow(_counted, "lang string, token binary, next binary, n bigint, sure bigint, doubtful bigint")))
+def _met(docs: DataFrame, lang: str, text: str) -> DataFrame:
+    return stored(_as_strings(_texts(docs, lang, text).mapInArrow(_counted, "lang string, token binary, next binary, n bigint, sure bigint, doubtful bigint")))
+
+
+def learn_words(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> DataFrame:
+    """The ``words`` of ``learn`` alone."""
+    return _words(_met(docs, lang, text))
+
+
+def _words(met: DataFrame) -> DataFrame:
     rows = _described(met.filter("next IS NULL"), "token", "")
     total = lambda n, of: F.sum(F.when(of, n).otherwise(0))
     counted = rows.groupBy("lang", "type").agg(
@@ -206,7 +213,13 @@ def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Statist
             "starter": F.when(more & F.col("type").rlike(r"^\p{L}"), ratio(F.col("starts"), a, F.col("all_starts"), F.col("n"))),
         }
     )
-    words = stored(words)
+    return words
+
+
+def learn(docs: DataFrame, *, text: str = "text", lang: str = "lang") -> Statistics:
+    """What the corpus tells about its word types."""
+    met = _met(docs, lang, text)
+    words = stored(_words(met))
 
     # pairs around a full stop whose first word is short enough to be an abbreviation, or a number
     joined = _described(_described(met.filter("next IS NOT NULL"), "token", ""), "next", "n_").filter("n_type != ''")

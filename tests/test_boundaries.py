@@ -97,3 +97,8 @@ def test_classes_are_those_of_the_columns(spark):
     assert [(r.w, r["class"]) for r in want.collect() if bd._class(r.w) != r["class"]] == []
     docs = spark.createDataFrame([(1, "Dr. A b. C", "en")], "id int, text string, lang string")
     assert "Generate" not in bd.boundaries(docs, bd.learn(docs), key="id")._jdf.queryExecution().executedPlan().toString()
+
+
+def test_words_alone(docs, learned):
+    """What needs no pairs doesn't count them."""
+    assert sorted(map(str, bd.learn_words(docs).collect())) == sorted(map(str, learned.words.collect()))
