@@ -169,3 +169,23 @@ def test_scripts_with_marks_of_their_own():
     assert segment.tokenizer_for("bod")("བོད་ཡིག། ") == ["བོད་", "ཡིག", "།"]
     assert segment.tokenizer_for("tir")("ሰላም፡ነው። x") == ["ሰላም", "ነው", "።", "x"]
     assert segment.tokenizer_for("cmn")("他 came。") == ["他", "came", "。"]
+
+
+def test_plain_tags_are_read_as_the_parser_reads_them(monkeypatch):
+    """Start tags in their plainest spelling take a shorter way to the same tree, and metadata walk it once."""
+    import random
+
+    def shown(n):
+        return n if isinstance(n, str) else (n.name, n.attributes, [shown(c) for c in n.children])
+
+    rng = random.Random(0)
+    bits = ["<p>", "</p>", '<p class="a b">', '<a href="x&amp;y">', '<a href="x y">t</a>', "<br>", "<br/>", '<meta name="n" content="">', "<P>", "<p x>", '<p x="1" x="2">', '<p  x="1">', "<script>", "</script>", "<title>", "</title>", '<style a="b">', "</style>", "<textarea>", "</textarea>", "<noscript>", '<p x="a', "<x-y>", "<", ">", "&lt;", "text", "<!-- c -->", '<p x="<">', "<plaintext>", '<svg viewbox="0">', "<p >", '<p a="1"b="2">', '<p a="\n">']
+    pages = ["".join(rng.choice(bits[:-10] if rng.random() < 0.8 else bits) for _ in range(rng.randint(1, 14))) for _ in range(4000)]
+    fast = [shown(html.tree(p)) for p in pages]
+    walks = []
+    walk = html.Node.walk
+    monkeypatch.setattr(html.Node, "walk", lambda self: walks.append(self.name) or walk(self))
+    html.metadata(html.tree('<meta name="title" content="t"><p>x</p>'))
+    assert walks.count("") == 1
+    monkeypatch.delattr(html._Builder, "parse_starttag")
+    assert fast == [shown(html.tree(p)) for p in pages]
