@@ -182,3 +182,20 @@ def test_lines_of_one_token_in_a_hot_list(spark):
     sets = spark.createDataFrame([(bytes([k]), k, ids) for k, ids in lines], "rid binary, first bigint, ids array<bigint>")
     with linededup.Scratch(spark) as own:
         assert [bytes(r.later) for r in linededup._hot_matches(rows, sets, 0.8, own).collect()] == [b"\x04"]
+
+
+def test_tokens_shared_too_far_back_make_no_pairs(spark):
+    """Lines of 20 tokens that match share one of their first three; those that share a token of a long list before are found there."""
+    sets = {1: [0, 1, 2, 3, 4], 2: [-4, -3, -2, -1, 4], 3: [0, 1, 2, 3, 4]}
+    rows = [(t, k, 20 << 32 | 4, at + 1, 2) for k, v in sets.items() for at, t in enumerate(v)]
+    cold = spark.createDataFrame(rows, "token bigint, key bigint, size bigint, pos int, hot int")
+    assert [tuple(r) for r in linededup._met(cold, 0.8).collect()] == [(1, 3)]
+
+
+@pytest.mark.parametrize("long", [0, 5, 1000])
+def test_long_lists_equal_brute_force(spark, monkeypatch, long):
+    """What representatives leave is joined by one token in shorter lists and by two in longer ones."""
+    monkeypatch.setattr(linededup, "LONG", long)
+    rows = corpus(7)
+    got = dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string"), hot=3).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == brute(rows)
